@@ -53,7 +53,8 @@ def _ne(a, b):
     return F.coalesce(a != b, F.lit(False))
 
 
-def trailing_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
+def trailing_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """Transactions preceded (within the window, ties included) by a transaction of
     the same user in another country.
 
@@ -64,11 +65,12 @@ def trailing_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> Dat
     """
     w, k, _ = _slicing(cfg)
     base = _sliced_base(tx, cfg)
-    probes = base.select(*TRANSACTION_COLUMNS, _T, _S, F.col(_T).alias(_KEY),
+    out_cols = list(TRANSACTION_COLUMNS) + list(carry)
+    probes = base.select(*out_cols, _T, _S, F.col(_T).alias(_KEY),
                          F.lit(PROBE).alias(_ROLE), F.lit(None).cast("string").alias("_ctx_country"))
     context = (base.where(F.col("country").isNotNull())
                    .select(*[F.lit(None).cast(tx.schema[c].dataType).alias(c)
-                             if c not in ("user_id",) else F.col(c) for c in TRANSACTION_COLUMNS],
+                             if c not in ("user_id",) else F.col(c) for c in out_cols],
                            F.lit(None).cast("long").alias(_T),
                            (F.col(_S) + F.lit(k)).alias(_S),
                            (F.col(_T) + F.lit(w)).alias(_KEY),
@@ -99,7 +101,7 @@ def trailing_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> Dat
                              F.max("_mx").over(between).alias("_mid_max"))
         scored = scored.join(mid, ["user_id", _S], "left")
         hit = hit | _ne(F.col("_mid_min"), c) | _ne(F.col("_mid_max"), c)
-    return scored.where(c.isNotNull() & hit).select(*TRANSACTION_COLUMNS)
+    return scored.where(c.isNotNull() & hit).select(*out_cols)
 
 
 def travel_hops(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -137,21 +139,41 @@ def travel_hops(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFra
 
 
 def impossible_travel_session(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Sessions of activity (gaps shorter than W) spanning more than one country.
-
-    Uses Spark's session windows; sessions are merged within each input
-    partition before the shuffle, so a busy user reaches the final merge as a
-    few partial sessions rather than all of its rows.
+    """Sessions of activity spanning more than one country.
+
+    A session chains a user's transactions while each follows the previous
+    one by at most W (Spark's session-window rule: ``next <= last + W``).
+    Rather than ``session_window`` (which ships all of a user's rows to one
+    task before merging), rows are first aggregated per (user, W-wide time
+    bucket): all rows of one bucket are within W of each other, so each bucket
+    is part of a single session, and the aggregation is combined map-side.
+    A window over the per-bucket summaries (bounded by the time span, not
+    the row count) then chains buckets into sessions.
     """
+    w = cfg.window_seconds * 1_000_000
     base = tx.where(F.col("user_id").isNotNull() & F.col(EVENT_TIME).isNotNull())
-    sess = (base.groupBy("user_id", F.session_window(F.col(EVENT_TIME), cfg.travel_window).alias("s"))
-                .agg(F.count(F.lit(1)).alias("transactions"),
-                     F.array_sort(F.collect_set("country")).alias("countries")))
+    t = epoch_micros(tx, EVENT_TIME)
+    buckets = (base.withColumn(_T, t)
+                   .withColumn("_b", F.expr(f"({_T} - pmod({_T}, {w}L)) div {w}L"))
+                   .groupBy("user_id", "_b")
+                   .agg(F.min(_T).alias("_first"), F.max(_T).alias("_last"),
+                        F.count(F.lit(1)).alias("_n"), F.collect_set("country").alias("_c")))
+    order = Window.partitionBy("user_id").orderBy("_b")
+    starts = F.when(F.col("_first") > F.lag("_last").over(order) + F.lit(w), 1).otherwise(0)
+    chained = buckets.withColumn("_new", starts).withColumn(
+        "_sid", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    sess = (chained.groupBy("user_id", "_sid")
+                   .agg(F.min("_first").alias("_start"), F.max("_last").alias("_end"),
+                        F.sum("_n").alias("transactions"),
+                        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_c")))).alias("countries")))
+    ts_type = "timestamp_ntz" if EVENT_TIME in tx.columns and \
+        tx.schema[EVENT_TIME].dataType.typeName() == "timestamp_ntz" else "timestamp"
+    to_ts = lambda c: F.timestamp_micros(c).cast(ts_type)
     return (sess.where(F.size("countries") > 1)
                 .select("user_id",
-                        F.col("s.start").alias("session_start"),
-                        F.col("s.end").alias("session_end"),
-                        "transactions",
+                        to_ts(F.col("_start")).alias("session_start"),
+                        to_ts(F.col("_end") + F.lit(w)).alias("session_end"),
+                        F.col("transactions").cast("long").alias("transactions"),
                         F.concat_ws(", ", "countries").alias("country"),
                         F.lit(FRAUD_TYPE_TRAVEL).alias("fraud_type"),
                         travel_reason(F.col("countries"), cfg).alias("fraud_reason")))

@@ -306,7 +306,7 @@ FROM s WHERE prev_country IS NOT NULL AND country IS NOT NULL AND prev_country <
     "impossible_travel_session": f"""WITH {TX},
 o AS (SELECT *, lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time, transaction_id) AS prev
       FROM tx WHERE user_id IS NOT NULL AND event_time IS NOT NULL),
-s AS (SELECT *, sum(CASE WHEN prev IS NULL OR event_time >= prev + INTERVAL 10 MINUTE THEN 1 ELSE 0 END)
+s AS (SELECT *, sum(CASE WHEN prev IS NULL OR event_time > prev + INTERVAL 10 MINUTE THEN 1 ELSE 0 END)
                   OVER (PARTITION BY user_id ORDER BY event_time, transaction_id
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM o)
 SELECT user_id, min(event_time) AS session_start, max(event_time) + INTERVAL 10 MINUTE AS session_end,

@@ -15,6 +15,7 @@ RECOMMENDED_CONF = {
     # Zone-less wall-clock timestamps are interpreted as UTC in streams.
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

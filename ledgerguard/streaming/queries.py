@@ -1,4 +1,163 @@
-"""Registered streaming queries (filled in below)."""
+"""Registered streaming queries.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE: dict = {}
+Each one replays the whole ``events`` table (as transaction messages or
+screened rows) through a file stream in time order, runs a streaming
+operator with ``availableNow``, and reads the sink back as a batch
+DataFrame. Work folders are fresh sub-folders of ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerguard.config import FIXTURE_CONFIG as CFG, FRAUD_TYPE_HIGH_VALUE, FRAUD_TYPE_TRAVEL
+from ledgerguard.plans import queries as batch_q
+from ledgerguard.schema import ALERT_COLUMNS, EVENT_TIME, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
+from ledgerguard.session import fresh_path
+from ledgerguard.sources.fixtures import fixture_transactions
+from ledgerguard.sources.json_ingest import encode_transactions, parse_transactions
+from ledgerguard.sources.lakes import read_fraud_lake, read_valid_lake
+from ledgerguard.streaming.replay import with_replay_date, write_replay
+from ledgerguard.streaming.router import BatchRouter, start_screening
+from ledgerguard.streaming.sources import file_source
+from ledgerguard.streaming.stateful import (TrailingTravelRouter, UpsertSink, dedup_transactions,
+                                            stateful_session_travel, stateful_tumbling_travel)
+
+REPLAY_FILES = 4
+_SCREENED_SCHEMA = TRANSACTION_SCHEMA.add(EVENT_TIME, "timestamp_ntz")
+
+
+def _run(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def _message_replay(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
+    """Transaction messages (JSON lines) in ``REPLAY_FILES`` time-ordered files."""
+    tx = with_replay_date(fixture_transactions(spark, sf_dir, CFG))
+    msgs = encode_transactions(tx).withColumn("_replay_date", tx["_replay_date"]) \
+        if False else tx.select(F.to_json(F.struct(*TRANSACTION_COLUMNS)).alias("value"), "_replay_date")
+    for _ in range(copies - 1):
+        msgs = msgs.unionByName(msgs)
+    return write_replay(msgs, fresh_path(spark, "replay"), REPLAY_FILES, fmt="text")
+
+
+_SCREEN_RUNS: dict[tuple[str, str], str] = {}
+
+
+def screen_replay(spark: SparkSession, sf_dir: str) -> str:
+    """Run the routing stream once per (application, table folder); returns its folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _SCREEN_RUNS:
+        return _SCREEN_RUNS[key]
+    base = fresh_path(spark, "screen")
+    stream = parse_transactions(file_source(spark, _message_replay(spark, sf_dir), "text"))
+    router = BatchRouter(valid_path=f"{base}/valid", fraud_path=f"{base}/fraud", cfg=CFG,
+                         alert_format="json", alert_path=f"{base}/alerts",
+                         metrics_path=f"{base}/metrics")
+    _run(start_screening(stream, router, f"{base}/checkpoint", available_now=True))
+    _SCREEN_RUNS[key] = base
+    return base
+
+
+def q_stream_high_value(spark, sf_dir):
+    fraud = read_fraud_lake(spark, f"{screen_replay(spark, sf_dir)}/fraud")
+    return fraud.where(F.col("fraud_type") == FRAUD_TYPE_HIGH_VALUE).select(*ALERT_COLUMNS)
+
+
+def q_stream_travel_tumbling(spark, sf_dir):
+    fraud = read_fraud_lake(spark, f"{screen_replay(spark, sf_dir)}/fraud")
+    return fraud.where(F.col("fraud_type") == FRAUD_TYPE_TRAVEL).select(*ALERT_COLUMNS)
+
+
+def q_stream_valid(spark, sf_dir):
+    valid = read_valid_lake(spark, f"{screen_replay(spark, sf_dir)}/valid")
+    return valid.select(*TRANSACTION_COLUMNS, "date")
+
+
+def q_stream_metrics(spark, sf_dir):
+    m = spark.read.parquet(f"{screen_replay(spark, sf_dir)}/metrics")
+    return m.agg(*[F.sum(c).cast("long").alias(c) for c in
+                   ("raw", "valid", "high_value", "unrouted", "malformed", "alerts")])
+
+
+def _screened_stream(spark, sf_dir, copies: int = 1):
+    return parse_transactions(file_source(spark, _message_replay(spark, sf_dir, copies), "text"))
+
+
+def q_stream_travel_stateful(spark, sf_dir):
+    base = fresh_path(spark, "travel-stateful")
+    sink = UpsertSink(f"{base}/out", keys=("user_id", "window_start"))
+    q = (stateful_tumbling_travel(_screened_stream(spark, sf_dir), CFG).writeStream
+         .outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    _run(q)
+    return sink.read(spark).select(*ALERT_COLUMNS)
+
+
+def q_stream_travel_session(spark, sf_dir):
+    base = fresh_path(spark, "travel-session")
+    q = (stateful_session_travel(_screened_stream(spark, sf_dir), CFG).writeStream
+         .outputMode("append").format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    _run(q)
+    return spark.read.parquet(f"{base}/out")
+
+
+def q_stream_dedup(spark, sf_dir):
+    base = fresh_path(spark, "dedup")
+    q = (dedup_transactions(_screened_stream(spark, sf_dir, copies=2), CFG)
+         .select(*TRANSACTION_COLUMNS).writeStream
+         .outputMode("append").format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    _run(q)
+    return spark.read.parquet(f"{base}/out")
+
+
+def q_stream_travel_trailing(spark, sf_dir):
+    base = fresh_path(spark, "travel-trailing")
+    router = TrailingTravelRouter(out_path=f"{base}/out", state_path=f"{base}/state", cfg=CFG)
+    q = (_screened_stream(spark, sf_dir).writeStream.foreachBatch(router)
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    _run(q)
+    return spark.read.parquet(f"{base}/out").select(*TRANSACTION_COLUMNS)
+
+
+STREAM_QUERIES = {
+    "stream_high_value": q_stream_high_value,
+    "stream_travel_tumbling": q_stream_travel_tumbling,
+    "stream_valid": q_stream_valid,
+    "stream_metrics": q_stream_metrics,
+    "stream_travel_stateful": q_stream_travel_stateful,
+    "stream_travel_session": q_stream_travel_session,
+    "stream_dedup": q_stream_dedup,
+    "stream_travel_trailing": q_stream_travel_trailing,
+}
+
+_O = batch_q.ORACLE
+STREAM_ORACLE = {
+    "stream_high_value": _O["high_value_alerts"],
+    "stream_travel_tumbling": _O["impossible_travel_tumbling"],
+    "stream_valid": _O["valid_transactions"],
+    "stream_metrics": f"""WITH {batch_q.TX}, {batch_q.TRAVEL}
+SELECT CAST(count(*) AS BIGINT) AS raw,
+       CAST(count(*) FILTER (WHERE amount <= {CFG.threshold_text}) AS BIGINT) AS valid,
+       CAST(count(*) FILTER (WHERE amount > {CFG.threshold_text}) AS BIGINT) AS high_value,
+       CAST(count(*) FILTER (WHERE amount IS NULL) AS BIGINT) AS unrouted,
+       CAST(count(*) FILTER (WHERE transaction_id IS NULL OR amount IS NULL) AS BIGINT) AS malformed,
+       CAST(count(*) FILTER (WHERE amount > {CFG.threshold_text}) + (SELECT count(*) FROM travel) AS BIGINT)
+         AS alerts
+FROM tx""",
+    "stream_travel_stateful": _O["impossible_travel_tumbling"],
+    # Append mode emits a session once the final watermark (latest event time
+    # minus the 2 minute delay) has passed its end; the rest stay open.
+    "stream_travel_session": _O["impossible_travel_session"].replace(
+        "FROM s GROUP BY user_id, sid HAVING count(DISTINCT country) > 1",
+        "FROM s GROUP BY user_id, sid HAVING count(DISTINCT country) > 1 "
+        "AND max(event_time) + INTERVAL 10 MINUTE <= "
+        "(SELECT max(event_time) FROM tx) - INTERVAL 2 MINUTE"),
+    "stream_dedup": f"WITH {batch_q.TX} SELECT {batch_q._TX_COLS} FROM tx",
+    "stream_travel_trailing": _O["impossible_travel_trailing"],
+}
