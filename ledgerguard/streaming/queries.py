@@ -16,7 +16,7 @@ from ledgerguard.plans import queries as batch_q
 from ledgerguard.schema import ALERT_COLUMNS, EVENT_TIME, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 from ledgerguard.session import fresh_path
 from ledgerguard.sources.fixtures import fixture_transactions
-from ledgerguard.sources.json_ingest import encode_transactions, parse_transactions
+from ledgerguard.sources.json_ingest import parse_transactions
 from ledgerguard.sources.lakes import read_fraud_lake, read_valid_lake
 from ledgerguard.streaming.replay import with_replay_date, write_replay
 from ledgerguard.streaming.router import BatchRouter, start_screening
@@ -37,28 +37,20 @@ def _run(query) -> None:
 def _message_replay(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
     """Transaction messages (JSON lines) in ``REPLAY_FILES`` time-ordered files."""
     tx = with_replay_date(fixture_transactions(spark, sf_dir, CFG))
-    msgs = encode_transactions(tx).withColumn("_replay_date", tx["_replay_date"]) \
-        if False else tx.select(F.to_json(F.struct(*TRANSACTION_COLUMNS)).alias("value"), "_replay_date")
+    msgs = tx.select(F.to_json(F.struct(*TRANSACTION_COLUMNS)).alias("value"), "_replay_date")
     for _ in range(copies - 1):
         msgs = msgs.unionByName(msgs)
     return write_replay(msgs, fresh_path(spark, "replay"), REPLAY_FILES, fmt="text")
 
 
-_SCREEN_RUNS: dict[tuple[str, str], str] = {}
-
-
 def screen_replay(spark: SparkSession, sf_dir: str) -> str:
-    """Run the routing stream once per (application, table folder); returns its folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _SCREEN_RUNS:
-        return _SCREEN_RUNS[key]
+    """Run the routing stream over the replayed table; returns its work folder."""
     base = fresh_path(spark, "screen")
     stream = parse_transactions(file_source(spark, _message_replay(spark, sf_dir), "text"))
     router = BatchRouter(valid_path=f"{base}/valid", fraud_path=f"{base}/fraud", cfg=CFG,
                          alert_format="json", alert_path=f"{base}/alerts",
                          metrics_path=f"{base}/metrics")
     _run(start_screening(stream, router, f"{base}/checkpoint", available_now=True))
-    _SCREEN_RUNS[key] = base
     return base
 
 
