@@ -25,7 +25,6 @@ from ledgerguard.streaming.stateful import (TrailingTravelRouter, UpsertSink, de
                                             stateful_session_travel, stateful_tumbling_travel)
 
 REPLAY_FILES = 4
-_SCREENED_SCHEMA = TRANSACTION_SCHEMA.add(EVENT_TIME, "timestamp_ntz")
 
 
 def _run(query) -> None:
