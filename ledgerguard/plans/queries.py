@@ -120,6 +120,18 @@ def q_malformed_quarantine(spark, sf_dir):
     return bad.select("transaction_id", "user_id", "country", "reason")
 
 
+def q_lake_roundtrip_daily(spark, sf_dir):
+    """Route the whole table as one batch into fresh lakes, read them back, report per day."""
+    from ledgerguard.session import fresh_path
+    from ledgerguard.sources.lakes import read_fraud_lake, read_valid_lake
+    from ledgerguard.streaming.router import BatchRouter
+    root = fresh_path(spark, "lakes")
+    BatchRouter(valid_path=f"{root}/transactions", fraud_path=f"{root}/fraud", cfg=CFG)(
+        _tx(spark, sf_dir), 0)
+    return reports.daily_lake_counts(read_valid_lake(spark, f"{root}/transactions"),
+                                     read_fraud_lake(spark, f"{root}/fraud"))
+
+
 QUERIES: dict[str, Query] = {
     "high_value_alerts": q_high_value_alerts,
     "valid_transactions": q_valid_transactions,
@@ -140,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "valid_excluding_travel": q_valid_excluding_travel,
     "parsed_transactions": q_parsed_transactions,
     "malformed_quarantine": q_malformed_quarantine,
+    "lake_roundtrip_daily": q_lake_roundtrip_daily,
 }
 
 # ---------------------------------------------------------------------------
@@ -220,6 +233,7 @@ parsed AS (SELECT {_TX_COLS}, event_time,
                   merchant_category = 'error' AS bad FROM tx)"""
 
 ORACLE: dict[str, str] = {
+    "lake_roundtrip_daily": None,  # filled below (same as daily_lake_counts)
     "high_value_alerts": f"WITH {TX}, {HIGH} SELECT * FROM high",
     "valid_transactions": f"""WITH {TX}
 SELECT {_TX_COLS}, CAST(TRY_CAST("timestamp" AS TIMESTAMP) AS DATE) AS date FROM tx WHERE amount <= {_T}""",
@@ -333,3 +347,4 @@ FROM parsed WHERE bad OR transaction_id IS NULL OR amount_p IS NULL""",
 }
 
 __all__ = ["QUERIES", "ORACLE", "ALERT_COLUMNS", "ALERT_SCHEMA", "read_table"]
+ORACLE["lake_roundtrip_daily"] = ORACLE["daily_lake_counts"]

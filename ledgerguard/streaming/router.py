@@ -55,8 +55,10 @@ class BatchRouter:
                                F.count_if(a.isNull()).alias("unrouted"),
                                F.count_if(bad).alias("malformed")).persist()
         alerts = None
+        alert_obs = Observation(f"alerts_{batch_id}")
         try:
-            alerts = all_alerts(cached, self.cfg).persist()
+            alerts = all_alerts(cached, self.cfg).observe(
+                alert_obs, F.count(F.lit(1)).alias("alerts")).persist()
             if self.alert_format:
                 write_alert_messages(encode_alerts(alerts), self.cfg, self.alert_format,
                                      f"{self.alert_path}/batch_id={batch_id}"
@@ -65,7 +67,7 @@ class BatchRouter:
             write_lake(valid_transactions(cached, self.cfg), self.valid_path, batch_id)
             if self.metrics_path:
                 m = obs.get
-                n_alerts = alerts.count()
+                n_alerts = alert_obs.get.get("alerts", 0)
                 row = (int(batch_id), m.get("raw", 0), m.get("valid", 0), m.get("high_value", 0),
                        m.get("unrouted", 0), m.get("malformed", 0), n_alerts)
                 (cached.sparkSession.createDataFrame([row], METRICS_SCHEMA)

@@ -153,3 +153,9 @@ def _seconds(text: str) -> int:
 
 __all__ = ["with_event_watermark", "stateful_tumbling_travel", "stateful_session_travel",
            "dedup_transactions", "UpsertSink", "TrailingTravelRouter", "wall_clock", "Window"]
+
+
+def rows_dropped_by_watermark(query) -> int:
+    """Late rows dropped by the stateful operators in the last micro-batch."""
+    p = query.lastProgress or {}
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
