@@ -156,6 +156,10 @@ __all__ = ["with_event_watermark", "stateful_tumbling_travel", "stateful_session
 
 
 def rows_dropped_by_watermark(query) -> int:
-    """Late rows dropped by the stateful operators in the last micro-batch."""
+    """Late rows dropped by the stateful operators in the last micro-batch.
+
+    Spark counts rows at the state store input, i.e. after map-side partial
+    aggregation: late rows sharing a group key count once.
+    """
     p = query.lastProgress or {}
     return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
