@@ -348,3 +348,56 @@ FROM parsed WHERE bad OR transaction_id IS NULL OR amount_p IS NULL""",
 
 __all__ = ["QUERIES", "ORACLE", "ALERT_COLUMNS", "ALERT_SCHEMA", "read_table"]
 ORACLE["lake_roundtrip_daily"] = ORACLE["daily_lake_counts"]
+
+
+def _lpad(expr: str, w: int) -> str:
+    return f"(CASE WHEN length({expr}) >= {w} THEN {expr} ELSE lpad({expr}, {w}, ' ') END)"
+
+
+def _rpad(expr: str, w: int) -> str:
+    return f"(CASE WHEN length({expr}) >= {w} THEN {expr} ELSE rpad({expr}, {w}, ' ') END)"
+
+
+def _report_lines_sql() -> str:
+    """Report lines rebuilt in DuckDB from the oracle report tables."""
+    cnt = lambda c: f"format('{{:,}}', {c})"
+    mon = lambda c: f"format('{{:,.2f}}', CAST({c} AS DOUBLE))"
+    rec_lines = [
+        f"'Ingress Count    : ' || {_lpad(cnt('ingress_count'), 12)}",
+        f"'Ingress Volume   : $' || {_lpad(mon('ingress_volume'), 14)}",
+        f"'Validated Count  : ' || {_lpad(cnt('validated_count'), 12)}",
+        f"'Validated Volume : $' || {_lpad(mon('validated_volume'), 14)}",
+        f"'Fraud Count      : ' || {_lpad(cnt('fraud_count'), 12)}",
+        f"'Fraud Volume     : $' || {_lpad(mon('fraud_volume'), 14)}",
+        f"'Ingress - Validated - Fraud = $' || {mon('diff')}",
+        "'Status: ' || CASE WHEN status = 'BALANCED' THEN '✓ ' ELSE '⚠ ' END || status",
+        "'Fraud Rate      : ' || printf('%.2f', fraud_rate) || '%'",
+        "'Validation Rate : ' || printf('%.2f', validation_rate) || '%'",
+    ]
+    parts = [f"SELECT 'reconciliation' AS section, CAST({i} AS BIGINT) AS ord, {x} AS line FROM rec"
+             for i, x in enumerate(rec_lines)]
+    parts += [f"SELECT 'summary', CAST({i} AS BIGINT), {x} FROM summ" for i, x in enumerate([
+        f"'Total Fraud Transactions : ' || {cnt('fraud_count')}",
+        f"'Total Fraud Volume       : $' || {mon('fraud_volume')}",
+        f"'Average Fraud Amount     : $' || {mon('avg_amount')}"])]
+    pct1 = "printf('%.1f', pct)"
+    cat_line = (f"'│ ' || {_rpad('merchant_category', 15)} || ' │ ' || {_lpad(cnt('count'), 7)} || ' │ ' || "
+                f"{_lpad(pct1, 7)} || '%  │ $' || {_lpad(mon('total_amount'), 12)} || "
+                f"'  │ $' || {_lpad(mon('coalesce(avg_amount, 0.0)'), 10)} || '  │'")
+    parts.append(f"SELECT 'by_category', CAST(row_number() OVER (ORDER BY count DESC, merchant_category) "
+                 f"AS BIGINT), {cat_line} FROM cat")
+    typ_line = (f"{_rpad('fraud_type', 20)} || ' : ' || {_lpad(cnt('count'), 6)} || ' (' || "
+                f"{_lpad(pct1, 5)} || '%) │ $' || {_lpad(mon('total_amount'), 12)}")
+    bar_n = "least(greatest(CAST(floor(pct / 2) AS INTEGER), 0), 50)"
+    bar = f"repeat(' ', 25) || repeat('█', {bar_n}) || repeat('░', 50 - {bar_n})"
+    parts.append(f"SELECT 'by_type', 2 * r, l1 FROM (SELECT CAST(row_number() OVER "
+                 f"(ORDER BY count DESC, fraud_type) AS BIGINT) AS r, {typ_line} AS l1 FROM typ)")
+    parts.append(f"SELECT 'by_type', 2 * r + 1, l2 FROM (SELECT CAST(row_number() OVER "
+                 f"(ORDER BY count DESC, fraud_type) AS BIGINT) AS r, {bar} AS l2 FROM typ)")
+    return (f"WITH rec AS (SELECT * FROM ({ORACLE['reconciliation_reference']})), "
+            f"summ AS (SELECT * FROM ({ORACLE['fraud_summary']})), "
+            f"cat AS (SELECT * FROM ({ORACLE['fraud_by_category']})), "
+            f"typ AS (SELECT * FROM ({ORACLE['fraud_by_type']}))\n" + "\nUNION ALL\n".join(parts))
+
+
+ORACLE["report_lines"] = _report_lines_sql()

@@ -237,4 +237,5 @@ def report_lines(valid: DataFrame, fraud: DataFrame) -> DataFrame:
     order = F.create_map(*[x for i, s in enumerate(["reconciliation", "summary", "by_category", "by_type"])
                            for x in (F.lit(s), F.lit(i))])
     out = rec_lines.unionByName(summ).unionByName(cat_lines).unionByName(typ_lines)
+    out = out.withColumn("ord", F.col("ord").cast("long"))
     return out.withColumn("_s", order[F.col("section")]).orderBy("_s", "ord").drop("_s")
