@@ -13,7 +13,9 @@ def kafka_source(spark: SparkSession, cfg: ScreeningConfig = DEFAULT_CONFIG,
     """Raw transaction messages from ``cfg.raw_topic`` (column ``value``).
 
     Options such as ``kafka.bootstrap.servers`` or ``maxOffsetsPerTrigger``
-    are passed through. Needs the Kafka connector on the classpath.
+    (bounds each micro-batch, so the router's cached batch stays bounded) are
+    passed through; ``minPartitions`` splits an oversized topic partition
+    over several tasks. Needs the Kafka connector on the classpath.
     """
     r = (spark.readStream.format("kafka").option("subscribe", cfg.raw_topic)
          .option("startingOffsets", starting_offsets))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerguard.config import DEFAULT_CONFIG, FRAUD_TYPE_TRAVEL, ScreeningConfig
@@ -152,7 +152,8 @@ def _seconds(text: str) -> int:
 
 
 __all__ = ["with_event_watermark", "stateful_tumbling_travel", "stateful_session_travel",
-           "dedup_transactions", "UpsertSink", "TrailingTravelRouter", "wall_clock", "Window"]
+           "dedup_transactions", "UpsertSink", "TrailingTravelRouter", "wall_clock",
+           "rows_dropped_by_watermark"]
 
 
 def rows_dropped_by_watermark(query) -> int:
