@@ -21,13 +21,14 @@ def decode_alerts(messages: DataFrame, value_col: str = "value") -> DataFrame:
 
 def write_alert_messages(encoded: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG,
                          fmt: str = "kafka", path: str | None = None,
-                         options: dict | None = None) -> None:
+                         options: dict | None = None, mode: str = "append") -> None:
     """Publish encoded alerts.
 
     ``fmt="kafka"`` writes to ``cfg.alert_topic``; ``kafka.bootstrap.servers``
     and other producer options come from ``cfg.kafka_options`` / ``options``
     (the connector jar must be on the classpath). ``json``/``text``/``parquet``
-    append message files under ``path`` instead.
+    write message files under ``path`` instead (``mode="overwrite"`` on a
+    per-batch folder makes a replayed batch idempotent).
     """
     opts = dict(cfg.kafka_options)
     opts.update(options or {})
@@ -39,6 +40,6 @@ def write_alert_messages(encoded: DataFrame, cfg: ScreeningConfig = DEFAULT_CONF
     elif fmt in ("json", "text", "parquet"):
         if path is None:
             raise ValueError("path is required for file message sinks")
-        (encoded.write.mode("append").format(fmt).options(**opts).save(path))
+        encoded.write.mode(mode).format(fmt).options(**opts).save(path)
     else:
         raise ValueError(f"unknown alert sink format {fmt!r}")

@@ -32,8 +32,8 @@ class BatchRouter:
     ``alert_format``: ``kafka`` (publish to ``cfg.alert_topic``), ``json`` /
     ``text`` / ``parquet`` (message files under ``alert_path``) or ``None``.
     Writes are idempotent per batch id (lakes by dynamic partition overwrite,
-    metrics by partition), so a batch replayed after a failure does not
-    double rows; the message sink is at-least-once.
+    message files and metrics by their batch folder), so a batch replayed
+    after a failure does not double rows; a broker topic is at-least-once.
     """
 
     valid_path: str
@@ -62,7 +62,8 @@ class BatchRouter:
             if self.alert_format:
                 write_alert_messages(encode_alerts(alerts), self.cfg, self.alert_format,
                                      f"{self.alert_path}/batch_id={batch_id}"
-                                     if self.alert_path else None)
+                                     if self.alert_path else None,
+                                     mode="overwrite" if self.alert_path else "append")
             write_lake(fraud_lake_rows(alerts), self.fraud_path, batch_id)
             write_lake(valid_transactions(cached, self.cfg), self.valid_path, batch_id)
             if self.metrics_path:
