@@ -24,6 +24,25 @@ RECOMMENDED_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, ~100 TB input).
+# The initial shuffle width is deliberately large: AQE coalesces it down to
+# ``advisoryPartitionSizeInBytes`` per task at run time, so partitions stay
+# small enough not to spill at any data size, and splits skewed ones.
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Runtime broadcast only under this measured size; larger sides stay shuffled.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+}
+
+
 def build_session(master: str = "local[*]", app: str = "ledgerguard",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
@@ -67,4 +86,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-__all__ = ["build_session", "shared_dir", "fresh_path", "path_exists", "RECOMMENDED_CONF"]
+__all__ = ["build_session", "shared_dir", "fresh_path", "path_exists", "RECOMMENDED_CONF",
+           "CLUSTER_CONF"]
