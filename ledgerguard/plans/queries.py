@@ -106,6 +106,11 @@ def q_impossible_travel_session(spark, sf_dir):
     return travel.impossible_travel_session(_tx(spark, sf_dir), CFG)
 
 
+def q_travel_alert_members(spark, sf_dir):
+    members = rules.tumbling_travel_members(_tx(spark, sf_dir), CFG)
+    return members.select("user_id", "window_start", "transaction_id", "country", "amount")
+
+
 def q_valid_excluding_travel(spark, sf_dir):
     return rules.valid_excluding_travel(_tx(spark, sf_dir), CFG)
 
@@ -150,6 +155,7 @@ QUERIES: dict[str, Query] = {
     "impossible_travel_hops": q_impossible_travel_hops,
     "impossible_travel_session": q_impossible_travel_session,
     "valid_excluding_travel": q_valid_excluding_travel,
+    "travel_alert_members": q_travel_alert_members,
     "parsed_transactions": q_parsed_transactions,
     "malformed_quarantine": q_malformed_quarantine,
     "lake_roundtrip_daily": q_lake_roundtrip_daily,
@@ -348,6 +354,8 @@ FROM parsed WHERE bad OR transaction_id IS NULL OR amount_p IS NULL""",
 
 __all__ = ["QUERIES", "ORACLE", "ALERT_COLUMNS", "ALERT_SCHEMA", "read_table"]
 ORACLE["lake_roundtrip_daily"] = ORACLE["daily_lake_counts"]
+ORACLE["travel_alert_members"] = f"""WITH {TX}, {TRAVEL}
+SELECT user_id, ws AS window_start, transaction_id, country, amount FROM members"""
 
 
 def _lpad(expr: str, w: int) -> str:

@@ -182,60 +182,97 @@ def _pad_left(s: Column, w: int) -> Column:
 def report_lines(valid: DataFrame, fraud: DataFrame) -> DataFrame:
     """Data lines of both text reports as an ordered (``section``, ``ord``, ``line``) frame.
 
-    Rendered with JVM string functions from the report tables; page layout is
-    left to whoever prints the lines. Write with ``coalesce(1).write.text``
-    (a few dozen lines).
+    One pass over both lakes: every row is aggregated once per report level
+    (lake total, and for fraud rows also category and rule) with map-side
+    partial aggregation. A global aggregation then gathers those few rows into
+    a single row, from which all lines are rendered with JVM string and array
+    functions. The values equal those of the report tables above.
     """
-    rec = reconciliation_reference(valid, fraud)
-    money_line = lambda label, c: F.concat(F.lit(label), F.lit("$"), _pad_left(fmt_money(F.col(c)), 14))
-    count_line = lambda label, c: F.concat(F.lit(label), _pad_left(fmt_count(F.col(c)), 12))
-    rec_lines = rec.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ord"), line.alias("line")) for i, line in enumerate([
-            count_line("Ingress Count    : ", "ingress_count"),
-            money_line("Ingress Volume   : ", "ingress_volume"),
-            count_line("Validated Count  : ", "validated_count"),
-            money_line("Validated Volume : ", "validated_volume"),
-            count_line("Fraud Count      : ", "fraud_count"),
-            money_line("Fraud Volume     : ", "fraud_volume"),
-            F.concat(F.lit("Ingress - Validated - Fraud = $"), fmt_money(F.col("diff"))),
-            F.concat(F.lit("Status: "), F.when(F.col("status") == STATUS_BALANCED, F.lit("✓ "))
-                     .otherwise(F.lit("⚠ ")), F.col("status")),
-            F.concat(F.lit("Fraud Rate      : "), fmt_pct(F.col("fraud_rate")), F.lit("%")),
-            F.concat(F.lit("Validation Rate : "), fmt_pct(F.col("validation_rate")), F.lit("%")),
-        ])])).alias("x")).select(F.lit("reconciliation").alias("section"), "x.ord", "x.line")
-
-    summ = fraud_summary(fraud).select(F.explode(F.array(
-        F.struct(F.lit(0).alias("ord"), F.concat(F.lit("Total Fraud Transactions : "),
-                                                 fmt_count(F.col("fraud_count"))).alias("line")),
-        F.struct(F.lit(1).alias("ord"), F.concat(F.lit("Total Fraud Volume       : $"),
-                                                 fmt_money(F.col("fraud_volume"))).alias("line")),
-        F.struct(F.lit(2).alias("ord"), F.concat(F.lit("Average Fraud Amount     : $"),
-                                                 fmt_money(F.col("avg_amount"))).alias("line")),
-    )).alias("x")).select(F.lit("summary").alias("section"), "x.ord", "x.line")
-
-    rank = lambda key: F.row_number().over(Window.orderBy(F.desc("count"), F.asc(key)))
-    cat = fraud_by_category(fraud)
-    cat_lines = cat.select(
-        F.lit("by_category").alias("section"), rank("merchant_category").alias("ord"),
-        F.concat(F.lit("│ "), _pad_right(F.col("merchant_category"), 15), F.lit(" │ "),
-                 _pad_left(fmt_count(F.col("count")), 7), F.lit(" │ "),
-                 fmt_pct1(F.col("pct"), 7), F.lit("%  │ $"),
-                 _pad_left(fmt_money(F.col("total_amount")), 12), F.lit("  │ $"),
-                 _pad_left(fmt_money(F.coalesce(F.col("avg_amount"), F.lit(0.0))), 10),
-                 F.lit("  │")).alias("line"))
-    typ = fraud_by_type(fraud)
-    typ_lines = typ.select(
-        F.lit("by_type").alias("section"), rank("fraud_type").alias("_r"),
-        F.concat(_pad_right(F.col("fraud_type"), 20), F.lit(" : "),
-                 _pad_left(fmt_count(F.col("count")), 6), F.lit(" ("), fmt_pct1(F.col("pct"), 5),
-                 F.lit("%) │ $"), _pad_left(fmt_money(F.col("total_amount")), 12)).alias("l1"),
-        F.concat(F.lit(" " * 25), bar(F.col("pct"), BAR_WIDTH)).alias("l2"))
-    typ_lines = typ_lines.select("section", F.explode(F.array(
-        F.struct((F.col("_r") * 2).alias("ord"), F.col("l1").alias("line")),
-        F.struct((F.col("_r") * 2 + 1).alias("ord"), F.col("l2").alias("line")))).alias("x")
-    ).select("section", "x.ord", "x.line")
-    order = F.create_map(*[x for i, s in enumerate(["reconciliation", "summary", "by_category", "by_type"])
-                           for x in (F.lit(s), F.lit(i))])
-    out = rec_lines.unionByName(summ).unionByName(cat_lines).unionByName(typ_lines)
-    out = out.withColumn("ord", F.col("ord").cast("long"))
+    none = F.lit(None).cast("string")
+    u = (valid.select(F.lit(VALID).alias("kind"), "amount", none.alias("merchant_category"),
+                      none.alias("fraud_type"), none.alias("transaction_id"))
+         .unionByName(fraud.select(F.lit(FRAUD).alias("kind"), "amount", "merchant_category",
+                                   "fraud_type", "transaction_id")))
+    total = F.struct(F.lit("total").alias("level"), none.alias("key"))
+    levels = F.when(_is(FRAUD), F.array(
+        total,
+        F.struct(F.lit("category").alias("level"), F.col("merchant_category").alias("key")),
+        F.struct(F.lit("type").alias("level"), F.col("fraud_type").alias("key")),
+    )).otherwise(F.array(total))
+    amt = nan_to_null(F.col("amount"))
+    per_level = (u.select("kind", "amount", "transaction_id", F.explode(levels).alias("lv"))
+                  .groupBy("kind", F.col("lv.level").alias("level"), F.col("lv.key").alias("key"))
+                  .agg(F.count(F.lit(1)).alias("n_rows"), F.count("transaction_id").alias("n_ids"),
+                       F.sum(nan_to_null(F.col("amount"))).alias("s"), F.count(amt).alias("n_amt")))
+    tot = lambda kind, c: F.coalesce(F.sum(F.when(_is(kind) & (F.col("level") == "total"), F.col(c))),
+                                     F.lit(0))
+    item = F.struct((-F.col("n_ids")).alias("neg"), F.col("key").alias("key"), F.col("n_ids").alias("n"),
+                    F.col("s").alias("s"), F.col("n_amt").alias("n_amt"))
+    pick = lambda level: F.collect_list(F.when((F.col("level") == level) & F.col("key").isNotNull(), item))
+    g = per_level.agg(tot(VALID, "n_rows").alias("vn"), tot(VALID, "s").cast("double").alias("vs"),
+                      tot(FRAUD, "n_rows").alias("fn"), tot(FRAUD, "s").cast("double").alias("fs"),
+                      F.sort_array(pick("category")).alias("cats"), F.sort_array(pick("type")).alias("types"))
+
+    vn, vs, fn, fs = F.col("vn"), F.col("vs"), F.col("fn"), F.col("fs")
+    ingress_n, ingress_v = vn + fn, vs + fs
+    diff = ingress_v - vs - fs
+    rate = pct_of(fn, ingress_n)
+    status = (F.when(ingress_n == 0, F.lit(STATUS_NO_DATA))
+               .when(F.abs(diff) < F.lit(BALANCE_TOLERANCE), F.lit(STATUS_BALANCED))
+               .otherwise(F.lit(STATUS_DISCREPANCY)))
+    cnt = lambda c, w: _pad_left(fmt_count(c), w)
+    mon = lambda c, w: _pad_left(fmt_money(c), w)
+    line = lambda section, i, text: F.struct(F.lit(section).alias("section"),
+                                             F.lit(i).cast("long").alias("ord"), text.alias("line"))
+    rec = [
+        F.concat(F.lit("Ingress Count    : "), cnt(ingress_n, 12)),
+        F.concat(F.lit("Ingress Volume   : $"), mon(money(ingress_v), 14)),
+        F.concat(F.lit("Validated Count  : "), cnt(vn, 12)),
+        F.concat(F.lit("Validated Volume : $"), mon(money(vs), 14)),
+        F.concat(F.lit("Fraud Count      : "), cnt(fn, 12)),
+        F.concat(F.lit("Fraud Volume     : $"), mon(money(fs), 14)),
+        F.concat(F.lit("Ingress - Validated - Fraud = $"), fmt_money(_zero_safe(money(diff)))),
+        F.concat(F.lit("Status: "), F.when(status == STATUS_BALANCED, F.lit("✓ ")).otherwise(F.lit("⚠ ")),
+                 status),
+        F.concat(F.lit("Fraud Rate      : "), fmt_pct(rate), F.lit("%")),
+        F.concat(F.lit("Validation Rate : "), fmt_pct(ratio(F.lit(100.0) - rate)), F.lit("%")),
+    ]
+    avg_all = ratio(F.when(fn > 0, fs / fn).otherwise(F.lit(0.0)))
+    summ = [
+        F.concat(F.lit("Total Fraud Transactions : "), fmt_count(fn)),
+        F.concat(F.lit("Total Fraud Volume       : $"), fmt_money(money(fs))),
+        F.concat(F.lit("Average Fraud Amount     : $"), fmt_money(avg_all)),
+    ]
+
+    def share(x):
+        return pct_of(x["n"], fn)
+
+    def cat_line(x, i):
+        avg = F.coalesce(ratio(F.when(x["n_amt"] > 0, x["s"] / x["n_amt"])), F.lit(0.0))
+        text = F.concat(F.lit("│ "), _pad_right(x["key"], 15), F.lit(" │ "), cnt(x["n"], 7), F.lit(" │ "),
+                        fmt_pct1(share(x), 7), F.lit("%  │ $"),
+                        mon(money(F.coalesce(x["s"], F.lit(0.0))), 12), F.lit("  │ $"), mon(avg, 10),
+                        F.lit("  │"))
+        return F.struct(F.lit("by_category").alias("section"), (i + 1).cast("long").alias("ord"),
+                        text.alias("line"))
+
+    def type_lines(x, i):
+        l1 = F.concat(_pad_right(x["key"], 20), F.lit(" : "), cnt(x["n"], 6), F.lit(" ("),
+                      fmt_pct1(share(x), 5), F.lit("%) │ $"),
+                      mon(money(F.coalesce(x["s"], F.lit(0.0))), 12))
+        l2 = F.concat(F.lit(" " * 25), bar(share(x), BAR_WIDTH))
+        r = (i + 1).cast("long")
+        return F.array(F.struct(F.lit("by_type").alias("section"), (r * 2).alias("ord"), l1.alias("line")),
+                       F.struct(F.lit("by_type").alias("section"), (r * 2 + 1).alias("ord"),
+                                l2.alias("line")))
+
+    lines = F.concat(
+        F.array(*[line("reconciliation", i, t) for i, t in enumerate(rec)]),
+        F.array(*[line("summary", i, t) for i, t in enumerate(summ)]),
+        F.transform("cats", cat_line),
+        F.flatten(F.transform("types", type_lines)),
+    )
+    order = F.create_map(*[x for i, sec in enumerate(["reconciliation", "summary", "by_category", "by_type"])
+                           for x in (F.lit(sec), F.lit(i))])
+    out = g.select(F.inline(lines))
     return out.withColumn("_s", order[F.col("section")]).orderBy("_s", "ord").drop("_s")
