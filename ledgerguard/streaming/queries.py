@@ -71,7 +71,7 @@ def q_stream_valid(spark, sf_dir):
 def q_stream_metrics(spark, sf_dir):
     m = spark.read.parquet(f"{screen_replay(spark, sf_dir)}/metrics")
     return m.agg(*[F.sum(c).cast("long").alias(c) for c in
-                   ("raw", "valid", "high_value", "unrouted", "malformed", "alerts")])
+                   ("raw", "valid", "high_value", "unrouted", "malformed", "alerts", "travel_alerts")])
 
 
 def _screened_stream(spark, sf_dir, copies: int = 1):
@@ -139,7 +139,8 @@ SELECT CAST(count(*) AS BIGINT) AS raw,
        CAST(count(*) FILTER (WHERE amount IS NULL) AS BIGINT) AS unrouted,
        CAST(count(*) FILTER (WHERE transaction_id IS NULL OR amount IS NULL) AS BIGINT) AS malformed,
        CAST(count(*) FILTER (WHERE amount > {CFG.threshold_text}) + (SELECT count(*) FROM travel) AS BIGINT)
-         AS alerts
+         AS alerts,
+       CAST((SELECT count(*) FROM travel) AS BIGINT) AS travel_alerts
 FROM tx""",
     "stream_travel_stateful": _O["impossible_travel_tumbling"],
     # Append mode emits a session once the final watermark (latest event time

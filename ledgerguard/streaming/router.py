@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ledgerguard.config import DEFAULT_CONFIG, ScreeningConfig
+from ledgerguard.config import DEFAULT_CONFIG, FRAUD_TYPE_TRAVEL, ScreeningConfig
 from ledgerguard.operators.rules import all_alerts, fraud_lake_rows, valid_transactions
 from ledgerguard.sinks.alerts import encode_alerts, write_alert_messages
 from ledgerguard.sinks.lakes import write_lake
 from ledgerguard.sources.json_ingest import malformed_reason
 
 METRICS_SCHEMA = StructType([StructField(n, LongType(), True) for n in (
-    "batch_id", "raw", "valid", "high_value", "unrouted", "malformed", "alerts")])
+    "batch_id", "raw", "valid", "high_value", "unrouted", "malformed", "alerts", "travel_alerts")])
 
 
 @dataclass
@@ -58,7 +58,8 @@ class BatchRouter:
         alert_obs = Observation(f"alerts_{batch_id}")
         try:
             alerts = all_alerts(cached, self.cfg).observe(
-                alert_obs, F.count(F.lit(1)).alias("alerts")).persist()
+                alert_obs, F.count(F.lit(1)).alias("alerts"),
+                F.count_if(F.col("fraud_type") == F.lit(FRAUD_TYPE_TRAVEL)).alias("travel_alerts")).persist()
             if self.alert_format:
                 write_alert_messages(encode_alerts(alerts), self.cfg, self.alert_format,
                                      f"{self.alert_path}/batch_id={batch_id}"
@@ -68,9 +69,10 @@ class BatchRouter:
             write_lake(valid_transactions(cached, self.cfg), self.valid_path, batch_id)
             if self.metrics_path:
                 m = obs.get
-                n_alerts = alert_obs.get.get("alerts", 0)
+                am = alert_obs.get
                 row = (int(batch_id), m.get("raw", 0), m.get("valid", 0), m.get("high_value", 0),
-                       m.get("unrouted", 0), m.get("malformed", 0), n_alerts)
+                       m.get("unrouted", 0), m.get("malformed", 0), am.get("alerts", 0),
+                       am.get("travel_alerts", 0))
                 (cached.sparkSession.createDataFrame([row], METRICS_SCHEMA)
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(self.metrics_path))

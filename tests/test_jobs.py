@@ -37,7 +37,8 @@ def test_screening_job_and_reports(spark, workdir):
     rec = rs.reconciliation.first()
     assert (rec.validated_count, rec.fraud_count, rec.status) == (2, 2, "BALANCED")
     m = spark.read.parquet(f"{workdir}/lake/metrics").first()
-    assert (m.raw, m.valid, m.high_value, m.unrouted, m.malformed, m.alerts) == (4, 2, 1, 1, 1, 2)
+    assert (m.raw, m.valid, m.high_value, m.unrouted, m.malformed, m.alerts, m.travel_alerts) == \
+        (4, 2, 1, 1, 1, 2, 1)
     out = run_reports(spark, f"{workdir}/lake", f"{workdir}/reports", stamp="s1")
     lines = [r.value for r in spark.read.text(f"{out}/lines").collect()]
     assert any(x.startswith("Status: ✓ BALANCED") for x in lines)
