@@ -37,6 +37,26 @@ STATUS_BALANCED = "BALANCED"
 STATUS_DISCREPANCY = "DISCREPANCY DETECTED"
 STATUS_NO_DATA = "NO_DATA"
 BAR_WIDTH = 50
+# Alert reasons; {name} is filled per row, and a NULL field gives a NULL reason.
+HIGH_VALUE_REASON = "Amount ${amount} exceeds ${threshold} threshold in {country}"
+TRAVEL_REASON = "User transacted from {count} countries: {countries} within {window}"
+# Report data lines: labels, status marks, column widths, share bar.
+LABEL_FRAUD_TRANSACTIONS = "Total Fraud Transactions : "
+LABEL_FRAUD_VOLUME = "Total Fraud Volume       : $"
+LABEL_FRAUD_AVERAGE = "Average Fraud Amount     : $"
+LABEL_CHECK = "Ingress - Validated - Fraud = $"
+LABEL_STATUS = "Status: "
+MARK_BALANCED = "✓ "
+MARK_DISCREPANCY = "⚠ "
+LABEL_FRAUD_RATE = "Fraud Rate      : "
+LABEL_VALIDATION_RATE = "Validation Rate : "
+COUNT_WIDTH = 12
+VOLUME_WIDTH = 14
+CATEGORY_WIDTHS = (15, 7, 7, 12, 10)   # category, count, share, total, average
+TYPE_WIDTHS = (20, 6, 5, 12)           # rule, count, share, total
+BAR_FULL = "█"
+BAR_EMPTY = "░"
+BAR_INDENT = 25
 # -----------------------------------------------------------------------------
 
 # Threshold used with the table-backed fixture (event values top out near 560,

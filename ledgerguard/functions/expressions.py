@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from ledgerguard.config import ScreeningConfig
+import re
+
+from ledgerguard.config import HIGH_VALUE_REASON, TRAVEL_REASON, ScreeningConfig
 
 __all__ = [
     "event_time_from_text", "epoch_micros", "as_instant", "nan_to_null", "money_sum",
     "money", "ratio", "pct_of", "country_key", "high_value_reason", "travel_reason",
     "is_foreign_country", "is_branch_country", "foreign_countries_array", "partition_date",
-    "earliest_by_time",
+    "earliest_by_time", "fill_template",
 ]
 
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
@@ -88,16 +90,22 @@ def country_key(country: Column) -> Column:
     return F.when(country.isNotNull(), F.xxhash64(country))
 
 
+def fill_template(template: str, **values: Column) -> Column:
+    """``concat`` of a ``{name}`` template's literal pieces and the given columns."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    cols = [values[p] if i % 2 else F.lit(p) for i, p in enumerate(pieces) if i % 2 or p]
+    return F.concat(*cols)
+
+
 def high_value_reason(cfg: ScreeningConfig) -> Column:
     # NULL-propagating concat, like the screened system: NULL country -> NULL reason.
-    return F.concat(F.lit("Amount $"), F.col("amount").cast("string"),
-                    F.lit(f" exceeds ${cfg.threshold_text} threshold in "), F.col("country"))
+    return fill_template(HIGH_VALUE_REASON, amount=F.col("amount").cast("string"),
+                         threshold=F.lit(cfg.threshold_text), country=F.col("country"))
 
 
 def travel_reason(countries: Column, cfg: ScreeningConfig) -> Column:
-    return F.concat(F.lit("User transacted from "), F.size(countries).cast("string"),
-                    F.lit(" countries: "), F.concat_ws(", ", countries),
-                    F.lit(f" within {cfg.travel_window}"))
+    return fill_template(TRAVEL_REASON, count=F.size(countries).cast("string"),
+                         countries=F.concat_ws(", ", countries), window=F.lit(cfg.travel_window))
 
 
 def is_foreign_country(country: Column, cfg: ScreeningConfig) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerguard.config import BAR_EMPTY, BAR_FULL, BAR_WIDTH
+
 __all__ = ["fmt_count", "fmt_money", "fmt_pct", "fmt_pct1", "bar"]
 
 
@@ -29,7 +31,7 @@ def fmt_pct1(c: Column, width: int = 0) -> Column:
     return F.lpad(s, width, " ") if width else s
 
 
-def bar(pct: Column, width: int = 50) -> Column:
+def bar(pct: Column, width: int = BAR_WIDTH) -> Column:
     """Share bar: one full block per 2 %, light blocks for the rest."""
     n = F.least(F.greatest(F.floor(pct / 2).cast("int"), F.lit(0)), F.lit(width))
-    return F.concat(F.repeat(F.lit("█"), n), F.repeat(F.lit("░"), F.lit(width) - n))
+    return F.concat(F.repeat(F.lit(BAR_FULL), n), F.repeat(F.lit(BAR_EMPTY), F.lit(width) - n))

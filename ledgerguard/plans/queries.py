@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerguard.config import FIXTURE_CONFIG as CFG
+from ledgerguard import config as C
+from ledgerguard.config import FIXTURE_CONFIG as CFG, HIGH_VALUE_REASON, TRAVEL_REASON
 from ledgerguard.operators import rules, travel
 from ledgerguard.plans import reports
 from ledgerguard.sources.fixtures import fixture_transactions, read_table
@@ -166,6 +167,21 @@ QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------------------
 
 _BRANCHES = ", ".join("'" + c + "'" for c in CFG.branch_countries)
+
+
+def _sql_fill(template: str, **exprs: str) -> str:
+    """SQL ``||`` chain of a ``{name}`` template (NULL-propagating like ``concat``)."""
+    import re
+    pieces = re.split(r"\{(\w+)\}", template)
+    return " || ".join(exprs[p] if i % 2 else "'" + p.replace("'", "''") + "'"
+                       for i, p in enumerate(pieces) if i % 2 or p)
+
+
+_HV_REASON = _sql_fill(HIGH_VALUE_REASON, amount="CAST(amount AS VARCHAR)", threshold=f"'{CFG.threshold_text}'",
+                       country="country")
+_TRAVEL_REASON = _sql_fill(TRAVEL_REASON, count="CAST(count(DISTINCT country) AS VARCHAR)",
+                           countries="string_agg(DISTINCT country, ', ' ORDER BY country)",
+                           window=f"'{CFG.travel_window}'")
 _T = CFG.threshold_text
 
 TX = f"""tx AS (
@@ -183,10 +199,10 @@ _TX_COLS = 'transaction_id, user_id, "timestamp", amount, currency, merchant_cat
 
 HIGH = f"""high AS (
   SELECT {_TX_COLS}, 'HIGH_VALUE' AS fraud_type,
-         'Amount $' || CAST(amount AS VARCHAR) || ' exceeds ${_T} threshold in ' || country AS fraud_reason
+         {_HV_REASON} AS fraud_reason
   FROM tx WHERE amount > {_T})"""
 
-TRAVEL = """keys AS (
+TRAVEL = f"""keys AS (
   SELECT user_id, time_bucket(INTERVAL 10 MINUTE, event_time) AS ws
   FROM tx WHERE event_time IS NOT NULL
   GROUP BY ALL HAVING count(DISTINCT country) > 1),
@@ -203,8 +219,7 @@ travel AS (
          arg_min_null(merchant_category, (event_time, transaction_id)) AS merchant_category,
          string_agg(DISTINCT country, ', ' ORDER BY country) AS country,
          'IMPOSSIBLE_TRAVEL' AS fraud_type,
-         'User transacted from ' || CAST(count(DISTINCT country) AS VARCHAR) || ' countries: '
-           || string_agg(DISTINCT country, ', ' ORDER BY country) || ' within 10 minutes' AS fraud_reason
+         {_TRAVEL_REASON} AS fraud_reason
   FROM members GROUP BY user_id, ws)"""
 
 _ALERTS = f"""WITH {TX}, {HIGH}, {TRAVEL},
@@ -332,8 +347,7 @@ s AS (SELECT *, sum(CASE WHEN prev IS NULL OR event_time > prev + INTERVAL 10 MI
 SELECT user_id, min(event_time) AS session_start, max(event_time) + INTERVAL 10 MINUTE AS session_end,
        count(*) AS transactions, string_agg(DISTINCT country, ', ' ORDER BY country) AS country,
        'IMPOSSIBLE_TRAVEL' AS fraud_type,
-       'User transacted from ' || CAST(count(DISTINCT country) AS VARCHAR) || ' countries: '
-         || string_agg(DISTINCT country, ', ' ORDER BY country) || ' within 10 minutes' AS fraud_reason
+       {_TRAVEL_REASON} AS fraud_reason
 FROM s GROUP BY user_id, sid HAVING count(DISTINCT country) > 1""",
     "valid_excluding_travel": f"""WITH {TX},
 keys AS (SELECT user_id, time_bucket(INTERVAL 10 MINUTE, event_time) AS ws FROM tx
@@ -371,33 +385,37 @@ def _report_lines_sql() -> str:
     cnt = lambda c: f"format('{{:,}}', {c})"
     mon = lambda c: f"format('{{:,.2f}}', CAST({c} AS DOUBLE))"
     rec_lines = [
-        f"'Ingress Count    : ' || {_lpad(cnt('ingress_count'), 12)}",
-        f"'Ingress Volume   : $' || {_lpad(mon('ingress_volume'), 14)}",
-        f"'Validated Count  : ' || {_lpad(cnt('validated_count'), 12)}",
-        f"'Validated Volume : $' || {_lpad(mon('validated_volume'), 14)}",
-        f"'Fraud Count      : ' || {_lpad(cnt('fraud_count'), 12)}",
-        f"'Fraud Volume     : $' || {_lpad(mon('fraud_volume'), 14)}",
-        f"'Ingress - Validated - Fraud = $' || {mon('diff')}",
-        "'Status: ' || CASE WHEN status = 'BALANCED' THEN '✓ ' ELSE '⚠ ' END || status",
-        "'Fraud Rate      : ' || printf('%.2f', fraud_rate) || '%'",
-        "'Validation Rate : ' || printf('%.2f', validation_rate) || '%'",
+        f"'Ingress Count    : ' || {_lpad(cnt('ingress_count'), C.COUNT_WIDTH)}",
+        f"'Ingress Volume   : $' || {_lpad(mon('ingress_volume'), C.VOLUME_WIDTH)}",
+        f"'Validated Count  : ' || {_lpad(cnt('validated_count'), C.COUNT_WIDTH)}",
+        f"'Validated Volume : $' || {_lpad(mon('validated_volume'), C.VOLUME_WIDTH)}",
+        f"'Fraud Count      : ' || {_lpad(cnt('fraud_count'), C.COUNT_WIDTH)}",
+        f"'Fraud Volume     : $' || {_lpad(mon('fraud_volume'), C.VOLUME_WIDTH)}",
+        f"'{C.LABEL_CHECK}' || {mon('diff')}",
+        f"'{C.LABEL_STATUS}' || CASE WHEN status = 'BALANCED' THEN '{C.MARK_BALANCED}' "
+        f"ELSE '{C.MARK_DISCREPANCY}' END || status",
+        f"'{C.LABEL_FRAUD_RATE}' || printf('%.2f', fraud_rate) || '%'",
+        f"'{C.LABEL_VALIDATION_RATE}' || printf('%.2f', validation_rate) || '%'",
     ]
     parts = [f"SELECT 'reconciliation' AS section, CAST({i} AS BIGINT) AS ord, {x} AS line FROM rec"
              for i, x in enumerate(rec_lines)]
     parts += [f"SELECT 'summary', CAST({i} AS BIGINT), {x} FROM summ" for i, x in enumerate([
-        f"'Total Fraud Transactions : ' || {cnt('fraud_count')}",
-        f"'Total Fraud Volume       : $' || {mon('fraud_volume')}",
-        f"'Average Fraud Amount     : $' || {mon('avg_amount')}"])]
+        f"'{C.LABEL_FRAUD_TRANSACTIONS}' || {cnt('fraud_count')}",
+        f"'{C.LABEL_FRAUD_VOLUME}' || {mon('fraud_volume')}",
+        f"'{C.LABEL_FRAUD_AVERAGE}' || {mon('avg_amount')}"])]
     pct1 = "printf('%.1f', pct)"
-    cat_line = (f"'│ ' || {_rpad('merchant_category', 15)} || ' │ ' || {_lpad(cnt('count'), 7)} || ' │ ' || "
-                f"{_lpad(pct1, 7)} || '%  │ $' || {_lpad(mon('total_amount'), 12)} || "
-                f"'  │ $' || {_lpad(mon('coalesce(avg_amount, 0.0)'), 10)} || '  │'")
+    cw = C.CATEGORY_WIDTHS
+    cat_line = (f"'│ ' || {_rpad('merchant_category', cw[0])} || ' │ ' || {_lpad(cnt('count'), cw[1])} || ' │ ' || "
+                f"{_lpad(pct1, cw[2])} || '%  │ $' || {_lpad(mon('total_amount'), cw[3])} || "
+                f"'  │ $' || {_lpad(mon('coalesce(avg_amount, 0.0)'), cw[4])} || '  │'")
     parts.append(f"SELECT 'by_category', CAST(row_number() OVER (ORDER BY count DESC, merchant_category) "
                  f"AS BIGINT), {cat_line} FROM cat")
-    typ_line = (f"{_rpad('fraud_type', 20)} || ' : ' || {_lpad(cnt('count'), 6)} || ' (' || "
-                f"{_lpad(pct1, 5)} || '%) │ $' || {_lpad(mon('total_amount'), 12)}")
-    bar_n = "least(greatest(CAST(floor(pct / 2) AS INTEGER), 0), 50)"
-    bar = f"repeat(' ', 25) || repeat('█', {bar_n}) || repeat('░', 50 - {bar_n})"
+    tw = C.TYPE_WIDTHS
+    typ_line = (f"{_rpad('fraud_type', tw[0])} || ' : ' || {_lpad(cnt('count'), tw[1])} || ' (' || "
+                f"{_lpad(pct1, tw[2])} || '%) │ $' || {_lpad(mon('total_amount'), tw[3])}")
+    bar_n = f"least(greatest(CAST(floor(pct / 2) AS INTEGER), 0), {C.BAR_WIDTH})"
+    bar = (f"repeat(' ', {C.BAR_INDENT}) || repeat('{C.BAR_FULL}', {bar_n}) || "
+           f"repeat('{C.BAR_EMPTY}', {C.BAR_WIDTH} - {bar_n})")
     parts.append(f"SELECT 'by_type', 2 * r, l1 FROM (SELECT CAST(row_number() OVER "
                  f"(ORDER BY count DESC, fraud_type) AS BIGINT) AS r, {typ_line} AS l1 FROM typ)")
     parts.append(f"SELECT 'by_type', 2 * r + 1, l2 FROM (SELECT CAST(row_number() OVER "

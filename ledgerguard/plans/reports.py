@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerguard import config as C
 from ledgerguard.config import (BALANCE_TOLERANCE, BAR_WIDTH, DEFAULT_CONFIG, STATUS_BALANCED,
                                 STATUS_DISCREPANCY, STATUS_NO_DATA, ScreeningConfig)
 from ledgerguard.functions.expressions import money, money_sum, nan_to_null, pct_of, ratio
@@ -225,23 +226,23 @@ def report_lines(valid: DataFrame, fraud: DataFrame) -> DataFrame:
     line = lambda section, i, text: F.struct(F.lit(section).alias("section"),
                                              F.lit(i).cast("long").alias("ord"), text.alias("line"))
     rec = [
-        F.concat(F.lit("Ingress Count    : "), cnt(ingress_n, 12)),
-        F.concat(F.lit("Ingress Volume   : $"), mon(money(ingress_v), 14)),
-        F.concat(F.lit("Validated Count  : "), cnt(vn, 12)),
-        F.concat(F.lit("Validated Volume : $"), mon(money(vs), 14)),
-        F.concat(F.lit("Fraud Count      : "), cnt(fn, 12)),
-        F.concat(F.lit("Fraud Volume     : $"), mon(money(fs), 14)),
-        F.concat(F.lit("Ingress - Validated - Fraud = $"), fmt_money(_zero_safe(money(diff)))),
-        F.concat(F.lit("Status: "), F.when(status == STATUS_BALANCED, F.lit("✓ ")).otherwise(F.lit("⚠ ")),
-                 status),
-        F.concat(F.lit("Fraud Rate      : "), fmt_pct(rate), F.lit("%")),
-        F.concat(F.lit("Validation Rate : "), fmt_pct(ratio(F.lit(100.0) - rate)), F.lit("%")),
+        F.concat(F.lit("Ingress Count    : "), cnt(ingress_n, C.COUNT_WIDTH)),
+        F.concat(F.lit("Ingress Volume   : $"), mon(money(ingress_v), C.VOLUME_WIDTH)),
+        F.concat(F.lit("Validated Count  : "), cnt(vn, C.COUNT_WIDTH)),
+        F.concat(F.lit("Validated Volume : $"), mon(money(vs), C.VOLUME_WIDTH)),
+        F.concat(F.lit("Fraud Count      : "), cnt(fn, C.COUNT_WIDTH)),
+        F.concat(F.lit("Fraud Volume     : $"), mon(money(fs), C.VOLUME_WIDTH)),
+        F.concat(F.lit(C.LABEL_CHECK), fmt_money(_zero_safe(money(diff)))),
+        F.concat(F.lit(C.LABEL_STATUS), F.when(status == STATUS_BALANCED, F.lit(C.MARK_BALANCED))
+                 .otherwise(F.lit(C.MARK_DISCREPANCY)), status),
+        F.concat(F.lit(C.LABEL_FRAUD_RATE), fmt_pct(rate), F.lit("%")),
+        F.concat(F.lit(C.LABEL_VALIDATION_RATE), fmt_pct(ratio(F.lit(100.0) - rate)), F.lit("%")),
     ]
     avg_all = ratio(F.when(fn > 0, fs / fn).otherwise(F.lit(0.0)))
     summ = [
-        F.concat(F.lit("Total Fraud Transactions : "), fmt_count(fn)),
-        F.concat(F.lit("Total Fraud Volume       : $"), fmt_money(money(fs))),
-        F.concat(F.lit("Average Fraud Amount     : $"), fmt_money(avg_all)),
+        F.concat(F.lit(C.LABEL_FRAUD_TRANSACTIONS), fmt_count(fn)),
+        F.concat(F.lit(C.LABEL_FRAUD_VOLUME), fmt_money(money(fs))),
+        F.concat(F.lit(C.LABEL_FRAUD_AVERAGE), fmt_money(avg_all)),
     ]
 
     def share(x):
@@ -249,18 +250,20 @@ def report_lines(valid: DataFrame, fraud: DataFrame) -> DataFrame:
 
     def cat_line(x, i):
         avg = F.coalesce(ratio(F.when(x["n_amt"] > 0, x["s"] / x["n_amt"])), F.lit(0.0))
-        text = F.concat(F.lit("│ "), _pad_right(x["key"], 15), F.lit(" │ "), cnt(x["n"], 7), F.lit(" │ "),
-                        fmt_pct1(share(x), 7), F.lit("%  │ $"),
-                        mon(money(F.coalesce(x["s"], F.lit(0.0))), 12), F.lit("  │ $"), mon(avg, 10),
+        w = C.CATEGORY_WIDTHS
+        text = F.concat(F.lit("│ "), _pad_right(x["key"], w[0]), F.lit(" │ "), cnt(x["n"], w[1]), F.lit(" │ "),
+                        fmt_pct1(share(x), w[2]), F.lit("%  │ $"),
+                        mon(money(F.coalesce(x["s"], F.lit(0.0))), w[3]), F.lit("  │ $"), mon(avg, w[4]),
                         F.lit("  │"))
         return F.struct(F.lit("by_category").alias("section"), (i + 1).cast("long").alias("ord"),
                         text.alias("line"))
 
     def type_lines(x, i):
-        l1 = F.concat(_pad_right(x["key"], 20), F.lit(" : "), cnt(x["n"], 6), F.lit(" ("),
-                      fmt_pct1(share(x), 5), F.lit("%) │ $"),
-                      mon(money(F.coalesce(x["s"], F.lit(0.0))), 12))
-        l2 = F.concat(F.lit(" " * 25), bar(share(x), BAR_WIDTH))
+        w = C.TYPE_WIDTHS
+        l1 = F.concat(_pad_right(x["key"], w[0]), F.lit(" : "), cnt(x["n"], w[1]), F.lit(" ("),
+                      fmt_pct1(share(x), w[2]), F.lit("%) │ $"),
+                      mon(money(F.coalesce(x["s"], F.lit(0.0))), w[3]))
+        l2 = F.concat(F.lit(" " * C.BAR_INDENT), bar(share(x), BAR_WIDTH))
         r = (i + 1).cast("long")
         return F.array(F.struct(F.lit("by_type").alias("section"), (r * 2).alias("ord"), l1.alias("line")),
                        F.struct(F.lit("by_type").alias("section"), (r * 2 + 1).alias("ord"),
