@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DateType, StructField, StructType
 
@@ -20,7 +21,11 @@ def read_lake(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.option("basePath", path).parquet(path)
+    try:
+        df = spark.read.option("basePath", path).parquet(path)
+    except AnalysisException:
+        # The folder exists but holds no data files yet (e.g. only _SUCCESS).
+        return spark.createDataFrame([], schema)
     if "date" in df.columns:
         # Partition discovery may type an all-default lake's date as string.
         df = df.withColumn("date", df["date"].cast("date"))

@@ -26,6 +26,14 @@ def test_absent_lakes_read_empty_and_report_no_data(spark, workdir):
     assert spark.read.text(f"{workdir}/report_txt").count() == lines.count()
 
 
+def test_lake_folder_without_data_files_reads_empty(spark, workdir):
+    import os
+    hollow = f"{workdir}/hollow".replace("file:", "")
+    os.makedirs(hollow)
+    open(os.path.join(hollow, "_SUCCESS"), "w").close()
+    assert read_valid_lake(spark, hollow).count() == 0
+
+
 def test_nan_skipped_and_shares_use_all_rows(spark, workdir):
     tx = tx_rows(spark, [
         ("a", "u1", "2024-01-01 00:00:00", 9000.0, "Food", "USA"),
