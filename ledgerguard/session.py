@@ -43,9 +43,11 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "ledgerguard",
+def build_session(master: str | None = "local[*]", app: str = "ledgerguard",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     conf = dict(RECOMMENDED_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
