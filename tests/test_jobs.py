@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from ledgerguard.config import DEFAULT_CONFIG as CFG
 from ledgerguard.jobs import build_reports, run_reports, run_screening, stop_gracefully
