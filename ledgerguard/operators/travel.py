@@ -91,9 +91,12 @@ def trailing_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG,
     hit = (_ne(F.col("_own_min"), c) | _ne(F.col("_own_max"), c)
            | _ne(F.col("_ctx_min"), c) | _ne(F.col("_ctx_max"), c))
     if k > 1:
-        # Per-slice country range, computed on the already partitioned and
-        # sorted rows (no extra shuffle), then combined over the k-1 slices
-        # before each slice with a window over the small summary table.
+        # Per-slice country range. Catalyst prunes the windows above out of
+        # this branch and aggregates straight from the scan, partially on the
+        # map side, so only one row per (user, slice, task) is shuffled. It
+        # is then combined over the k-1 slices before each slice with a window
+        # over the summary table, and joined back on (user, slice): the
+        # probe side is already partitioned that way.
         summary = (scored.groupBy("user_id", _S)
                          .agg(F.min("country").alias("_mn"), F.max("country").alias("_mx")))
         between = Window.partitionBy("user_id").orderBy(_S).rangeBetween(-(k - 1), -1)
