@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from ledgerguard.config import (FRAUD_TYPE_HIGH_VALUE, FRAUD_TYPE_TRAVEL, DEFAULT_CONFIG,
                                 ScreeningConfig)
@@ -39,7 +40,15 @@ def valid_transactions(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) ->
     ``valid_excluding_travel`` for the stricter routing.
     """
     return (tx.where(F.col("amount") <= _threshold(cfg))
-              .select(*TRANSACTION_COLUMNS, partition_date(F.col("timestamp")).alias("date")))
+              .select(*TRANSACTION_COLUMNS, lake_date(tx).alias("date")))
+
+
+def lake_date(tx: DataFrame):
+    """Partition date: the parsed wall-clock ``event_time`` when the rows carry it
+    (no second parse of the text), else the date of the ``timestamp`` text."""
+    if EVENT_TIME in tx.columns and isinstance(tx.schema[EVENT_TIME].dataType, TimestampNTZType):
+        return F.col(EVENT_TIME).cast("date")
+    return partition_date(F.col("timestamp"))
 
 
 def with_window_start(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -123,7 +132,7 @@ def valid_excluding_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG)
     keyed = (tx.where(F.col("amount") <= _threshold(cfg))
                .withColumn(WINDOW_START, F.window(F.col(EVENT_TIME), cfg.travel_window).start))
     kept = _semi_on_group(keyed, tumbling_travel_keys(tx, cfg), "left_anti")
-    return kept.select(*TRANSACTION_COLUMNS, partition_date(F.col("timestamp")).alias("date"))
+    return kept.select(*TRANSACTION_COLUMNS, lake_date(tx).alias("date"))
 
 
 def geo_flags(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
