@@ -16,7 +16,7 @@ from ledgerguard.config import HIGH_VALUE_REASON, TRAVEL_REASON, ScreeningConfig
 
 __all__ = [
     "event_time_from_text", "epoch_micros", "as_instant", "nan_to_null", "money_sum",
-    "money", "ratio", "pct_of", "country_key", "high_value_reason", "travel_reason",
+    "money", "ratio", "pct_of", "high_value_reason", "travel_reason",
     "is_foreign_country", "is_branch_country", "foreign_countries_array", "partition_date",
     "earliest_by_time", "fill_template",
 ]
@@ -80,16 +80,6 @@ def pct_of(part: Column, whole: Column) -> Column:
                  .otherwise(F.lit(0.0)))
 
 
-def country_key(country: Column) -> Column:
-    """Fixed-width stand-in for a country name.
-
-    Lets the first travel pass run in a codegen'd hash aggregate (string min/max
-    would force a sort-based aggregate). NULL stays NULL, so it never counts as
-    a country; groups it flags are re-checked exactly.
-    """
-    return F.when(country.isNotNull(), F.xxhash64(country))
-
-
 def fill_template(template: str, **values: Column) -> Column:
     """``concat`` of a ``{name}`` template's literal pieces and the given columns."""
     pieces = re.split(r"\{(\w+)\}", template)

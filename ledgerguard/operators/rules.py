@@ -12,7 +12,7 @@ from pyspark.sql.types import TimestampNTZType
 
 from ledgerguard.config import (FRAUD_TYPE_HIGH_VALUE, FRAUD_TYPE_TRAVEL, DEFAULT_CONFIG,
                                 ScreeningConfig)
-from ledgerguard.functions.expressions import (country_key, earliest_by_time, high_value_reason,
+from ledgerguard.functions.expressions import (earliest_by_time, high_value_reason,
                                                is_branch_country, is_foreign_country, money_sum,
                                                partition_date, travel_reason)
 from ledgerguard.schema import ALERT_COLUMNS, EVENT_TIME, TRANSACTION_COLUMNS
@@ -60,16 +60,16 @@ def with_window_start(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> D
 def tumbling_travel_keys(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
     """(user_id, window_start) groups with more than one non-NULL country.
 
-    Pass 1 of the tumbling rule. It carries only two fixed-width hashes per
-    row, so Spark plans a codegen'd hash aggregate with map-side partial
-    aggregation: a hot user or window collapses before the shuffle. NULL users
+    Pass 1 of the tumbling rule: ``min(country) <> max(country)`` is exactly
+    "two or more distinct non-NULL countries". Each row carries only its key
+    and country, the aggregation is partial on the map side (a hot user or
+    window collapses before the shuffle) and needs one shuffle. NULL users
     form one group, as in the screened system.
     """
-    keyed = with_window_start(tx, cfg).select("user_id", WINDOW_START,
-                                              country_key(F.col("country")).alias("ck"))
+    keyed = with_window_start(tx, cfg).select("user_id", WINDOW_START, "country")
     return (keyed.groupBy("user_id", WINDOW_START)
-                 .agg(F.min("ck").alias("ck_min"), F.max("ck").alias("ck_max"))
-                 .where(F.col("ck_min") != F.col("ck_max"))
+                 .agg(F.min("country").alias("c_min"), F.max("country").alias("c_max"))
+                 .where(F.col("c_min") != F.col("c_max"))
                  .select("user_id", WINDOW_START))
 
 

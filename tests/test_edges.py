@@ -101,11 +101,3 @@ def test_geo_predicates(spark):
     from ledgerguard.functions.expressions import foreign_countries_array
     got = spark.range(1).select(foreign_countries_array(CFG).alias("f")).first().f
     assert got == list(CFG.foreign_countries) and "Sri Lanka" not in got
-
-
-def test_branch_country_keys_distinct(spark):
-    """The hash prefilter needs distinct keys for distinct countries."""
-    from ledgerguard.functions.expressions import country_key
-    df = spark.createDataFrame([(c,) for c in CFG.branch_countries], "country string")
-    keys = [r.k for r in df.select(country_key(F.col("country")).alias("k")).collect()]
-    assert len(set(keys)) == len(keys)
