@@ -54,7 +54,7 @@ def _ne(a, b):
 
 
 def trailing_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG,
-                    carry: tuple[str, ...] = ()) -> DataFrame:
+                    carry: tuple[str, ...] = (), flag_col: str | None = None) -> DataFrame:
     """Transactions preceded (within the window, ties included) by a transaction of
     the same user in another country.
 
@@ -62,6 +62,9 @@ def trailing_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG,
     user has ``t - W <= t' <= t`` and a non-NULL country ``!= c``. Exact: the
     window's rows are split into (a) the row's own slice up to ``t``, (b) the
     slice ``k`` back from ``t - W`` on, (c) the whole slices in between.
+
+    ``carry`` columns are passed through. With ``flag_col`` every row with a
+    user and an event time is returned, flagged or not, in that boolean column.
     """
     w, k, _ = _slicing(cfg)
     base = _sliced_base(tx, cfg)
@@ -104,6 +107,8 @@ def trailing_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG,
                              F.max("_mx").over(between).alias("_mid_max"))
         scored = scored.join(mid, ["user_id", _S], "left")
         hit = hit | _ne(F.col("_mid_min"), c) | _ne(F.col("_mid_max"), c)
+    if flag_col:
+        return scored.select(*out_cols, (c.isNotNull() & hit).alias(flag_col))
     return scored.where(c.isNotNull() & hit).select(*out_cols)
 
 

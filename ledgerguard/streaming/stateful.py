@@ -104,12 +104,14 @@ class UpsertSink:
 class TrailingTravelRouter:
     """Trailing-window travel on a stream, reusing the batch operator.
 
-    For micro-batch ``n`` the operator runs over the batch plus the context
-    rows kept from earlier batches, and emits only the batch's rows. The
-    context kept afterwards is every row with event time at least
-    ``max event time - (W + watermark delay)``: enough for any later row that
-    is not later than the watermark. Context is stored per batch id in the
-    shared folder, so a replayed batch reads the same context again.
+    Each micro-batch is scored together with the rows kept from earlier
+    batches, and every row that becomes flagged is emitted once: the batch's
+    own rows, and also earlier rows that a late arrival (within the watermark
+    delay) puts into travel. Kept state: rows with event time at least
+    ``max event time - (W + watermark delay)``, with an already-emitted bit.
+    That covers the whole window of any row not later than the watermark.
+    State is stored per batch id in the shared folder, so a replayed batch
+    reads the same state again and rewrites the same output partition.
     """
 
     out_path: str
@@ -126,24 +128,24 @@ class TrailingTravelRouter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cols = TRANSACTION_COLUMNS + [EVENT_TIME]
-        new = batch.select(*cols).withColumn("_new", F.lit(True)).persist()
+        new = batch.select(*cols).withColumn("_emitted", F.lit(False))
+        prev = self._previous_state(spark, batch_id)
+        rows = new if prev is None else new.unionByName(prev.select(*cols, "_emitted"))
+        scored = trailing_travel(rows, self.cfg, carry=(EVENT_TIME, "_emitted"), flag_col="_hit").persist()
         try:
-            prev = self._previous_state(spark, batch_id)
-            rows = new if prev is None else new.unionByName(
-                prev.select(*cols).withColumn("_new", F.lit(False)))
-            flagged = trailing_travel(rows, self.cfg, carry=("_new",))
-            (flagged.where("_new").drop("_new")
-                    .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-                    .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("batch_id").parquet(self.out_path))
-            keep = (self.cfg.window_seconds
-                    + _seconds(self.cfg.watermark_delay)) * 1_000_000
+            (scored.where(F.col("_hit") & ~F.col("_emitted")).select(*TRANSACTION_COLUMNS)
+                   .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+                   .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                   .partitionBy("batch_id").parquet(self.out_path))
+            keep = (self.cfg.window_seconds + _seconds(self.cfg.watermark_delay)) * 1_000_000
             t = epoch_micros(rows, EVENT_TIME)
             horizon = rows.agg(F.max(t).alias("m")).first()["m"]
-            state = rows.where(t >= F.lit((horizon or 0) - keep)).drop("_new")
+            state = (scored.where(t >= F.lit((horizon or 0) - keep))
+                           .select(*TRANSACTION_COLUMNS, EVENT_TIME,
+                                   (F.col("_emitted") | F.col("_hit")).alias("_emitted")))
             state.write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}")
         finally:
-            new.unpersist()
+            scored.unpersist()
 
 
 def _seconds(text: str) -> int:

@@ -76,3 +76,22 @@ def test_per_batch_tumbling_equals_batch_rule_per_chunk(spark, workdir):
         per_chunk = part if per_chunk is None else per_chunk.unionByName(part)
     assert _same(got.select(*ALERT_COLUMNS), per_chunk)
     assert got.count() <= rules.impossible_travel_tumbling(tx, CFG).count()
+
+
+def test_trailing_router_flags_earlier_rows_on_late_arrival(spark, workdir):
+    from ledgerguard.config import DEFAULT_CONFIG
+    from ledgerguard.operators import travel
+    from ledgerguard.streaming.stateful import TrailingTravelRouter
+    from tests.helpers import tx_rows
+    b0 = [("R", "u1", "2024-01-01 00:10:00", 1.0, "Food", "USA"),
+          ("Z", "u1", "2024-01-01 00:10:30", 1.0, "Food", "USA")]
+    b1 = [("L", "u1", "2024-01-01 00:09:00", 1.0, "Food", "Japan")]  # 90 s late
+    router = TrailingTravelRouter(f"{workdir}/out", f"{workdir}/state", DEFAULT_CONFIG)
+    router(tx_rows(spark, b0), 0)
+    router(tx_rows(spark, b1), 1)
+    router(tx_rows(spark, b1), 1)  # replay of the same batch
+    out = spark.read.parquet(f"{workdir}/out")
+    got = sorted(r.transaction_id for r in out.collect())
+    want = sorted(r.transaction_id for r in travel.trailing_travel(tx_rows(spark, b0 + b1)).collect())
+    assert got == want == ["R", "Z"]
+    assert [r.batch_id for r in out.collect()] == [1, 1]
