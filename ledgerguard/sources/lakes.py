@@ -13,19 +13,32 @@ VALID_LAKE_SCHEMA = StructType(TRANSACTION_SCHEMA.fields + [StructField("date",
 FRAUD_LAKE_SCHEMA = StructType(ALERT_SCHEMA.fields + [StructField("date", DateType(), True)])
 
 
-def read_lake(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Partition-discovering Parquet scan; an absent lake reads as empty.
+def read_parquet_or_empty(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Partition-discovering Parquet scan that reads an absent folder, or one
+    without data files yet (e.g. a sink that has emitted nothing), as empty.
 
     Spark's reader skips ``_``-prefixed paths, so files of an unfinished write
-    (``_temporary``) are never counted. Filters on ``date`` prune partitions.
+    (``_temporary``) are never counted.
     """
+    empty = spark.createDataFrame([], schema) if schema is not None else None
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        if empty is None:
+            raise FileNotFoundError(path)
+        return empty
     try:
-        df = spark.read.option("basePath", path).parquet(path)
+        return spark.read.option("basePath", path).parquet(path)
     except AnalysisException:
-        # The folder exists but holds no data files yet (e.g. only _SUCCESS).
-        return spark.createDataFrame([], schema)
+        if empty is None:
+            raise
+        return empty
+
+
+def read_lake(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A lake as a DataFrame; absent or still empty lakes read as empty.
+
+    Filters on ``date`` prune partitions.
+    """
+    df = read_parquet_or_empty(spark, path, schema)
     if "date" in df.columns:
         # Partition discovery may type an all-default lake's date as string.
         df = df.withColumn("date", df["date"].cast("date"))

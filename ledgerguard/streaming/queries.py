@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from ledgerguard.config import FIXTURE_CONFIG as CFG, FRAUD_TYPE_HIGH_VALUE, FRAUD_TYPE_TRAVEL
 from ledgerguard.plans import queries as batch_q
-from ledgerguard.schema import ALERT_COLUMNS, TRANSACTION_COLUMNS
+from ledgerguard.schema import ALERT_COLUMNS, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 from ledgerguard.session import fresh_path
 from ledgerguard.sources.fixtures import fixture_transactions
 from ledgerguard.sources.json_ingest import parse_transactions
-from ledgerguard.sources.lakes import read_fraud_lake, read_valid_lake
+from ledgerguard.sources.lakes import read_fraud_lake, read_parquet_or_empty, read_valid_lake
 from ledgerguard.streaming.replay import with_replay_date, write_replay
-from ledgerguard.streaming.router import BatchRouter, start_screening
+from ledgerguard.streaming.router import METRICS_SCHEMA, BatchRouter, start_screening
 from ledgerguard.streaming.sources import file_source
 from ledgerguard.streaming.stateful import (TrailingTravelRouter, UpsertSink, dedup_transactions,
                                             stateful_session_travel, stateful_tumbling_travel)
@@ -69,7 +69,7 @@ def q_stream_valid(spark, sf_dir):
 
 
 def q_stream_metrics(spark, sf_dir):
-    m = spark.read.parquet(f"{screen_replay(spark, sf_dir)}/metrics")
+    m = read_parquet_or_empty(spark, f"{screen_replay(spark, sf_dir)}/metrics", METRICS_SCHEMA)
     return m.agg(*[F.sum(c).cast("long").alias(c) for c in
                    ("raw", "valid", "high_value", "unrouted", "malformed", "alerts", "travel_alerts")])
 
@@ -81,30 +81,31 @@ def _screened_stream(spark, sf_dir, copies: int = 1):
 def q_stream_travel_stateful(spark, sf_dir):
     base = fresh_path(spark, "travel-stateful")
     sink = UpsertSink(f"{base}/out", keys=("user_id", "window_start"))
-    q = (stateful_tumbling_travel(_screened_stream(spark, sf_dir), CFG).writeStream
-         .outputMode("update").foreachBatch(sink)
+    alerts = stateful_tumbling_travel(_screened_stream(spark, sf_dir), CFG)
+    q = (alerts.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     _run(q)
-    return sink.read(spark).select(*ALERT_COLUMNS)
+    return sink.read(spark, alerts.schema).select(*ALERT_COLUMNS)
 
 
 def q_stream_travel_session(spark, sf_dir):
     base = fresh_path(spark, "travel-session")
-    q = (stateful_session_travel(_screened_stream(spark, sf_dir), CFG).writeStream
+    sessions = stateful_session_travel(_screened_stream(spark, sf_dir), CFG)
+    q = (sessions.writeStream
          .outputMode("append").format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     _run(q)
-    return spark.read.parquet(f"{base}/out")
+    return read_parquet_or_empty(spark, f"{base}/out", sessions.schema)
 
 
 def q_stream_dedup(spark, sf_dir):
     base = fresh_path(spark, "dedup")
-    q = (dedup_transactions(_screened_stream(spark, sf_dir, copies=2), CFG)
-         .select(*TRANSACTION_COLUMNS).writeStream
+    unique = dedup_transactions(_screened_stream(spark, sf_dir, copies=2), CFG).select(*TRANSACTION_COLUMNS)
+    q = (unique.writeStream
          .outputMode("append").format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     _run(q)
-    return spark.read.parquet(f"{base}/out")
+    return read_parquet_or_empty(spark, f"{base}/out", unique.schema)
 
 
 def q_stream_travel_trailing(spark, sf_dir):
@@ -113,7 +114,7 @@ def q_stream_travel_trailing(spark, sf_dir):
     q = (_screened_stream(spark, sf_dir).writeStream.foreachBatch(router)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     _run(q)
-    return spark.read.parquet(f"{base}/out").select(*TRANSACTION_COLUMNS)
+    return read_parquet_or_empty(spark, f"{base}/out", TRANSACTION_SCHEMA).select(*TRANSACTION_COLUMNS)
 
 
 STREAM_QUERIES = {

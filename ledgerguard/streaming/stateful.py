@@ -12,6 +12,7 @@ from ledgerguard.functions.expressions import as_instant, earliest_by_time, epoc
 from ledgerguard.operators.travel import trailing_travel
 from ledgerguard.schema import EVENT_TIME, TRANSACTION_COLUMNS
 from ledgerguard.session import path_exists
+from ledgerguard.sources.lakes import read_parquet_or_empty
 
 
 def with_event_watermark(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -92,8 +93,12 @@ class UpsertSink:
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("batch_id").parquet(self.path))
 
-    def read(self, spark) -> DataFrame:
-        df = spark.read.parquet(self.path)
+    def read(self, spark, schema=None) -> DataFrame:
+        """Latest version per key; ``schema`` (the stream's) makes an empty sink readable."""
+        from pyspark.sql.types import LongType, StructField, StructType
+        full = None if schema is None else StructType(
+            list(schema.fields) + [StructField("batch_id", LongType(), True)])
+        df = read_parquet_or_empty(spark, self.path, full)
         value_cols = [c for c in df.columns if c not in self.keys and c != "batch_id"]
         latest = df.groupBy(*self.keys).agg(
             F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("_v"))

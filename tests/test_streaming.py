@@ -95,3 +95,28 @@ def test_trailing_router_flags_earlier_rows_on_late_arrival(spark, workdir):
     want = sorted(r.transaction_id for r in travel.trailing_travel(tx_rows(spark, b0 + b1)).collect())
     assert got == want == ["R", "Z"]
     assert [r.batch_id for r in out.collect()] == [1, 1]
+
+
+def test_sinks_that_emit_nothing_read_back_empty(spark, workdir):
+    import json
+    from ledgerguard.config import DEFAULT_CONFIG
+    from ledgerguard.sources.json_ingest import parse_transactions
+    from ledgerguard.sources.lakes import read_parquet_or_empty
+    from ledgerguard.streaming.sources import file_source
+    from ledgerguard.streaming.stateful import UpsertSink, stateful_session_travel, stateful_tumbling_travel
+    msg = lambda i, ts: json.dumps({"transaction_id": i, "user_id": "u", "timestamp": ts, "amount": 1.0,
+                                    "currency": "USD", "merchant_category": "Food", "country": "USA"})
+    spark.createDataFrame([(msg("a", "2024-01-01 00:00:00"),), (msg("b", "2024-01-01 00:01:00"),)],
+                          "value string").coalesce(1).write.text(f"{workdir}/in")
+    stream = parse_transactions(file_source(spark, f"{workdir}/in", "text"))
+    sink = UpsertSink(f"{workdir}/tumble", keys=("user_id", "window_start"))
+    tumble = stateful_tumbling_travel(stream, DEFAULT_CONFIG)
+    q = (tumble.writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", f"{workdir}/c1").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sink.read(spark, tumble.schema).count() == 0
+    sess = stateful_session_travel(stream, DEFAULT_CONFIG)
+    q = (sess.writeStream.outputMode("append").format("parquet").option("path", f"{workdir}/sess")
+         .option("checkpointLocation", f"{workdir}/c2").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert read_parquet_or_empty(spark, f"{workdir}/sess", sess.schema).count() == 0
