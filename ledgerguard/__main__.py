@@ -1,8 +1,8 @@
 """Command line: ``python -m ledgerguard {screen,report} ...``.
 
 ``screen`` runs the streaming screen (broker topic or a folder of JSON-line
-files) into the lakes until stopped; ``report`` writes the report tables and
-lines for all history or one day.
+files) into the lakes until stopped; ``backfill`` screens a folder in batch;
+``report`` writes the report tables and lines for all history or one day.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 
 from ledgerguard.config import DEFAULT_CONFIG
-from ledgerguard.jobs import run_reports, run_screening, stop_gracefully
+from ledgerguard.jobs import run_reports, run_screening, screen_table, stop_gracefully
 from ledgerguard.session import build_session
 from ledgerguard.streaming.sources import file_source
 
@@ -26,11 +26,16 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--alerts", default="kafka", choices=["kafka", "json", "parquet", "none"])
     s.add_argument("--threshold", type=float, default=DEFAULT_CONFIG.high_value_threshold)
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
+    b = sub.add_parser("backfill", help="screen a folder of JSON-line files in batch")
+    b.add_argument("--lake", required=True)
+    b.add_argument("--input", required=True)
+    b.add_argument("--batch-id", type=int, default=0)
+    b.add_argument("--threshold", type=float, default=DEFAULT_CONFIG.high_value_threshold)
     r = sub.add_parser("report", help="write report tables and lines")
     r.add_argument("--lake", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--day", help="yyyy-MM-dd; default all history")
-    for p in (s, r):
+    for p in (s, b, r):
         p.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
@@ -38,6 +43,10 @@ def main(argv: list[str] | None = None) -> None:
     if a.cmd == "report":
         print(run_reports(spark, a.lake, a.out, day=a.day))
         return
+    if a.cmd == "backfill":
+        cfg = DEFAULT_CONFIG.with_(high_value_threshold=a.threshold)
+        screen_table(spark, spark.read.text(a.input), a.lake, cfg, batch_id=a.batch_id)
+        return
     cfg = DEFAULT_CONFIG.with_(high_value_threshold=a.threshold)
     if a.bootstrap_servers:
         cfg = cfg.with_(kafka_options={"kafka.bootstrap.servers": a.bootstrap_servers})

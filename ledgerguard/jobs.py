@@ -40,6 +40,22 @@ def run_screening(spark: SparkSession, lake_root: str, checkpoint: str,
     return start_screening(parse_transactions(raw), router, checkpoint, available_now)
 
 
+def screen_table(spark: SparkSession, rows: DataFrame, lake_root: str,
+                 cfg: ScreeningConfig = DEFAULT_CONFIG, batch_id: int = 0,
+                 alert_format: str | None = None) -> None:
+    """Backfill: screen a table (raw messages in ``value`` or screened rows) in
+    batch into the same lakes as the stream, as batch ``batch_id``.
+
+    Re-running with the same ``batch_id`` replaces that batch's partitions.
+    """
+    if "value" in rows.columns and "transaction_id" not in rows.columns:
+        rows = parse_transactions(rows)
+    BatchRouter(valid_path=f"{lake_root}/transactions", fraud_path=f"{lake_root}/fraud", cfg=cfg,
+                alert_format=alert_format,
+                alert_path=f"{lake_root}/alerts" if alert_format not in (None, "kafka") else None,
+                metrics_path=f"{lake_root}/metrics")(rows, batch_id)
+
+
 def stop_gracefully(query: StreamingQuery, poll_seconds: float = 0.5, timeout: float = 600) -> None:
     """Stop after the running micro-batch finishes (no half-routed batch)."""
     deadline = time.monotonic() + timeout
