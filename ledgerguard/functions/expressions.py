@@ -15,7 +15,7 @@ import re
 from ledgerguard.config import HIGH_VALUE_REASON, TRAVEL_REASON, ScreeningConfig
 
 __all__ = [
-    "event_time_from_text", "epoch_micros", "as_instant", "nan_to_null", "money_sum",
+    "event_time_from_text", "epoch_micros", "as_instant", "wall_clock_from_micros", "nan_to_null", "money_sum",
     "money", "ratio", "pct_of", "high_value_reason", "travel_reason",
     "is_foreign_country", "is_branch_country", "foreign_countries_array", "partition_date",
     "earliest_by_time", "fill_template",
@@ -46,6 +46,11 @@ def epoch_micros(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name} is {dtype}, expected a timestamp")
 
 
+def wall_clock_from_micros(micros: Column) -> Column:
+    """Epoch microseconds -> TIMESTAMP_NTZ wall clock read as UTC (no session zone)."""
+    return F.timestamp_add("MICROSECOND", micros, F.expr(_EPOCH_NTZ))
+
+
 def as_instant(df: DataFrame, name: str) -> Column:
     """TIMESTAMP (instant) view of a timestamp column; NTZ is taken as UTC.
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerguard.config import DEFAULT_CONFIG, FRAUD_TYPE_TRAVEL, ScreeningConfig
-from ledgerguard.functions.expressions import epoch_micros, travel_reason
+from ledgerguard.functions.expressions import epoch_micros, travel_reason, wall_clock_from_micros
 from ledgerguard.schema import EVENT_TIME, TRANSACTION_COLUMNS
 
 _T, _S, _KEY, _ROLE = "_t", "_slice", "_key", "_role"
@@ -174,9 +174,9 @@ def impossible_travel_session(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONF
                    .agg(F.min("_first").alias("_start"), F.max("_last").alias("_end"),
                         F.sum("_n").alias("transactions"),
                         F.array_sort(F.array_distinct(F.flatten(F.collect_list("_c")))).alias("countries")))
-    ts_type = "timestamp_ntz" if EVENT_TIME in tx.columns and \
-        tx.schema[EVENT_TIME].dataType.typeName() == "timestamp_ntz" else "timestamp"
-    to_ts = lambda c: F.timestamp_micros(c).cast(ts_type)
+    # Back to the input's time type without going through the session zone.
+    ntz = tx.schema[EVENT_TIME].dataType.typeName() == "timestamp_ntz"
+    to_ts = wall_clock_from_micros if ntz else F.timestamp_micros
     return (sess.where(F.size("countries") > 1)
                 .select("user_id",
                         to_ts(F.col("_start")).alias("session_start"),

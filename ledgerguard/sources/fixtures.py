@@ -12,14 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerguard.config import CURRENCY, ScreeningConfig, DEFAULT_CONFIG
-
-TIMESTAMP_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+from ledgerguard.functions.expressions import epoch_micros
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def timestamp_text(df: DataFrame, name: str):
+    """``yyyy-MM-dd HH:mm:ss.ffffff`` text of a TIMESTAMP_NTZ, independent of the
+    session zone (``date_format`` would convert through it and move wall-clock
+    times that fall in a daylight-saving gap)."""
+    micros = F.pmod(epoch_micros(df, name), F.lit(1_000_000))
+    return F.concat(F.substring(F.col(name).cast("string"), 1, 19), F.lit("."),
+                    F.lpad(micros.cast("string"), 6, "0"))
+
+
 def transactions_from_events(events: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
     """Screened-form transactions (7 wire columns + ``event_time``) from events."""
     branches = F.array(*[F.lit(c) for c in cfg.branch_countries])
@@ -28,7 +36,7 @@ def transactions_from_events(events: DataFrame, cfg: ScreeningConfig = DEFAULT_C
     return events.select(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.col("user_id").cast("string").alias("user_id"),
-        F.date_format(F.col("ts"), TIMESTAMP_TEXT_FORMAT).alias("timestamp"),
+        timestamp_text(events, "ts").alias("timestamp"),
         F.col("value").cast("double").alias("amount"),
         F.lit(CURRENCY).alias("currency"),
         F.col("event_type").alias("merchant_category"),

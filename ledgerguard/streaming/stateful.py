@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerguard.config import DEFAULT_CONFIG, FRAUD_TYPE_TRAVEL, ScreeningConfig
-from ledgerguard.functions.expressions import as_instant, earliest_by_time, epoch_micros, travel_reason
+from ledgerguard.functions.expressions import (as_instant, earliest_by_time, epoch_micros, travel_reason,
+                                               wall_clock_from_micros)
 from ledgerguard.operators.travel import trailing_travel
 from ledgerguard.schema import EVENT_TIME, TRANSACTION_COLUMNS
 from ledgerguard.session import path_exists
@@ -28,8 +29,7 @@ def with_event_watermark(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFI
 
 def wall_clock(c: Column) -> Column:
     """TIMESTAMP instant -> TIMESTAMP_NTZ wall clock in UTC (session-zone free)."""
-    return F.expr("timestampadd(MICROSECOND, unix_micros({0}), timestamp_ntz'1970-01-01 00:00:00')"
-                  .format(c._jc.toString()))
+    return wall_clock_from_micros(F.unix_micros(c))
 
 
 def stateful_tumbling_travel(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:

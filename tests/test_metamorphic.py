@@ -44,3 +44,19 @@ def test_trailing_contains_tumbling_members_after_other_country(spark):
     trailing = travel.trailing_travel(tx, CFG).select("transaction_id")
     assert m.subtract(trailing).count() == 0
     assert m.count() > 0
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    """Wall-clock (TIMESTAMP_NTZ) handling never goes through the session zone."""
+    from ledgerguard.sources.fixtures import timestamp_text
+    tx = fixture_transactions(spark, SF_SMALL, CFG)
+    ops = (rules.impossible_travel_tumbling, travel.impossible_travel_session, rules.valid_transactions)
+    before = [_rows(op(tx, CFG)) for op in ops]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert [_rows(op(tx, CFG)) for op in ops] == before
+        gap = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00.000100' AS ts")  # DST gap there
+        assert gap.select(timestamp_text(gap, "ts").alias("t")).first().t == "2024-03-10 02:30:00.000100"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
