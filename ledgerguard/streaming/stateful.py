@@ -143,8 +143,8 @@ class TrailingTravelRouter:
                    .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                    .partitionBy("batch_id").parquet(self.out_path))
             keep = (self.cfg.window_seconds + _seconds(self.cfg.watermark_delay)) * 1_000_000
-            t = epoch_micros(rows, EVENT_TIME)
-            horizon = rows.agg(F.max(t).alias("m")).first()["m"]
+            t = epoch_micros(scored, EVENT_TIME)
+            horizon = scored.agg(F.max(t).alias("m")).first()["m"]  # one scalar, from the cache
             state = (scored.where(t >= F.lit((horizon or 0) - keep))
                            .select(*TRANSACTION_COLUMNS, EVENT_TIME,
                                    (F.col("_emitted") | F.col("_hit")).alias("_emitted")))
