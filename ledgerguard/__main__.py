@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--alerts", default="kafka", choices=["kafka", "json", "parquet", "none"])
     s.add_argument("--threshold", type=float, default=DEFAULT_CONFIG.high_value_threshold)
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
+    s.add_argument("--max-per-trigger", type=int, default=None,
+                   help="bound each micro-batch: broker offsets or files per trigger")
     b = sub.add_parser("backfill", help="screen a folder of JSON-line files in batch")
     b.add_argument("--lake", required=True)
     b.add_argument("--input", required=True)
@@ -49,10 +51,13 @@ def main(argv: list[str] | None = None) -> None:
         return
     cfg = DEFAULT_CONFIG.with_(high_value_threshold=a.threshold)
     if a.bootstrap_servers:
-        cfg = cfg.with_(kafka_options={"kafka.bootstrap.servers": a.bootstrap_servers})
+        opts = {"kafka.bootstrap.servers": a.bootstrap_servers}
+        if a.max_per_trigger:
+            opts["maxOffsetsPerTrigger"] = str(a.max_per_trigger)
+        cfg = cfg.with_(kafka_options=opts)
         source = None
     elif a.input:
-        source = file_source(spark, a.input, "text")
+        source = file_source(spark, a.input, "text", max_files_per_trigger=a.max_per_trigger)
     else:
         ap.error("screen needs --bootstrap-servers or --input")
     alerts = None if a.alerts == "none" else a.alerts
