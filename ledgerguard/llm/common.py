@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +25,23 @@ ASCII_SPACE = b" \t\n\x0b\x0c\r"
 STEP_BYTES = 4 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's code, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if getattr(context, "_ledgerguard_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerguard-"), "ledgerguard-code.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    context._ledgerguard_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -70,6 +90,8 @@ def steps(batches: Iterator[pa.RecordBatch], size: str = "text",
 def arrow_map(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
               size: str = "text") -> DataFrame:
     """``mapInArrow`` of a function of one bounded slice of rows."""
+    ship(df.sparkSession)
+
     def run(batches):
         for batch in steps(batches, size):
             yield step(batch)

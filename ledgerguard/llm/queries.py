@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgerguard.llm.common import doc_id, table
 from ledgerguard.llm.line_dedup import dedup_lines
+from ledgerguard.llm.packing import pack
+from ledgerguard.llm.pfp_dedup import drop_repeats
 from ledgerguard.llm.quality_rules import quality_rules
 from ledgerguard.llm.simhash_gray import near_groups
 
@@ -22,10 +24,19 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(doc_id(), "n_lines", "n_dropped", F.col("kept").alias("kept_sha256"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = drop_repeats(table(spark, sf_dir, "documents"), length=400, digest=True)
+    return rows.select(doc_id(), "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_groups(table(spark, sf_dir, "documents"), words_per_shingle=3, limit=3)
     return rows.select(doc_id(), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -34,7 +45,9 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 

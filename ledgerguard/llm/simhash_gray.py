@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerguard.llm.common import arrow_map, components, key_runs, keyed, signed, written
+from ledgerguard.llm.common import NULL_ID, arrow_map, components, key_runs, keyed, signed, written
 
 BITS = 64
 SEED = 42
@@ -49,11 +49,11 @@ def fingerprint(text: bytes, words_per_shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
-    """(k, fp) of ``keyed`` docs; fp is the fingerprint as a signed long."""
+    """(k, r, fp) of ``keyed`` docs with a row hash r; fp is the fingerprint as a signed long."""
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(t, words_per_shingle) for t in batch.column("text").to_pylist()], np.uint64)
-        return pa.record_batch([batch.column("k"), pa.array(signed(fps))], ["k", "fp"])
-    return arrow_map(docs, step, "k long, fp long")
+        return pa.record_batch([batch.column("k"), batch.column("r"), pa.array(signed(fps))], ["k", "r", "fp"])
+    return arrow_map(docs.select("k", F.xxhash64("k", "text").alias("r"), "text"), step, "k long, r long, fp long")
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -199,7 +199,7 @@ def _stars(dealt: DataFrame, limit: int) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, words_per_shingle: int = 3, limit: int = 3, bucket_rows: int = 200_000) -> DataFrame:
-    """(k, fp, component): the fingerprint of each row and the least doc_id it reaches.
+    """(k, r, fp, group, component): each row's fingerprint, its group and the least doc_id in it.
 
     Words are runs of what is not ASCII white space, A-Z lower-cased; a text of
     fewer words than a shingle has one shingle, one without words (or null) the
@@ -213,5 +213,19 @@ def near_groups(docs: DataFrame, words_per_shingle: int = 3, limit: int = 3, buc
     reach = written(components(fingerprint_links(nodes, limit, bucket_rows)), "simhash-reach")
     least = (reach.join(nodes, reach["node"] == nodes["fp"]).groupBy("component")
              .agg(F.min("id").alias("least")))
-    named = nodes.join(reach.join(least, "component").select(F.col("node").alias("fp"), "least"), "fp", "left")
-    return fps.join(named.select("fp", F.coalesce("least", "id").alias("component")), "fp")
+    named = nodes.join(reach.join(least, "component").withColumnRenamed("node", "fp"), "fp", "left")
+    return fps.join(named.select("fp", F.coalesce("component", "fp").alias("group"),
+                                 F.coalesce("least", "id").alias("component")), "fp")
+
+
+def keep_one(docs: DataFrame, words_per_shingle: int = 3, limit: int = 3) -> DataFrame:
+    """The rows of ``docs`` of which one stays for each group: that of the least doc_id.
+
+    Of rows equal in id and text one stays; null ids come last, so a group of
+    null ids alone keeps one row too.
+    """
+    one = (near_groups(docs, words_per_shingle, limit).groupBy("group")
+           .agg(F.min(F.struct("k", "r")).alias("one")).select(F.col("one.r").alias("_row")))
+    text = F.coalesce(docs["text"], F.lit("")).cast("binary")
+    rows = docs.withColumn("_row", F.xxhash64(F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)), text))
+    return rows.join(one, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
