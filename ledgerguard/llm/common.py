@@ -139,14 +139,15 @@ def numbered(rows: DataFrame, group: str, order: list[str], number: str,
              block: int = 50_000) -> DataFrame:
     """``rows`` with ``number``: their place from 0 in ``order`` within ``group``.
 
-    ``order[0]`` is a long. No group meets in one task: its range is cut at
-    quantiles into blocks of about ``block`` rows, numbered each for itself and
-    then moved by the count of the blocks before. Rows equal in all of
+    ``order[0]`` is a long. No group meets in one task: the range is cut at
+    quantiles into blocks of about ``block`` rows (1000 blocks at most, sorted
+    with spilling), numbered each for itself and then moved by the count of the
+    blocks before. Rows equal in all of
     ``order`` are interchangeable.
     """
     n = rows.count()
     first = order[0]
-    cuts = max(1, -(-n // block))
+    cuts = min(1000, max(1, -(-n // block)))
     bounds = []
     if cuts > 1:
         at = [i / cuts for i in range(1, cuts)]

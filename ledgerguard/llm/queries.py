@@ -16,7 +16,9 @@ from ledgerguard.llm.line_dedup import dedup_lines
 from ledgerguard.llm.packing import pack
 from ledgerguard.llm.pfp_dedup import drop_repeats
 from ledgerguard.llm.quality_rules import quality_rules
+from ledgerguard.llm.sharding import shard_documents
 from ledgerguard.llm.simhash_gray import near_groups
+from ledgerguard.llm.sketches import edited_fingerprints
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +26,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(doc_id(), "n_lines", "n_dropped", F.col("kept").alias("kept_sha256"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -45,6 +55,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_sharding": op4_sharding,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
@@ -76,6 +88,48 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_
 FROM marked GROUP BY doc_id
 """
 
+# Each level's draw: -ln(u) / weight, u from 52 bits of the MD5 of key and path.
+# The regions of 24 shards weigh 12 each, the region of shard 24 weighs 1.
+_DRAW = "-ln((CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '') || '|' || {path}), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) / {weight}"
+_OP4 = f"""
+WITH crc_step AS (
+  SELECT list(c ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(generate_series(0::BIGINT, 255::BIGINT)) AS i))
+), d AS (
+  SELECT row_number() OVER () AS row, doc_id, strlen(coalesce(text, '')) + 8 AS size,
+         coalesce(text, '') AS text
+  FROM documents
+), crcs AS (
+  SELECT row, CAST(xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS BIGINT) AS text_crc32
+  FROM d, crc_step
+), region AS (
+  SELECT row, arg_min(g, draw) AS g FROM (
+    SELECT row, g, {_DRAW.format(path="'/g' || g", weight="12")} AS draw FROM d, generate_series(0, 1) t(g)) GROUP BY row
+), rack AS (
+  SELECT row, any_value(g) AS g, arg_min(r, draw) AS r FROM (
+    SELECT row, g, r, {_DRAW.format(path="'/g' || g || '/r' || r", weight="4")} AS draw
+    FROM d JOIN region USING (row), generate_series(0, 2) t(r)) GROUP BY row
+), leaf AS (
+  SELECT row, arg_min(s, draw) AS shard FROM (
+    SELECT row, 12 * g + 4 * r + i AS s,
+           {_DRAW.format(path="'/g' || g || '/r' || r || '/' || (12 * g + 4 * r + i)", weight="1")} AS draw
+    FROM d JOIN rack USING (row), generate_series(0, 3) t(i)) GROUP BY row
+), grown AS (
+  SELECT row, least({_DRAW.format(path="'/g0'", weight="12")}, {_DRAW.format(path="'/g1'", weight="12")})
+              > {_DRAW.format(path="'/x24'", weight="1")} AS moves
+  FROM d
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS LAST, text_crc32, size) - 1 AS slot,
+       CAST(CASE WHEN moves THEN 24 ELSE shard END AS INTEGER) AS grown_shard
+FROM d JOIN crcs USING (row) JOIN leaf USING (row) JOIN grown USING (row)
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op2_line_dedup": _OP2,
+    "op4_sharding": _OP4,
 }
