@@ -12,20 +12,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerguard.llm.common import doc_id, table
+from ledgerguard.llm.gumbel_pieces import sample_conversations
+from ledgerguard.llm.html_gbt import extract
 from ledgerguard.llm.line_dedup import dedup_lines
 from ledgerguard.llm.packing import pack
 from ledgerguard.llm.pfp_dedup import drop_repeats
+from ledgerguard.llm.quality_bayes import judge_sites
 from ledgerguard.llm.quality_rules import quality_rules
 from ledgerguard.llm.sharding import shard_documents
 from ledgerguard.llm.simhash_gray import near_groups
 from ledgerguard.llm.sketches import edited_fingerprints
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dedup_lines(table(spark, sf_dir, "documents"), digest=True)
     return rows.select(doc_id(), "n_lines", "n_dropped", F.col("kept").alias("kept_sha256"))
 
 
+def op3_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of ``conversations``: sampled segmentations are for the many passes of dialogue training."""
+    return sample_conversations(table(spark, sf_dir, "conversations"), samples=4)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
@@ -38,6 +50,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host: the source; path: the language section of it."""
+    return judge_sites(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), host="source", path="lang")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -54,10 +71,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_line_dedup": op2_line_dedup,
+    "op3_sentencepiece_sampling": op3_sentencepiece_sampling,
     "op4_sharding": op4_sharding,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
