@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--lake", required=True)
     b.add_argument("--input", required=True)
     b.add_argument("--batch-id", type=int, default=0)
+    b.add_argument("--run-id", help="replace this run's batch; default: a new run, rows are added")
     b.add_argument("--threshold", type=float, default=DEFAULT_CONFIG.high_value_threshold)
     r = sub.add_parser("report", help="write report tables and lines")
     r.add_argument("--lake", required=True)
@@ -41,13 +42,14 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
-    spark = build_session(a.master) if a.master else build_session()
+    # master and shuffle width are spark-submit's or the cluster's, unless given here
+    spark = build_session(a.master, shuffle_partitions=None)
     if a.cmd == "report":
         print(run_reports(spark, a.lake, a.out, day=a.day))
         return
     if a.cmd == "backfill":
         cfg = DEFAULT_CONFIG.with_(high_value_threshold=a.threshold)
-        screen_table(spark, spark.read.text(a.input), a.lake, cfg, batch_id=a.batch_id)
+        screen_table(spark, spark.read.text(a.input), a.lake, cfg, batch_id=a.batch_id, run_id=a.run_id)
         return
     cfg = DEFAULT_CONFIG.with_(high_value_threshold=a.threshold)
     if a.bootstrap_servers:

@@ -66,8 +66,21 @@ def nan_to_null(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+#: Sums of money are exact: they do not depend on the order of tasks.
+MONEY = "decimal(30,6)"
+
+
+def exact(c: Column) -> Column:
+    """A double amount as a decimal; NaN (and what is too large) is NULL."""
+    return nan_to_null(c).try_cast(MONEY)
+
+
+def no_money() -> Column:
+    return F.lit(0).cast("decimal(38,6)")
+
+
 def money(c: Column) -> Column:
-    return F.round(c.cast("double"), 2)
+    return F.round(c, 2).cast("double")
 
 
 def ratio(c: Column) -> Column:
@@ -76,7 +89,7 @@ def ratio(c: Column) -> Column:
 
 def money_sum(c: Column) -> Column:
     """Sum that skips NaN/NULL and is 0.0 over no rows, rounded to cents."""
-    return money(F.coalesce(F.sum(nan_to_null(c)), F.lit(0.0)))
+    return money(F.coalesce(F.sum(exact(c)), no_money()))
 
 
 def pct_of(part: Column, whole: Column) -> Column:

@@ -7,10 +7,10 @@ to whatever runs them.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerguard.config import DEFAULT_CONFIG, ScreeningConfig
@@ -18,7 +18,6 @@ from ledgerguard.plans import reports
 from ledgerguard.sinks.lakes import write_report, write_report_text
 from ledgerguard.sources.json_ingest import parse_transactions
 from ledgerguard.sources.lakes import read_fraud_lake, read_valid_lake
-from ledgerguard.session import path_exists
 from ledgerguard.streaming.router import BatchRouter, start_screening
 from ledgerguard.streaming.sources import kafka_source
 
@@ -36,30 +35,40 @@ def run_screening(spark: SparkSession, lake_root: str, checkpoint: str,
     router = BatchRouter(valid_path=f"{lake_root}/transactions", fraud_path=f"{lake_root}/fraud",
                          cfg=cfg, alert_format=alert_format,
                          alert_path=f"{lake_root}/alerts" if alert_format != "kafka" else None,
-                         metrics_path=f"{lake_root}/metrics")
+                         metrics_path=f"{lake_root}/metrics", quarantine_path=f"{lake_root}/quarantine")
     return start_screening(parse_transactions(raw), router, checkpoint, available_now)
 
 
 def screen_table(spark: SparkSession, rows: DataFrame, lake_root: str,
                  cfg: ScreeningConfig = DEFAULT_CONFIG, batch_id: int = 0,
-                 alert_format: str | None = None) -> None:
+                 alert_format: str | None = None, run_id: str | None = None) -> str:
     """Backfill: screen a table (raw messages in ``value`` or screened rows) in
-    batch into the same lakes as the stream, as batch ``batch_id``.
+    batch into the same lakes as the stream, as batch ``batch_id`` of ``run_id``.
 
-    Re-running with the same ``batch_id`` replaces that batch's partitions.
+    Returns the run id, a new one by default: the rows are then added to what
+    the lakes hold. Running again with the same run and batch id replaces all
+    rows of that batch, and only those.
     """
+    run_id = run_id or f"run-{uuid.uuid4().hex}"
     if "value" in rows.columns and "transaction_id" not in rows.columns:
         rows = parse_transactions(rows)
     BatchRouter(valid_path=f"{lake_root}/transactions", fraud_path=f"{lake_root}/fraud", cfg=cfg,
                 alert_format=alert_format,
                 alert_path=f"{lake_root}/alerts" if alert_format not in (None, "kafka") else None,
-                metrics_path=f"{lake_root}/metrics")(rows, batch_id)
+                metrics_path=f"{lake_root}/metrics", quarantine_path=f"{lake_root}/quarantine",
+                run_id=run_id)(rows, batch_id)
+    return run_id
 
 
-def stop_gracefully(query: StreamingQuery, poll_seconds: float = 0.5, timeout: float = 600) -> None:
-    """Stop after the running micro-batch finishes (no half-routed batch)."""
-    deadline = time.monotonic() + timeout
-    while query.isActive and query.status.get("isTriggerActive") and time.monotonic() < deadline:
+def stop_gracefully(query: StreamingQuery, poll_seconds: float = 0.5, timeout: float | None = None) -> None:
+    """Stop after the running micro-batch finishes (no half-routed batch).
+
+    With ``timeout`` seconds passed it raises and leaves the query running.
+    """
+    deadline = None if timeout is None else time.monotonic() + timeout
+    while query.isActive and query.status.get("isTriggerActive"):
+        if deadline is not None and time.monotonic() >= deadline:
+            raise TimeoutError(f"the micro-batch still runs after {timeout} s")
         time.sleep(poll_seconds)
     query.stop()
 
@@ -76,11 +85,8 @@ class ReportSet:
 
 def build_reports(spark: SparkSession, lake_root: str, day: str | None = None) -> ReportSet:
     """All report tables over the lakes; ``day`` ('yyyy-MM-dd') prunes to one partition."""
-    valid = read_valid_lake(spark, f"{lake_root}/transactions")
-    fraud = read_fraud_lake(spark, f"{lake_root}/fraud")
-    if day is not None:
-        d = F.lit(day).cast("date")
-        valid, fraud = valid.where(F.col("date") == d), fraud.where(F.col("date") == d)
+    valid = read_valid_lake(spark, f"{lake_root}/transactions", day)
+    fraud = read_fraud_lake(spark, f"{lake_root}/fraud", day)
     return ReportSet(reports.reconciliation_reference(valid, fraud), reports.fraud_summary(fraud),
                      reports.fraud_by_category(fraud), reports.fraud_by_type(fraud),
                      reports.daily_lake_counts(valid, fraud), reports.report_lines(valid, fraud))
@@ -97,7 +103,3 @@ def run_reports(spark: SparkSession, lake_root: str, out_root: str, day: str | N
         write_report(getattr(rs, name), f"{out}/{name}")
     write_report_text(rs.lines, f"{out}/lines")
     return out
-
-
-def lakes_present(spark: SparkSession, lake_root: str) -> bool:
-    return path_exists(spark, f"{lake_root}/transactions") or path_exists(spark, f"{lake_root}/fraud")

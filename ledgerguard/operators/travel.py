@@ -34,7 +34,7 @@ def _slicing(cfg: ScreeningConfig) -> tuple[int, int, int]:
     w = cfg.window_seconds * 1_000_000
     k = max(1, int(cfg.travel_slices))
     if w % k:
-        k = 1
+        raise ValueError(f"travel_slices={k} does not divide the window of {cfg.travel_window}")
     return w, k, w // k
 
 
@@ -82,7 +82,10 @@ def trailing_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG,
     rows = probes.unionByName(context)
     part = Window.partitionBy("user_id", _S).orderBy(_KEY)
     upto = part.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = part.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # "from here on" as a running frame of the descending order: a frame that
+    # ends unbounded is computed anew for each row, quadratic in a slice.
+    onward = (Window.partitionBy("user_id", _S).orderBy(F.desc(_KEY))
+              .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     own = F.when(F.col(_ROLE) == PROBE, F.col("country"))
     scored = (rows
               .withColumn("_own_min", F.min(own).over(upto))

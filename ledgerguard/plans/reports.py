@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerguard import config as C
 from ledgerguard.config import (BALANCE_TOLERANCE, BAR_WIDTH, DEFAULT_CONFIG, STATUS_BALANCED,
                                 STATUS_DISCREPANCY, STATUS_NO_DATA, ScreeningConfig)
-from ledgerguard.functions.expressions import money, money_sum, nan_to_null, pct_of, ratio
+from ledgerguard.functions.expressions import exact, money, money_sum, nan_to_null, no_money, pct_of, ratio
 from ledgerguard.functions.formatting import bar, fmt_count, fmt_money, fmt_pct, fmt_pct1
 from ledgerguard.operators.rules import WINDOW_START, tumbling_travel_keys
 from ledgerguard.schema import EVENT_TIME
@@ -33,7 +33,7 @@ def _is(kind: str) -> Column:
 
 
 def _sum_where(cond: Column, c: str = "amount") -> Column:
-    return F.sum(F.when(cond, nan_to_null(F.col(c))))
+    return F.sum(F.when(cond, exact(F.col(c))))
 
 
 def _zero_safe(c: Column) -> Column:
@@ -51,9 +51,9 @@ def reconciliation_reference(valid: DataFrame, fraud: DataFrame) -> DataFrame:
     """
     u = _lakes(valid, fraud, "amount")
     agg = u.agg(F.count_if(_is(VALID)).alias("validated_count"),
-                F.coalesce(_sum_where(_is(VALID)), F.lit(0.0)).alias("_vv"),
+                F.coalesce(_sum_where(_is(VALID)), no_money()).alias("_vv"),
                 F.count_if(_is(FRAUD)).alias("fraud_count"),
-                F.coalesce(_sum_where(_is(FRAUD)), F.lit(0.0)).alias("_fv"))
+                F.coalesce(_sum_where(_is(FRAUD)), no_money()).alias("_fv"))
     ingress_n = F.col("validated_count") + F.col("fraud_count")
     ingress_v = F.col("_vv") + F.col("_fv")
     diff = ingress_v - F.col("_vv") - F.col("_fv")
@@ -101,9 +101,9 @@ def fraud_by_type(fraud: DataFrame) -> DataFrame:
 def fraud_summary(fraud: DataFrame) -> DataFrame:
     """One row: fraud row count, volume and average (0 when there are none)."""
     agg = fraud.agg(F.count(F.lit(1)).alias("fraud_count"),
-                    F.coalesce(F.sum(nan_to_null(F.col("amount"))), F.lit(0.0)).alias("_v"))
+                    F.coalesce(F.sum(exact(F.col("amount"))), no_money()).alias("_v"))
     return agg.select("fraud_count", money(F.col("_v")).alias("fraud_volume"),
-                      ratio(F.when(F.col("fraud_count") > 0, F.col("_v") / F.col("fraud_count"))
+                      ratio(F.when(F.col("fraud_count") > 0, F.col("_v").cast("double") / F.col("fraud_count"))
                             .otherwise(F.lit(0.0))).alias("avg_amount"))
 
 
@@ -117,9 +117,9 @@ def daily_lake_counts(valid: DataFrame, fraud: DataFrame) -> DataFrame:
     return (u.rollup("date")
              .agg(F.grouping("date").cast("boolean").alias("is_total"),
                   F.count_if(_is(VALID)).alias("validated_count"),
-                  money(F.coalesce(_sum_where(_is(VALID)), F.lit(0.0))).alias("validated_volume"),
+                  money(F.coalesce(_sum_where(_is(VALID)), no_money())).alias("validated_volume"),
                   F.count_if(_is(FRAUD)).alias("fraud_count"),
-                  money(F.coalesce(_sum_where(_is(FRAUD)), F.lit(0.0))).alias("fraud_volume"))
+                  money(F.coalesce(_sum_where(_is(FRAUD)), no_money())).alias("fraud_volume"))
              .orderBy("is_total", "date"))
 
 
@@ -204,7 +204,7 @@ def report_lines(valid: DataFrame, fraud: DataFrame) -> DataFrame:
     per_level = (u.select("kind", "amount", "transaction_id", F.explode(levels).alias("lv"))
                   .groupBy("kind", F.col("lv.level").alias("level"), F.col("lv.key").alias("key"))
                   .agg(F.count(F.lit(1)).alias("n_rows"), F.count("transaction_id").alias("n_ids"),
-                       F.sum(nan_to_null(F.col("amount"))).alias("s"), F.count(amt).alias("n_amt")))
+                       F.sum(exact(F.col("amount"))).alias("s"), F.count(amt).alias("n_amt")))
     tot = lambda kind, c: F.coalesce(F.sum(F.when(_is(kind) & (F.col("level") == "total"), F.col(c))),
                                      F.lit(0))
     item = F.struct((-F.col("n_ids")).alias("neg"), F.col("key").alias("key"), F.col("n_ids").alias("n"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -44,12 +45,13 @@ CLUSTER_CONF = {
 
 
 def build_session(master: str | None = "local[*]", app: str = "ledgerguard",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = 8, extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(RECOMMENDED_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -62,12 +64,16 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage. Only when it is unset
-    (local tests) do we create one, and we also register it with the context.
+    (local tests) do we create one, and we also register it with the context;
+    on any other master that is an error, as executors do not share a disk.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
         path = tempfile.mkdtemp(prefix="ledgerguard-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -80,6 +86,15 @@ def fresh_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/ledgerguard/{kind}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, pattern: str) -> None:
+    """Delete the files and folders that match ``pattern``, if any."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(jpath) or []:
+        fs.delete(status.getPath(), True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -88,5 +103,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-__all__ = ["build_session", "shared_dir", "fresh_path", "path_exists", "RECOMMENDED_CONF",
+__all__ = ["build_session", "shared_dir", "fresh_path", "path_exists", "delete_path", "RECOMMENDED_CONF",
            "CLUSTER_CONF"]

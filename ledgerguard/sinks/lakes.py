@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerguard.session import delete_path
 
-def write_lake(rows: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Write lake rows (which carry ``date``) partitioned by date.
 
-    Without ``batch_id`` rows are appended. With it the write is idempotent:
-    rows go to ``batch_id=<n>/date=<d>`` with dynamic partition overwrite, so
-    a replayed micro-batch replaces exactly the partitions it wrote before
-    instead of appending them twice. Readers see ``batch_id`` as a column.
+def write_lake(rows: DataFrame, path: str, batch_id: int | None = None, run_id: str = "run") -> None:
+    """Append lake rows (which carry ``date``) partitioned by date.
+
+    With ``batch_id`` the write is idempotent: rows go to
+    ``date=<d>/run_id=<run>/batch_id=<n>``, and whatever an earlier try of the
+    same run and batch left under any date is deleted first. ``run_id`` names
+    one writer (one checkpoint, one backfill), so batches of different writers
+    never replace each other. ``date`` stands outermost, so a report on one day
+    lists one folder; rows are rebalanced on it into few files of even size.
     """
+    rows = rows.hint("rebalance", "date")
     if batch_id is None:
         rows.write.mode("append").partitionBy("date").parquet(path)
         return
-    (rows.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", "date").parquet(path))
+    delete_path(rows.sparkSession, f"{path}/date=*/run_id={run_id}/batch_id={int(batch_id)}")
+    (rows.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+         .write.mode("append").partitionBy("date", "run_id", "batch_id").parquet(path))
 
 
 def write_report(table: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -13,7 +13,8 @@ VALID_LAKE_SCHEMA = StructType(TRANSACTION_SCHEMA.fields + [StructField("date",
 FRAUD_LAKE_SCHEMA = StructType(ALERT_SCHEMA.fields + [StructField("date", DateType(), True)])
 
 
-def read_parquet_or_empty(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_parquet_or_empty(spark: SparkSession, path: str, schema: StructType | None = None,
+                          below: str = "") -> DataFrame:
     """Partition-discovering Parquet scan that reads an absent folder, or one
     without data files yet (e.g. a sink that has emitted nothing), as empty.
 
@@ -21,33 +22,35 @@ def read_parquet_or_empty(spark: SparkSession, path: str, schema: StructType | N
     (``_temporary``) are never counted.
     """
     empty = spark.createDataFrame([], schema) if schema is not None else None
-    if not path_exists(spark, path):
+    part = f"{path}/{below}" if below else path
+    if not path_exists(spark, part):
         if empty is None:
             raise FileNotFoundError(path)
         return empty
     try:
-        return spark.read.option("basePath", path).parquet(path)
-    except AnalysisException:
-        if empty is None:
-            raise
+        return spark.read.option("basePath", path).parquet(part)
+    except AnalysisException as e:
+        if empty is None or "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise  # data that cannot be read is not an empty lake
         return empty
 
 
-def read_lake(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_lake(spark: SparkSession, path: str, schema: StructType, day: str | None = None) -> DataFrame:
     """A lake as a DataFrame; absent or still empty lakes read as empty.
 
-    Filters on ``date`` prune partitions.
+    Filters on ``date`` prune partitions; ``day`` ('yyyy-MM-dd') lists that
+    day's folder alone.
     """
-    df = read_parquet_or_empty(spark, path, schema)
+    df = read_parquet_or_empty(spark, path, schema, f"date={day}" if day else "")
     if "date" in df.columns:
         # Partition discovery may type an all-default lake's date as string.
         df = df.withColumn("date", df["date"].cast("date"))
     return df
 
 
-def read_valid_lake(spark: SparkSession, path: str) -> DataFrame:
-    return read_lake(spark, path, VALID_LAKE_SCHEMA)
+def read_valid_lake(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    return read_lake(spark, path, VALID_LAKE_SCHEMA, day)
 
 
-def read_fraud_lake(spark: SparkSession, path: str) -> DataFrame:
-    return read_lake(spark, path, FRAUD_LAKE_SCHEMA)
+def read_fraud_lake(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    return read_lake(spark, path, FRAUD_LAKE_SCHEMA, day)

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerguard.config import FIXTURE_CONFIG as CFG, FRAUD_TYPE_HIGH_VALUE, FRAUD_TYPE_TRAVEL
 from ledgerguard.plans import queries as batch_q
-from ledgerguard.schema import ALERT_COLUMNS, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
+from ledgerguard.jobs import screen_table
+from ledgerguard.schema import ALERT_COLUMNS, EVENT_TIME, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 from ledgerguard.session import fresh_path
 from ledgerguard.sources.fixtures import fixture_transactions
 from ledgerguard.sources.json_ingest import parse_transactions
@@ -26,6 +28,9 @@ from ledgerguard.streaming.stateful import (TrailingTravelRouter, UpsertSink, de
 
 REPLAY_FILES = 4
 
+QUARANTINE_SCHEMA = StructType([StructField(c, StringType(), True) for c in
+                                ("value", "transaction_id", "user_id", "country", "reason")])
+
 
 def _run(query) -> None:
     query.awaitTermination()
@@ -33,9 +38,19 @@ def _run(query) -> None:
         raise query.exception()
 
 
-def _message_replay(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
-    """Transaction messages (JSON lines) in ``REPLAY_FILES`` time-ordered files."""
-    tx = with_replay_date(fixture_transactions(spark, sf_dir, CFG))
+def _message_replay(spark: SparkSession, sf_dir: str, copies: int = 1, flush: bool = False) -> str:
+    """Transaction messages (JSON lines) in ``REPLAY_FILES`` time-ordered files.
+
+    ``flush`` adds one message of a user of its own, a day after all others: the
+    watermark passes every real session, so that append mode emits them all.
+    """
+    tx = fixture_transactions(spark, sf_dir, CFG)
+    if flush:
+        late = (tx.agg((F.max(EVENT_TIME) + F.expr("interval 1 day")).alias(EVENT_TIME))
+                .withColumn("timestamp", F.date_format(EVENT_TIME, "yyyy-MM-dd HH:mm:ss"))
+                .withColumns({"transaction_id": F.lit("flush"), "user_id": F.lit("flush")}))
+        tx = tx.unionByName(late, allowMissingColumns=True)
+    tx = with_replay_date(tx)
     msgs = tx.select(F.to_json(F.struct(*TRANSACTION_COLUMNS)).alias("value"), "_replay_date")
     for _ in range(copies - 1):
         msgs = msgs.unionByName(msgs)
@@ -74,8 +89,8 @@ def q_stream_metrics(spark, sf_dir):
                    ("raw", "valid", "high_value", "unrouted", "malformed", "alerts", "travel_alerts")])
 
 
-def _screened_stream(spark, sf_dir, copies: int = 1):
-    return parse_transactions(file_source(spark, _message_replay(spark, sf_dir, copies), "text"))
+def _screened_stream(spark, sf_dir, copies: int = 1, flush: bool = False):
+    return parse_transactions(file_source(spark, _message_replay(spark, sf_dir, copies, flush), "text"))
 
 
 def q_stream_travel_stateful(spark, sf_dir):
@@ -90,7 +105,7 @@ def q_stream_travel_stateful(spark, sf_dir):
 
 def q_stream_travel_session(spark, sf_dir):
     base = fresh_path(spark, "travel-session")
-    sessions = stateful_session_travel(_screened_stream(spark, sf_dir), CFG)
+    sessions = stateful_session_travel(_screened_stream(spark, sf_dir, flush=True), CFG)
     q = (sessions.writeStream
          .outputMode("append").format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
@@ -117,7 +132,43 @@ def q_stream_travel_trailing(spark, sf_dir):
     return read_parquet_or_empty(spark, f"{base}/out", TRANSACTION_SCHEMA).select(*TRANSACTION_COLUMNS)
 
 
+def q_stream_quarantine(spark, sf_dir):
+    """Messages, some with text amounts, through the screening stream; the quarantine read back."""
+    base = fresh_path(spark, "quarantine")
+    messages = batch_q._wire_with_text_amounts(spark, sf_dir)
+    messages.repartition(REPLAY_FILES).write.text(f"{base}/messages")
+    router = BatchRouter(valid_path=f"{base}/valid", fraud_path=f"{base}/fraud", cfg=CFG,
+                         quarantine_path=f"{base}/bad")
+    stream = parse_transactions(file_source(spark, f"{base}/messages", "text"))
+    _run(start_screening(stream, router, f"{base}/checkpoint", available_now=True))
+    bad = read_parquet_or_empty(spark, f"{base}/bad", QUARANTINE_SCHEMA)
+    return bad.select("transaction_id", "user_id", "country", "reason")
+
+
+def q_lake_many_writers(spark, sf_dir):
+    """Three writers into one lake, and one corrected batch: nothing is lost and nothing is left over.
+
+    Two backfills with the same batch id each add half of the table; a third
+    first adds all rows with a wrong amount, all of them fraud, and then replaces
+    that batch by the rows of valid amount alone.
+    """
+    root = fresh_path(spark, "writers")
+    tx = fixture_transactions(spark, sf_dir, CFG)
+    even = F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == 0
+    screen_table(spark, tx.where(even), root, CFG)
+    screen_table(spark, tx.where(~even), root, CFG)
+    run = screen_table(spark, tx.withColumn("amount", F.lit(1e6)), root, CFG)
+    screen_table(spark, tx.where(F.col("amount") <= float(CFG.high_value_threshold)), root, CFG, run_id=run)
+    valid = read_valid_lake(spark, f"{root}/transactions")
+    fraud = read_fraud_lake(spark, f"{root}/fraud").where(F.col("fraud_type") == FRAUD_TYPE_HIGH_VALUE)
+    rows = valid.select("transaction_id", F.lit("valid").alias("lake")).union(
+        fraud.select("transaction_id", F.lit("fraud").alias("lake")))
+    return rows.groupBy("transaction_id", "lake").agg(F.count("*").alias("copies"))
+
+
 STREAM_QUERIES = {
+    "stream_quarantine": q_stream_quarantine,
+    "lake_many_writers": q_lake_many_writers,
     "stream_high_value": q_stream_high_value,
     "stream_travel_tumbling": q_stream_travel_tumbling,
     "stream_valid": q_stream_valid,
@@ -130,6 +181,10 @@ STREAM_QUERIES = {
 
 _O = batch_q.ORACLE
 STREAM_ORACLE = {
+    "lake_many_writers": f"""WITH {batch_q.TX}
+SELECT transaction_id, CASE WHEN amount <= 150 THEN 'valid' ELSE 'fraud' END AS lake,
+       CAST(CASE WHEN amount <= 150 THEN 2 ELSE 1 END AS BIGINT) AS copies
+FROM tx""",
     "stream_high_value": _O["high_value_alerts"],
     "stream_travel_tumbling": _O["impossible_travel_tumbling"],
     "stream_valid": _O["valid_transactions"],
@@ -144,13 +199,8 @@ SELECT CAST(count(*) AS BIGINT) AS raw,
        CAST((SELECT count(*) FROM travel) AS BIGINT) AS travel_alerts
 FROM tx""",
     "stream_travel_stateful": _O["impossible_travel_tumbling"],
-    # Append mode emits a session once the final watermark (latest event time
-    # minus the 2 minute delay) has passed its end; the rest stay open.
-    "stream_travel_session": _O["impossible_travel_session"].replace(
-        "FROM s GROUP BY user_id, sid HAVING count(DISTINCT country) > 1",
-        "FROM s GROUP BY user_id, sid HAVING count(DISTINCT country) > 1 "
-        "AND max(event_time) + INTERVAL 10 MINUTE <= "
-        "(SELECT max(event_time) FROM tx) - INTERVAL 2 MINUTE"),
+    "stream_travel_session": _O["impossible_travel_session"],
+    "stream_quarantine": _O["malformed_quarantine"],
     "stream_dedup": f"WITH {batch_q.TX} SELECT {batch_q._TX_COLS} FROM tx",
     "stream_travel_trailing": _O["impossible_travel_trailing"],
 }

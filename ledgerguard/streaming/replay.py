@@ -8,8 +8,6 @@ shared folder, and read back with ``maxFilesPerTrigger=1``.
 
 from __future__ import annotations
 
-import warnings
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,11 +43,11 @@ def _order_file_times(spark: SparkSession, path: str) -> None:
     names = sorted(str(st.getPath().toString()) for st in fs.listStatus(root)
                    if st.getPath().getName().startswith("part-"))
     base = 1_000_000_000_000
-    try:
-        for i, name in enumerate(names):
-            fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), base + i * 1000, -1)
-    except Exception as e:  # noqa: BLE001 - e.g. object stores without settable times
-        warnings.warn(f"replay files keep their write order ({e}); watermarked replays may drop rows")
+    for i, name in enumerate(names):
+        file = jvm.org.apache.hadoop.fs.Path(name)
+        fs.setTimes(file, base + i * 1000, -1)
+        if fs.getFileStatus(file).getModificationTime() != base + i * 1000:
+            raise RuntimeError(f"{name} keeps its write time: a replay out of order would drop late rows")
 
 
 def with_replay_date(tx: DataFrame) -> DataFrame:

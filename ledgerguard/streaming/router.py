@@ -2,21 +2,24 @@
 rows to the valid lake, and one metrics row per batch.
 
 The rules are the batch operators; ``foreachBatch`` is only the multi-sink
-fan-out. The batch is cached once and every count comes from one
-``Observation`` instead of separate actions.
+fan-out. The batch is cached once and every count comes from one aggregation
+over the cached rows.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerguard.config import DEFAULT_CONFIG, FRAUD_TYPE_TRAVEL, ScreeningConfig
 from ledgerguard.operators.rules import all_alerts, fraud_lake_rows, valid_transactions
+from ledgerguard.schema import TRANSACTION_COLUMNS
+from ledgerguard.session import path_exists
 from ledgerguard.sinks.alerts import encode_alerts, write_alert_messages
 from ledgerguard.sinks.lakes import write_lake
 from ledgerguard.sources.json_ingest import malformed_reason
@@ -31,9 +34,12 @@ class BatchRouter:
 
     ``alert_format``: ``kafka`` (publish to ``cfg.alert_topic``), ``json`` /
     ``text`` / ``parquet`` (message files under ``alert_path``) or ``None``.
-    Writes are idempotent per batch id (lakes by dynamic partition overwrite,
-    message files and metrics by their batch folder), so a batch replayed
-    after a failure does not double rows; a broker topic is at-least-once.
+    Writes are idempotent per run and batch id (each replaces what an earlier
+    try of the same batch of the same run left), so a batch replayed after a
+    failure does not double rows; a broker topic is at-least-once. ``run_id``
+    names the writer: ``start_screening`` keeps it with the checkpoint, a
+    router used by itself gets a new one. ``quarantine_path`` takes the rows
+    that cannot be routed, with their text and the reason.
     """
 
     valid_path: str
@@ -42,50 +48,64 @@ class BatchRouter:
     alert_format: str | None = None
     alert_path: str | None = None
     metrics_path: str | None = None
+    quarantine_path: str | None = None
+    run_id: str = field(default_factory=lambda: f"run-{uuid.uuid4().hex}")
+
+    def _folder(self, path: str, batch_id: int) -> str:
+        return f"{path}/run_id={self.run_id}/batch_id={int(batch_id)}"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         t = F.lit(float(self.cfg.high_value_threshold))
         a = F.col("amount")
         bad = malformed_reason().isNotNull() if "_corrupt_record" in batch.columns \
             else F.col("transaction_id").isNull() | a.isNull()
-        obs = Observation(f"batch_{batch_id}")
-        cached = batch.observe(obs, F.count(F.lit(1)).alias("raw"),
-                               F.count_if(a <= t).alias("valid"),
-                               F.count_if(a > t).alias("high_value"),
-                               F.count_if(a.isNull()).alias("unrouted"),
-                               F.count_if(bad).alias("malformed")).persist()
+        cached = batch.persist()
         alerts = None
-        alert_obs = Observation(f"alerts_{batch_id}")
         try:
-            alerts = all_alerts(cached, self.cfg).observe(
-                alert_obs, F.count(F.lit(1)).alias("alerts"),
-                F.count_if(F.col("fraud_type") == F.lit(FRAUD_TYPE_TRAVEL)).alias("travel_alerts")).persist()
+            alerts = all_alerts(cached, self.cfg).persist()
             if self.alert_format:
                 write_alert_messages(encode_alerts(alerts), self.cfg, self.alert_format,
-                                     f"{self.alert_path}/batch_id={batch_id}"
+                                     self._folder(self.alert_path, batch_id)
                                      if self.alert_path else None,
                                      mode="overwrite" if self.alert_path else "append")
-            write_lake(fraud_lake_rows(alerts), self.fraud_path, batch_id)
-            write_lake(valid_transactions(cached, self.cfg), self.valid_path, batch_id)
+            write_lake(fraud_lake_rows(alerts), self.fraud_path, batch_id, self.run_id)
+            write_lake(valid_transactions(cached, self.cfg), self.valid_path, batch_id, self.run_id)
+            if self.quarantine_path and "_corrupt_record" in batch.columns:
+                text = F.coalesce("_corrupt_record", F.to_json(F.struct(*TRANSACTION_COLUMNS)))
+                (cached.withColumn("reason", malformed_reason()).where(F.col("reason").isNotNull())
+                 .select(text.alias("value"), "transaction_id", "user_id", "country", "reason")
+                 .write.mode("overwrite").parquet(self._folder(self.quarantine_path, batch_id)))
             if self.metrics_path:
-                m = obs.get
-                am = alert_obs.get
-                row = (int(batch_id), m.get("raw", 0), m.get("valid", 0), m.get("high_value", 0),
-                       m.get("unrouted", 0), m.get("malformed", 0), am.get("alerts", 0),
-                       am.get("travel_alerts", 0))
-                (cached.sparkSession.createDataFrame([row], METRICS_SCHEMA)
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(self.metrics_path))
+                # one row, from the cached batch; observed metrics get lost where
+                # adaptive planning finds the alerts empty
+                m = cached.agg(F.count(F.lit(1)).alias("raw"), F.count_if(a <= t).alias("valid"),
+                               F.count_if(a > t).alias("high_value"), F.count_if(a.isNull()).alias("unrouted"),
+                               F.count_if(bad).alias("malformed"))
+                am = alerts.agg(F.count(F.lit(1)).alias("alerts"), F.count_if(
+                    F.col("fraud_type") == F.lit(FRAUD_TYPE_TRAVEL)).alias("travel_alerts"))
+                counts = StructType(METRICS_SCHEMA.fields[1:])
+                (cached.sparkSession.createDataFrame([(*m.first(), *am.first())], counts)
+                 .write.mode("overwrite").parquet(self._folder(self.metrics_path, batch_id)))
         finally:
             if alerts is not None:
                 alerts.unpersist()
             cached.unpersist()
 
 
+def checkpoint_run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The run id kept beside a checkpoint; a new checkpoint gets a new one."""
+    path = f"{checkpoint.rstrip('/')}-run-id"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        rows = spark.createDataFrame([(f"run-{uuid.uuid4().hex}",)], "run_id string")
+        rows.coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).first()[0]
+
+
 def start_screening(stream: DataFrame, router: BatchRouter, checkpoint: str,
                     available_now: bool = False, query_name: str | None = None) -> StreamingQuery:
     """Start the routing query; trigger from ``cfg.trigger_interval`` unless
     ``available_now`` (process what is there, then stop)."""
+    router.run_id = checkpoint_run_id(stream.sparkSession, checkpoint)
     w = stream.writeStream.foreachBatch(router).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)

@@ -12,7 +12,7 @@ from ledgerguard.functions.expressions import (as_instant, earliest_by_time, epo
                                                wall_clock_from_micros)
 from ledgerguard.operators.travel import trailing_travel
 from ledgerguard.schema import EVENT_TIME, TRANSACTION_COLUMNS
-from ledgerguard.session import path_exists
+from ledgerguard.session import delete_path, path_exists
 from ledgerguard.sources.lakes import read_parquet_or_empty
 
 
@@ -72,9 +72,15 @@ def stateful_session_travel(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CO
 
 
 def dedup_transactions(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Drop redelivered transactions (same ``transaction_id``) within the watermark."""
-    return (with_event_watermark(stream, cfg)
-            .dropDuplicatesWithinWatermark(["transaction_id"]))
+    """Drop redelivered transactions (same ``transaction_id``) within the watermark.
+
+    Rows without an id (malformed messages) are not copies of one another: all
+    of them pass.
+    """
+    rows = with_event_watermark(stream, cfg)
+    return (rows.where(F.col("transaction_id").isNotNull())
+            .dropDuplicatesWithinWatermark(["transaction_id"])
+            .unionByName(rows.where(F.col("transaction_id").isNull())))
 
 
 @dataclass
@@ -124,11 +130,14 @@ class TrailingTravelRouter:
     cfg: ScreeningConfig = DEFAULT_CONFIG
 
     def _previous_state(self, spark, batch_id: int):
-        for b in range(batch_id - 1, max(-1, batch_id - 3), -1):
-            p = f"{self.state_path}/batch_id={b}"
-            if path_exists(spark, f"{p}/_SUCCESS"):
-                return spark.read.parquet(p)
-        return None
+        if batch_id == 0:
+            return None
+        p = f"{self.state_path}/batch_id={batch_id - 1}"
+        if not path_exists(spark, f"{p}/_SUCCESS"):
+            raise FileNotFoundError(f"no state of batch {batch_id - 1} under {self.state_path}")
+        # a replay may need the batch before; older ones are never read again
+        delete_path(spark, f"{self.state_path}/batch_id={batch_id - 3}")
+        return spark.read.parquet(p)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -25,9 +25,14 @@ def test_backfill_matches_stream(spark, workdir, capsys):
                         "amount": 9000.0, "currency": "USD", "merchant_category": "Food", "country": "USA"}),
             "not json"]
     spark.createDataFrame([(m,) for m in msgs], "value string").coalesce(1).write.text(f"{workdir}/in")
-    main(["backfill", "--lake", f"{workdir}/lake", "--input", f"{workdir}/in", "--batch-id", "3"])
-    main(["backfill", "--lake", f"{workdir}/lake", "--input", f"{workdir}/in", "--batch-id", "3"])
+    again = ["backfill", "--lake", f"{workdir}/lake", "--input", f"{workdir}/in", "--batch-id", "3", "--run-id", "night"]
+    main(again)
+    main(again)
     rec = build_reports(spark, f"{workdir}/lake").reconciliation.first()
     assert (rec.validated_count, rec.fraud_count) == (0, 1)
     m = spark.read.parquet(f"{workdir}/lake/metrics").first()
     assert (m.batch_id, m.raw, m.malformed) == (3, 2, 1)
+    bad = spark.read.parquet(f"{workdir}/lake/quarantine").collect()
+    assert [(r.value, r.reason is not None) for r in bad] == [("not json", True)]
+    main(again[:-2])  # a run of its own adds its rows, whatever its batch id
+    assert build_reports(spark, f"{workdir}/lake").reconciliation.first().fraud_count == 2
