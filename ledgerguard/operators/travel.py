@@ -12,8 +12,9 @@ context for a slice is only the slice ``k`` positions earlier (shipped once,
 shifted by ``W``); the ``k - 1`` slices in between are fully inside every
 window that ends in the slice, so they enter as per-slice summaries, combined
 with a window over the summary table (one row per user and non-empty slice,
-bounded by the time span, not by row count). Shuffle volume is about
-``(1 + 1/k)`` times the input and no task holds more than two slices of rows.
+bounded by the time span, not by row count). Every row with a country is
+shipped twice, the second time narrow, and no task holds more than two slices
+of rows.
 """
 
 from __future__ import annotations
