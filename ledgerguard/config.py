@@ -22,7 +22,6 @@ BRANCH_COUNTRIES = (
     "Japan",
     "UAE",
 )
-MERCHANT_CATEGORIES = ("Food", "Electronics", "Travel", "Fashion", "Utilities", "Healthcare")
 HIGH_VALUE_THRESHOLD = 5000
 IMPOSSIBLE_TRAVEL_WINDOW = "10 minutes"
 WATERMARK_DELAY = "2 minutes"
@@ -72,7 +71,6 @@ class ScreeningConfig:
     trigger_interval: str = TRIGGER_INTERVAL
     home_country: str = HOME_COUNTRY
     branch_countries: tuple[str, ...] = BRANCH_COUNTRIES
-    merchant_categories: tuple[str, ...] = MERCHANT_CATEGORIES
     raw_topic: str = TOPIC_RAW
     alert_topic: str = TOPIC_FRAUD
     # Time slices per travel window used by the trailing-window operators to

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerguard import config as C
 from ledgerguard.config import FIXTURE_CONFIG as CFG, HIGH_VALUE_REASON, TRAVEL_REASON
+from ledgerguard.functions.expressions import foreign_countries_array
 from ledgerguard.operators import rules, travel
 from ledgerguard.plans import reports
 from ledgerguard.sources.fixtures import fixture_transactions, read_table
@@ -62,7 +63,9 @@ def q_alert_json_roundtrip(spark, sf_dir):
 
 
 def q_geo_flags(spark, sf_dir):
-    return rules.geo_flags(_tx(spark, sf_dir), CFG)
+    """Transactions by country, with the country predicates and the list of foreign branches."""
+    foreign = F.concat_ws(", ", foreign_countries_array(CFG))
+    return rules.geo_flags(_tx(spark, sf_dir), CFG).withColumn("foreign_branches", foreign)
 
 
 def q_reconciliation_reference(spark, sf_dir):
@@ -264,7 +267,8 @@ SELECT {_TX_COLS}, CAST(TRY_CAST("timestamp" AS TIMESTAMP) AS DATE) AS date FROM
     "geo_flags": f"""WITH {TX}
 SELECT country, country = 'Sri Lanka' AS is_home, country <> 'Sri Lanka' AS is_foreign,
        country IN ({_BRANCHES}) AS is_branch_country,
-       count(*) AS transactions, round(coalesce(sum({_NN}), 0), 2) AS volume
+       count(*) AS transactions, round(coalesce(sum({_NN}), 0), 2) AS volume,
+       'USA, United Kingdom, Singapore, Australia, Germany, Japan, UAE' AS foreign_branches
 FROM tx GROUP BY country""",
     "reconciliation_reference": f"""{_LAKES},
 a AS (SELECT (SELECT count(*) FROM valid) AS vc,
