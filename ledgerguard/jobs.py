@@ -11,6 +11,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerguard.config import DEFAULT_CONFIG, ScreeningConfig
@@ -56,7 +57,7 @@ def screen_table(spark: SparkSession, rows: DataFrame, lake_root: str,
                 alert_format=alert_format,
                 alert_path=f"{lake_root}/alerts" if alert_format not in (None, "kafka") else None,
                 metrics_path=f"{lake_root}/metrics", quarantine_path=f"{lake_root}/quarantine",
-                run_id=run_id)(rows, batch_id)
+                run_id=run_id, cache=False)(rows, batch_id)
     return run_id
 
 
@@ -83,23 +84,44 @@ class ReportSet:
     lines: DataFrame
 
 
-def build_reports(spark: SparkSession, lake_root: str, day: str | None = None) -> ReportSet:
-    """All report tables over the lakes; ``day`` ('yyyy-MM-dd') prunes to one partition."""
-    valid = read_valid_lake(spark, f"{lake_root}/transactions", day)
-    fraud = read_fraud_lake(spark, f"{lake_root}/fraud", day)
-    return ReportSet(reports.reconciliation_reference(valid, fraud), reports.fraud_summary(fraud),
-                     reports.fraud_by_category(fraud), reports.fraud_by_type(fraud),
-                     reports.daily_lake_counts(valid, fraud), reports.report_lines(valid, fraud))
+def build_reports(spark: SparkSession, lake_root: str, day: str | None = None,
+                  cube: DataFrame | None = None) -> ReportSet:
+    """All report tables over the lakes; ``day`` ('yyyy-MM-dd') prunes to one partition.
+
+    ``cube`` (a ``report_cube``) stands for the lakes where it is given.
+    """
+    rows = cube
+    if rows is None:
+        rows = reports.lake_measures(read_valid_lake(spark, f"{lake_root}/transactions", day),
+                                     read_fraud_lake(spark, f"{lake_root}/fraud", day))
+    return ReportSet(reports.reconciliation_of(rows), reports.summary_of(rows),
+                     reports.breakdown_of(rows, "merchant_category", with_avg=True),
+                     reports.breakdown_of(rows, "fraud_type", with_avg=False),
+                     reports.daily_of(rows), reports.lines_of(rows))
+
+
+#: Sections of the report lines in the text file of each kind.
+TEXT_REPORTS = {"reconciliation": ("reconciliation",), "analytics": ("summary", "by_category", "by_type")}
 
 
 def run_reports(spark: SparkSession, lake_root: str, out_root: str, day: str | None = None,
                 stamp: str | None = None) -> str:
-    """Write every report table (Parquet) and the report lines (text) under
-    ``out_root/<stamp>``; with no lake data the tables say ``NO_DATA``."""
+    """Write every report table (Parquet) and the report lines (text) under ``out_root/<stamp>``.
+
+    The lakes are read once, into a small cube that all tables follow from. The
+    lines go to ``lines`` and, by kind, to ``reconciliation_<stamp>`` and
+    ``analytics_<stamp>``. With no lake data the tables say ``NO_DATA``.
+    """
     stamp = stamp or time.strftime("%Y%m%d_%H%M%S")
     out = f"{out_root}/{stamp}"
-    rs = build_reports(spark, lake_root, day)
+    cube = reports.report_cube(read_valid_lake(spark, f"{lake_root}/transactions", day),
+                               read_fraud_lake(spark, f"{lake_root}/fraud", day))
+    cube.write.mode("overwrite").parquet(f"{out}/cube")
+    cube = spark.read.schema(cube.schema).parquet(f"{out}/cube")
+    rs = build_reports(spark, lake_root, day, cube)
     for name in ("reconciliation", "fraud_summary", "fraud_by_category", "fraud_by_type", "daily"):
         write_report(getattr(rs, name), f"{out}/{name}")
     write_report_text(rs.lines, f"{out}/lines")
+    for kind, sections in TEXT_REPORTS.items():
+        write_report_text(rs.lines.where(F.col("section").isin(*sections)), f"{out}/{kind}_{stamp}")
     return out

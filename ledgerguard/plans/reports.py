@@ -13,27 +13,54 @@ from pyspark.sql import functions as F
 from ledgerguard import config as C
 from ledgerguard.config import (BALANCE_TOLERANCE, BAR_WIDTH, DEFAULT_CONFIG, STATUS_BALANCED,
                                 STATUS_DISCREPANCY, STATUS_NO_DATA, ScreeningConfig)
-from ledgerguard.functions.expressions import exact, money, money_sum, nan_to_null, no_money, pct_of, ratio
+from ledgerguard.functions.expressions import exact, money, no_money, pct_of, ratio
 from ledgerguard.functions.formatting import bar, fmt_count, fmt_money, fmt_pct, fmt_pct1
-from ledgerguard.operators.rules import WINDOW_START, tumbling_travel_keys
+from ledgerguard.operators.rules import WINDOW_START
 from ledgerguard.schema import EVENT_TIME
 
 VALID, FRAUD = "V", "F"
 
 
-def _lakes(valid: DataFrame, fraud: DataFrame, *cols: str) -> DataFrame:
-    """Both lakes as one tagged column set, so each report is a single scan pass."""
-    v = valid.select(F.lit(VALID).alias("kind"), *cols)
-    f = fraud.select(F.lit(FRAUD).alias("kind"), *cols)
-    return v.unionByName(f)
+#: What a lake row adds up to; a cube row holds the sums of many lake rows.
+MEASURES = ("n_rows", "n_ids", "n_amounts", "volume")
+CUBE_KEYS = ("kind", "date", "merchant_category", "fraud_type")
 
 
 def _is(kind: str) -> Column:
     return F.col("kind") == F.lit(kind)
 
 
-def _sum_where(cond: Column, c: str = "amount") -> Column:
-    return F.sum(F.when(cond, exact(F.col(c))))
+def lake_measures(valid: DataFrame | None = None, fraud: DataFrame | None = None) -> DataFrame:
+    """Lake rows as (``kind``, ``date``, ``merchant_category``, ``fraud_type``, measures).
+
+    Every report sums the measures, so it takes these rows or a ``report_cube``
+    of them alike. Category and rule are kept of fraud rows only; unused
+    columns are pruned from the scan.
+    """
+    def side(df: DataFrame, kind: str) -> DataFrame:
+        def key(name: str, kept: bool = True) -> Column:
+            return F.col(name) if kept and name in df.columns else F.lit(None).cast("string").alias(name)
+        date = F.col("date") if "date" in df.columns else F.lit(None).cast("date").alias("date")
+        amount = exact(F.col("amount"))
+        return df.select(F.lit(kind).alias("kind"), date, key("merchant_category", kind == FRAUD),
+                         key("fraud_type", kind == FRAUD), F.lit(1).cast("long").alias("n_rows"),
+                         F.col("transaction_id").isNotNull().cast("long").alias("n_ids"),
+                         amount.isNotNull().cast("long").alias("n_amounts"), amount.alias("volume"))
+    sides = [side(df, kind) for df, kind in ((valid, VALID), (fraud, FRAUD)) if df is not None]
+    return sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
+
+
+def report_cube(valid: DataFrame, fraud: DataFrame) -> DataFrame:
+    """Both lakes, read once, summed by kind, date, category and rule.
+
+    Every report follows from these few rows by the same code as from the lakes.
+    """
+    return lake_measures(valid, fraud).groupBy(*CUBE_KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
+def _total(kind: str, measure: str) -> Column:
+    none = no_money() if measure == "volume" else F.lit(0).cast("long")
+    return F.coalesce(F.sum(F.when(_is(kind), F.col(measure))), none)
 
 
 def _zero_safe(c: Column) -> Column:
@@ -42,18 +69,21 @@ def _zero_safe(c: Column) -> Column:
 
 
 def reconciliation_reference(valid: DataFrame, fraud: DataFrame) -> DataFrame:
+    """The screened system's reconciliation of two lakes (see ``reconciliation_of``)."""
+    return reconciliation_of(lake_measures(valid, fraud))
+
+
+def reconciliation_of(measures: DataFrame) -> DataFrame:
     """The screened system's reconciliation: ingress := validated + fraud rows.
 
     One row: counts, volumes (NaN skipped, 0 on no rows), the difference
     ``ingress - validated - fraud``, balance status and rates (fraud rate 0
     and validation rate 100 on no rows). Because ingress is derived from the
-    two outputs, the check can only fail through rounding or NaN.
+    two outputs, the check can only fail through rounding or NaN. Lakes that
+    hold no rows give ``NO_DATA``, whether they are absent or empty.
     """
-    u = _lakes(valid, fraud, "amount")
-    agg = u.agg(F.count_if(_is(VALID)).alias("validated_count"),
-                F.coalesce(_sum_where(_is(VALID)), no_money()).alias("_vv"),
-                F.count_if(_is(FRAUD)).alias("fraud_count"),
-                F.coalesce(_sum_where(_is(FRAUD)), no_money()).alias("_fv"))
+    agg = measures.agg(_total(VALID, "n_rows").alias("validated_count"), _total(VALID, "volume").alias("_vv"),
+                       _total(FRAUD, "n_rows").alias("fraud_count"), _total(FRAUD, "volume").alias("_fv"))
     ingress_n = F.col("validated_count") + F.col("fraud_count")
     ingress_v = F.col("_vv") + F.col("_fv")
     diff = ingress_v - F.col("_vv") - F.col("_fv")
@@ -74,34 +104,39 @@ def reconciliation_reference(valid: DataFrame, fraud: DataFrame) -> DataFrame:
     )
 
 
-def _breakdown(fraud: DataFrame, key: str, with_avg: bool) -> DataFrame:
-    aggs = [F.count("transaction_id").alias("count"), F.count(F.lit(1)).alias("_rows"),
-            money_sum(F.col("amount")).alias("total_amount")]
-    if with_avg:
-        aggs.append(ratio(F.avg(nan_to_null(F.col("amount")))).alias("avg_amount"))
-    g = fraud.groupBy(key).agg(*aggs)
+def breakdown_of(measures: DataFrame, key: str, with_avg: bool) -> DataFrame:
+    """Fraud rows per ``key``: count of ids, share, total and, on request, mean amount."""
+    aggs = [F.sum("n_ids").alias("count"), F.sum("n_rows").alias("_rows"), F.sum("volume").alias("_v"),
+            F.sum("n_amounts").alias("_n")]
+    g = measures.where(_is(FRAUD)).groupBy(key).agg(*aggs)
     # Share of *all* fraud rows, NULL keys included, as the screened report
     # computes it. The window runs over the aggregated rows (one per key).
     total = F.sum("_rows").over(Window.partitionBy())
     out = g.withColumn("pct", pct_of(F.col("count"), total)).where(F.col(key).isNotNull())
-    cols = [key, "count", "pct", "total_amount"] + (["avg_amount"] if with_avg else [])
+    cols = [key, "count", "pct", money(F.coalesce("_v", no_money())).alias("total_amount")]
+    if with_avg:
+        cols.append(ratio(F.when(F.col("_n") > 0, F.col("_v").cast("double") / F.col("_n"))).alias("avg_amount"))
     return out.select(*cols).orderBy(F.desc("count"), F.asc(key))
 
 
 def fraud_by_category(fraud: DataFrame) -> DataFrame:
     """Fraud rows per merchant category: count of ids, share, total and mean amount."""
-    return _breakdown(fraud, "merchant_category", with_avg=True)
+    return breakdown_of(lake_measures(fraud=fraud), "merchant_category", with_avg=True)
 
 
 def fraud_by_type(fraud: DataFrame) -> DataFrame:
     """Fraud rows per detection rule: count of ids, share and total amount."""
-    return _breakdown(fraud, "fraud_type", with_avg=False)
+    return breakdown_of(lake_measures(fraud=fraud), "fraud_type", with_avg=False)
 
 
 def fraud_summary(fraud: DataFrame) -> DataFrame:
     """One row: fraud row count, volume and average (0 when there are none)."""
-    agg = fraud.agg(F.count(F.lit(1)).alias("fraud_count"),
-                    F.coalesce(F.sum(exact(F.col("amount"))), no_money()).alias("_v"))
+    return summary_of(lake_measures(fraud=fraud))
+
+
+def summary_of(measures: DataFrame) -> DataFrame:
+    """``fraud_summary`` of measures."""
+    agg = measures.agg(_total(FRAUD, "n_rows").alias("fraud_count"), _total(FRAUD, "volume").alias("_v"))
     return agg.select("fraud_count", money(F.col("_v")).alias("fraud_volume"),
                       ratio(F.when(F.col("fraud_count") > 0, F.col("_v").cast("double") / F.col("fraud_count"))
                             .otherwise(F.lit(0.0))).alias("avg_amount"))
@@ -113,14 +148,18 @@ def daily_lake_counts(valid: DataFrame, fraud: DataFrame) -> DataFrame:
     A filter on ``date`` before this prunes lake partitions, which makes the
     incremental (daily) report read one day instead of all history.
     """
-    u = _lakes(valid, fraud, "amount", "date")
-    return (u.rollup("date")
-             .agg(F.grouping("date").cast("boolean").alias("is_total"),
-                  F.count_if(_is(VALID)).alias("validated_count"),
-                  money(F.coalesce(_sum_where(_is(VALID)), no_money())).alias("validated_volume"),
-                  F.count_if(_is(FRAUD)).alias("fraud_count"),
-                  money(F.coalesce(_sum_where(_is(FRAUD)), no_money())).alias("fraud_volume"))
-             .orderBy("is_total", "date"))
+    return daily_of(lake_measures(valid, fraud))
+
+
+def daily_of(measures: DataFrame) -> DataFrame:
+    """``daily_lake_counts`` of measures."""
+    return (measures.rollup("date")
+            .agg(F.grouping("date").cast("boolean").alias("is_total"),
+                 _total(VALID, "n_rows").alias("validated_count"),
+                 money(_total(VALID, "volume")).alias("validated_volume"),
+                 _total(FRAUD, "n_rows").alias("fraud_count"),
+                 money(_total(FRAUD, "volume")).alias("fraud_volume"))
+            .orderBy("is_total", "date"))
 
 
 def reconciliation_true(parsed: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG,
@@ -130,33 +169,34 @@ def reconciliation_true(parsed: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG
     ``raw = valid + high_value + unrouted`` must hold (unrouted: NULL amount,
     which includes malformed rows). ``reference_ingress - raw`` equals
     ``travel_alerts - unrouted`` and shows the double count of the reference
-    reconciliation. One pass over the input plus the small flagged-key set.
+    reconciliation.
+
+    One pass without a join: counts and sums by route are taken per (user,
+    window), with the least and greatest country that tell a flagged group, and
+    then over the groups. Rows without time form groups that are never flagged.
     """
-    t = F.lit(float(cfg.high_value_threshold))
-    keys = tumbling_travel_keys(parsed, cfg).withColumn("_member", F.lit(True))
-    rows = parsed.withColumn(WINDOW_START, F.window(F.col(EVENT_TIME), cfg.travel_window).start)
-    cond = [rows["user_id"].eqNullSafe(keys["user_id"]), rows[WINDOW_START] == keys[WINDOW_START]]
-    tagged = rows.join(keys, cond, "left").select(
-        F.lit("R").alias("kind"), "amount", F.coalesce(F.col("_member"), F.lit(False)).alias("m"),
-        (malformed if malformed is not None else F.lit(False)).alias("bad"))
-    alerts = keys.select(F.lit("K").alias("kind"), F.lit(None).cast("double").alias("amount"),
-                         F.lit(False).alias("m"), F.lit(False).alias("bad"))
-    u = tagged.unionByName(alerts)
-    r = F.col("kind") == "R"
-    a = F.col("amount")
-    agg = u.agg(
-        F.count_if(r).alias("raw_count"),
-        F.count_if(r & (a <= t)).alias("valid_count"),
-        F.count_if(r & (a > t)).alias("high_value_count"),
-        F.count_if(r & a.isNull()).alias("unrouted_count"),
-        F.count_if(r & F.col("bad")).alias("malformed_count"),
-        F.count_if(F.col("kind") == "K").alias("travel_alerts"),
-        F.count_if(r & F.col("m")).alias("travel_members"),
-        F.count_if(r & F.col("m") & (a <= t)).alias("travel_members_valid"),
-        F.count_if(r & F.col("m") & (a > t)).alias("travel_members_high_value"),
-        money_sum(F.when(r, a)).alias("raw_volume"),
-        money_sum(F.when(r & (a <= t), a)).alias("valid_volume"),
-        money_sum(F.when(r & (a > t), a)).alias("high_value_volume"),
+    a, t = F.col("amount"), F.lit(float(cfg.high_value_threshold))
+    routes = {"valid": a <= t, "high_value": a > t, "unrouted": a.isNull(),
+              "malformed": malformed if malformed is not None else F.lit(False)}
+    sums = {"raw": F.lit(True), "valid": a <= t, "high_value": a > t}
+    # F.window drops rows without time, so only the others go through it
+    some_time = F.lit("1970-01-01 00:00:00").cast(parsed.schema[EVENT_TIME].dataType)
+    start = F.window(F.coalesce(EVENT_TIME, some_time), cfg.travel_window).start
+    groups = (parsed.withColumn(WINDOW_START, start)
+              .withColumn(WINDOW_START, F.when(F.col(EVENT_TIME).isNotNull(), F.col(WINDOW_START)))
+              .groupBy("user_id", WINDOW_START)).agg(
+        F.count(F.lit(1)).alias("raw"), *[F.count_if(c).alias(r) for r, c in routes.items()],
+        *[F.sum(F.when(c, exact(a))).alias(f"{r}_sum") for r, c in sums.items()],
+        F.min("country").alias("c_min"), F.max("country").alias("c_max"))
+    flagged = F.col(WINDOW_START).isNotNull() & (F.col("c_min") != F.col("c_max"))
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long"))
+    agg = groups.withColumn("m", F.coalesce(flagged, F.lit(False))).agg(
+        *[n(F.col(r)).alias(f"{r}_count") for r in ("raw", *routes)],
+        F.count_if("m").alias("travel_alerts"),
+        n(F.when(F.col("m"), F.col("raw"))).alias("travel_members"),
+        n(F.when(F.col("m"), F.col("valid"))).alias("travel_members_valid"),
+        n(F.when(F.col("m"), F.col("high_value"))).alias("travel_members_high_value"),
+        *[money(F.coalesce(F.sum(f"{r}_sum"), no_money())).alias(f"{r}_volume") for r in sums],
     )
     ref_ingress = F.col("valid_count") + F.col("high_value_count") + F.col("travel_alerts")
     routed = F.col("valid_count") + F.col("high_value_count") + F.col("unrouted_count")
@@ -181,30 +221,27 @@ def _pad_left(s: Column, w: int) -> Column:
 
 
 def report_lines(valid: DataFrame, fraud: DataFrame) -> DataFrame:
-    """Data lines of both text reports as an ordered (``section``, ``ord``, ``line``) frame.
+    """Data lines of both text reports as an ordered (``section``, ``ord``, ``line``) frame."""
+    return lines_of(lake_measures(valid, fraud))
+
+
+def lines_of(measures: DataFrame) -> DataFrame:
+    """``report_lines`` of measures.
 
-    One pass over both lakes: every row is aggregated once per report level
-    (lake total, and for fraud rows also category and rule) with map-side
-    partial aggregation. A global aggregation then gathers those few rows into
-    a single row, from which all lines are rendered with JVM string and array
-    functions. The values equal those of the report tables above.
+    One pass: every row is aggregated once per report level (lake total, and
+    for fraud rows also category and rule) with map-side partial aggregation. A
+    global aggregation then gathers those few rows into a single row, from which
+    all lines are rendered with JVM string and array functions. The values equal
+    those of the report tables above.
     """
-    none = F.lit(None).cast("string")
-    u = (valid.select(F.lit(VALID).alias("kind"), "amount", none.alias("merchant_category"),
-                      none.alias("fraud_type"), none.alias("transaction_id"))
-         .unionByName(fraud.select(F.lit(FRAUD).alias("kind"), "amount", "merchant_category",
-                                   "fraud_type", "transaction_id")))
-    total = F.struct(F.lit("total").alias("level"), none.alias("key"))
-    levels = F.when(_is(FRAUD), F.array(
-        total,
-        F.struct(F.lit("category").alias("level"), F.col("merchant_category").alias("key")),
-        F.struct(F.lit("type").alias("level"), F.col("fraud_type").alias("key")),
-    )).otherwise(F.array(total))
-    amt = nan_to_null(F.col("amount"))
-    per_level = (u.select("kind", "amount", "transaction_id", F.explode(levels).alias("lv"))
-                  .groupBy("kind", F.col("lv.level").alias("level"), F.col("lv.key").alias("key"))
-                  .agg(F.count(F.lit(1)).alias("n_rows"), F.count("transaction_id").alias("n_ids"),
-                       F.sum(exact(F.col("amount"))).alias("s"), F.count(amt).alias("n_amt")))
+    level = lambda name, key: F.struct(F.lit(name).alias("level"), key.cast("string").alias("key"))
+    total = level("total", F.lit(None))
+    levels = F.when(_is(FRAUD), F.array(total, level("category", F.col("merchant_category")),
+                                        level("type", F.col("fraud_type")))).otherwise(F.array(total))
+    per_level = (measures.select("kind", *MEASURES, F.explode(levels).alias("lv"))
+                 .groupBy("kind", F.col("lv.level").alias("level"), F.col("lv.key").alias("key"))
+                 .agg(F.sum("n_rows").alias("n_rows"), F.sum("n_ids").alias("n_ids"),
+                      F.sum("volume").alias("s"), F.sum("n_amounts").alias("n_amt")))
     tot = lambda kind, c: F.coalesce(F.sum(F.when(_is(kind) & (F.col("level") == "total"), F.col(c))),
                                      F.lit(0))
     item = F.struct((-F.col("n_ids")).alias("neg"), F.col("key").alias("key"), F.col("n_ids").alias("n"),

@@ -2,8 +2,7 @@
 rows to the valid lake, and one metrics row per batch.
 
 The rules are the batch operators; ``foreachBatch`` is only the multi-sink
-fan-out. The batch is cached once and every count comes from one aggregation
-over the cached rows.
+fan-out. A micro-batch is cached once; every count comes from one aggregation.
 """
 
 from __future__ import annotations
@@ -39,7 +38,9 @@ class BatchRouter:
     failure does not double rows; a broker topic is at-least-once. ``run_id``
     names the writer: ``start_screening`` keeps it with the checkpoint, a
     router used by itself gets a new one. ``quarantine_path`` takes the rows
-    that cannot be routed, with their text and the reason.
+    that cannot be routed, with their text and the reason. ``cache=False`` is
+    for tables: each sink then reads its few columns of the input again, where
+    caching would copy the whole table to the executors' disks.
     """
 
     valid_path: str
@@ -50,6 +51,7 @@ class BatchRouter:
     metrics_path: str | None = None
     quarantine_path: str | None = None
     run_id: str = field(default_factory=lambda: f"run-{uuid.uuid4().hex}")
+    cache: bool = True
 
     def _folder(self, path: str, batch_id: int) -> str:
         return f"{path}/run_id={self.run_id}/batch_id={int(batch_id)}"
@@ -59,7 +61,7 @@ class BatchRouter:
         a = F.col("amount")
         bad = malformed_reason().isNotNull() if "_corrupt_record" in batch.columns \
             else F.col("transaction_id").isNull() | a.isNull()
-        cached = batch.persist()
+        cached = batch.persist() if self.cache else batch
         alerts = None
         try:
             alerts = all_alerts(cached, self.cfg).persist()
@@ -89,7 +91,8 @@ class BatchRouter:
         finally:
             if alerts is not None:
                 alerts.unpersist()
-            cached.unpersist()
+            if self.cache:
+                cached.unpersist()
 
 
 def checkpoint_run_id(spark: SparkSession, checkpoint: str) -> str:

@@ -42,6 +42,8 @@ def test_screening_job_and_reports(spark, workdir):
     lines = [r.value for r in spark.read.text(f"{out}/lines").collect()]
     assert any(x.startswith("Status: ✓ BALANCED") for x in lines)
     assert spark.read.parquet(f"{out}/fraud_by_type").count() == 2
+    texts = [[r.value for r in spark.read.text(f"{out}/{kind}_s1").collect()] for kind in ("reconciliation", "analytics")]
+    assert texts[0] + texts[1] == lines and len(texts[0]) == 10
     day = build_reports(spark, f"{workdir}/lake", day="2024-01-02").reconciliation.first()
     assert day.status == "NO_DATA"
 

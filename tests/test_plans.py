@@ -50,3 +50,8 @@ def test_trailing_shuffles_rows_once_on_user_and_slice(spark):
     assert 1 <= plan.count("Exchange hashpartitioning(user_id, _slice") <= 2
     # the windows run per (user, slice), never per user over raw rows
     assert "windowspecdefinition(user_id, _slice, _key" in plan
+
+
+def test_true_reconciliation_takes_one_pass(spark):
+    plan = _plan(E.queries()["reconciliation_true"](spark, SF_SMALL))
+    assert plan.count("from_json(") == 1 and plan.count("FileScan") == 1 and "Join" not in plan

@@ -87,3 +87,29 @@ def test_true_reconciliation_identity(spark):
     assert (r.travel_alerts, r.travel_members, r.travel_members_valid) == (1, 2, 1)
     assert r.reference_ingress_count - r.raw_count == r.travel_alerts - r.unrouted_count
     assert r.status == "BALANCED"
+
+
+def test_true_reconciliation_without_rows_or_times(spark):
+    tx = tx_rows(spark, [("a", "u1", "bad", 1.0, "Food", "USA"), ("b", "u1", "worse", 9000.0, "Food", "Japan"),
+                         ("c", "u1", "1970-01-01 00:00:00", 1.0, "Food", "UAE")])
+    r = reports.reconciliation_true(tx, CFG).first()
+    assert (r.raw_count, r.valid_count, r.travel_alerts, r.travel_members) == (3, 2, 0, 0)
+    r = reports.reconciliation_true(tx.limit(0), CFG).first()
+    assert (r.raw_count, r.travel_members, r.raw_volume, r.status) == (0, 0, 0.0, "NO_DATA")
+
+
+def test_breakdowns_are_sorted_and_a_cube_gives_the_same_reports(spark):
+    rows = [(str(i), f"u{i}", f"2024-01-0{1 + i % 3} 00:00:00", 6000.0 + i, cat, "USA")
+            for i, cat in enumerate(["Food", "Travel", "Travel", "Books", None, "Travel", "Art", "Food"])]
+    rows.append(("n", "v", "2024-01-01 00:00:00", float("nan"), "Food", "USA"))
+    rows.append(("p", "u0", "2024-01-01 00:01:00", 1.0, "Food", "Japan"))
+    tx = tx_rows(spark, rows)
+    valid, fraud = rules.valid_transactions(tx, CFG), rules.fraud_lake_rows(rules.all_alerts(tx, CFG))
+    names = [(r["count"], r.merchant_category) for r in reports.fraud_by_category(fraud).collect()]
+    assert names == sorted(names, key=lambda x: (-x[0], x[1])) and len(names) == 4
+    assert [r.fraud_type for r in reports.fraud_by_type(fraud).collect()] == ["HIGH_VALUE", "IMPOSSIBLE_TRAVEL"]
+    cube = reports.report_cube(valid, fraud)
+    raw = reports.lake_measures(valid, fraud)
+    for table in (reports.reconciliation_of, reports.summary_of, reports.daily_of, reports.lines_of,
+                  lambda m: reports.breakdown_of(m, "merchant_category", True)):
+        assert table(cube).collect() == table(raw).collect()
