@@ -8,7 +8,7 @@ DataFrame. Work folders are fresh sub-folders of ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -20,13 +20,14 @@ from ledgerguard.session import fresh_path
 from ledgerguard.sources.fixtures import fixture_transactions
 from ledgerguard.sources.json_ingest import parse_transactions
 from ledgerguard.sources.lakes import read_fraud_lake, read_parquet_or_empty, read_valid_lake
-from ledgerguard.streaming.replay import with_replay_date, write_replay
+from ledgerguard.streaming.replay import write_replay
 from ledgerguard.streaming.router import METRICS_SCHEMA, BatchRouter, start_screening
 from ledgerguard.streaming.sources import file_source
 from ledgerguard.streaming.stateful import (TrailingTravelRouter, UpsertSink, dedup_transactions,
                                             stateful_session_travel, stateful_tumbling_travel)
 
-REPLAY_FILES = 4
+#: Files of a replay, at least, and rows of one file, at most (a single day is never split).
+REPLAY_FILES, REPLAY_ROWS = 4, 2_000_000
 
 QUARANTINE_SCHEMA = StructType([StructField(c, StringType(), True) for c in
                                 ("value", "transaction_id", "user_id", "country", "reason")])
@@ -38,29 +39,50 @@ def _run(query) -> None:
         raise query.exception()
 
 
-def _message_replay(spark: SparkSession, sf_dir: str, copies: int = 1, flush: bool = False) -> str:
-    """Transaction messages (JSON lines) in ``REPLAY_FILES`` time-ordered files.
+def replay_chunks(tx: DataFrame) -> tuple[int, int]:
+    """(files, days a file): ``REPLAY_FILES``, more where a file would pass ``REPLAY_ROWS`` rows, whole days each."""
+    r = tx.agg(F.count(F.lit(1)).alias("n"), F.min(EVENT_TIME).cast("date").alias("a"),
+               F.max(EVENT_TIME).cast("date").alias("b")).first()
+    days = (r["b"] - r["a"]).days + 1 if r["a"] else 1
+    files = min(days, max(REPLAY_FILES, -(-r["n"] // REPLAY_ROWS)))
+    return files, -(-days // files)
 
-    ``flush`` adds one message of a user of its own, a day after all others: the
-    watermark passes every real session, so that append mode emits them all.
+
+def _message_replay(spark: SparkSession, sf_dir: str, copies: int = 1, flush: bool = False,
+                    straddle: bool = False) -> tuple[str, int]:
+    """(folder of transaction messages as JSON lines in time-ordered files, days a file spans).
+
+    Each file holds whole days. With ``straddle`` every second row (by hash) waits
+    for the next file, so that windows, sessions and travel pairs are split over
+    micro-batches; ``copies`` of a message then alternate between the two files.
+    No row is later than the days a file spans. ``flush`` adds one message of a
+    user of its own, past the end of all others by more than that: the watermark
+    passes every real session, so that append mode emits them all.
     """
     tx = fixture_transactions(spark, sf_dir, CFG)
+    files, days = replay_chunks(tx)
+    day = F.datediff(F.col(EVENT_TIME), tx.agg(F.min(EVENT_TIME).cast("date")).scalar())
+    tx = tx.withColumn("_replay_file", F.coalesce(F.floor(day / days), F.lit(0)).cast("int"))
+    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    tx = tx.withColumn("_copy", copy)
+    if straddle:
+        late = F.pmod(F.xxhash64("transaction_id") + F.col("_copy"), F.lit(2)).cast("int")
+        tx = tx.withColumn("_replay_file", F.col("_replay_file") + late)
     if flush:
-        late = (tx.agg((F.max(EVENT_TIME) + F.expr("interval 1 day")).alias(EVENT_TIME))
-                .withColumn("timestamp", F.date_format(EVENT_TIME, "yyyy-MM-dd HH:mm:ss"))
-                .withColumns({"transaction_id": F.lit("flush"), "user_id": F.lit("flush")}))
-        tx = tx.unionByName(late, allowMissingColumns=True)
-    tx = with_replay_date(tx)
-    msgs = tx.select(F.to_json(F.struct(*TRANSACTION_COLUMNS)).alias("value"), "_replay_date")
-    for _ in range(copies - 1):
-        msgs = msgs.unionByName(msgs)
-    return write_replay(msgs, fresh_path(spark, "replay"), REPLAY_FILES, fmt="text")
+        last = (tx.agg((F.max(EVENT_TIME) + F.make_dt_interval(F.lit(2 * days + 1))).alias(EVENT_TIME))
+                .withColumn("timestamp", F.substring(F.col(EVENT_TIME).cast("string"), 1, 19))
+                .withColumns({"transaction_id": F.lit("flush"), "user_id": F.lit("flush"),
+                              "_replay_file": F.lit(files + int(straddle))}))
+        tx = tx.unionByName(last, allowMissingColumns=True)
+    msgs = tx.select(F.to_json(F.struct(*TRANSACTION_COLUMNS)).alias("value"), "_replay_file")
+    n = files + int(straddle) + int(flush)
+    return write_replay(msgs, fresh_path(spark, "replay"), n, fmt="text", file_col="_replay_file"), days
 
 
 def screen_replay(spark: SparkSession, sf_dir: str) -> str:
     """Run the routing stream over the replayed table; returns its work folder."""
     base = fresh_path(spark, "screen")
-    stream = parse_transactions(file_source(spark, _message_replay(spark, sf_dir), "text"))
+    stream = parse_transactions(file_source(spark, _message_replay(spark, sf_dir)[0], "text"))
     router = BatchRouter(valid_path=f"{base}/valid", fraud_path=f"{base}/fraud", cfg=CFG,
                          alert_format="json", alert_path=f"{base}/alerts",
                          metrics_path=f"{base}/metrics")
@@ -89,14 +111,17 @@ def q_stream_metrics(spark, sf_dir):
                    ("raw", "valid", "high_value", "unrouted", "malformed", "alerts", "travel_alerts")])
 
 
-def _screened_stream(spark, sf_dir, copies: int = 1, flush: bool = False):
-    return parse_transactions(file_source(spark, _message_replay(spark, sf_dir, copies, flush), "text"))
+def _straddling_stream(spark, sf_dir, copies: int = 1, flush: bool = False):
+    """(stream whose windows and copies are split over micro-batches, configuration that waits for them)."""
+    folder, days = _message_replay(spark, sf_dir, copies, flush, straddle=True)
+    return parse_transactions(file_source(spark, folder, "text")), CFG.with_(watermark_delay=f"{days} days")
 
 
 def q_stream_travel_stateful(spark, sf_dir):
     base = fresh_path(spark, "travel-stateful")
     sink = UpsertSink(f"{base}/out", keys=("user_id", "window_start"))
-    alerts = stateful_tumbling_travel(_screened_stream(spark, sf_dir), CFG)
+    stream, cfg = _straddling_stream(spark, sf_dir)
+    alerts = stateful_tumbling_travel(stream, cfg)
     q = (alerts.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     _run(q)
@@ -105,7 +130,8 @@ def q_stream_travel_stateful(spark, sf_dir):
 
 def q_stream_travel_session(spark, sf_dir):
     base = fresh_path(spark, "travel-session")
-    sessions = stateful_session_travel(_screened_stream(spark, sf_dir, flush=True), CFG)
+    stream, cfg = _straddling_stream(spark, sf_dir, flush=True)
+    sessions = stateful_session_travel(stream, cfg)
     q = (sessions.writeStream
          .outputMode("append").format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
@@ -115,7 +141,8 @@ def q_stream_travel_session(spark, sf_dir):
 
 def q_stream_dedup(spark, sf_dir):
     base = fresh_path(spark, "dedup")
-    unique = dedup_transactions(_screened_stream(spark, sf_dir, copies=2), CFG).select(*TRANSACTION_COLUMNS)
+    stream, cfg = _straddling_stream(spark, sf_dir, copies=2)
+    unique = dedup_transactions(stream, cfg).select(*TRANSACTION_COLUMNS)
     q = (unique.writeStream
          .outputMode("append").format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
@@ -125,8 +152,9 @@ def q_stream_dedup(spark, sf_dir):
 
 def q_stream_travel_trailing(spark, sf_dir):
     base = fresh_path(spark, "travel-trailing")
-    router = TrailingTravelRouter(out_path=f"{base}/out", state_path=f"{base}/state", cfg=CFG)
-    q = (_screened_stream(spark, sf_dir).writeStream.foreachBatch(router)
+    stream, cfg = _straddling_stream(spark, sf_dir)
+    router = TrailingTravelRouter(out_path=f"{base}/out", state_path=f"{base}/state", cfg=cfg)
+    q = (stream.writeStream.foreachBatch(router)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     _run(q)
     return read_parquet_or_empty(spark, f"{base}/out", TRANSACTION_SCHEMA).select(*TRANSACTION_COLUMNS)

@@ -1,9 +1,9 @@
 """Replay a table as a time-ordered stream of files.
 
 Used to drive the streaming operators from the given tables: the rows are
-range-partitioned by event date into ``n`` files (so each file holds whole,
-contiguous days and the file order is the time order), written once to the
-shared folder, and read back with ``maxFilesPerTrigger=1``.
+range-partitioned by an order column into ``n`` files (rows of one value stay in
+one file, and the file order is that of the column), written once to the shared
+folder, and read back with ``maxFilesPerTrigger=1``.
 """
 
 from __future__ import annotations
@@ -11,17 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerguard.schema import EVENT_TIME
 
 
 def write_replay(rows: DataFrame, path: str, n_files: int, fmt: str = "text",
-                 value_col: str = "value", order_col: str = "_replay_date") -> str:
+                 value_col: str = "value", order_col: str = "_replay_date",
+                 file_col: str | None = None) -> str:
     """Write ``rows`` as ``n_files`` files in time order; returns ``path``.
 
-    ``rows`` must carry ``order_col`` (a date); for ``fmt="text"`` only
+    ``file_col`` (an int from 0), where given, says which file a row goes to;
+    otherwise ``order_col`` is cut into ranges of about equal size.
+    ``rows`` must carry ``order_col``; for ``fmt="text"`` only
     ``value_col`` is written, one message per line.
     """
-    chunks = rows.repartitionByRange(n_files, F.col(order_col))
+    order_col = file_col or order_col
+    chunks = rows.repartitionById(n_files, F.col(file_col)) if file_col \
+        else rows.repartitionByRange(n_files, F.col(order_col))
     if fmt == "text":
         chunks.select(value_col).write.mode("overwrite").text(path)
     else:
@@ -48,7 +52,3 @@ def _order_file_times(spark: SparkSession, path: str) -> None:
         fs.setTimes(file, base + i * 1000, -1)
         if fs.getFileStatus(file).getModificationTime() != base + i * 1000:
             raise RuntimeError(f"{name} keeps its write time: a replay out of order would drop late rows")
-
-
-def with_replay_date(tx: DataFrame) -> DataFrame:
-    return tx.withColumn("_replay_date", F.col(EVENT_TIME).cast("date"))
