@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -26,19 +26,27 @@ STEP_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package's code, once per application, as ``--py-files`` would."""
+    """Give the executors this package's code, once per application, as ``--py-files`` would.
+
+    The archive lies in the shared folder.
+    """
     context = spark.sparkContext
     if getattr(context, "_ledgerguard_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="ledgerguard-"), "ledgerguard-code.zip")
-    with zipfile.ZipFile(path, "w") as out:
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as out:
         for folder, _, names in os.walk(root):
             for name in names:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     out.write(full, os.path.relpath(full, os.path.dirname(root)))
-    context.addPyFile(path)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{fresh_path(spark, 'code')}/ledgerguard-code.zip")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.create(path)
+    stream.write(archive.getvalue())
+    stream.close()
+    context.addPyFile(fs.makeQualified(path).toString())
     context._ledgerguard_shipped = True
 
 
