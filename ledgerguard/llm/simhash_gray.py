@@ -225,7 +225,8 @@ def keep_one(docs: DataFrame, words_per_shingle: int = 3, limit: int = 3) -> Dat
     null ids alone keeps one row too.
     """
     one = (near_groups(docs, words_per_shingle, limit).groupBy("group")
-           .agg(F.min(F.struct("k", "r")).alias("one")).select(F.col("one.r").alias("_row")))
+           .agg(F.min(F.struct("k", "r")).alias("one")).select(F.col("one.k").alias("_k"), F.col("one.r").alias("_row")))
     text = F.coalesce(docs["text"], F.lit("")).cast("binary")
-    rows = docs.withColumn("_row", F.xxhash64(F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)), text))
-    return rows.join(one, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    rows = docs.withColumn("_k", F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)))
+    rows = rows.withColumn("_row", F.xxhash64("_k", text))
+    return rows.join(one, ["_k", "_row"], "left_semi").dropDuplicates(["_k", "_row"]).drop("_k", "_row")
