@@ -24,7 +24,7 @@ from ledgerguard.session import fresh_path
 
 MIN_KEY = 10
 
-LINES = "h1 long, h2 long, k long"
+LINES = "h1 long, h2 long, k long, part int"
 
 
 def line_keys(text: bytes) -> list[bytes | None]:
@@ -40,16 +40,21 @@ def _hashes(keys) -> np.ndarray:
 
 
 def line_hashes(docs: DataFrame) -> DataFrame:
-    """(h1, h2, k): each line key of each document of ``keyed`` docs, once per row."""
+    """(h1, h2, k, part): each line key of each document of ``keyed`` docs, once per row.
+
+    ``part`` hashes the row's text: it keeps rows of one doc_id apart.
+    """
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, out = [], []
-        for k, text in zip(batch.column("k").to_pylist(), batch.column("text").to_pylist()):
+        ids, parts, out = [], [], []
+        for k, part, text in zip(*(batch.column(c).to_pylist() for c in ("k", "part", "text"))):
             keys = set(line_keys(text)) - {None}
             ids += [k] * len(keys)
+            parts += [part] * len(keys)
             out += keys
         h = _hashes(out)
-        return pa.record_batch([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(ids, pa.int64())], ["h1", "h2", "k"])
-    return arrow_map(docs, step, LINES)
+        return pa.record_batch([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(ids, pa.int64()),
+                                pa.array(parts, pa.int32())], ["h1", "h2", "k", "part"])
+    return arrow_map(docs.select("k", F.hash("text").alias("part"), "text"), step, LINES)
 
 
 class LineRuns:
@@ -103,7 +108,7 @@ def batch_bounds(docs: DataFrame, batches: int) -> list[int]:
 
 
 def dropped_lines(docs: DataFrame, batches: int = 4, fanout: int = 2) -> DataFrame:
-    """(k, h1, h2): the line keys that each document loses."""
+    """(k, part, h1, h2): the line keys that each row of each document loses."""
     spark = docs.sparkSession
     lines = written(line_hashes(docs), "lines")
     bounds = batch_bounds(docs.select("k"), batches)
@@ -115,7 +120,7 @@ def dropped_lines(docs: DataFrame, batches: int = 4, fanout: int = 2) -> DataFra
         if high is not None:
             part = part.where(F.col("k") < high)
         index.add(part)
-    return lines.join(index.all(), ["h1", "h2"]).where("k > first").select("k", "h1", "h2")
+    return lines.join(index.all(), ["h1", "h2"]).where("k > first").select("k", "part", "h1", "h2")
 
 
 SCHEMA = "k long, n_lines long, n_dropped long, kept string"
@@ -136,13 +141,14 @@ def dedup_lines(docs: DataFrame, *columns: str, batches: int = 4, fanout: int =
     """
     rows = keyed(docs, *columns)
     gone = dropped_lines(rows, batches, fanout)
-    # a document's own dropped keys: at most its lines
-    gone = gone.groupBy("k").agg(F.collect_list(F.struct("h1", "h2")).alias("gone"))
-    rows = rows.join(gone, "k", "left")
+    # a row's own dropped keys: at most its lines, however many rows share the doc_id
+    gone = gone.groupBy(F.col("k").alias("_k"), F.col("part").alias("_part")).agg(
+        F.collect_set(F.struct("h1", "h2")).alias("_gone"))
+    rows = rows.join(gone, (F.col("k") == F.col("_k")) & (F.hash("text") == F.col("_part")), "left").drop("_k", "_part")
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         n_lines, n_dropped, kept = [], [], []
-        for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
+        for text, gone in zip(batch.column("text").to_pylist(), batch.column("_gone").to_pylist()):
             n, dropped = text.count(b"\n") + 1, 0
             if gone:
                 drop = {(g["h1"], g["h2"]) for g in gone}
