@@ -120,10 +120,10 @@ def phrase_rows(docs: DataFrame, length: int, width: int) -> DataFrame:
             out.append((core, start, n, offset))
         core, start, n, offset = map(np.concatenate, zip(*out)) if out else parse(b"")
         return pa.record_batch([pa.array(signed(core)), pa.array(signed(np.array(wholes, np.uint64))),
-                                pa.array(ids, pa.int64()), pa.array(start.astype(np.int32)),
+                                pa.array(ids, pa.binary()), pa.array(start.astype(np.int32)),
                                 pa.array(n.astype(np.int32)), pa.array(offset.astype(np.int32))],
                                ["core", "whole", "r", "start", "n", "offset"])
-    return arrow_map(docs, step, "core long, whole long, r long, start int, n int, offset int")
+    return arrow_map(docs, step, "core long, whole long, r binary, start int, n int, offset int")
 
 
 def _adjacent(core: np.ndarray, strings: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,11 +196,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, width: int = WIDTH,
                 at = x["start"] + x["offset"]
                 out.append((x["core"], r, x["start"], x["n"], x["easy"], x["hot"],
                             text[x["start"]:at], text[at:x["start"] + x["n"] - 1 + length]))
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary(), pa.binary()]
         columns = zip(*out) if out else [[]] * len(kinds)
         return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)],
                                ["core", "r", "start", "n", "easy", "hot", "head", "right"])
-    texts = written(arrow_map(packed, cut, "core long, r long, start int, n int, easy boolean, hot boolean, "
+    texts = written(arrow_map(packed, cut, "core long, r binary, start int, n int, easy boolean, hot boolean, "
                               "head binary, right binary", "packed"), "hard-phrases")
 
     def order(batches):
@@ -209,11 +209,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, width: int = WIDTH,
             repeats = combine(np.asarray(part["core"]), heads, part["right"].to_pylist(), n, length)
             repeats[np.asarray(part["easy"])] = False  # theirs are known
             trigger = np.asarray(part["start"]) + np.fromiter(map(len, heads), np.int64, len(heads))
-            r, a, b = _spans(np.asarray(part["r"]), trigger, repeats, length)
-            yield pa.record_batch([pa.array(r), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))],
+            r, a, b = _spans(np.array(part["r"].to_pylist(), object), trigger, repeats, length)
+            yield pa.record_batch([pa.array(r, pa.binary()), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))],
                                   ["r", "start", "stop"])
     cold = (texts.where("not hot").drop("hot").repartition("core").sortWithinPartitions("core")
-            .mapInArrow(order, "r long, start int, stop int"))
+            .mapInArrow(order, "r binary, start int, stop int"))
     spans = spans.union(cold)
 
     hot = texts.where("hot")
@@ -225,16 +225,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, width: int = WIDTH,
                 found += [xxhash.xxh3_128_digest(whole[i:i + length]) for i in range(n)]
                 ids += [r] * n
                 at += range(a, a + n)
-            return pa.record_batch([pa.array(found, pa.binary()), pa.array(ids, pa.int64()), pa.array(at, pa.int32())],
+            return pa.record_batch([pa.array(found, pa.binary()), pa.array(ids, pa.binary()), pa.array(at, pa.int32())],
                                    ["window", "r", "start"])
         single = arrow_map(hot.select("r", "start", "n", "head", "right"), windows,
-                           "window binary, r long, start int", "right")
+                           "window binary, r binary, start int", "right")
         twice = single.groupBy("window").count().where("count > 1").select("window")
         spans = spans.union(single.join(twice, "window", "left_semi")
                             .select("r", "start", (F.col("start") + length).alias("stop")))
     return spans
 
 
+def _row_key():
+    """The rows' key ``r``: k and a hash of the text, 16 bytes; rows equal in both are interchangeable."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(x), 16, "0") for x in (F.col("k"), F.xxhash64("text"))]))
+
+
 def _packed(docs: DataFrame, *columns: str) -> DataFrame:
     """``docs`` with the text compressed, for joins that move it."""
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -244,7 +249,7 @@ def _packed(docs: DataFrame, *columns: str) -> DataFrame:
                                ["r", "packed", *columns])
     types = dict(docs.dtypes)
     return arrow_map(docs.select("r", "text", *columns), step,
-                     ", ".join(["r long, packed binary", *[f"`{c}` {types[c]}" for c in columns]]))
+                     ", ".join(["r binary, packed binary", *[f"`{c}` {types[c]}" for c in columns]]))
 
 
 def uncovered(text: bytes, spans: list) -> tuple[bytes, int, int]:
@@ -276,7 +281,8 @@ def drop_repeats(docs: DataFrame, *columns: str, length: int = LENGTH, width: in
     null ids are ids like others. An empty table gives an empty result. A text
     of one repeated byte or phrase gives a row for each of its bytes at most.
     """
-    rows = keyed(docs, *columns).withColumn("r", F.xxhash64("k", "text"))
+    rows = keyed(docs, *columns)
+    rows = rows.withColumn("r", _row_key())
     spans = repeated_spans(rows.select("r", "text"), length, width, bucket_rows)
     # a row's own spans; rows equal in id and text share r and their spans
     spans = spans.groupBy("r").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
