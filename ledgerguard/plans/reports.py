@@ -30,32 +30,40 @@ def _is(kind: str) -> Column:
     return F.col("kind") == F.lit(kind)
 
 
-def lake_measures(valid: DataFrame | None = None, fraud: DataFrame | None = None) -> DataFrame:
-    """Lake rows as (``kind``, ``date``, ``merchant_category``, ``fraud_type``, measures).
-
-    Every report sums the measures, so it takes these rows or a ``report_cube``
-    of them alike. Category and rule are kept of fraud rows only; unused
-    columns are pruned from the scan.
-    """
+def _lake_rows(valid: DataFrame | None, fraud: DataFrame | None) -> DataFrame:
+    """Lake rows as (``CUBE_KEYS``, ``transaction_id``, ``volume``); category and rule of fraud rows only."""
     def side(df: DataFrame, kind: str) -> DataFrame:
-        def key(name: str, kept: bool = True) -> Column:
+        def key(name: str, kept: bool) -> Column:
             return F.col(name) if kept and name in df.columns else F.lit(None).cast("string").alias(name)
         date = F.col("date") if "date" in df.columns else F.lit(None).cast("date").alias("date")
-        amount = exact(F.col("amount"))
         return df.select(F.lit(kind).alias("kind"), date, key("merchant_category", kind == FRAUD),
-                         key("fraud_type", kind == FRAUD), F.lit(1).cast("long").alias("n_rows"),
-                         F.col("transaction_id").isNotNull().cast("long").alias("n_ids"),
-                         amount.isNotNull().cast("long").alias("n_amounts"), amount.alias("volume"))
+                         key("fraud_type", kind == FRAUD), "transaction_id", exact(F.col("amount")).alias("volume"))
     sides = [side(df, kind) for df, kind in ((valid, VALID), (fraud, FRAUD)) if df is not None]
     return sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
 
 
-def report_cube(valid: DataFrame, fraud: DataFrame) -> DataFrame:
-    """Both lakes, read once, summed by kind, date, category and rule.
+def lake_measures(valid: DataFrame | None = None, fraud: DataFrame | None = None) -> DataFrame:
+    """Lake rows as (``CUBE_KEYS``, ``MEASURES``).
+
+    Every report sums the measures, so it takes these rows or a ``report_cube``
+    of them alike. Unused columns are pruned from the scan.
+    """
+    return _lake_rows(valid, fraud).select(
+        *CUBE_KEYS, F.lit(1).cast("long").alias("n_rows"),
+        F.col("transaction_id").isNotNull().cast("long").alias("n_ids"),
+        F.col("volume").isNotNull().cast("long").alias("n_amounts"), "volume")
+
+
+def report_cube(valid: DataFrame | None = None, fraud: DataFrame | None = None,
+                keys: tuple[str, ...] = CUBE_KEYS) -> DataFrame:
+    """Lakes, read once, summed by ``keys``: kind, date, category and rule, or fewer.
 
-    Every report follows from these few rows by the same code as from the lakes.
+    Every report on these keys follows from the few rows by the same code as
+    from the lakes.
     """
-    return lake_measures(valid, fraud).groupBy(*CUBE_KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    return _lake_rows(valid, fraud).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("transaction_id").alias("n_ids"),
+        F.count("volume").alias("n_amounts"), F.sum("volume").alias("volume"))
 
 
 def _total(kind: str, measure: str) -> Column:
@@ -119,14 +127,18 @@ def breakdown_of(measures: DataFrame, key: str, with_avg: bool) -> DataFrame:
     return out.select(*cols).orderBy(F.desc("count"), F.asc(key))
 
 
+def _fraud_by(fraud: DataFrame, key: str) -> DataFrame:
+    return report_cube(fraud=fraud, keys=(key,)).withColumn("kind", F.lit(FRAUD))
+
+
 def fraud_by_category(fraud: DataFrame) -> DataFrame:
     """Fraud rows per merchant category: count of ids, share, total and mean amount."""
-    return breakdown_of(lake_measures(fraud=fraud), "merchant_category", with_avg=True)
+    return breakdown_of(_fraud_by(fraud, "merchant_category"), "merchant_category", with_avg=True)
 
 
 def fraud_by_type(fraud: DataFrame) -> DataFrame:
     """Fraud rows per detection rule: count of ids, share and total amount."""
-    return breakdown_of(lake_measures(fraud=fraud), "fraud_type", with_avg=False)
+    return breakdown_of(_fraud_by(fraud, "fraud_type"), "fraud_type", with_avg=False)
 
 
 def fraud_summary(fraud: DataFrame) -> DataFrame:
