@@ -13,6 +13,13 @@ that just missed.
 No piece crosses the start of a word, so the lattice is a chain of word
 lattices; a word's conditional probabilities are computed once and kept. Noise
 comes from a generator seeded by the row's key alone.
+
+The greatest perturbed scores are also -log of the first arrivals of a Poisson
+process of rate 1 whose marks are independent segmentations, each segmentation
+counted when it first arrives: the same law. A text with no likely segmentation
+is sampled that way, since its marks hardly ever repeat and all words of many
+texts are drawn at once with arrays (``Chains``). The text alone decides which
+of the two ways it goes.
 """
 
 from __future__ import annotations
@@ -27,10 +34,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerguard.llm.common import arrow_map
+from ledgerguard.llm.common import arrow_map, mix
 
 SPACE = "▁"
 _CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+LIKELY = -3.0  # log-probability of a text's best segmentation above which it goes through ``sample``
 
 
 class Lattice:
@@ -54,6 +63,48 @@ class Lattice:
         self.longest = max(map(len, self.score))
         self.starts = {p[:j] for p in self.score for j in range(1, len(p) + 1)}
         self.kept: dict[str, list] = {}
+        self._arrays(n)
+
+    def _arrays(self, n: int) -> None:
+        """Scores by id, the pieces' bytes, and the prefixes as a trie in a hash table, for ``Chains``."""
+        self.scores = np.zeros(n)
+        for i, w in self.score.values():
+            self.scores[i] = w
+        self.binary = pa.array([bytes([int(p[3:5], 16)]) if len(p) == 6 and p.startswith("<0x") else p.encode()
+                                for p in self.pieces], pa.binary())
+        self.byte_ids = np.array([self.bytes.get(x, -1) for x in range(256)], np.int64)
+        state = {p: i for i, p in enumerate(sorted(self.starts, key=len))}
+        self.piece_at = np.full(len(state), -1, np.int64)
+        for p, (i, _) in self.score.items():
+            self.piece_at[state[p]] = i
+        self.root = np.full(0x110000, -1, np.int64)
+        bits = (4 * len(state)).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.slots, self.to = np.full((1 << bits) + len(state), -1, np.int64), np.full((1 << bits) + len(state), -1, np.int64)
+        for p, i in state.items():
+            if len(p) == 1:
+                self.root[ord(p)] = i
+                continue
+            key = state[p[:-1]] << 21 | ord(p[-1])
+            at = (key * int(GOLDEN) & (1 << 64) - 1) >> 64 - bits
+            while self.slots[at] >= 0:
+                at += 1
+            self.slots[at], self.to[at] = key, i
+
+    def follow(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The prefix one character longer, -1 if no piece starts with it."""
+        key = state << 21 | code
+        at = (key.view(np.uint64) * GOLDEN >> self.shift).view(np.int64)
+        there = self.slots[at]
+        out = np.where(there == key, self.to[at], -1)
+        more = np.flatnonzero((there != key) & (there >= 0))
+        while len(more):
+            at[more] += 1
+            there = self.slots[at[more]]
+            same = there == key[more]
+            out[more[same]] = self.to[at[more[same]]]
+            more = more[~same & (there >= 0)]
+        return out
 
     def word(self, text: str) -> list:
         """For each place of ``text``, its next pieces: [(ids, end, log-probability given the place)...]."""
@@ -166,6 +217,174 @@ def sample(lattice: Lattice, text: str, k: int, seed: int) -> list[tuple[list[in
     return out
 
 
+class Chains:
+    """The lattices of many words at once: nodes numbered by their distance from the word's end (0), edges by node."""
+
+    def __init__(self, model: Lattice, words: list[str]):
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        n, size = len(codes), np.fromiter(map(len, words), np.int64, len(words))
+        end = np.cumsum(size)
+        left = np.repeat(end, size) - np.arange(n)
+        levels = np.bincount(left)[1:]
+        node = np.zeros(n + 1, np.int64)
+        node[np.argsort(left.astype(np.uint16) if len(levels) < 1 << 16 else left, kind="stable")] = np.arange(1, n + 1)
+        found, at, length, bare = [], np.arange(n), 1, np.ones(n, bool)
+        state = model.root[codes]
+        while True:
+            at, state = at[state >= 0], state[state >= 0]
+            piece = model.piece_at[state]
+            hit = piece >= 0
+            if length == 1:  # a character without a piece: its bytes, as one id above all pieces
+                bare[at[hit]] = False
+                none = np.flatnonzero(bare)
+                found.append((none, len(model.pieces) + codes[none], 1))
+            found.append((at[hit], piece[hit], length))
+            more = left[at] > length
+            at, state = at[more], state[more]
+            if not len(at):
+                break
+            state = model.follow(state, codes[at + length])
+            length += 1
+        degree = np.zeros(n + 1, np.int64)
+        for at, _, _ in found:
+            degree[node[at]] += 1
+        first = np.concatenate([[0], np.cumsum(degree)])
+        self.ids, self.to = np.empty(first[-1], np.int32), np.empty(first[-1], np.int32)
+        free = first[:-1].copy()
+        for at, piece, length in reversed(found):  # the longest, mostly the likeliest, comes first
+            of = node[at]
+            slot = free[of]
+            free[of] += 1
+            self.ids[slot] = piece
+            self.to[slot] = np.where(left[at] == length, 0, node[at + length])
+        known = len(model.pieces)
+        score = model.scores[np.minimum(self.ids, known - 1)]
+        odd = np.flatnonzero(self.ids >= known)
+        score[odd] = utf8_size(self.ids[odd] - known) * model.byte_score
+        rest, best, low = np.zeros(n + 1), np.zeros(n + 1), 1
+        self.log, self.cum = np.empty(first[-1]), np.empty(first[-1])
+        for m in levels:
+            high = low + int(m)
+            a, b, each = first[low], first[high], degree[low:high]
+            starts, to = first[low:high] - a, self.to[a:b]
+            w = score[a:b] + rest[to]
+            top = np.maximum.reduceat(w, starts)
+            part = np.exp(w - np.repeat(top, each))
+            total = np.add.reduceat(part, starts)
+            rest[low:high] = top + np.log(total)
+            self.log[a:b] = w - np.repeat(rest[low:high], each)
+            best[low:high] = np.maximum.reduceat(self.log[a:b] + best[to], starts)
+            part /= np.repeat(total, each)
+            run = np.cumsum(part)
+            self.cum[a:b] = run - np.repeat(run[starts] - part[starts], each)
+            low = high
+        self.cum[first[2:] - 1] = 2.0  # the last edge takes what rounding leaves
+        self.first, self.start = first, node[end - size]
+        self.best = best[self.start]  # log-probability of each word's likeliest segmentation
+
+    def draw(self, word: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A random segmentation of each of ``word``: (ids of all, how many each, log-probability each)."""
+        live, node, phi, count = np.arange(len(word)), self.start[word], np.zeros(len(word)), np.zeros(len(word), np.int64)
+        made, x = [], seed
+        while len(live):
+            u = (x >> np.uint64(11)) * 2.0 ** -53
+            e = self.first[node]
+            more = np.flatnonzero(u >= self.cum[e])
+            while len(more):
+                e[more] += 1
+                more = more[u[more] >= self.cum[e[more]]]
+            phi[live] += self.log[e]
+            count[live] += 1
+            made.append((live, self.ids[e]))
+            node = self.to[e]
+            on = np.flatnonzero(node)
+            live, node, seed = live[on], node[on], seed[on]
+            x = mix(seed + step(len(made)))
+        place = np.cumsum(count) - count
+        ids = np.empty(int(count.sum()), np.int32)
+        for i, (live, piece) in enumerate(made):
+            ids[place[live] + i] = piece
+        return ids, count, phi
+
+
+def step(n: int) -> np.uint64:
+    """The ``n``-th step of a SplitMix64 sequence."""
+    return np.uint64(n * int(GOLDEN) & (1 << 64) - 1)
+
+
+def utf8_size(code: np.ndarray) -> np.ndarray:
+    return 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+
+
+def spell(model: Lattice, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``ids`` with the characters that have no piece as their bytes, and how many each became."""
+    count = np.ones(len(ids), np.int64)
+    odd = np.flatnonzero(ids >= len(model.pieces))
+    if not len(odd):
+        return ids, count
+    codes, which = np.unique(ids[odd] - len(model.pieces), return_inverse=True)
+    count[odd] = utf8_size(codes)[which]
+    out, place = np.repeat(ids, count), np.cumsum(count) - count
+    table = np.zeros((len(codes), 4), np.int64)
+    for i, c in enumerate(codes.tolist()):
+        raw = list(chr(c).encode())
+        table[i, :len(raw)] = model.byte_ids[raw]
+    for j in range(4):
+        some = count[odd] > j
+        out[place[odd[some]] + j] = table[which[some], j]
+    return out, count
+
+
+def sample_many(model: Lattice, texts: list[str], k: int, seeds: list[int],
+                likely: float = LIKELY) -> list[list[tuple[np.ndarray, float, float, float, bool]]]:
+    """``sample`` of every text, with whether the ids decode to it."""
+    out: list = [None] * len(texts)
+    number: dict[str, int] = {}
+    words = [[number.setdefault(w, len(number)) for w in _CHUNKS(escape(t))] for t in texts]
+    chains = Chains(model, list(number)) if number else None
+    words = [np.array(w, np.int64) for w in words]
+    open_ = [i for i, w in enumerate(words) if len(w) and chains.best[w].sum() < likely]
+    for i in set(range(len(texts))).difference(open_):
+        out[i] = [(np.array(ids, np.int32), phi, g, chance, decode(ids, model.pieces) == texts[i])
+                  for ids, phi, g, chance in sample(model, texts[i], k, seeds[i])]
+    seeds = np.array(seeds, np.uint64)
+    clock, met = np.zeros(len(texts)), {i: {} for i in open_}
+    arrival = 0
+    while open_:
+        arrival += 1
+        seed = mix(seeds[open_] + step(arrival))
+        size = np.array([len(words[i]) for i in open_])
+        begin = np.cumsum(size) - size
+        place = np.arange(size.sum()) - np.repeat(begin, size)
+        ids, count, phi = chains.draw(np.concatenate([words[i] for i in open_]),
+                                      mix(np.repeat(seed, size) + (place + 1).astype(np.uint64) * GOLDEN))
+        phi = np.add.reduceat(phi, begin)
+        ends = np.cumsum(np.add.reduceat(count, begin))
+        ids, count = spell(model, ids)
+        ends = np.cumsum(count)[ends - 1].tolist()
+        raw = model.binary.take(pa.array(ids))
+        at = np.frombuffer(raw.buffers()[1], np.int32, len(ids) + 1)
+        raw = raw.buffers()[2]
+        clock[open_] -= np.log(((mix(~seed) >> np.uint64(11)) + 0.5) * 2.0 ** -53)
+        still, a = [], 0
+        for j, (i, b) in enumerate(zip(open_, ends)):
+            key = ids[a:b].tobytes()
+            if key not in met[i]:
+                g = -math.log(clock[i])
+                if len(met[i]) == k:  # the first that missed
+                    out[i] = [(x, p, q, -math.expm1(-math.exp(min(700.0, p - g))), ok) for x, p, q, ok in met.pop(i).values()]
+                else:
+                    spelt = raw[int(at[a]):int(at[b])].to_pybytes()
+                    ok = (SPACE not in texts[i] if spelt == escape(texts[i]).encode()
+                          else decode(ids[a:b].tolist(), model.pieces) == texts[i])
+                    met[i][key] = (ids[a:b], float(phi[j]), g, ok)
+            if i in met:
+                still.append(i)
+            a = b
+        open_ = still
+    return out
+
+
 _LATTICES: dict = {}
 
 
@@ -178,8 +397,8 @@ def lattice(path: str | None, alpha: float) -> Lattice:
     return _LATTICES[path, alpha]
 
 
-def sample_conversations(rows: DataFrame, samples: int = 4, alpha: float = 1.0, model: str | None = None,
-                         keys: tuple[str, ...] = ("conv_id", "turn"), text: str = "text") -> DataFrame:
+def sample_rows(rows: DataFrame, samples: int = 4, alpha: float = 1.0, model: str | None = None,
+                keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """(keys..., sample, ids, log_probability, perturbed, inclusion, decoded) of each row of ``rows``.
 
     Samples are numbered from 1 by falling perturbed score; a text with fewer
@@ -188,16 +407,17 @@ def sample_conversations(rows: DataFrame, samples: int = 4, alpha: float = 1.0,
     or empty texts have one segmentation, without pieces. ``decoded`` tells that
     the ids decode to the text. An empty table gives an empty result.
     """
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, out, of = lattice(model, alpha), [], []
-        seeds = zip(*(batch.column(f"k{i}").to_pylist() for i in range(len(keys))))
-        for row, (key, t) in enumerate(zip(seeds, batch.column("text").to_pylist())):
-            seed = xxhash.xxh64_intdigest(repr(key).encode())
-            for j, (ids, phi, g, chance) in enumerate(sample(words, t, samples, seed), 1):
-                out.append((j, ids, phi, g, chance, decode(ids, words.pieces) == t))
-                of.append(row)
-        kinds = [pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
-        made = [pa.array(c, t) for c, t in zip(zip(*out), kinds)]
+    def draw(batch: pa.RecordBatch) -> pa.RecordBatch:
+        seeds = [xxhash.xxh64_intdigest(repr(key).encode())
+                 for key in zip(*(batch.column(f"k{i}").to_pylist() for i in range(len(keys))))]
+        found = sample_many(lattice(model, alpha), batch.column("text").to_pylist(), samples, seeds)
+        of = [row for row, made in enumerate(found) for _ in made]
+        number = [j for made in found for j in range(1, len(made) + 1)]
+        ids, phi, g, chance, decoded = zip(*(x for made in found for x in made))
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+        made = [pa.array(number, pa.int32()), ids, *(pa.array(c, pa.float64()) for c in (phi, g, chance)),
+                pa.array(decoded, pa.bool_())]
         return pa.record_batch([batch.column(f"k{i}").take(pa.array(of)) for i in range(len(keys))] + made,
                                [*keys, "sample", "ids", "log_probability", "perturbed", "inclusion", "decoded"])
 
@@ -206,4 +426,4 @@ def sample_conversations(rows: DataFrame, samples: int = 4, alpha: float = 1.0,
                          F.coalesce(F.col(text), F.lit("")).alias("text"))
     schema = ", ".join([*[f"`{c}` {types[c]}" for c in keys], "sample int, ids array<int>, log_probability double, "
                         "perturbed double, inclusion double, decoded boolean"])
-    return arrow_map(chosen, step, schema)
+    return arrow_map(chosen, draw, schema)

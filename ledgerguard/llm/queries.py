@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerguard.llm.common import doc_id, table
-from ledgerguard.llm.gumbel_pieces import sample_conversations
+from ledgerguard.llm.gumbel_pieces import sample_rows
 from ledgerguard.llm.html_gbt import extract
 from ledgerguard.llm.line_dedup import dedup_lines
 from ledgerguard.llm.packing import pack
@@ -34,8 +34,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn of ``conversations``: sampled segmentations are for the many passes of dialogue training."""
-    return sample_conversations(table(spark, sf_dir, "conversations"), samples=4)
+    return sample_rows(table(spark, sf_dir, "documents"), samples=4)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

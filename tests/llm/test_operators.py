@@ -350,6 +350,52 @@ def test_gumbel_samples_against_enumeration():
     assert len(gumbel_pieces.sample(lattice, "ab", 50, 1)) == len(segments([lattice.word(gumbel_pieces.SPACE + "ab")]))
 
 
+def test_arrays_sample_by_the_same_law():
+    lattice, n, k = gumbel_pieces.lattice(None, 1.0), 6000, 3
+    words = ["▁then", "it", "▁ü😀x", "▁" * 3, "x" * 60]
+    chains = gumbel_pieces.Chains(lattice, words)
+    for text, start in zip(words, chains.start.tolist()):
+        want, at = lattice.word(text), {0: start}
+        for a in range(len(text)):
+            if a in at:
+                e0, e1 = chains.first[at[a]:at[a] + 2].tolist()
+                got = {len(text) - end: w for end, w in zip(chains.to[e0:e1].tolist(), chains.log[e0:e1].tolist())}
+                assert e1 - e0 == len(want[a])
+                at |= {b: t for (_, b, _), t in zip(want[a][::-1], chains.to[e0:e1].tolist())}
+                for (_, _, w), x in zip(want[a][::-1], chains.log[e0:e1].tolist()):
+                    assert abs(w - x) < 1e-9, (text, a, got)
+    texts = ["then it"] * n
+    # likely=1: every text goes by arrivals, repeated marks included
+    fast = gumbel_pieces.sample_many(lattice, texts, k, list(range(n)), likely=1.0)
+    slow = [gumbel_pieces.sample(lattice, "then it", k, seed) for seed in range(n)]
+    for j in range(k):
+        a, b = (collections.Counter(tuple(map(int, made[j][0])) for made in x) for x in (fast, slow))
+        for ids, count in b.most_common(4):
+            assert abs(a[ids] - count) / n < 0.035
+        a, b = (np.array([made[j][2] for made in x]) for x in (fast, slow))
+        assert abs(a.mean() - b.mean()) < 0.08 and abs(a.std() - b.std()) < 0.08
+        a, b = (np.array([made[j][3] for made in x]) for x in (fast, slow))
+        assert abs(a.mean() - b.mean()) < 0.03
+    for made in fast:
+        assert len({x[0].tobytes() for x in made}) == k and all(x[4] for x in made)
+
+
+def test_segmentations_are_of_every_document_and_of_its_text_alone(spark, docs, sf_dir):
+    got = collections.defaultdict(list)
+    for r in LLM_QUERIES["op3_sentencepiece_sampling"](spark, sf_dir).collect():
+        got[r.doc_id].append(r)
+    assert set(got) == {r.doc_id for r in docs.collect()}
+    lattice, texts = gumbel_pieces.lattice(None, 1.0), {r.doc_id: r.text or "" for r in docs.collect()}
+    for key, rows in got.items():
+        assert all(r.decoded and gumbel_pieces.decode(r.ids, lattice.pieces) == texts[key] for r in rows)
+        seed = xxhash.xxh64_intdigest(repr((key,)).encode())
+        alone = gumbel_pieces.sample_many(lattice, [texts[key]], 4, [seed])[0]
+        assert {r.sample: (r.ids, r.perturbed) for r in rows} == {
+            j: (x[0].tolist(), x[2]) for j, x in enumerate(alone, 1)}
+        if len(texts[key]) > 40:
+            assert sorted(r.sample for r in rows)[:4] == [1, 2, 3, 4] or len(rows) == 8
+
+
 def test_pieces_decode_as_sentencepiece_does():
     import public_tokenizers
     import sentencepiece
