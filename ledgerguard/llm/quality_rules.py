@@ -2,8 +2,10 @@
 
 A text is kept if it passes the base rules (enough words, few repeated word
 windows) and its zstandard ratios (compressed bytes / bytes) lie in bands: the
-whole text in the band of its length, every fixed chunk in the chunk band. A
-ratio below its band tells repetitive text, one above it incompressible text.
+whole text in the band of its length, every chunk in the band of its size. Chunks of
+each size lie side by side from the start, and one more at the very end, so that
+every byte of a text lies in a judged chunk, the text itself if it is shorter
+than the smallest chunk. A ratio below its band tells repetitive text, one above it incompressible text.
 """
 
 from __future__ import annotations
@@ -27,13 +29,12 @@ class Bands:
     """Limits: (bytes up to, lowest ratio, highest ratio), the last open-ended.
 
     Short texts compress badly (frame header, no history) and long ones better,
-    so the band moves down with the length. ``chunk`` applies to every full
-    chunk of ``chunk_bytes``; a shorter last chunk has no history to judge.
+    so the band moves down with the length. ``chunks``: (bytes, lowest ratio,
+    highest ratio) of the chunks of each size that a text is long enough for.
     """
     whole: tuple = ((256, 0.35, 1.15), (1024, 0.34, 0.95), (4096, 0.33, 0.80),
                     (16384, 0.30, 0.75), (65536, 0.27, 0.70), (None, 0.24, 0.70))
-    chunk_bytes: int = 2048
-    chunk: tuple = (0.33, 0.80)
+    chunks: tuple = ((512, 0.33, 0.88), (1024, 0.33, 0.84), (2048, 0.33, 0.80))
     level: int = 3
     min_words: int = 20
     max_repeat_percent: int = 30
@@ -92,11 +93,14 @@ def band_verdict(text: bytes, bands: Bands, packer) -> tuple[float, float, float
     whole = len(packer.compress(text)) / len(text)
     low, high = next((lo, hi) for top, lo, hi in bands.whole if top is None or len(text) <= top)
     ok = low <= whole <= high
-    size = bands.chunk_bytes
-    ratios = [len(packer.compress(text[a:a + size])) / size for a in range(0, len(text) - size + 1, size)]
+    ratios = []
+    for size, low, high in bands.chunks:
+        if len(text) >= size:
+            starts = {*range(0, len(text) - size + 1, size), len(text) - size}
+            some = [len(packer.compress(text[a:a + size])) / size for a in starts]
+            ok = ok and low <= min(some) and max(some) <= high
+            ratios += some
     least, most = min(ratios, default=whole), max(ratios, default=whole)
-    if ratios:
-        ok = ok and bands.chunk[0] <= least and most <= bands.chunk[1]
     return whole, least, most, ok
 
 

@@ -115,6 +115,36 @@ def test_quality_bands_reject_repetition_and_noise():
     assert verdict == [False, False, True, False]  # the last by its chunks
 
 
+def noise_and_prose():
+    rnd = random.Random(5)
+    noise = "".join(" " if rnd.random() < 0.1 else chr(rnd.randint(33, 126)) for _ in range(5000)).encode()
+    prose = " ".join("".join(rnd.choice("aeinorst") for _ in range(rnd.randint(1, 9))) for _ in range(3000)).encode()
+    return noise, prose
+
+
+def test_quality_chunks_cover_the_end_and_short_texts():
+    packer = quality_rules.zstandard.ZstdCompressor(level=3)
+    noise, prose = noise_and_prose()
+
+    def kept(*parts):
+        return quality_rules.band_verdict(b"".join(parts), quality_rules.Bands(), packer)[3]
+    assert all(kept(prose[:n]) for n in (300, 511, 512, 700, 1024, 2047, 2048, 2049, 4000, 6144, 10_000))
+    assert not kept(prose[:2048], noise[:2000])
+    assert not kept(prose[:4096], noise[:2040])
+    assert not kept(prose[:900], noise[:1023])  # no chunk of 2048 bytes
+    assert not kept(prose[:5000], noise[:1023], prose[:5000])
+    for n in (512, 1300, 2048, 5000):  # every byte lies in a chunk
+        sizes = [size for size, _, _ in quality_rules.Bands().chunks if size <= n]
+        seen = []
+
+        class Packer:
+            def compress(self, part):
+                seen.append(len(part))
+                return b"x" * (len(part) // 2)
+        quality_rules.band_verdict(prose[:n], quality_rules.Bands(), Packer())
+        assert seen[1:] == [size for size in sizes for _ in range(-(-n // size))]
+
+
 def brute_fingerprint(text):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
