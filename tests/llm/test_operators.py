@@ -1,5 +1,6 @@
 """Every operator against brute force on small tables with awkward rows."""
 
+import base64
 import collections
 import hashlib
 import math
@@ -145,6 +146,28 @@ def test_quality_chunks_cover_the_end_and_short_texts():
         assert seen[1:] == [size for size in sizes for _ in range(-(-n // size))]
 
 
+def test_quality_limits_reject_base64_and_noise_of_each_length():
+    packer, rnd = quality_rules.zstandard.ZstdCompressor(level=3), random.Random(6)
+    noise, prose = noise_and_prose()
+    coded = base64.encodebytes(rnd.randbytes(60_000))
+
+    def kept(*parts):
+        return quality_rules.band_verdict(b"".join(parts), quality_rules.Bands(), packer)[3]
+    for n in (200, 256, 400, 512, 600, 700, 800, 1000, 1024, 1500, 2048, 3000, 4000, 5000, 16_000, 70_000):
+        assert not kept(coded[:n]), n
+    for n in (200, 256, 400, 512, 600, 700, 800, 1000, 1024, 1500, 2048, 3000, 4000, 5000):
+        assert not kept(noise[:n]), n
+    assert not kept(prose[:4096], coded[:4096], prose[:2048])
+    # prose of other scripts stays
+    draw = np.random.default_rng(2)
+    for first, step, n, word in ((0x430, 1, 32, 9), (0x3b1, 1, 25, 9), (0x905, 1, 60, 8), (0xac00, 8, 1300, 5), (0x4e00, 6, 3000, 4)):
+        p = 1 / (np.arange(n) + 12.0)
+        text = " ".join("".join(chr(first + step * int(i)) for i in draw.choice(n, draw.integers(1, word), p=p / p.sum()))
+                        for _ in range(4000))
+        for size in (256, 1200, 2100, 5000, 20_000):
+            assert kept(text.encode()[:size].decode("utf-8", "ignore").encode()), (hex(first), size)
+
+
 def brute_fingerprint(text):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
