@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -32,8 +33,12 @@ INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font
                     "small span strike strong sub sup time tt u var").split())
 SILENT = frozenset("head title script style noscript template svg math iframe object canvas audio video textarea "
                    "select button".split())
+#: What may stand in a head; any other start tag, or text, ends an open one.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 CLOSES_P = frozenset(("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
                       "header hr main menu nav ol p pre section table ul").split())
+#: Start tags that end a silent element which is never closed.
+BLOCK = CLOSES_P | frozenset("body caption dd dt li tbody td tfoot th thead tr".split())
 #: An open element that a start tag of the same group closes, within its container.
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
         "th": ("td", "th"), "option": ("option",)}
@@ -50,18 +55,63 @@ class Page(HTMLParser):
         self.marks: list[str | None] = [None]
         self.texts: list[tuple[int, int, str, bool]] = []  # node, block, text, in a link
         self.open, self.silent, self.links, self.block = [0], [], 0, 0
+        self.events: list[tuple] = []
         self.feed(html)
         self.close()
+        self.ends = self._ends()
+        for i, (kind, what, attrs) in enumerate(self.events):
+            kind(i, what, attrs)
 
     def handle_starttag(self, tag, attrs):
-        if tag == "br" or self.silent:
-            if not self.silent:
-                self.handle_data(" ")
-            elif tag == self.silent[-1]:
-                self.silent.append(tag)
+        self.events.append((self._start, tag, attrs))
+
+    def handle_endtag(self, tag):
+        self.events.append((self._end, tag, None))
+
+    def handle_data(self, data):
+        self.events.append((self._data, data, None))
+
+    def _ends(self) -> dict[int, tuple[int, bool]]:
+        """Where each silent element ends, by its event: at its own end tag (True), or at that of an element around it."""
+        ends, stack, count = {}, [], Counter()
+        for i, (kind, tag, _) in enumerate(self.events):
+            if kind == self._data or tag in INLINE or tag in VOID:
+                continue
+            if kind == self._start:
+                stack.append((tag, i))
+                count[tag] += 1
+            elif count[tag] or tag in ("body", "html"):
+                while stack:
+                    name, at = stack.pop()
+                    count[name] -= 1
+                    if name in SILENT:
+                        ends[at] = i, name == tag
+                    if name == tag:
+                        break
+        return ends
+
+    def _silent_at(self, tag) -> bool:
+        """Whether a start tag stands in a silent element, after it has ended those that it may end."""
+        while self.silent:
+            name, at = self.silent[-1]
+            if name == "head":
+                if tag in IN_HEAD:
+                    return True
+            elif self.ends.get(at, (0, False))[1] or tag not in BLOCK and tag != name:
+                return True
+            self.silent.pop()
+        return False
+
+    def _start(self, i, tag, attrs):
+        if self._silent_at(tag):
+            if self.silent[-1][0] == "head" and tag in SILENT and tag != "head":
+                self.silent.append((tag, i))
+            return
+        if tag == "br":
+            self._data(i, " ", None)
             return
         if tag in SILENT:
-            self.silent.append(tag)
+            self.silent.append((tag, i))
             self.block += tag not in ("button", "select")
             return
         if tag in INLINE or tag in VOID:
@@ -96,12 +146,15 @@ class Page(HTMLParser):
         if tag not in VOID and tag not in INLINE:
             self.handle_endtag(tag)
 
-    def handle_endtag(self, tag):
+    def _end(self, i, tag, _):
+        for j, (_, at) in enumerate(self.silent):
+            end, own = self.ends.get(at, (None, False))
+            if end == i:
+                del self.silent[j:]
+                if own:
+                    return
+                break
         if self.silent:
-            if tag == self.silent[-1]:
-                self.silent.pop()
-            elif tag in ("body", "html") or tag == "head" and tag in self.silent:
-                self.silent.clear()  # an element that was never closed
             return
         if tag in INLINE:
             self.links -= tag == "a" and self.links > 0
@@ -113,7 +166,9 @@ class Page(HTMLParser):
                 self.links = 0
                 return
 
-    def handle_data(self, data):
+    def _data(self, i, data, _):
+        if self.silent and self.silent[-1][0] == "head" and data.strip():
+            self.silent.pop()
         if not self.silent and data:
             self.texts.append((self.open[-1], self.block, data, self.links > 0))
 

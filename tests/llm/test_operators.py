@@ -374,6 +374,24 @@ def test_html_extraction(spark):
     assert got == {1: "A <title>\nFirst line of text, with words and more words.\nSecond one, which is long enough to read.", 2: ""}
 
 
+def test_html_unclosed_silent_elements_lose_no_text():
+    def said(html):
+        return " ".join(" ".join(t for *_, t, _ in html_gbt.Page(html).texts).split())
+    for head in ("<head><title>t</title>", "<head><meta charset=x><title>t</title><style>a{}</style><script>b</script>", "<head>"):
+        assert said(f"<html>{head}<body><article>One</article></body></html>") == "One"
+        assert said(f"<html>{head}<article>One</article>") == "One"
+        assert said(f"<html>{head}</head><body><article>One</article>") == "One"
+        assert said(f"{head}One <b>two</b>") == "One two"
+    for tag in ("button", "select", "noscript", "svg", "object", "canvas", "video"):
+        inner = "x" if tag != "select" else "<option>x"
+        assert said(f"<body><div><p>One</p><{tag}>{inner}<p>Two</p></div><p>Three</p></body>") == "One Two Three", tag
+        assert said(f"<body><div>One<{tag}>{inner}</div>Two</body>") == "One Two", tag
+        assert said(f"<body><div>One<{tag}>{inner}<p>Two</div><{tag}>{inner}</{tag}>Three</body>") == "One Two Three", tag
+        # a closed one keeps all its content to itself, blocks too
+        assert said(f"<body><div>One<{tag}><div><p>x</p></div></{tag}>Two</div></body>") == "One Two", tag
+    assert said("<head><noscript><p>x</p></noscript><title>t</title></head><body>One") == "One"
+
+
 def test_gumbel_samples_against_enumeration():
     lattice = gumbel_pieces.lattice(None, 1.0)
 
