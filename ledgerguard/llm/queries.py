@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerguard.llm.common import doc_id, table
+from ledgerguard.llm.decontamination import contaminated_documents
 from ledgerguard.llm.gumbel_pieces import sample_rows
 from ledgerguard.llm.html_gbt import extract
 from ledgerguard.llm.line_dedup import dedup_lines
@@ -69,6 +70,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        doc_id("component").alias("component_id"))
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_line_dedup": op2_line_dedup,
@@ -80,6 +85,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_benchmark_decontamination": op11_benchmark_decontamination,
 }
 
 # DuckDB, on the same tables. A line's key: ASCII white space stripped at both
@@ -148,7 +154,36 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(shar
 FROM d JOIN crcs USING (row) JOIN leaf USING (row) JOIN grown USING (row)
 """
 
+# Words: A-Z lower-cased, all ASCII but digits and letters separates.
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP11 = rf"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS width, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS said
+  FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS i FROM item_words WHERE len(w) > 0)
+), doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), doc_windows AS (
+  SELECT r, width, i, array_to_string(w[i:i + width - 1], ' ') AS said
+  FROM (SELECT r, w, width, unnest(generate_series(1, len(w) - width + 1)) AS i
+        FROM doc_words, (SELECT DISTINCT width FROM item_windows) WHERE len(w) >= width)
+), hits AS (
+  SELECT r, i, d.width, item_id FROM doc_windows d JOIN item_windows s ON d.width = s.width AND d.said = s.said
+), words_hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + width - 1)) AS p FROM hits) GROUP BY r
+), items_hit AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, coalesce(CAST(item_id AS VARCHAR), '') AS item FROM hits) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc_words LEFT JOIN words_hit USING (r) LEFT JOIN items_hit USING (r)
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op2_line_dedup": _OP2,
     "op4_sharding": _OP4,
+    "op11_benchmark_decontamination": _OP11,
 }
