@@ -20,6 +20,10 @@ from ledgerguard.llm.simhash_gray import keep_one
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Shortest string that counts as repeated: 50 words of five letters, each but
+#: the last with a space after it, have 299 bytes; 256 leaves room for shorter words.
+REPEAT_BYTES = 256
+
 
 def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
@@ -47,8 +51,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of strings of 400 bytes found twice or more go."""
-    return _edited(drop_repeats(docs, "lang", "source", length=400))
+    """Bytes of strings of ``REPEAT_BYTES`` bytes found twice or more go."""
+    return _edited(drop_repeats(docs, "lang", "source", length=REPEAT_BYTES))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
