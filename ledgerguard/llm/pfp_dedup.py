@@ -273,8 +273,9 @@ def drop_repeats(docs: DataFrame, *columns: str, length: int = LENGTH, width: in
     """``docs`` without repeated strings: (k, n_bytes, n_removed, n_spans, kept, columns...).
 
     ``kept`` is the text that stays (bytes of a code point cut in two go with
-    it), or the SHA-256 of the remaining bytes with ``digest``. All strings are
-    judged on the input; overlaps count; matches never cross documents.
+    it); with ``digest`` a column ``kept_sha256`` of the remaining bytes follows
+    it. All strings are judged on the input; overlaps count; matches never cross
+    documents.
 
     Null texts are empty; texts below ``length`` bytes stay whole. Repeated rows
     repeat each other, so both lose what is long enough, whatever their doc_id;
@@ -293,12 +294,13 @@ def drop_repeats(docs: DataFrame, *columns: str, length: int = LENGTH, width: in
         for text, spans in zip(batch.column("packed").to_pylist(), batch.column("spans").to_pylist()):
             text = unpack.decompress(text)
             kept, removed, runs = uncovered(text, [(x["start"], x["stop"]) for x in spans or ()])
-            out.append((len(text), removed, runs,
-                        hashlib.sha256(kept).hexdigest() if digest else kept.decode("utf-8", "ignore")))
-        made = [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 3 + [pa.string()])]
-        return pa.record_batch([batch.column("k"), *made, *[batch.column(c) for c in columns]],
-                               ["k", "n_bytes", "n_removed", "n_spans", "kept", *columns])
+            out.append((len(text), removed, runs, kept.decode("utf-8", "ignore"),
+                        hashlib.sha256(kept).hexdigest() if digest else None))
+        made = [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 3 + [pa.string()] * 2)]
+        return pa.record_batch([batch.column("k"), *made[:4 + digest], *[batch.column(c) for c in columns]],
+                               ["k", "n_bytes", "n_removed", "n_spans", "kept", *hashes, *columns])
 
-    types = dict(docs.dtypes)
+    types, hashes = dict(docs.dtypes), ["kept_sha256"] * digest
     return arrow_map(joined, step, ", ".join(["k long, n_bytes long, n_removed long, n_spans long, kept string",
+                                              *[f"{c} string" for c in hashes],
                                               *[f"`{c}` {types[c]}" for c in columns]]), "packed")

@@ -1,6 +1,7 @@
 """The pipeline stage by stage, each against brute force on its own input."""
 
 import collections
+import random
 
 import corpus_pipeline as P
 import zstandard
@@ -44,12 +45,13 @@ def test_stages(spark, tmp_path):
         for i in lines:
             group[i] = min(group[j] for j in lines if bin(fps[i] ^ fps[j]).count("1") <= 3)
     assert seen[2] == {i: t for i, t in lines.items() if group[i] == i}
-    count = collections.Counter(t[i:i + 400] for t in map(str.encode, seen[2].values()) for i in range(len(t) - 399))
+    size = P.REPEAT_BYTES
+    count = collections.Counter(t[i:i + size] for t in map(str.encode, seen[2].values()) for i in range(len(t) - size + 1))
     for i, t in seen[2].items():
         t, flag = t.encode(), set()
-        for a in range(len(t) - 399):
-            if count[t[a:a + 400]] > 1:
-                flag |= set(range(a, a + 400))
+        for a in range(len(t) - size + 1):
+            if count[t[a:a + size]] > 1:
+                flag |= set(range(a, a + size))
         assert seen[3][i] == bytes(x for a, x in enumerate(t) if a not in flag).decode("utf-8", "ignore")
     import public_tokenizers
     encode = encoder(public_tokenizers.path("word_bpe_49k.json"))
@@ -59,3 +61,29 @@ def test_stages(spark, tmp_path):
     assert tokens == {i: len(encode(t)) // 4 + 1 for i, t in seen[3].items()}
     assert [tuple(r) for r in P.run(spark, str(tmp_path)).orderBy("doc_id", "piece").collect()] == sorted(
         (tuple(r) for r in seen[4]), key=lambda r: (r[0], r[1]))
+
+
+def test_repeated_passages_of_fifty_words_go(spark, tmp_path):
+    """Passages of 51 words inside otherwise different documents: found twice before the stage, never after it."""
+    rnd = random.Random(3)
+
+    def say(n):
+        return " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 9))) for _ in range(n))
+    passages = [say(51) for _ in range(5)]
+    texts = [f"{say(40)} {passages[i % 5]} {say(40)}" for i in range(20)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+
+    def repeated(found):
+        windows = [w for t in found for w in {tuple(t.split()[i:i + 50]) for i in range(len(t.split()) - 49)}]
+        return sum(n > 1 for n in collections.Counter(windows).values())
+    assert repeated(texts) >= 5
+    kept = [r.text for r in P.suffix_array_dedup(spark, docs, str(tmp_path)).collect()]
+    assert len(kept) == 20 and repeated(kept) == 0
+    assert all(len(t.split()) >= 78 for t in kept)
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long"
+                          ).write.parquet(f"{tmp_path}/documents.parquet")
+    assert P.run(spark, str(tmp_path)).collect() == []
