@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerguard.llm.bag_search import ranked_documents
 from ledgerguard.llm.common import doc_id, table
 from ledgerguard.llm.decontamination import contaminated_documents
 from ledgerguard.llm.gumbel_pieces import sample_rows
@@ -18,6 +19,7 @@ from ledgerguard.llm.html_gbt import extract
 from ledgerguard.llm.line_dedup import dedup_lines
 from ledgerguard.llm.packing import pack
 from ledgerguard.llm.pfp_dedup import drop_repeats
+from ledgerguard.llm.pivot_codes import coded_vectors
 from ledgerguard.llm.quality_bayes import judge_sites
 from ledgerguard.llm.quality_rules import quality_rules
 from ledgerguard.llm.sharding import shard_documents
@@ -61,7 +63,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = drop_repeats(table(spark, sf_dir, "documents"), length=400, digest=True)
-    return rows.select(doc_id(), "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
+    return rows.select(doc_id(), "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("kept").alias("text"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +76,14 @@ def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded_vectors(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_line_dedup": op2_line_dedup,
@@ -86,6 +96,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_benchmark_decontamination": op11_benchmark_decontamination,
+    "op12_ranked_lexical_search": op12_ranked_lexical_search,
+    "op13_vector_code_compression": op13_vector_code_compression,
 }
 
 # DuckDB, on the same tables. A line's key: ASCII white space stripped at both
@@ -182,8 +194,79 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc_words LEFT JOIN words_hit USING (r) LEFT JOIN items_hit USING (r)
 """
 
+_TERMS = rf"regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_OP12 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents
+), corpus AS (
+  SELECT count(*) FILTER (WHERE len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d
+), tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), corpus
+), doc AS (
+  SELECT r, doc_id, 100 - 50 + (50 * CAST(len(w) AS BIGINT) * n_docs) // n_terms AS m FROM d, corpus WHERE len(w) > 0
+), item AS (
+  SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), scored AS (
+  SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM item JOIN tf USING (term) JOIN weight USING (term) JOIN doc USING (r) GROUP BY item_id, r
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS INTEGER) AS rank,
+         doc_id, score
+  FROM scored JOIN doc USING (r) WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
+def _op13(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Integer k-means written out round by round, every distance evaluated."""
+    steps = [f"""usable AS (
+  SELECT vec_id, label, embedding FROM embeddings
+  WHERE len(embedding) > 0 AND len(embedding) % {parts} = 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT))) AS r,
+         vec_id, label, embedding
+  FROM usable WHERE len(embedding) = (SELECT len(embedding) FROM usable ORDER BY vec_id NULLS LAST, len(embedding) LIMIT 1)
+), comps AS MATERIALIZED (
+  SELECT r, (i - 1) // (size // {parts}) AS part, (i - 1) % (size // {parts}) AS pos,
+         CAST(floor(4096 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS v
+  FROM (SELECT r, embedding, len(embedding) AS size, unnest(generate_series(1, len(embedding))) AS i FROM kept)
+), book0 AS MATERIALIZED (
+  SELECT part, r - 1 AS e, pos, v FROM comps WHERE r <= {entries}
+)"""]
+    near = """near{k} AS MATERIALIZED (
+  SELECT r, part, arg_min(e, d * {entries} + e) AS e, min(d) AS d
+  FROM (SELECT c.r, part, b.e, sum((c.v - b.v) * (c.v - b.v)) AS d FROM comps c JOIN book{k} b USING (part, pos) GROUP BY ALL)
+  GROUP BY r, part
+)"""
+    for k in range(rounds):
+        steps.append(near.format(k=k, entries=entries))
+        steps.append(f"""book{k + 1} AS MATERIALIZED (
+  SELECT part, e, pos, coalesce(n.v, b.v) AS v FROM book{k} b LEFT JOIN (
+    SELECT part, e, pos, CAST((s - ((s % c) + c) % c) // c AS BIGINT) AS v
+    FROM (SELECT part, e, pos, sum(v) AS s, count(*) AS c FROM near{k} JOIN comps USING (r, part) GROUP BY ALL)) n
+  USING (part, e, pos)
+)""")
+    steps.append(near.format(k=rounds, entries=entries))
+    steps.append(f"""codes AS (
+  SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY r
+)""")
+    return "WITH " + ", ".join(steps) + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, e, pos)) FROM book{rounds}) AS codebooks_sha256
+FROM codes JOIN kept USING (r)
+"""
+
+
 LLM_ORACLE: dict[str, str] = {
     "op2_line_dedup": _OP2,
     "op4_sharding": _OP4,
     "op11_benchmark_decontamination": _OP11,
+    "op12_ranked_lexical_search": _OP12,
+    "op13_vector_code_compression": _op13(),
 }
