@@ -30,7 +30,7 @@ _T, _S, _KEY, _ROLE = "_t", "_slice", "_key", "_role"
 PROBE, CONTEXT = 0, 1
 
 
-def _slicing(cfg: ScreeningConfig) -> tuple[int, int, int]:
+def slicing(cfg: ScreeningConfig) -> tuple[int, int, int]:
     """(window micros, slices per window, slice micros)."""
     w = cfg.window_seconds * 1_000_000
     k = max(1, int(cfg.travel_slices))
@@ -44,7 +44,7 @@ def _sliced_base(tx: DataFrame, cfg: ScreeningConfig) -> DataFrame:
 
     NULL users are dropped here: they are not one person.
     """
-    _, _, g = _slicing(cfg)
+    _, _, g = slicing(cfg)
     t = epoch_micros(tx, EVENT_TIME)
     base = tx.where(F.col("user_id").isNotNull() & F.col(EVENT_TIME).isNotNull()).withColumn(_T, t)
     return base.withColumn(_S, F.expr(f"({_T} - pmod({_T}, {g}L)) div {g}L"))
@@ -67,7 +67,7 @@ def trailing_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG,
     ``carry`` columns are passed through. With ``flag_col`` every row with a
     user and an event time is returned, flagged or not, in that boolean column.
     """
-    w, k, _ = _slicing(cfg)
+    w, k, _ = slicing(cfg)
     base = _sliced_base(tx, cfg)
     out_cols = list(TRANSACTION_COLUMNS) + list(carry)
     probes = base.select(*out_cols, _T, _S, F.col(_T).alias(_KEY),
@@ -124,7 +124,7 @@ def travel_hops(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFra
     input row), unlike an all-pairs interval self-join, which is quadratic in
     a busy user's activity.
     """
-    w, k, _ = _slicing(cfg)
+    w, k, _ = slicing(cfg)
     base = _sliced_base(tx, cfg)
     row = F.struct(F.col(_T).alias("t"), F.col("transaction_id").alias("id"),
                    F.col("country").alias("country"), F.col("timestamp").alias("timestamp"))

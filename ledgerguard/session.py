@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -86,6 +89,32 @@ def fresh_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/ledgerguard/{kind}-{uuid.uuid4().hex}"
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package's code, once per application, as ``--py-files`` would.
+
+    Only operators that run Python in tasks need it. The archive lies in the
+    shared folder.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_ledgerguard_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{fresh_path(spark, 'code')}/ledgerguard-code.zip")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.create(path)
+    stream.write(archive.getvalue())
+    stream.close()
+    context.addPyFile(fs.makeQualified(path).toString())
+    context._ledgerguard_shipped = True
+
+
 def delete_path(spark: SparkSession, pattern: str) -> None:
     """Delete the files and folders that match ``pattern``, if any."""
     jvm = spark.sparkContext._jvm
@@ -103,5 +132,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-__all__ = ["build_session", "shared_dir", "fresh_path", "path_exists", "delete_path", "RECOMMENDED_CONF",
+__all__ = ["build_session", "shared_dir", "fresh_path", "path_exists", "delete_path", "ship_code", "RECOMMENDED_CONF",
            "CLUSTER_CONF"]

@@ -23,8 +23,9 @@ from ledgerguard.sources.lakes import read_fraud_lake, read_parquet_or_empty, re
 from ledgerguard.streaming.replay import write_replay
 from ledgerguard.streaming.router import METRICS_SCHEMA, BatchRouter, start_screening
 from ledgerguard.streaming.sources import file_source
-from ledgerguard.streaming.stateful import (TrailingTravelRouter, UpsertSink, dedup_transactions,
-                                            stateful_session_travel, stateful_tumbling_travel)
+from ledgerguard.streaming.live import live_travel, rocksdb
+from ledgerguard.streaming.stateful import (UpsertSink, dedup_transactions, stateful_session_travel,
+                                            stateful_trailing_travel, stateful_tumbling_travel)
 
 #: Files of a replay, at least, and rows of one file, at most (a single day is never split).
 REPLAY_FILES, REPLAY_ROWS = 4, 2_000_000
@@ -71,7 +72,7 @@ def _message_replay(spark: SparkSession, sf_dir: str, copies: int = 1, flush: bo
     if flush:
         last = (tx.agg((F.max(EVENT_TIME) + F.make_dt_interval(F.lit(2 * days + 1))).alias(EVENT_TIME))
                 .withColumn("timestamp", F.substring(F.col(EVENT_TIME).cast("string"), 1, 19))
-                .withColumns({"transaction_id": F.lit("flush"), "user_id": F.lit("flush"),
+                .withColumns({"transaction_id": F.lit("flush"), "user_id": F.lit("flush"), "country": F.lit("flush"),
                               "_replay_file": F.lit(files + int(straddle))}))
         tx = tx.unionByName(last, allowMissingColumns=True)
     msgs = tx.select(F.to_json(F.struct(*TRANSACTION_COLUMNS)).alias("value"), "_replay_file")
@@ -128,36 +129,34 @@ def q_stream_travel_stateful(spark, sf_dir):
     return sink.read(spark, alerts.schema).select(*ALERT_COLUMNS)
 
 
+def _appended(rows: DataFrame, base: str) -> DataFrame:
+    """Run an append-mode query into Parquet files to its end and read them back."""
+    _run(rows.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    return read_parquet_or_empty(rows.sparkSession, f"{base}/out", rows.schema)
+
+
 def q_stream_travel_session(spark, sf_dir):
-    base = fresh_path(spark, "travel-session")
     stream, cfg = _straddling_stream(spark, sf_dir, flush=True)
-    sessions = stateful_session_travel(stream, cfg)
-    q = (sessions.writeStream
-         .outputMode("append").format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-    _run(q)
-    return read_parquet_or_empty(spark, f"{base}/out", sessions.schema)
+    return _appended(stateful_session_travel(stream, cfg), fresh_path(spark, "travel-session"))
 
 
 def q_stream_dedup(spark, sf_dir):
-    base = fresh_path(spark, "dedup")
     stream, cfg = _straddling_stream(spark, sf_dir, copies=2)
-    unique = dedup_transactions(stream, cfg).select(*TRANSACTION_COLUMNS)
-    q = (unique.writeStream
-         .outputMode("append").format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-    _run(q)
-    return read_parquet_or_empty(spark, f"{base}/out", unique.schema)
+    return _appended(dedup_transactions(stream, cfg).select(*TRANSACTION_COLUMNS), fresh_path(spark, "dedup"))
 
 
 def q_stream_travel_trailing(spark, sf_dir):
-    base = fresh_path(spark, "travel-trailing")
+    """Left-semi join of the stream with its own slices; a flush message closes the last ones."""
+    stream, cfg = _straddling_stream(spark, sf_dir, flush=True)
+    return _appended(stateful_trailing_travel(stream, cfg), fresh_path(spark, "travel-trailing"))
+
+
+def q_stream_travel_live(spark, sf_dir):
+    """The same rows from keyed state and timers, without a flush: nothing waits for the watermark."""
     stream, cfg = _straddling_stream(spark, sf_dir)
-    router = TrailingTravelRouter(out_path=f"{base}/out", state_path=f"{base}/state", cfg=cfg)
-    q = (stream.writeStream.foreachBatch(router)
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-    _run(q)
-    return read_parquet_or_empty(spark, f"{base}/out", TRANSACTION_SCHEMA).select(*TRANSACTION_COLUMNS)
+    with rocksdb(spark):
+        return _appended(live_travel(stream, cfg), fresh_path(spark, "travel-live"))
 
 
 def q_stream_quarantine(spark, sf_dir):
@@ -205,6 +204,7 @@ STREAM_QUERIES = {
     "stream_travel_session": q_stream_travel_session,
     "stream_dedup": q_stream_dedup,
     "stream_travel_trailing": q_stream_travel_trailing,
+    "stream_travel_live": q_stream_travel_live,
 }
 
 _O = batch_q.ORACLE
@@ -231,4 +231,5 @@ FROM tx""",
     "stream_quarantine": _O["malformed_quarantine"],
     "stream_dedup": f"WITH {batch_q.TX} SELECT {batch_q._TX_COLS} FROM tx",
     "stream_travel_trailing": _O["impossible_travel_trailing"],
+    "stream_travel_live": _O["impossible_travel_trailing"],
 }

@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerguard.config import DEFAULT_CONFIG, FRAUD_TYPE_TRAVEL, ScreeningConfig
-from ledgerguard.functions.expressions import (as_instant, earliest_by_time, epoch_micros, travel_reason,
+from ledgerguard.functions.expressions import (as_instant, earliest_by_time, travel_reason,
                                                wall_clock_from_micros)
-from ledgerguard.operators.travel import trailing_travel
+from ledgerguard.operators.travel import slicing
 from ledgerguard.schema import EVENT_TIME, TRANSACTION_COLUMNS
-from ledgerguard.session import delete_path, path_exists
 from ledgerguard.sources.lakes import read_parquet_or_empty
 
 
@@ -111,64 +110,47 @@ class UpsertSink:
         return latest.select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
 
 
-@dataclass
-class TrailingTravelRouter:
-    """Trailing-window travel on a stream, reusing the batch operator.
-
-    Each micro-batch is scored together with the rows kept from earlier
-    batches, and every row that becomes flagged is emitted once: the batch's
-    own rows, and also earlier rows that a late arrival (within the watermark
-    delay) puts into travel. Kept state: rows with event time at least
-    ``max event time - (W + watermark delay)``, with an already-emitted bit.
-    That covers the whole window of any row not later than the watermark.
-    State is stored per batch id in the shared folder, so a replayed batch
-    reads the same state again and rewrites the same output partition.
-    """
+def stateful_trailing_travel(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Trailing-window travel as a stream-stream left-semi join (``append`` mode).
 
-    out_path: str
-    state_path: str
-    cfg: ScreeningConfig = DEFAULT_CONFIG
+    The rule of ``operators.travel.trailing_travel``: a row at ``t`` is flagged
+    iff its user has a row in another country in ``[t - W, t]``, whichever of the
+    two arrives first. Spark keeps and expires all state by the watermark.
 
-    def _previous_state(self, spark, batch_id: int):
-        if batch_id == 0:
-            return None
-        p = f"{self.state_path}/batch_id={batch_id - 1}"
-        if not path_exists(spark, f"{p}/_SUCCESS"):
-            raise FileNotFoundError(f"no state of batch {batch_id - 1} under {self.state_path}")
-        # a replay may need the batch before; older ones are never read again
-        delete_path(spark, f"{self.state_path}/batch_id={batch_id - 3}")
-        return spark.read.parquet(p)
+    The context side is aggregated before the join, to the first and last time
+    of each (user, slice, country). That decides exactly: a slice (``W / k``) is
+    shorter than the window, so at most one end of the window lies in it, and
+    some time of the slice is inside iff its last is not before ``t - W`` and its
+    first not after ``t``. Context is shipped to the W-wide bucket of its slice
+    and to the next one, so the join's keys are (user, bucket): a probe meets
+    two buckets of slices by country however busy the user is, and no pairs of
+    rows are made.
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cols = TRANSACTION_COLUMNS + [EVENT_TIME]
-        new = batch.select(*cols).withColumn("_emitted", F.lit(False))
-        prev = self._previous_state(spark, batch_id)
-        rows = new if prev is None else new.unionByName(prev.select(*cols, "_emitted"))
-        scored = trailing_travel(rows, self.cfg, carry=(EVENT_TIME, "_emitted"), flag_col="_hit").persist()
-        try:
-            (scored.where(F.col("_hit") & ~F.col("_emitted")).select(*TRANSACTION_COLUMNS)
-                   .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-                   .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                   .partitionBy("batch_id").parquet(self.out_path))
-            keep = (self.cfg.window_seconds + _seconds(self.cfg.watermark_delay)) * 1_000_000
-            t = epoch_micros(scored, EVENT_TIME)
-            horizon = scored.agg(F.max(t).alias("m")).first()["m"]  # one scalar, from the cache
-            state = (scored.where(t >= F.lit((horizon or 0) - keep))
-                           .select(*TRANSACTION_COLUMNS, EVENT_TIME,
-                                   (F.col("_emitted") | F.col("_hit")).alias("_emitted")))
-            state.write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}")
-        finally:
-            scored.unpersist()
-
-
-def _seconds(text: str) -> int:
-    from ledgerguard.config import duration_seconds
-    return duration_seconds(text)
+    A row is emitted once, when the watermark has passed the slice of the row
+    that flags it; ``live_travel`` does not wait for that.
+    """
+    w, k, g = slicing(cfg)
+    if k < 2:
+        raise ValueError("trailing travel on a stream needs two slices in a window at least")
+    rows = (with_event_watermark(stream, cfg)
+            .where(F.col("user_id").isNotNull() & F.col("country").isNotNull() & F.col(EVENT_TIME).isNotNull()))
+    t = F.unix_micros(F.col(EVENT_TIME))
+    slices = (rows.groupBy("user_id", F.window(F.col(EVENT_TIME), f"{g} microseconds").alias("slice"), "country")
+              .agg(F.min(t).alias("_first"), F.max(t).alias("_last")))
+    bucket = F.floor(F.unix_micros("slice.start") / F.lit(w))
+    context = slices.select(F.col("user_id").alias("_user"), F.col("country").alias("_country"), "_first", "_last",
+                            F.window_time("slice").alias("_end"), F.explode(F.array(bucket, bucket + 1)).alias("_bucket"))
+    probes = rows.withColumn("_own_bucket", F.floor(t / F.lit(w)))
+    inside = ((F.col("_user") == F.col("user_id")) & (F.col("_bucket") == F.col("_own_bucket"))
+              & (F.col("_country") != F.col("country")) & (F.col("_last") >= t - F.lit(w)) & (F.col("_first") <= t)
+              # the same in event time, which is what lets Spark expire both sides
+              & (F.col("_end") >= F.col(EVENT_TIME) - F.expr(f"INTERVAL '{w // 1_000_000}' SECOND"))
+              & (F.col("_end") <= F.col(EVENT_TIME) + F.expr(f"INTERVAL '{-(-g // 1_000_000)}' SECOND")))
+    return probes.join(context, inside, "left_semi").select(*TRANSACTION_COLUMNS)
 
 
 __all__ = ["with_event_watermark", "stateful_tumbling_travel", "stateful_session_travel",
-           "dedup_transactions", "UpsertSink", "TrailingTravelRouter", "wall_clock",
+           "stateful_trailing_travel", "dedup_transactions", "UpsertSink", "wall_clock",
            "rows_dropped_by_watermark"]
 
 

@@ -78,23 +78,97 @@ def test_per_batch_tumbling_equals_batch_rule_per_chunk(spark, workdir):
     assert got.count() <= rules.impossible_travel_tumbling(tx, CFG).count()
 
 
-def test_trailing_router_flags_earlier_rows_on_late_arrival(spark, workdir):
+def _messages_of(rows):
+    import json
+    return [json.dumps({"transaction_id": i, "user_id": u, "timestamp": ts, "amount": 1.0, "currency": "USD",
+                        "merchant_category": "Food", "country": c}) for i, u, ts, c in rows]
+
+
+def _in_batches(spark, folder, batches):
+    """Each list of rows is one file, and so one micro-batch."""
+    import time
+    from ledgerguard.sources.json_ingest import parse_transactions
+    from ledgerguard.streaming.sources import file_source
+    for rows in batches:
+        spark.createDataFrame([(m,) for m in _messages_of(rows)], "value string").coalesce(1).write.mode("append").text(folder)
+        time.sleep(0.02)  # files are taken by their times
+    return parse_transactions(file_source(spark, folder, "text"))
+
+
+LATE = [[("R", "u1", "2024-01-01 00:10:00", "USA"), ("Z", "u1", "2024-01-01 00:10:30", "USA"), ("N", None, "2024-01-01 00:10:00", "UAE")],
+        [("L", "u1", "2024-01-01 00:09:00", "Japan"), ("O", "u2", "2024-01-01 00:10:00", "UAE")],  # 90 s late
+        [("P", "u2", "2024-01-01 00:20:00", "USA"), ("Q", "u2", "2024-01-01 00:20:00.000001", "Japan"), ("C", "u2", "2024-01-01 00:12:00", None)],
+        [("end", "u9", "2024-01-01 02:00:00", "UAE")]]
+
+
+def _collected(rows, workdir, name="q"):
+    """[(ids of each micro-batch)], the query."""
+    seen = {}
+    q = (rows.writeStream.outputMode("append").foreachBatch(
+            lambda df, b: seen.update({b: sorted(r.transaction_id for r in df.collect())}))
+         .option("checkpointLocation", f"{workdir}/{name}").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.exception() is None
+    return seen, q
+
+
+def test_trailing_join_flags_earlier_rows_on_late_arrival(spark, workdir):
+    from ledgerguard.config import DEFAULT_CONFIG
+    from ledgerguard.operators import travel
+    from ledgerguard.streaming.stateful import stateful_trailing_travel
+    stream = _in_batches(spark, f"{workdir}/in", LATE)
+    seen, q = _collected(stateful_trailing_travel(stream, DEFAULT_CONFIG), workdir)
+    got = sorted(i for ids in seen.values() for i in ids)
+    from tests.helpers import tx_rows
+    rows = [(i, u, ts, 1.0, "Food", c) for batch in LATE for i, u, ts, c in batch]
+    want = sorted(r.transaction_id for r in travel.trailing_travel(tx_rows(spark, rows)).collect())
+    assert got == want == ["P", "Q", "R", "Z"]
+    # all state but that of the last user has expired
+    assert sum(op["numRowsTotal"] for op in q.lastProgress["stateOperators"]) <= 4
+
+
+def test_live_travel_alerts_in_the_batch_of_the_second_row(spark, workdir):
+    from ledgerguard.config import DEFAULT_CONFIG
+    from ledgerguard.streaming.live import PROVIDER, live_travel, rocksdb
+    stream = _in_batches(spark, f"{workdir}/in", LATE)
+    before = spark.conf.get(PROVIDER, None)
+    with rocksdb(spark):
+        seen, q = _collected(live_travel(stream, DEFAULT_CONFIG), workdir)
+    assert spark.conf.get(PROVIDER, None) == before
+    # R and Z wait for the late L; P meets O of its user; Q meets P
+    assert {b: ids for b, ids in seen.items() if ids} == {1: ["R", "Z"], 2: ["P", "Q"]}
+    # timers have emptied every bucket but those of the last row: its context in two, itself waiting in one
+    last = [p for p in q.recentProgress if p["stateOperators"]][-1]["stateOperators"][0]
+    metrics = last["customMetrics"]
+    assert last["numRowsTotal"] <= 6, (last["numRowsTotal"], metrics)
+
+
+def test_live_and_joined_travel_on_random_arrivals(spark, workdir):
+    """Rows of a few users, out of order within the watermark delay, ties and equal ids included."""
+    import random
     from ledgerguard.config import DEFAULT_CONFIG
     from ledgerguard.operators import travel
-    from ledgerguard.streaming.stateful import TrailingTravelRouter
+    from ledgerguard.streaming.live import live_travel, rocksdb
+    from ledgerguard.streaming.stateful import stateful_trailing_travel
     from tests.helpers import tx_rows
-    b0 = [("R", "u1", "2024-01-01 00:10:00", 1.0, "Food", "USA"),
-          ("Z", "u1", "2024-01-01 00:10:30", 1.0, "Food", "USA")]
-    b1 = [("L", "u1", "2024-01-01 00:09:00", 1.0, "Food", "Japan")]  # 90 s late
-    router = TrailingTravelRouter(f"{workdir}/out", f"{workdir}/state", DEFAULT_CONFIG)
-    router(tx_rows(spark, b0), 0)
-    router(tx_rows(spark, b1), 1)
-    router(tx_rows(spark, b1), 1)  # replay of the same batch
-    out = spark.read.parquet(f"{workdir}/out")
-    got = sorted(r.transaction_id for r in out.collect())
-    want = sorted(r.transaction_id for r in travel.trailing_travel(tx_rows(spark, b0 + b1)).collect())
-    assert got == want == ["R", "Z"]
-    assert [r.batch_id for r in out.collect()] == [1, 1]
+    rnd = random.Random(4)
+    rows = []
+    for n in range(240):
+        at = rnd.randrange(0, 5400)
+        rows.append((at + rnd.randrange(0, 100), (f"t{rnd.randrange(200)}", rnd.choice(["a", "a", "b", "c"]),
+                     f"2024-01-01 {at // 3600:02d}:{at // 60 % 60:02d}:{at % 60:02d}", rnd.choice(["USA", "UAE", "Japan", None]))))
+    rows = [r for _, r in sorted(rows, key=lambda x: x[0])]  # arrival: at most 100 s after the event
+    batches = [rows[i:i + 60] for i in range(0, 240, 60)] + [[("end", "z", "2024-01-01 05:00:00", "UAE")]]
+    cfg = DEFAULT_CONFIG.with_(watermark_delay="10 minutes")
+    want = sorted(r.transaction_id for r in travel.trailing_travel(
+        tx_rows(spark, [(i, u, ts, 1.0, "Food", c) for i, u, ts, c in rows])).collect())
+    joined, _ = _collected(stateful_trailing_travel(_in_batches(spark, f"{workdir}/in", batches), cfg), workdir, "a")
+    assert sorted(i for ids in joined.values() for i in ids) == want and len(want) > 40
+    from ledgerguard.sources.json_ingest import parse_transactions
+    from ledgerguard.streaming.sources import file_source
+    with rocksdb(spark):
+        live, _ = _collected(live_travel(parse_transactions(file_source(spark, f"{workdir}/in", "text")), cfg), workdir, "b")
+    assert sorted(i for ids in live.values() for i in ids) == want
 
 
 def test_sinks_that_emit_nothing_read_back_empty(spark, workdir):
