@@ -85,7 +85,7 @@ def tumbling_travel_members(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG
     measured size is under the broadcast threshold and otherwise keeps a
     shuffled join, so nothing unbounded is broadcast.
     """
-    return _semi_on_group(with_window_start(tx, cfg), tumbling_travel_keys(tx, cfg), "left_semi")
+    return members_of(tx, tumbling_travel_keys(tx, cfg), cfg)
 
 
 def impossible_travel_tumbling(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -95,9 +95,18 @@ def impossible_travel_tumbling(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CON
     deterministic), and the earliest member's timestamp/amount/currency/
     category. Pass 2 only touches members of flagged groups.
     """
+    return travel_alerts_of(tumbling_travel_members(tx, cfg), cfg).drop(WINDOW_START)
+
+
+def members_of(tx: DataFrame, keys: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Transactions of the (user_id, window_start) groups in ``keys``, with ``window_start``."""
+    return _semi_on_group(with_window_start(tx, cfg), keys, "left_semi")
+
+
+def travel_alerts_of(members: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
+    """One alert for each (user_id, window_start) group of flagged ``members``, with ``window_start``."""
     first = earliest_by_time(F.struct("timestamp", "amount", "currency", "merchant_category"))
-    grouped = (tumbling_travel_members(tx, cfg)
-               .groupBy("user_id", WINDOW_START)
+    grouped = (members.groupBy("user_id", WINDOW_START)
                .agg(F.array_sort(F.collect_set("country")).alias("countries"),
                     F.array_sort(F.collect_set("transaction_id")).alias("ids"),
                     first.alias("first")))
@@ -111,6 +120,7 @@ def impossible_travel_tumbling(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CON
         F.concat_ws(", ", "countries").alias("country"),
         F.lit(FRAUD_TYPE_TRAVEL).alias("fraud_type"),
         travel_reason(F.col("countries"), cfg).alias("fraud_reason"),
+        WINDOW_START,
     )
 
 

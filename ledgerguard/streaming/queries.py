@@ -24,8 +24,8 @@ from ledgerguard.streaming.replay import write_replay
 from ledgerguard.streaming.router import METRICS_SCHEMA, BatchRouter, start_screening
 from ledgerguard.streaming.sources import file_source
 from ledgerguard.streaming.live import live_travel, rocksdb
-from ledgerguard.streaming.stateful import (UpsertSink, dedup_transactions, stateful_session_travel,
-                                            stateful_trailing_travel, stateful_tumbling_travel)
+from ledgerguard.streaming.stateful import (MemberSink, dedup_transactions, flagged_windows,
+                                            stateful_session_travel, stateful_trailing_travel)
 
 #: Files of a replay, at least, and rows of one file, at most (a single day is never split).
 REPLAY_FILES, REPLAY_ROWS = 4, 2_000_000
@@ -119,14 +119,15 @@ def _straddling_stream(spark, sf_dir, copies: int = 1, flush: bool = False):
 
 
 def q_stream_travel_stateful(spark, sf_dir):
+    """Tumbling travel with state: flagged windows first, their members from the replayed files."""
     base = fresh_path(spark, "travel-stateful")
-    sink = UpsertSink(f"{base}/out", keys=("user_id", "window_start"))
-    stream, cfg = _straddling_stream(spark, sf_dir)
-    alerts = stateful_tumbling_travel(stream, cfg)
-    q = (alerts.writeStream.outputMode("update").foreachBatch(sink)
+    folder, days = _message_replay(spark, sf_dir, straddle=True)
+    cfg = CFG.with_(watermark_delay=f"{days} days")
+    sink = MemberSink(f"{base}/out", lambda: parse_transactions(spark.read.text(folder)), cfg)
+    keys = flagged_windows(parse_transactions(file_source(spark, folder, "text")), cfg)
+    _run(keys.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-    _run(q)
-    return sink.read(spark, alerts.schema).select(*ALERT_COLUMNS)
+    return sink.read(spark).select(*ALERT_COLUMNS)
 
 
 def _appended(rows: DataFrame, base: str) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from ledgerguard.config import DEFAULT_CONFIG, FRAUD_TYPE_TRAVEL, ScreeningConfig
-from ledgerguard.functions.expressions import (as_instant, earliest_by_time, travel_reason,
-                                               wall_clock_from_micros)
+from ledgerguard.functions.expressions import as_instant, travel_reason, wall_clock_from_micros
+from ledgerguard.operators.rules import WINDOW_START, members_of, travel_alerts_of
 from ledgerguard.operators.travel import slicing
-from ledgerguard.schema import EVENT_TIME, TRANSACTION_COLUMNS
+from ledgerguard.schema import ALERT_SCHEMA, EVENT_TIME, TRANSACTION_COLUMNS
 from ledgerguard.sources.lakes import read_parquet_or_empty
 
 
@@ -31,29 +33,18 @@ def wall_clock(c: Column) -> Column:
     return wall_clock_from_micros(F.unix_micros(c))
 
 
-def stateful_tumbling_travel(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Tumbling-window travel with state carried across micro-batches.
+def flagged_windows(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
+    """(user_id, window_start) of tumbling windows seen in more than one country.
 
-    Unlike the per-batch rule, a pair split over two micro-batches is still
-    found. Run in ``update`` mode (each batch emits the groups it changed)
-    into an ``UpsertSink``; state for a window is dropped once the watermark
-    passes its end.
+    Unlike the per-batch rule, a pair split over two micro-batches is found. Run
+    in ``update`` mode, into a ``MemberSink``: a batch emits the flagged windows
+    that it changed. All that is kept of a window is its least and greatest
+    country, until the watermark passes its end; ids stay in the landing table.
     """
-    first = earliest_by_time(F.struct("timestamp", "amount", "currency", "merchant_category"))
     g = (with_event_watermark(stream, cfg)
          .groupBy("user_id", F.window(F.col(EVENT_TIME), cfg.travel_window).alias("w"))
-         .agg(F.collect_set("country").alias("countries"),
-              F.collect_set("transaction_id").alias("ids"), first.alias("first")))
-    return (g.where(F.size("countries") > 1)
-             .select(F.col("user_id"), wall_clock(F.col("w.start")).alias("window_start"),
-                     F.concat_ws(", ", F.array_sort("ids")).alias("transaction_id"),
-                     F.col("first.timestamp").alias("timestamp"),
-                     F.col("first.amount").alias("amount"),
-                     F.col("first.currency").alias("currency"),
-                     F.col("first.merchant_category").alias("merchant_category"),
-                     F.concat_ws(", ", F.array_sort("countries")).alias("country"),
-                     F.lit(FRAUD_TYPE_TRAVEL).alias("fraud_type"),
-                     travel_reason(F.array_sort("countries"), cfg).alias("fraud_reason")))
+         .agg(F.min("country").alias("c_min"), F.max("country").alias("c_max")))
+    return g.where(F.col("c_min") != F.col("c_max")).select("user_id", wall_clock(F.col("w.start")).alias(WINDOW_START))
 
 
 def stateful_session_travel(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -110,6 +101,48 @@ class UpsertSink:
         return latest.select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
 
 
+@dataclass
+class MemberSink:
+    """``foreachBatch`` sink of ``flagged_windows``: fetches the members of those windows and keeps their alerts.
+
+    ``landed`` gives the landing table in screened form: the table that the
+    stream itself is read from, so that every row the stream has seen is there.
+    It is read from the first to the last flagged window alone (a filter on
+    ``event_time``, and on ``date`` where the table has that column). A window
+    that changes again is fetched again; ``read`` keeps the latest alert.
+    """
+
+    path: str
+    landed: Callable[[], DataFrame]
+    cfg: ScreeningConfig = DEFAULT_CONFIG
+
+    def __post_init__(self):
+        self.sink = UpsertSink(self.path, keys=("user_id", WINDOW_START))
+
+    def between(self, first, last) -> DataFrame:
+        """Landed rows of the windows that start from ``first`` to ``last``."""
+        rows = self.landed()
+        end = F.lit(last) + F.expr(f"INTERVAL '{self.cfg.window_seconds}' SECOND")
+        rows = rows.where((F.col(EVENT_TIME) >= F.lit(first)) & (F.col(EVENT_TIME) < end))
+        if "date" in rows.columns:
+            rows = rows.where(F.col("date").between(F.lit(first).cast("date"), end.cast("date")))
+        return rows
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        keys = batch.persist()  # read twice; few
+        try:
+            span = keys.agg(F.min(WINDOW_START).alias("a"), F.max(WINDOW_START).alias("b")).first()
+            if span["a"] is not None:
+                members = members_of(self.between(span["a"], span["b"]), keys, self.cfg)
+                self.sink(travel_alerts_of(members, self.cfg), batch_id)
+        finally:
+            keys.unpersist()
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        window = StructType([StructField(WINDOW_START, TimestampNTZType(), True)])
+        return self.sink.read(spark, StructType(ALERT_SCHEMA.fields + window.fields))
+
+
 def stateful_trailing_travel(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
     """Trailing-window travel as a stream-stream left-semi join (``append`` mode).
 
@@ -149,7 +182,7 @@ def stateful_trailing_travel(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_C
     return probes.join(context, inside, "left_semi").select(*TRANSACTION_COLUMNS)
 
 
-__all__ = ["with_event_watermark", "stateful_tumbling_travel", "stateful_session_travel",
+__all__ = ["with_event_watermark", "flagged_windows", "MemberSink", "stateful_session_travel",
            "stateful_trailing_travel", "dedup_transactions", "UpsertSink", "wall_clock",
            "rows_dropped_by_watermark"]
 

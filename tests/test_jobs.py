@@ -6,7 +6,7 @@ import json
 from ledgerguard.config import DEFAULT_CONFIG as CFG
 from ledgerguard.jobs import build_reports, run_reports, run_screening, stop_gracefully
 from ledgerguard.streaming.sources import file_source
-from ledgerguard.streaming.stateful import rows_dropped_by_watermark, stateful_tumbling_travel
+from ledgerguard.streaming.stateful import flagged_windows, rows_dropped_by_watermark
 from ledgerguard.sources.json_ingest import parse_transactions
 
 
@@ -58,7 +58,7 @@ def test_late_rows_are_dropped_and_counted(spark, workdir):
     _write_lines(spark, src, [_msg(1, "u1", "2024-01-01 01:00:00", 1.0, "USA")])
     stream = parse_transactions(file_source(spark, src, "text"))
     sink = []
-    q = (stateful_tumbling_travel(stream, CFG).writeStream.outputMode("update")
+    q = (flagged_windows(stream, CFG).writeStream.outputMode("update")
          .foreachBatch(lambda df, b: sink.append(df.count()))
          .option("checkpointLocation", f"{workdir}/late-ckpt").start())
     q.processAllAvailable()

@@ -177,18 +177,17 @@ def test_sinks_that_emit_nothing_read_back_empty(spark, workdir):
     from ledgerguard.sources.json_ingest import parse_transactions
     from ledgerguard.sources.lakes import read_parquet_or_empty
     from ledgerguard.streaming.sources import file_source
-    from ledgerguard.streaming.stateful import UpsertSink, stateful_session_travel, stateful_tumbling_travel
+    from ledgerguard.streaming.stateful import MemberSink, flagged_windows, stateful_session_travel
     msg = lambda i, ts: json.dumps({"transaction_id": i, "user_id": "u", "timestamp": ts, "amount": 1.0,
                                     "currency": "USD", "merchant_category": "Food", "country": "USA"})
     spark.createDataFrame([(msg("a", "2024-01-01 00:00:00"),), (msg("b", "2024-01-01 00:01:00"),)],
                           "value string").coalesce(1).write.text(f"{workdir}/in")
     stream = parse_transactions(file_source(spark, f"{workdir}/in", "text"))
-    sink = UpsertSink(f"{workdir}/tumble", keys=("user_id", "window_start"))
-    tumble = stateful_tumbling_travel(stream, DEFAULT_CONFIG)
-    q = (tumble.writeStream.outputMode("update").foreachBatch(sink)
+    sink = MemberSink(f"{workdir}/tumble", lambda: parse_transactions(spark.read.text(f"{workdir}/in")))
+    q = (flagged_windows(stream, DEFAULT_CONFIG).writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", f"{workdir}/c1").trigger(availableNow=True).start())
     q.awaitTermination()
-    assert sink.read(spark, tumble.schema).count() == 0
+    assert sink.read(spark).count() == 0
     sess = stateful_session_travel(stream, DEFAULT_CONFIG)
     q = (sess.writeStream.outputMode("append").format("parquet").option("path", f"{workdir}/sess")
          .option("checkpointLocation", f"{workdir}/c2").trigger(availableNow=True).start())
@@ -217,19 +216,36 @@ def test_replays_split_windows_and_copies_over_batches(spark):
 
 
 def test_stateful_stream_goes_on_from_its_checkpoint(spark, workdir):
-    """Stopped between the two halves of a window, the state brings them together."""
-    import json
+    """Stopped between the two halves of a window, the state brings them together; it holds no ids."""
     from ledgerguard.sources.json_ingest import parse_transactions
-    from ledgerguard.streaming.sources import file_source
-    from ledgerguard.streaming.stateful import UpsertSink, stateful_tumbling_travel
-    for i, country in enumerate(("USA", "Japan")):
-        msg = json.dumps({"transaction_id": f"t{i}", "user_id": "u", "timestamp": f"2024-01-01 00:0{i}:00",
-                          "amount": 1.0, "currency": "USD", "merchant_category": "Food", "country": country})
-        spark.createDataFrame([(msg,)], "value string").coalesce(1).write.mode("append").text(f"{workdir}/in")
-        alerts = stateful_tumbling_travel(parse_transactions(file_source(spark, f"{workdir}/in", "text")), CFG)
-        sink = UpsertSink(f"{workdir}/out", keys=("user_id", "window_start"))
-        q = (alerts.writeStream.outputMode("update").foreachBatch(sink)
+    from ledgerguard.streaming.stateful import MemberSink, flagged_windows
+    sink = MemberSink(f"{workdir}/out", lambda: parse_transactions(spark.read.text(f"{workdir}/in")), CFG)
+    batches = [[("t0", "u", "2024-01-01 00:00:00", "USA"), ("x0", "v", "2024-01-01 00:00:00", "USA")],
+               [("t1", "u", "2024-01-01 00:01:00", "Japan"), ("x1", "v", "2024-01-01 00:01:00", "USA")],
+               [("t2", "u", "2024-01-01 00:02:00", None)]]
+    for i, rows in enumerate(batches):
+        q = (flagged_windows(_in_batches(spark, f"{workdir}/in", [rows]), CFG).writeStream.outputMode("update").foreachBatch(sink)
              .option("checkpointLocation", f"{workdir}/ckpt").trigger(availableNow=True).start())
         q.awaitTermination()
         assert q.exception() is None
-        assert [r.transaction_id for r in sink.read(spark, alerts.schema).collect()] == (["t0, t1"] if i else [])
+        got = [(r.user_id, r.transaction_id, r.country) for r in sink.read(spark).collect()]
+        ids = ", ".join(f"t{n}" for n in range(i + 1))
+        assert got == ([("u", ids, "Japan, USA")] if i else [])
+    state = spark.read.format("statestore").load(f"{workdir}/ckpt")
+    held = {r["key"]["user_id"]: tuple(r["value"]) for r in state.select("key", "value").collect()}
+    assert held == {"u": ("Japan", "USA"), "v": ("USA", "USA")}
+
+
+def test_members_are_fetched_for_flagged_windows_alone(spark, workdir):
+    """The landing table is read between the flagged windows: a filter that reaches its scan."""
+    from ledgerguard.sources.json_ingest import screened_form
+    from ledgerguard.schema import TRANSACTION_SCHEMA
+    from ledgerguard.streaming.stateful import MemberSink
+    import datetime
+    rows = [(str(i), "u", f"2024-01-0{1 + i % 5} 00:0{i % 7}:00", 1.0, "USD", "Food", "USA") for i in range(50)]
+    landed = screened_form(spark.createDataFrame(rows, TRANSACTION_SCHEMA)).withColumn("date", F.col("event_time").cast("date"))
+    landed.write.partitionBy("date").parquet(f"{workdir}/landed")
+    sink = MemberSink(f"{workdir}/out", lambda: spark.read.parquet(f"{workdir}/landed"), CFG)
+    part = sink.between(datetime.datetime(2024, 1, 2), datetime.datetime(2024, 1, 2, 0, 10))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert part.count() == 10 and "PartitionFilters: [isnotnull(date" in plan and "GreaterThanOrEqual(event_time" in plan
