@@ -1,8 +1,9 @@
-"""Command line: ``python -m ledgerguard {screen,report} ...``.
+"""Command line: ``python -m ledgerguard {screen,backfill,report,compact} ...``.
 
 ``screen`` runs the streaming screen (broker topic or a folder of JSON-line
 files) into the lakes until stopped; ``backfill`` screens a folder in batch;
-``report`` writes the report tables and lines for all history or one day.
+``report`` writes the report tables and lines for all history or one day;
+``compact`` rewrites closed days of the lakes into few files.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import argparse
 
 from ledgerguard.config import DEFAULT_CONFIG
-from ledgerguard.jobs import run_reports, run_screening, screen_table, stop_gracefully
+from ledgerguard.jobs import compact_lakes, run_reports, run_screening, screen_table, stop_gracefully
 from ledgerguard.session import build_session
 from ledgerguard.streaming.sources import file_source
 
@@ -38,7 +39,10 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--lake", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--day", help="yyyy-MM-dd; default all history")
-    for p in (s, b, r):
+    c = sub.add_parser("compact", help="rewrite closed days of the lakes into few files")
+    c.add_argument("--lake", required=True)
+    c.add_argument("--day", required=True, nargs="+", help="yyyy-MM-dd")
+    for p in (s, b, r, c):
         p.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
@@ -47,6 +51,9 @@ def main(argv: list[str] | None = None) -> None:
     if a.cmd == "report":
         print(run_reports(spark, a.lake, a.out, day=a.day))
         return
+    if a.cmd == "compact":
+        print(compact_lakes(spark, a.lake, a.day))
+        return
     if a.cmd == "backfill":
         cfg = DEFAULT_CONFIG.with_(high_value_threshold=a.threshold)
         screen_table(spark, spark.read.text(a.input), a.lake, cfg, batch_id=a.batch_id, run_id=a.run_id)

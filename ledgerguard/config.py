@@ -76,6 +76,9 @@ class ScreeningConfig:
     # Time slices per travel window used by the trailing-window operators to
     # split one user's activity across tasks (see operators/travel.py).
     travel_slices: int = 10
+    # Messages that one micro-batch takes from the broker at most, as the router
+    # caches it; ``kafka_options`` may say otherwise.
+    max_offsets_per_trigger: int = 1_000_000
     kafka_options: dict = field(default_factory=dict, hash=False, compare=False)
 
     def with_(self, **kw) -> "ScreeningConfig":

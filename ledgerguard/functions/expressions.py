@@ -15,12 +15,15 @@ import re
 from ledgerguard.config import HIGH_VALUE_REASON, TRAVEL_REASON, ScreeningConfig
 
 __all__ = [
-    "event_time_from_text", "epoch_micros", "as_instant", "wall_clock_from_micros", "nan_to_null", "money_sum",
+    "event_time_from_text", "epoch_micros", "as_instant", "wall_clock_from_micros", "nan_to_null", "unsummed", "money_sum",
     "money", "ratio", "pct_of", "high_value_reason", "travel_reason",
     "is_foreign_country", "is_branch_country", "foreign_countries_array", "partition_date",
     "earliest_by_time", "fill_template",
 ]
 
+#: A time of day with something after its digits.
+ZONED = r"\d:\d{1,2}(:\d{1,2}(\.\d*)?)?\s*([Zz]|[+-]\d|[A-Za-z]{2})"
+
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -28,9 +31,14 @@ def event_time_from_text(text: Column) -> Column:
     """Zone-less ``yyyy-MM-dd HH:mm:ss[.ffffff]`` text -> TIMESTAMP_NTZ.
 
     ``try_cast`` yields NULL for unparseable text instead of failing the job
-    under ANSI mode (which would kill a stream on one bad row).
+    under ANSI mode (which would kill a stream on one bad row). Text that names a
+    zone after the time (``Z``, ``+05:30``, ``UTC``, ``Asia/Tokyo``) is that
+    instant's wall clock in UTC; text that names none is the wall clock itself.
     """
-    return text.try_cast("timestamp_ntz")
+    zoned = text.rlike(ZONED)
+    # only zoned text passes the session zone, and with a zone of its own it does not depend on it
+    instant = F.when(zoned, text).try_cast("timestamp")
+    return F.when(zoned, wall_clock_from_micros(F.unix_micros(instant))).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def epoch_micros(df: DataFrame, name: str) -> Column:
@@ -75,6 +83,14 @@ def exact(c: Column) -> Column:
     return nan_to_null(c).try_cast(MONEY)
 
 
+def unsummed(c: Column) -> Column:
+    """Whether an amount is a number that ``exact`` cannot hold: infinite, or 1e24 and more.
+
+    Sums leave such amounts out as they do NaN, and reports count them.
+    """
+    return F.coalesce(nan_to_null(c).isNotNull() & exact(c).isNull(), F.lit(False))
+
+
 def no_money() -> Column:
     return F.lit(0).cast("decimal(38,6)")
 

@@ -6,6 +6,8 @@ to whatever runs them.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 import uuid
 from dataclasses import dataclass
@@ -16,9 +18,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerguard.config import DEFAULT_CONFIG, ScreeningConfig
 from ledgerguard.plans import reports
+from ledgerguard.session import path_exists
+from ledgerguard.sinks.commits import (FILE_BYTES, NO_DATE, commit_day, commit_root, compact_days, day_markers, new_attempt,
+                                       read_days, vacuum, visible_days)
 from ledgerguard.sinks.lakes import write_report, write_report_text
 from ledgerguard.sources.json_ingest import parse_transactions
-from ledgerguard.sources.lakes import read_fraud_lake, read_valid_lake
+from ledgerguard.sources.lakes import (FRAUD_LAKE_SCHEMA, VALID_LAKE_SCHEMA, read_fraud_lake, read_lake,
+                                       read_valid_lake)
 from ledgerguard.streaming.router import BatchRouter, start_screening
 from ledgerguard.streaming.sources import kafka_source
 
@@ -36,7 +42,8 @@ def run_screening(spark: SparkSession, lake_root: str, checkpoint: str,
     router = BatchRouter(valid_path=f"{lake_root}/transactions", fraud_path=f"{lake_root}/fraud",
                          cfg=cfg, alert_format=alert_format,
                          alert_path=f"{lake_root}/alerts" if alert_format != "kafka" else None,
-                         metrics_path=f"{lake_root}/metrics", quarantine_path=f"{lake_root}/quarantine")
+                         metrics_path=f"{lake_root}/metrics", quarantine_path=f"{lake_root}/quarantine",
+                         late_path=f"{lake_root}/late")
     return start_screening(parse_transactions(raw), router, checkpoint, available_now)
 
 
@@ -61,6 +68,20 @@ def screen_table(spark: SparkSession, rows: DataFrame, lake_root: str,
     return run_id
 
 
+def compact_lakes(spark: SparkSession, lake_root: str, days: list[str], file_bytes: int = FILE_BYTES,
+                  keep_s: float = 24 * 3600.0) -> dict[str, dict[str, int]]:
+    """Compact closed days of both lakes, then delete what compaction replaced ``keep_s`` seconds ago or more.
+
+    Returns, by lake, the files of each rewritten day.
+    """
+    out = {}
+    for name in ("transactions", "fraud"):
+        out[name] = compact_days(spark, f"{lake_root}/{name}", days, file_bytes)
+        for day in days:
+            vacuum(spark, f"{lake_root}/{name}", day, keep_s)
+    return out
+
+
 def stop_gracefully(query: StreamingQuery, poll_seconds: float = 0.5, timeout: float | None = None) -> None:
     """Stop after the running micro-batch finishes (no half-routed batch).
 
@@ -82,6 +103,7 @@ class ReportSet:
     fraud_by_type: DataFrame
     daily: DataFrame
     lines: DataFrame
+    unsummed: DataFrame
 
 
 def build_reports(spark: SparkSession, lake_root: str, day: str | None = None,
@@ -97,7 +119,39 @@ def build_reports(spark: SparkSession, lake_root: str, day: str | None = None,
     return ReportSet(reports.reconciliation_of(rows), reports.summary_of(rows),
                      reports.breakdown_of(rows, "merchant_category", with_avg=True),
                      reports.breakdown_of(rows, "fraud_type", with_avg=False),
-                     reports.daily_of(rows), reports.lines_of(rows))
+                     reports.daily_of(rows), reports.lines_of(rows), reports.unsummed_of(rows))
+
+
+def refresh_cube(spark: SparkSession, lake_root: str) -> list[str]:
+    """Bring the stored report cube (``lake_root/cube``, by date) up to date; the days that were summed anew.
+
+    A day's marker names the attempts that its cube was made of. Only days whose
+    visible attempts have changed since are read, from their own folders; days
+    that have left the lakes get an empty cube.
+    """
+    paths = {"transactions": VALID_LAKE_SCHEMA, "fraud": FRAUD_LAKE_SCHEMA}
+    now = {name: visible_days(spark, f"{lake_root}/{name}") for name in paths}
+    cube, known = f"{lake_root}/cube", day_markers(spark, f"{lake_root}/cube")
+
+    def source(day: str) -> str:
+        return hashlib.sha256(json.dumps([now[name].get(day, []) for name in paths]).encode()).hexdigest()
+    days = sorted({*now["transactions"], *now["fraud"], *known})
+    changed = [d for d in days if known.get(d, {}).get("source") != source(d)]
+    if changed:
+        sides = [read_days(spark, f"{lake_root}/{name}", {d: now[name].get(d, []) for d in changed}, schema)
+                 for name, schema in paths.items()]
+        attempt = new_attempt()
+        day = F.coalesce(F.col("date").cast("string"), F.lit(NO_DATE))
+        (reports.report_cube(*sides).withColumn("attempt", F.concat(F.lit(f"{attempt}-"), day))
+         .repartition("date").write.mode("append").partitionBy("date", "attempt").parquet(cube))
+        for d in changed:
+            commit_day(spark, cube, d, f"{attempt}-{d}", source=source(d))
+    return changed
+
+
+def read_cube(spark: SparkSession, lake_root: str) -> DataFrame:
+    """The stored report cube; a few rows for each day."""
+    return read_lake(spark, f"{lake_root}/cube", reports.CUBE_SCHEMA).select(*reports.CUBE_SCHEMA.names)
 
 
 #: Sections of the report lines in the text file of each kind.
@@ -108,18 +162,24 @@ def run_reports(spark: SparkSession, lake_root: str, out_root: str, day: str | N
                 stamp: str | None = None) -> str:
     """Write every report table (Parquet) and the report lines (text) under ``out_root/<stamp>``.
 
-    The lakes are read once, into a small cube that all tables follow from. The
-    lines go to ``lines`` and, by kind, to ``reconciliation_<stamp>`` and
-    ``analytics_<stamp>``. With no lake data the tables say ``NO_DATA``.
+    All tables follow from a small cube. It is stored by date, and a report of all
+    history reads only those days of the lakes that have changed since the last
+    one; a report of one ``day`` sums that day. The lines go to ``lines`` and, by
+    kind, to ``reconciliation_<stamp>`` and ``analytics_<stamp>``. With no lake
+    data the tables say ``NO_DATA``.
     """
     stamp = stamp or time.strftime("%Y%m%d_%H%M%S")
     out = f"{out_root}/{stamp}"
-    cube = reports.report_cube(read_valid_lake(spark, f"{lake_root}/transactions", day),
-                               read_fraud_lake(spark, f"{lake_root}/fraud", day))
+    if day is None and path_exists(spark, commit_root(f"{lake_root}/transactions")):
+        refresh_cube(spark, lake_root)
+        cube = read_cube(spark, lake_root)
+    else:
+        cube = reports.report_cube(read_valid_lake(spark, f"{lake_root}/transactions", day),
+                                   read_fraud_lake(spark, f"{lake_root}/fraud", day))
     cube.write.mode("overwrite").parquet(f"{out}/cube")
     cube = spark.read.schema(cube.schema).parquet(f"{out}/cube")
     rs = build_reports(spark, lake_root, day, cube)
-    for name in ("reconciliation", "fraud_summary", "fraud_by_category", "fraud_by_type", "daily"):
+    for name in ("reconciliation", "fraud_summary", "fraud_by_category", "fraud_by_type", "daily", "unsummed"):
         write_report(getattr(rs, name), f"{out}/{name}")
     write_report_text(rs.lines, f"{out}/lines")
     for kind, sections in TEXT_REPORTS.items():

@@ -145,6 +145,22 @@ def valid_excluding_travel(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG)
     return kept.select(*TRANSACTION_COLUMNS, lake_date(tx).alias("date"))
 
 
+def drop_landed(batch: DataFrame, landed: DataFrame) -> DataFrame:
+    """``batch`` without copies: of rows already in ``landed``, and of one another by ``transaction_id``.
+
+    ``landed`` needs only that column. It is first cut down to the ids of the
+    batch, by a semi join whose small side adaptive execution broadcasts, or
+    Spark filters by a runtime Bloom filter, where it measures it small: the
+    large side is scanned, never shuffled whole. Rows without an id are not
+    copies of one another: all pass.
+    """
+    ids = batch.where(F.col("transaction_id").isNotNull()).select("transaction_id").distinct()
+    seen = landed.select("transaction_id").join(ids, "transaction_id", "left_semi").distinct()
+    named = batch.where(F.col("transaction_id").isNotNull()).dropDuplicates(["transaction_id"])
+    return (named.join(seen, "transaction_id", "left_anti").select(*batch.columns)
+            .unionByName(batch.where(F.col("transaction_id").isNull())))
+
+
 def geo_flags(tx: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per country: home / foreign / branch flags with transaction count and volume."""
     return (tx.groupBy("country")

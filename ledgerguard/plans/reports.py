@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField, StructType
 
 from ledgerguard import config as C
 from ledgerguard.config import (BALANCE_TOLERANCE, BAR_WIDTH, DEFAULT_CONFIG, STATUS_BALANCED,
                                 STATUS_DISCREPANCY, STATUS_NO_DATA, ScreeningConfig)
-from ledgerguard.functions.expressions import exact, money, no_money, pct_of, ratio
+from ledgerguard.functions.expressions import exact, money, no_money, pct_of, ratio, unsummed
 from ledgerguard.functions.formatting import bar, fmt_count, fmt_money, fmt_pct, fmt_pct1
 from ledgerguard.operators.rules import WINDOW_START
 from ledgerguard.schema import EVENT_TIME
@@ -22,10 +23,16 @@ VALID, FRAUD = "V", "F"
 
 
 #: What a lake row adds up to; a cube row holds the sums of many lake rows.
-MEASURES = ("n_rows", "n_ids", "n_amounts", "volume")
+MEASURES = ("n_rows", "n_ids", "n_amounts", "n_unsummed", "volume")
 CUBE_KEYS = ("kind", "date", "merchant_category", "fraud_type")
 
 
+#: A stored cube, one file set for each date.
+CUBE_SCHEMA = StructType([StructField("kind", StringType()), StructField("date", DateType()),
+                          StructField("merchant_category", StringType()), StructField("fraud_type", StringType()),
+                          *[StructField(m, LongType()) for m in MEASURES[:-1]], StructField("volume", DecimalType(38, 6))])
+
+
 def _is(kind: str) -> Column:
     return F.col("kind") == F.lit(kind)
 
@@ -37,7 +44,7 @@ def _lake_rows(valid: DataFrame | None, fraud: DataFrame | None) -> DataFrame:
             return F.col(name) if kept and name in df.columns else F.lit(None).cast("string").alias(name)
         date = F.col("date") if "date" in df.columns else F.lit(None).cast("date").alias("date")
         return df.select(F.lit(kind).alias("kind"), date, key("merchant_category", kind == FRAUD),
-                         key("fraud_type", kind == FRAUD), "transaction_id", exact(F.col("amount")).alias("volume"))
+                         key("fraud_type", kind == FRAUD), "transaction_id", exact(F.col("amount")).alias("volume"), unsummed(F.col("amount")).alias("unsummed"))
     sides = [side(df, kind) for df, kind in ((valid, VALID), (fraud, FRAUD)) if df is not None]
     return sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
 
@@ -51,7 +58,8 @@ def lake_measures(valid: DataFrame | None = None, fraud: DataFrame | None = None
     return _lake_rows(valid, fraud).select(
         *CUBE_KEYS, F.lit(1).cast("long").alias("n_rows"),
         F.col("transaction_id").isNotNull().cast("long").alias("n_ids"),
-        F.col("volume").isNotNull().cast("long").alias("n_amounts"), "volume")
+        F.col("volume").isNotNull().cast("long").alias("n_amounts"),
+        F.col("unsummed").cast("long").alias("n_unsummed"), "volume")
 
 
 def report_cube(valid: DataFrame | None = None, fraud: DataFrame | None = None,
@@ -63,7 +71,8 @@ def report_cube(valid: DataFrame | None = None, fraud: DataFrame | None = None,
     """
     return _lake_rows(valid, fraud).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("transaction_id").alias("n_ids"),
-        F.count("volume").alias("n_amounts"), F.sum("volume").alias("volume"))
+        F.count("volume").alias("n_amounts"), F.count_if("unsummed").alias("n_unsummed"),
+        F.sum("volume").alias("volume"))
 
 
 def _total(kind: str, measure: str) -> Column:
@@ -141,6 +150,12 @@ def fraud_by_type(fraud: DataFrame) -> DataFrame:
     return breakdown_of(_fraud_by(fraud, "fraud_type"), "fraud_type", with_avg=False)
 
 
+def unsummed_of(measures: DataFrame) -> DataFrame:
+    """(validated_unsummed, fraud_unsummed): rows whose amount no volume holds (infinite, or 1e24 and more)."""
+    return measures.agg(_total(VALID, "n_unsummed").alias("validated_unsummed"),
+                        _total(FRAUD, "n_unsummed").alias("fraud_unsummed"))
+
+
 def fraud_summary(fraud: DataFrame) -> DataFrame:
     """One row: fraud row count, volume and average (0 when there are none)."""
     return summary_of(lake_measures(fraud=fraud))

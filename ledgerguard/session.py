@@ -132,5 +132,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-__all__ = ["build_session", "shared_dir", "fresh_path", "path_exists", "delete_path", "ship_code", "RECOMMENDED_CONF",
+def glob_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file or folder matches ``pattern``."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.globStatus(jpath))
+
+
+__all__ = ["build_session", "shared_dir", "fresh_path", "path_exists", "glob_exists", "delete_path", "ship_code", "RECOMMENDED_CONF",
            "CLUSTER_CONF"]

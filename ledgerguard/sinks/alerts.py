@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerguard.config import DEFAULT_CONFIG, ScreeningConfig
 from ledgerguard.schema import ALERT_COLUMNS, ALERT_SCHEMA
 
+#: A message as file sinks hold it.
+MESSAGE = StructType([StructField("value", StringType(), True)])
+
 
 def encode_alerts(alerts: DataFrame) -> DataFrame:
     """One JSON object per alert in ``value`` (NULL fields are omitted), no key."""

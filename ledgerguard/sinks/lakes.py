@@ -5,26 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerguard.session import delete_path
+from ledgerguard.sinks.commits import commit, commit_root, new_attempt
 
 
-def write_lake(rows: DataFrame, path: str, batch_id: int | None = None, run_id: str = "run") -> None:
-    """Append lake rows (which carry ``date``) partitioned by date.
+def write_attempt(rows: DataFrame, path: str, attempt: str, run_id: str, batch_id: int) -> None:
+    """Lake rows (which carry ``date``) as files of ``attempt``, not visible before its commit.
 
-    With ``batch_id`` the write is idempotent: rows go to
-    ``date=<d>/run_id=<run>/batch_id=<n>``, and whatever an earlier try of the
-    same run and batch left under any date is deleted first. ``run_id`` names
-    one writer (one checkpoint, one backfill), so batches of different writers
-    never replace each other. ``date`` stands outermost, so a report on one day
-    lists one folder; rows are rebalanced on it into few files of even size.
+    They go to ``date=<d>/attempt=<a>``: ``date`` stands outermost, so a report
+    on one day lists one folder; rows are rebalanced on it into few files of even
+    size. ``run_id`` and ``batch_id`` are columns.
     """
-    rows = rows.hint("rebalance", "date")
-    if batch_id is None:
-        rows.write.mode("append").partitionBy("date").parquet(path)
-        return
-    delete_path(rows.sparkSession, f"{path}/date=*/run_id={run_id}/batch_id={int(batch_id)}")
-    (rows.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-         .write.mode("append").partitionBy("date", "run_id", "batch_id").parquet(path))
+    (rows.hint("rebalance", "date").withColumns({
+        "run_id": F.lit(run_id), "batch_id": F.lit(int(batch_id)).cast("long"), "attempt": F.lit(attempt)})
+     .write.mode("append").partitionBy("date", "attempt").parquet(path))
+
+
+def write_lake(rows: DataFrame, path: str, batch_id: int = 0, run_id: str | None = None) -> None:
+    """Write one lake by itself and commit it; rows of an earlier try of the same run and batch go.
+
+    Without ``run_id`` the rows are a run of their own and are added.
+    """
+    attempt = new_attempt()
+    run_id = run_id or f"append-{attempt}"
+    write_attempt(rows, path, attempt, run_id, batch_id)
+    commit(rows.sparkSession, commit_root(path), run_id, batch_id, attempt)
 
 
 def write_report(table: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -12,18 +12,23 @@ def kafka_source(spark: SparkSession, cfg: ScreeningConfig = DEFAULT_CONFIG,
                  starting_offsets: str = "earliest", options: dict | None = None) -> DataFrame:
     """Raw transaction messages from ``cfg.raw_topic`` (column ``value``).
 
-    Options such as ``kafka.bootstrap.servers`` or ``maxOffsetsPerTrigger``
-    (bounds each micro-batch, so the router's cached batch stays bounded) are
-    passed through; ``minPartitions`` splits an oversized topic partition
-    over several tasks. Needs the Kafka connector on the classpath.
+    Options such as ``kafka.bootstrap.servers`` are passed through;
+    ``minPartitions`` splits an oversized topic partition over several tasks.
+    Needs the Kafka connector on the classpath.
     """
-    r = (spark.readStream.format("kafka").option("subscribe", cfg.raw_topic)
-         .option("startingOffsets", starting_offsets))
-    for k, v in {**cfg.kafka_options, **(options or {})}.items():
+    r = spark.readStream.format("kafka")
+    for k, v in kafka_options(cfg, starting_offsets, options).items():
         r = r.option(k, v)
     return r.load()
 
 
+def kafka_options(cfg: ScreeningConfig = DEFAULT_CONFIG, starting_offsets: str = "earliest",
+                  options: dict | None = None) -> dict:
+    """Options of the broker source: a micro-batch is bounded, unless the given options say otherwise."""
+    return {"subscribe": cfg.raw_topic, "startingOffsets": starting_offsets,
+            "maxOffsetsPerTrigger": str(cfg.max_offsets_per_trigger), **cfg.kafka_options, **(options or {})}
+
+
 def file_source(spark: SparkSession, path: str, fmt: str = "text",
                 schema: StructType | None = None, max_files_per_trigger: int | None = 1,
                 options: dict | None = None) -> DataFrame:

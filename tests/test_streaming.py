@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 from ledgerguard.config import FIXTURE_CONFIG as CFG
 from ledgerguard.operators import rules
 from ledgerguard.schema import ALERT_COLUMNS, TRANSACTION_COLUMNS
+from ledgerguard.sinks.alerts import MESSAGE
 from ledgerguard.sources.fixtures import fixture_transactions
-from ledgerguard.sources.lakes import read_fraud_lake, read_valid_lake
+from ledgerguard.sources.lakes import read_committed, read_fraud_lake, read_valid_lake
 from ledgerguard.streaming import queries as sq
-from ledgerguard.streaming.router import BatchRouter
+from ledgerguard.streaming.router import METRICS_SCHEMA, BatchRouter
 from tests.conftest import SF_SMALL
 
 
@@ -23,10 +24,10 @@ def test_stream_router_equals_batch(spark):
     valid = read_valid_lake(spark, f"{base}/valid").select(*TRANSACTION_COLUMNS, "date")
     assert _same(fraud, rules.all_alerts(tx, CFG))
     assert _same(valid, rules.valid_transactions(tx, CFG))
-    m = spark.read.parquet(f"{base}/metrics")
+    m = read_committed(spark, f"{base}/metrics", METRICS_SCHEMA)
     assert m.select(F.countDistinct("batch_id")).first()[0] == sq.REPLAY_FILES
     assert m.agg(F.sum("raw")).first()[0] == tx.count()
-    alerts = spark.read.json(f"{base}/alerts")
+    alerts = read_committed(spark, f"{base}/alerts", MESSAGE, "json")
     assert alerts.count() == fraud.count()
 
 
