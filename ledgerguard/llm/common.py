@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import os
-import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerguard.session import fresh_path
+from ledgerguard.session import ship_code as ship
 
 #: A null id sorts after every other id and counts as one id.
 NULL_ID = (1 << 63) - 1
@@ -25,31 +23,6 @@ ASCII_SPACE = b" \t\n\x0b\x0c\r"
 STEP_BYTES = 4 << 20
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package's code, once per application, as ``--py-files`` would.
-
-    The archive lies in the shared folder.
-    """
-    context = spark.sparkContext
-    if getattr(context, "_ledgerguard_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = io.BytesIO()
-    with zipfile.ZipFile(archive, "w") as out:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{fresh_path(spark, 'code')}/ledgerguard-code.zip")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    stream = fs.create(path)
-    stream.write(archive.getvalue())
-    stream.close()
-    context.addPyFile(fs.makeQualified(path).toString())
-    context._ledgerguard_shipped = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -96,12 +69,12 @@ def steps(batches: Iterator[pa.RecordBatch], size: str = "text",
 
 
 def arrow_map(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
-              size: str = "text") -> DataFrame:
+              size: str = "text", limit: int = STEP_BYTES) -> DataFrame:
     """``mapInArrow`` of a function of one bounded slice of rows."""
     ship(df.sparkSession)
 
     def run(batches):
-        for batch in steps(batches, size):
+        for batch in steps(batches, size, limit):
             yield step(batch)
     return df.mapInArrow(run, schema)
 

@@ -14,12 +14,14 @@ No piece crosses the start of a word, so the lattice is a chain of word
 lattices; a word's conditional probabilities are computed once and kept. Noise
 comes from a generator seeded by the row's key alone.
 
-The greatest perturbed scores are also -log of the first arrivals of a Poisson
-process of rate 1 whose marks are independent segmentations, each segmentation
-counted when it first arrives: the same law. A text with no likely segmentation
-is sampled that way, since its marks hardly ever repeat and all words of many
-texts are drawn at once with arrays (``Chains``). The text alone decides which
-of the two ways it goes.
+``sample`` searches one text, ``sample_many`` many at once with arrays. Two
+observations make that cheap. The prefix that is expanded goes on along the
+child that keeps its score, and that child is a draw from the conditional
+probabilities: the whole path is drawn first, all words of all texts at once.
+And the other children on its way matter only while the path is likely: at a
+prefix of log-probability ``phi`` some noise lifts one above the k + 1 greatest
+scores found so far with probability exp(phi - floor) at most. Where that is
+below what a uniform of 53 bits can show, they are not looked at.
 """
 
 from __future__ import annotations
@@ -39,7 +41,14 @@ from ledgerguard.llm.common import arrow_map, mix
 SPACE = "▁"
 _CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-LIKELY = -3.0  # log-probability of a text's best segmentation above which it goes through ``sample``
+#: -log of the least exponential that a uniform of 53 bits gives, rounded up.
+RARE = 38.0
+#: Bytes of text that are searched together: a word that comes again costs nothing.
+SLICE_BYTES = 8 << 20
+#: Texts whose ids are put together at a time.
+TEXTS = 256
+#: Places of paths whose other children are scored at a time.
+CHILDREN = 1 << 17
 
 
 class Lattice:
@@ -261,7 +270,7 @@ class Chains:
         score = model.scores[np.minimum(self.ids, known - 1)]
         odd = np.flatnonzero(self.ids >= known)
         score[odd] = utf8_size(self.ids[odd] - known) * model.byte_score
-        rest, best, low = np.zeros(n + 1), np.zeros(n + 1), 1
+        rest, low = np.zeros(n + 1), 1
         self.log, self.cum = np.empty(first[-1]), np.empty(first[-1])
         for m in levels:
             high = low + int(m)
@@ -273,38 +282,40 @@ class Chains:
             total = np.add.reduceat(part, starts)
             rest[low:high] = top + np.log(total)
             self.log[a:b] = w - np.repeat(rest[low:high], each)
-            best[low:high] = np.maximum.reduceat(self.log[a:b] + best[to], starts)
             part /= np.repeat(total, each)
             run = np.cumsum(part)
             self.cum[a:b] = run - np.repeat(run[starts] - part[starts], each)
             low = high
         self.cum[first[2:] - 1] = 2.0  # the last edge takes what rounding leaves
         self.first, self.start = first, node[end - size]
-        self.best = best[self.start]  # log-probability of each word's likeliest segmentation
 
-    def draw(self, word: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A random segmentation of each of ``word``: (ids of all, how many each, log-probability each)."""
-        live, node, phi, count = np.arange(len(word)), self.start[word], np.zeros(len(word)), np.zeros(len(word), np.int64)
+    def choose(self, node: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """An edge of each place by its conditional probability, from 64 random bits."""
+        u = (x >> np.uint64(11)) * 2.0 ** -53
+        e = self.first[node]
+        more = np.flatnonzero(u >= self.cum[e])
+        while len(more):
+            e[more] += 1
+            more = more[u[more] >= self.cum[e[more]]]
+        return e
+
+    def draw(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A random way from each place to its word's end: (places and edges of all, in order; how many each)."""
+        live, count = np.arange(len(node)), np.zeros(len(node), np.int64)
         made, x = [], seed
         while len(live):
-            u = (x >> np.uint64(11)) * 2.0 ** -53
-            e = self.first[node]
-            more = np.flatnonzero(u >= self.cum[e])
-            while len(more):
-                e[more] += 1
-                more = more[u[more] >= self.cum[e[more]]]
-            phi[live] += self.log[e]
+            e = self.choose(node, x)
             count[live] += 1
-            made.append((live, self.ids[e]))
-            node = self.to[e]
+            made.append((live, node, e))
+            node = self.to[e].astype(np.int64)
             on = np.flatnonzero(node)
             live, node, seed = live[on], node[on], seed[on]
             x = mix(seed + step(len(made)))
         place = np.cumsum(count) - count
-        ids = np.empty(int(count.sum()), np.int32)
-        for i, (live, piece) in enumerate(made):
-            ids[place[live] + i] = piece
-        return ids, count, phi
+        nodes, edges = np.empty(int(count.sum()), np.int64), np.empty(int(count.sum()), np.int64)
+        for i, (live, node, e) in enumerate(made):
+            nodes[place[live] + i], edges[place[live] + i] = node, e
+        return nodes, edges, count
 
 
 def step(n: int) -> np.uint64:
@@ -335,53 +346,192 @@ def spell(model: Lattice, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, count
 
 
-def sample_many(model: Lattice, texts: list[str], k: int, seeds: list[int],
-                likely: float = LIKELY) -> list[list[tuple[np.ndarray, float, float, float, bool]]]:
+def spread(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(group, number within it) of each member of groups of these sizes."""
+    of = np.repeat(np.arange(len(size)), size)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+
+
+class Search:
+    """The perturbed A-star search of many texts, one expanded prefix of each at a time.
+
+    Open prefixes and finished paths share a table of k + 1 rows for each text;
+    only the greatest scores stay in it. A row says where its prefix leaves the
+    path of an earlier round, and by which edge.
+    """
+
+    def __init__(self, chains: Chains, words: list[np.ndarray], k: int, seeds: np.ndarray):
+        self.chains, self.seeds = chains, seeds
+        size = np.array([len(w) for w in words], np.int64)
+        self.end = np.cumsum(size)
+        self.starts = chains.start[np.concatenate(words)]  # of every word
+        shape = (len(words), k + 1)
+        self.score, self.done = np.full(shape, -np.inf), np.zeros(shape, bool)
+        self.phi, self.word, self.edge = np.zeros(shape), np.zeros(shape, np.int64), np.full(shape, -1, np.int64)
+        self.of, self.cut = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
+        self.score[:, 0] = -np.log(exponential(mix(seeds)))
+        self.word[:, 0] = self.end - size - 1  # before the first
+        self.paths: list[list[np.ndarray]] = [[] for _ in words]
+
+    def best(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, score) of the best open prefix of each text; -inf where there is none."""
+        score = np.where(self.done, -np.inf, self.score)
+        row = np.argmax(score, axis=1)
+        return row, score[np.arange(len(row)), row]
+
+    def keep(self, t, score, phi, word, edge, cut, round_: int) -> None:
+        """Put prefixes into their texts' tables, the best first, each in the place of the least row."""
+        order = np.lexsort((-score, t))
+        place = np.arange(len(order)) - np.searchsorted(t[order], t[order], "left")
+        for j in range(min(int(place.max(initial=-1)) + 1, self.score.shape[1])):
+            o = order[place == j]
+            row = np.argmin(self.score[t[o]], axis=1)
+            over = score[o] > self.score[t[o], row]
+            o, row = o[over], row[over]
+            at = (t[o], row)
+            self.score[at], self.phi[at], self.word[at], self.edge[at] = score[o], phi[o], word[o], edge[o]
+            self.of[at], self.cut[at], self.done[at] = round_, cut[o], False
+
+    def round(self, number: int) -> list[tuple[int, float, float]]:
+        """Expand the best open prefix of each text to its end: [(text, log-probability, perturbed score)...]."""
+        chains = self.chains
+        row, g = self.best()
+        t = np.flatnonzero(g > -np.inf)
+        at, g = (t, row[t]), g[t]
+        self.done[at] = True
+        phi, edge, seed = self.phi[at], self.edge[at], mix(self.seeds[t] + step(number + 1))
+        length = np.where(edge >= 0, self.cut[at] + 1, 0)  # of the prefix, its own edge included
+        # the rest of the word begun, if any, and the words after it
+        node = np.where(edge >= 0, chains.to[edge], 0)
+        first = self.word[at] + (node == 0)
+        of, nth = spread(self.end[t] - first)
+        nodes = self.starts[first[of] + nth]
+        begun = (nth == 0) & (node[of] > 0)
+        nodes[begun] = node[of[begun]]
+        nodes, edges, count = chains.draw(nodes, mix(seed[of] + (nth + length[of] + 1).astype(np.uint64) * GOLDEN))
+        words, ends = first[of] + nth, np.cumsum(count)
+        size = np.bincount(of, count, len(t)).astype(np.int64)
+        of, place = spread(size)
+        step_ = chains.log[edges]
+        run = np.concatenate([[0.0], np.cumsum(step_)])
+        start = np.cumsum(size) - size
+        before = phi[of] + (run[:-1] - run[start[of]])  # log-probability of the prefix at each place
+        self._others(t, g, seed, number, of, place, nodes, edges, before, length,
+                     lambda x: words[np.searchsorted(ends, x, "right")])
+        ids = chains.ids[edges]
+        for i, e, a, b, m, r in zip(t.tolist(), edge.tolist(), start.tolist(), (start + size).tolist(), length.tolist(),
+                                    self.of[at].tolist()):
+            head = [self.paths[i][r][:m - 1], chains.ids[e:e + 1]] if e >= 0 else []
+            self.paths[i].append(np.concatenate([*head, ids[a:b]]))
+        phi = phi + (run[start + size] - run[start])
+        return list(zip(t.tolist(), phi.tolist(), g.tolist()))
+
+    def _others(self, t, g, seed, number, of, place, nodes, edges, before, length, word_of) -> None:
+        """Score the children that the paths pass by, nearest to the start first, and keep the best."""
+        low, high = 0, 8
+        some = np.flatnonzero(place < high)
+        while True:
+            for a in range(0, len(some), CHILDREN):
+                self._score(some[a:a + CHILDREN], t, g, seed, number, of, place, nodes, edges, before, length, word_of)
+            floor = self.score[t].min(axis=1)  # has risen with what was kept
+            if low == 0:
+                left = np.flatnonzero((before >= (floor - RARE)[of]) & (place >= high))
+            else:
+                left = left[(before[left] >= floor[of[left]] - RARE) & (place[left] >= high)]
+            if not len(left):
+                break
+            low, high = high, 8 * high
+            some = left[place[left] < high]
+
+    def _score(self, x, t, g, seed, number, of, place, nodes, edges, before, length, word_of) -> None:
+        """Scores as arrival times: that of a child is -log(exp(-g) + time), its time exponential with its mass as rate.
+
+        So the earliest of all others of a place needs one number, and only where
+        that one is early enough do the children get theirs: one of them, by its
+        mass, has the earliest time, and the rest come after it, each by its own
+        exponential.
+        """
+        chains, floor = self.chains, self.score[t].min(axis=1)
+        i = of[x]
+        bits = mix(~seed[i] + (place[x] + length[i] + 1).astype(np.uint64) * GOLDEN)
+        chosen = chains.log[edges[x]]
+        with np.errstate(divide="ignore"):
+            time = np.log(exponential(bits)) - before[x] - np.log(-np.expm1(chosen))  # logarithms of times
+        early = np.flatnonzero((-np.logaddexp(-g[i], time) > floor[i]) & (chains.first[nodes[x] + 1] - chains.first[nodes[x]] > 1))
+        if not len(early):
+            return
+        x, time, bits = x[early], time[early], bits[early]
+        first = chains.first[nodes[x]]
+        many = chains.first[nodes[x] + 1] - first
+        y, nth = spread(many)
+        other = first[y] + nth
+        bits = mix(bits[y] + (nth + 1).astype(np.uint64) * GOLDEN)
+        own = np.where(other == edges[x][y], np.inf, np.log(exponential(bits)) - chains.log[other])
+        # the least of fresh exponentials belongs to a child by its mass; the rest are fresh after that time
+        least = np.minimum.reduceat(own, np.cumsum(many) - many)
+        is_first = own == least[y]
+        after = np.log(exponential(mix(bits))) - before[x][y] - chains.log[other]
+        time = np.where(is_first, time[y], np.logaddexp(time[y], after))
+        i = of[x][y]
+        found = -np.logaddexp(-g[i], time)
+        new = np.flatnonzero((found > floor[i]) & (other != edges[x][y]))
+        x, i = x[y][new], i[new]
+        self.keep(t[i], found[new], (before[x] + chains.log[other[new]]), word_of(x), other[new], place[x] + length[i], number)
+
+
+def chunked(texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+    """The words of each escaped text as numbers, and the different words: they begin where spaces begin."""
+    raw = [(" " + t.replace(SPACE, " ")).encode() if t else b"" for t in texts]
+    blob, size = b"".join(raw), np.fromiter(map(len, raw), np.int64, len(raw))
+    space = np.frombuffer(blob, np.uint8) == 32
+    begin = np.cumsum(size) - size
+    first = space.copy()
+    first[1:] &= ~space[:-1]
+    first[begin[size > 0]] = True
+    at = np.flatnonzero(first)
+    offsets = np.append(at, len(blob)).astype(np.int32)
+    coded = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(blob)).dictionary_encode()
+    number = np.asarray(coded.indices).astype(np.int64)
+    cuts = np.searchsorted(at, np.append(begin, len(blob))).tolist()
+    return [number[a:b] for a, b in zip(cuts, cuts[1:])], [w.replace(" ", SPACE) for w in coded.dictionary.to_pylist()]
+
+
+def exponential(bits: np.ndarray) -> np.ndarray:
+    """Exponential numbers of 64 random bits each."""
+    return -np.log(((bits >> np.uint64(11)) + 0.5) * 2.0 ** -53)
+
+
+def sample_many(model: Lattice, texts: list[str], k: int,
+                seeds: list[int]) -> list[list[tuple[np.ndarray, float, float, float, bool]]]:
     """``sample`` of every text, with whether the ids decode to it."""
-    out: list = [None] * len(texts)
-    number: dict[str, int] = {}
-    words = [[number.setdefault(w, len(number)) for w in _CHUNKS(escape(t))] for t in texts]
-    chains = Chains(model, list(number)) if number else None
-    words = [np.array(w, np.int64) for w in words]
-    open_ = [i for i, w in enumerate(words) if len(w) and chains.best[w].sum() < likely]
-    for i in set(range(len(texts))).difference(open_):
-        out[i] = [(np.array(ids, np.int32), phi, g, chance, decode(ids, model.pieces) == texts[i])
-                  for ids, phi, g, chance in sample(model, texts[i], k, seeds[i])]
-    seeds = np.array(seeds, np.uint64)
-    clock, met = np.zeros(len(texts)), {i: {} for i in open_}
-    arrival = 0
-    while open_:
-        arrival += 1
-        seed = mix(seeds[open_] + step(arrival))
-        size = np.array([len(words[i]) for i in open_])
-        begin = np.cumsum(size) - size
-        place = np.arange(size.sum()) - np.repeat(begin, size)
-        ids, count, phi = chains.draw(np.concatenate([words[i] for i in open_]),
-                                      mix(np.repeat(seed, size) + (place + 1).astype(np.uint64) * GOLDEN))
-        phi = np.add.reduceat(phi, begin)
-        ends = np.cumsum(np.add.reduceat(count, begin))
-        ids, count = spell(model, ids)
-        ends = np.cumsum(count)[ends - 1].tolist()
+    words, kinds = chunked(texts)
+    some = [i for i, w in enumerate(words) if len(w)]
+    out: list = [[(np.zeros(0, np.int32), 0.0, 0.0, 1.0, True)][:k] for _ in texts]
+    if not some:
+        return out
+    search = Search(Chains(model, kinds), [words[i] for i in some], k, np.array([seeds[i] for i in some], np.uint64))
+    found = [[] for _ in some]
+    for r in range(k):
+        for i, phi, g in search.round(r):
+            found[i].append((phi, g))
+    missed = search.best()[1].tolist()
+    for at in range(0, len(some), TEXTS):
+        part = slice(at, at + TEXTS)
+        flat = [ids for paths in search.paths[part] for ids in paths]
+        ids, count = spell(model, np.concatenate(flat))
+        ends = np.cumsum(count)[np.cumsum(list(map(len, flat))) - 1].tolist()
         raw = model.binary.take(pa.array(ids))
-        at = np.frombuffer(raw.buffers()[1], np.int32, len(ids) + 1)
-        raw = raw.buffers()[2]
-        clock[open_] -= np.log(((mix(~seed) >> np.uint64(11)) + 0.5) * 2.0 ** -53)
-        still, a = [], 0
-        for j, (i, b) in enumerate(zip(open_, ends)):
-            key = ids[a:b].tobytes()
-            if key not in met[i]:
-                g = -math.log(clock[i])
-                if len(met[i]) == k:  # the first that missed
-                    out[i] = [(x, p, q, -math.expm1(-math.exp(min(700.0, p - g))), ok) for x, p, q, ok in met.pop(i).values()]
-                else:
-                    spelt = raw[int(at[a]):int(at[b])].to_pybytes()
-                    ok = (SPACE not in texts[i] if spelt == escape(texts[i]).encode()
-                          else decode(ids[a:b].tolist(), model.pieces) == texts[i])
-                    met[i][key] = (ids[a:b], float(phi[j]), g, ok)
-            if i in met:
-                still.append(i)
-            a = b
-        open_ = still
+        place = np.frombuffer(raw.buffers()[1], np.int32, len(ids) + 1)
+        raw, a, ends = raw.buffers()[2], 0, iter(ends)
+        for i, made, miss in zip(some[part], found[part], missed[part]):
+            out[i], wanted = [], None if SPACE in texts[i] else escape(texts[i]).encode()
+            for phi, g in made:
+                b = next(ends)
+                ok = (decode(ids[a:b].tolist(), model.pieces) == texts[i] if wanted is None
+                      else raw[int(place[a]):int(place[b])].to_pybytes() == wanted)
+                chance = 1.0 if miss == -math.inf else -math.expm1(-math.exp(min(700.0, phi - miss)))
+                out[i].append((ids[a:b].astype(np.int32), phi, g, chance, ok))
+                a = b
     return out
 
 
@@ -426,4 +576,4 @@ def sample_rows(rows: DataFrame, samples: int = 4, alpha: float = 1.0, model: st
                          F.coalesce(F.col(text), F.lit("")).alias("text"))
     schema = ", ".join([*[f"`{c}` {types[c]}" for c in keys], "sample int, ids array<int>, log_probability double, "
                         "perturbed double, inclusion double, decoded boolean"])
-    return arrow_map(chosen, draw, schema)
+    return arrow_map(chosen, draw, schema, limit=SLICE_BYTES)
