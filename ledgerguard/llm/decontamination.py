@@ -111,7 +111,7 @@ def found_windows(docs: DataFrame, items: DataFrame, size: int = WINDOW,
     carried = ["doc_id", "t", "n", *(["words"] if small else [])]
     rows = rows.select(*carried, F.posexplode_outer(places).alias("at", "h"))
     last = F.col("n") * len(lengths)
-    which = F.coalesce(F.expr("at div n"), F.lit(0))
+    which = F.expr("at div greatest(n, 1)")
     start = F.col("at") - which * F.col("n")
     width = F.get(F.array(*[F.lit(n) for n in lengths]), which)
     if small:
@@ -206,7 +206,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, remove: str = "spans", size
         return docs.join(hit, same, "left_anti")
     rows = docs.join(hit, same, "left")
     gaps = F.split("text", WORD)  # one more than the words
-    tokens = F.zip_with(F.array_remove(F.split("text", SEPARATORS_ANY), ""), F.slice(gaps, 2, F.size(gaps)), F.concat)
+    tokens = F.zip_with(F.array_remove(F.split("text", SEPARATORS_ANY), ""), F.slice(gaps, 2, F.size(gaps)),
+                        lambda word, gap: F.concat(word, gap))
     rows = rows.withColumn("_tokens", F.when(F.col("_spans").isNotNull(), tokens))
     # what lies between the end of each span and the start of the next
     a = F.concat(F.array(F.lit(0)), F.transform("_spans", lambda x: x["stop"]))
