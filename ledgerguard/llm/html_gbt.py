@@ -29,8 +29,6 @@ TRAINING_PAGES = 400
 TREES, DEPTH, RATE, BINS = 40, 4, 0.3, 16
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
-                    "small span strike strong sub sup time tt u var").split())
 SILENT = frozenset("head title script style noscript template svg math iframe object canvas audio video textarea "
                    "select button".split())
 #: What may stand in a head; any other start tag, or text, ends an open one.
@@ -39,6 +37,8 @@ CLOSES_P = frozenset(("address article aside blockquote details div dl fieldset
                       "header hr main menu nav ol p pre section table ul").split())
 #: Start tags that end a silent element which is never closed.
 BLOCK = CLOSES_P | frozenset("body caption dd dt li tbody td tfoot th thead tr".split())
+#: Elements that make nodes and blocks; all others, unknown ones too, stand in a line.
+NODES = BLOCK | frozenset("center dir figcaption hgroup html legend listing optgroup option plaintext search summary xmp".split())
 #: An open element that a start tag of the same group closes, within its container.
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
         "th": ("td", "th"), "option": ("option",)}
@@ -46,6 +46,17 @@ CONTAINER = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("t
              "th": ("table", "tr"), "option": ("select",)}
 
 
+def closed(html: str) -> str:
+    """``html`` up to a comment that nothing ends: such a comment reaches to the end of the page."""
+    at = html.rfind("<!--")
+    if at < 0 or html.find("-->", at) >= 0 or html.find("--!>", at) >= 0:
+        return html
+    before = html[:at].lower()
+    if any(before.rfind(f"<{tag}") > before.rfind(f"</{tag}") for tag in ("script", "style", "textarea", "title")):
+        return html  # text of that element
+    return html[:at]
+
+
 class Page(HTMLParser):
     """Block elements of one page: parallel lists, parents before children."""
 
@@ -56,7 +67,7 @@ class Page(HTMLParser):
         self.texts: list[tuple[int, int, str, bool]] = []  # node, block, text, in a link
         self.open, self.silent, self.links, self.block = [0], [], 0, 0
         self.events: list[tuple] = []
-        self.feed(html)
+        self.feed(closed(html))
         self.close()
         self.ends = self._ends()
         for i, (kind, what, attrs) in enumerate(self.events):
@@ -75,7 +86,7 @@ class Page(HTMLParser):
         """Where each silent element ends, by its event: at its own end tag (True), or at that of an element around it."""
         ends, stack, count = {}, [], Counter()
         for i, (kind, tag, _) in enumerate(self.events):
-            if kind == self._data or tag in INLINE or tag in VOID:
+            if kind == self._data or tag not in NODES and tag not in SILENT:
                 continue
             if kind == self._start:
                 stack.append((tag, i))
@@ -112,9 +123,9 @@ class Page(HTMLParser):
             return
         if tag in SILENT:
             self.silent.append((tag, i))
-            self.block += tag not in ("button", "select")
+            self.block += tag in ("head", "title")
             return
-        if tag in INLINE or tag in VOID:
+        if tag not in NODES:
             self.links += tag == "a"
             self.block += tag == "hr"
             return
@@ -143,7 +154,7 @@ class Page(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in INLINE:
+        if tag in NODES or tag in SILENT:
             self.handle_endtag(tag)
 
     def _end(self, i, tag, _):
@@ -156,7 +167,7 @@ class Page(HTMLParser):
                 break
         if self.silent:
             return
-        if tag in INLINE:
+        if tag not in NODES:
             self.links -= tag == "a" and self.links > 0
             return
         self.block += 1
@@ -181,7 +192,10 @@ TAGS = ("article main section div p h1 h2 h3 ul ol li nav header footer aside fo
 TOKENS = ("ad ads advert adv banner sponsor promo nav menu breadcrumb header masthead logo footer foot copyright aside "
           "sidebar widget related recommend share social cookie consent notice alert popup modal newsletter subscribe "
           "signup login form search comment comments reply respond disqus discussion article post entry content body "
-          "text story main page wrapper container title meta author tags pager pagination").split()
+          "text story main page wrapper container title meta author tags pager pagination "
+          "kommentar kommentare commentaire commentaires comentario comentarios commenti reacties").split()
+#: Sentence marks, of unsegmented scripts too.
+STOPS = ".,;:!?。，、；：！？"
 _WORD = re.compile("[a-z]+").findall
 _TOKEN = {t: i for i, t in enumerate(TOKENS)}
 _TAG = {t: i for i, t in enumerate(TAGS)}
@@ -197,7 +211,7 @@ def features(page: Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size = len(text.strip())
         own[node] += size
         link[node] += size * linked
-        stops[node] += sum(map(text.count, ".,;:!?"))
+        stops[node] += sum(map(text.count, STOPS))
         blocks[node] += 1
     total, links, marks, nodes, heads = own.copy(), link.copy(), stops.copy(), np.ones(n), np.zeros(n)
     place, siblings, before = np.zeros(n), np.zeros(n), np.zeros(n)
@@ -301,6 +315,9 @@ class Boosted:
         return 1 / (1 + np.exp(-sum(self._walk(t, binned) for t in self.trees)))
 
 
+PAGE = frozenset(("#root", "html", "body"))
+
+
 def decode(page: Page, p: np.ndarray, own: np.ndarray, total: np.ndarray) -> np.ndarray:
     """For each node, whether its own text stays: the likeliest cut of the tree.
 
@@ -310,8 +327,15 @@ def decode(page: Page, p: np.ndarray, own: np.ndarray, total: np.ndarray) -> np.
     """
     n = len(p)
     odds = np.clip(np.log(p / (1 - p)), -4, 4)
-    for i in range(1, n):  # main text above is evidence too, fading with the distance
-        odds[i] += 0.65 * np.clip(odds[page.parent[i]], 0, 3)
+    for i in range(1, n):  # main text above is evidence too, fading with the distance; the page as such is none
+        if page.tag[page.parent[i]] not in PAGE:
+            odds[i] += 0.65 * np.clip(odds[page.parent[i]], 0, 3)
+    beside: dict[int, float] = {}  # so is the likeliest plain paragraph for those beside it
+    plain = [i for i in range(1, n) if page.tag[i] == "p" and not page.attrs[i].strip()]
+    for i in plain:
+        beside[page.parent[i]] = max(beside.get(page.parent[i], 0.0), min(odds[i], 3.0))
+    for i in plain:
+        odds[i] = max(odds[i], min(odds[i] + 0.5 * beside[page.parent[i]], 3.0))
     below = total - own
     keep, drop = -np.logaddexp(0, -odds), -np.logaddexp(0, odds)
     split = own * np.maximum(keep, drop)
@@ -320,7 +344,7 @@ def decode(page: Page, p: np.ndarray, own: np.ndarray, total: np.ndarray) -> np.
     cut, stays = np.zeros(n, bool), np.zeros(n, bool)
     for i in range(n - 1, -1, -1):
         whole = max(keep[i], drop[i])
-        part = page.tag[i] not in ("#root", "html", "body")  # the page as such has no verdict
+        part = page.tag[i] not in PAGE  # the page as such has no verdict
         cut[i], stays[i] = part and whole >= split[i] - 0.1, keep[i] >= drop[i]
         if i:
             up = page.parent[i]
@@ -334,9 +358,30 @@ def decode(page: Page, p: np.ndarray, own: np.ndarray, total: np.ndarray) -> np.
             verdict[i], decided[i] = verdict[up], True
         elif cut[i]:
             verdict[i], decided[i] = stays[i], True
+    if total[0] and not own[verdict].sum():
+        _only_paragraphs(page, odds, own, verdict)
     return verdict
 
 
+#: Parents, by tag or token, whose paragraphs are never the article.
+ASIDE = frozenset("nav header footer aside form".split())
+NOISE = frozenset("ad ads advert adv banner sponsor promo nav menu breadcrumb footer foot copyright sidebar widget related recommend "
+                  "share social cookie consent notice alert popup modal newsletter subscribe signup login search comment "
+                  "comments kommentare commentaires comentarios".split())
+
+
+def _only_paragraphs(page: Page, odds: np.ndarray, own: np.ndarray, verdict: np.ndarray) -> None:
+    """Where nothing would stay: the likeliest paragraph outside of all boilerplate, and those beside it, stay."""
+    noise = np.zeros(len(own), bool)
+    for i in range(1, len(own)):
+        noise[i] = noise[page.parent[i]] or page.tag[i] in ASIDE or not NOISE.isdisjoint(_WORD(page.attrs[i]))
+    some = [i for i in range(1, len(own)) if page.tag[i] == "p" and own[i] and not noise[i]]
+    if some:
+        best = max(some, key=lambda i: odds[i])
+        for i in some:
+            verdict[i] = page.parent[i] == page.parent[best]
+
+
 def text_of(page: Page, verdict: np.ndarray) -> str:
     """The blocks that stay, white space made one space, joined by newlines."""
     out, last = [], None
@@ -361,19 +406,29 @@ _PARTS = {  # boilerplate: (element, class or id values)
     "notice": (("div", "section", "p"), ("notice", "cookie consent", "alert", "popup modal", "newsletter")),
     "form": (("form",), ("", "search", "login", "subscribe", "contact")),
     "share": (("div", "ul"), ("share", "social", "tags", "meta author")),
-    "comments": (("section", "div", "ol"), ("comments", "comment-list", "comments-area", "disqus", "discussion")),
+    "comments": (("section", "div", "ol"), ("comments", "comment-list", "comments-area", "disqus", "discussion",
+                                            "kommentare", "commentaires", "comentarios")),
 }
 
+#: Kinds of generated articles: of mixed length; a few words; sentences that are
+#: mostly links; with figures; in an unsegmented script; without a page around it.
+STYLES = ("mixed", "mixed", "mixed", "mixed", "short", "linked", "figures", "unsegmented", "bare")
+
 
 class _Writer:
     """One generated page; every element says in data-y how much of it is main text."""
 
-    def __init__(self, seed: int):
+    def __init__(self, seed: int, styles: tuple[str, ...] = STYLES):
         self.r = random.Random(seed)
+        self.style = self.r.choice(styles)
         letters = self.r.choice(("aeinorst", "abcdefghijklmnopqrstuvwxyz", "éèaçeinrstu", "äöüaeinrst"))
         self.words = ["".join(self.r.choice(letters) for _ in range(self.r.randint(1, 9))) for _ in range(80)]
 
     def say(self, n: int) -> str:
+        if self.style == "unsegmented":
+            letters = "的一是不了人我在有他这中大来上国个到说们为子和你地出道也时年得就那要下以生会自着去之过家学对可她里后"
+            return "".join(self.r.choice(letters) + ("。" if self.r.random() < 0.04 else "，" if self.r.random() < 0.05 else "")
+                           for _ in range(2 * n))
         out = [self.r.choice(self.words) + ("." if self.r.random() < 0.1 else "," if self.r.random() < 0.06 else "")
                for _ in range(n)]
         return " ".join(out).capitalize()
@@ -407,13 +462,24 @@ class _Writer:
                 inner = self.tag("p", "", 0, inner)
         return self.tag(name, value, 0, inner)
 
+    def linked(self) -> str:
+        """A sentence most of which is links."""
+        return " ".join(f'<a href="/{i}">{self.say(self.r.randint(3, 12))}</a> {self.say(self.r.randint(0, 3))}'
+                        for i in range(self.r.randint(1, 4)))
+
     def content(self) -> str:
         r, out = self.r, []
-        if r.random() < 0.8:
+        if r.random() < (0.4 if self.style == "short" else 0.8):
             out.append(self.tag("h1", r.choice(("", "title")), 1, self.say(r.randint(2, 10))))
-        for _ in range(r.choice((1, 1, 2, 4, 8, 20))):
+        for _ in range(r.choice((1, 1, 2) if self.style == "short" else (1, 1, 2, 4, 8, 20))):
             kind = r.random()
-            if kind < 0.75:
+            if self.style == "short":
+                out.append(self.tag("p", "", 1, self.say(r.randint(1, 4)), r.random() < 0.8))
+            elif self.style == "linked" and kind < 0.7:
+                out.append(self.tag("p", "", 1, self.linked()))
+            elif self.style == "figures" and kind < 0.3:
+                out.append(self.tag("figure", "", 1, "<img src=x>" + self.tag("figcaption", "", 1, self.say(r.randint(1, 8)))))
+            elif kind < 0.75:
                 out.append(self.tag("p", "", 1, self.say(r.choice((1, 2, 8, 30, 80, 150))), r.random() < 0.8))
             elif kind < 0.82:
                 out.append(self.tag("p", "", 1, f"<b>{self.say(r.randint(3, 40))}<br>", False))
@@ -432,6 +498,8 @@ class _Writer:
 
     def page(self) -> str:
         r = self.r
+        if self.style == "bare":
+            return self.content() if r.random() < 0.5 else self.tag("article", "", 1, self.content())
         name, value = r.choice((("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "post-body"),
                                 ("div", "article"), ("div", "entry-content"), ("section", "story"), ("div", ""), ("div", "")))
         inner = self.content()
@@ -446,12 +514,12 @@ class _Writer:
         return "<html><head><title>x</title></head><body data-y='2'>" + "".join(body) + "</body></html>"
 
 
-@lru_cache(maxsize=2)
-def trained(pages: int = TRAINING_PAGES) -> Boosted:
+@lru_cache(maxsize=8)
+def trained(pages: int = TRAINING_PAGES, styles: tuple[str, ...] = STYLES) -> Boosted:
     """The model, from ``pages`` generated pages; mixed elements count by the larger part of their text."""
     xs, ys, ws = [], [], []
     for seed in range(pages):
-        page = Page(_Writer(seed).page())
+        page = Page(_Writer(seed, styles).page())
         x, own, total = features(page)
         good = np.array([float(m == "1") for m in page.marks]) * own
         for i in range(len(own) - 1, 0, -1):
@@ -459,7 +527,7 @@ def trained(pages: int = TRAINING_PAGES) -> Boosted:
         some = total > 0
         xs.append(x[some])
         ys.append((good / np.maximum(total, 1))[some])
-        ws.append(np.minimum(1.0, 0.2 + total[some] / 200))
+        ws.append(np.minimum(1.0, 0.3 + total[some] / 200))
     return Boosted(np.concatenate(xs), np.concatenate(ys), np.concatenate(ws))
 
 

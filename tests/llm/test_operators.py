@@ -378,6 +378,70 @@ def test_html_extraction(spark):
     assert got == {1: "A <title>\nFirst line of text, with words and more words.\nSecond one, which is long enough to read.", 2: ""}
 
 
+NAV = "<nav><ul><li><a href=/>Home</a></li><li><a href=/a>About us</a></li></ul></nav>"
+TWO = ("<p>This is a first paragraph of the article, with enough words to be read as one.</p>"
+       "<p>And here is the second one, which goes on a little longer than that, with commas, and ends.</p>")
+SAID = ["This is a first paragraph of the article, with enough words to be read as one.",
+        "And here is the second one, which goes on a little longer than that, with commas, and ends."]
+PAGES = {
+    "short": (f"<html><body>{NAV}<article><p>Short.</p></article></body></html>", ["Short."]),
+    "short last": (f"<html><body>{NAV}<article><h1>Title here</h1>{TWO}<p>Short end.</p></article><footer>&copy; x</footer></body></html>",
+                   ["Title here", *SAID, "Short end."]),
+    "references": (f"<html><body>{NAV}<article><h1>Title here</h1>{TWO}<p>A &amp; B &lt;c&gt; &eacute;.</p></article></body></html>",
+                   ["Title here", *SAID, "A & B <c> é."]),
+    "links": (f"<html><body>{NAV}<article><h1>Weekly reading</h1><p><a href=1>The first story that we read</a> and <a href=2>the second one, "
+              "which was much longer</a>, then <a href=3>a third</a>.</p><p><a href=4>Another sentence that is a link as a whole.</a></p>"
+              "</article><footer>&copy; x</footer></body></html>",
+              ["Weekly reading", "The first story that we read and the second one, which was much longer, then a third.",
+               "Another sentence that is a link as a whole."]),
+    "figure, no page": (f"<article>{TWO}<figure><img src=x></figure><p>After the figure there is another paragraph, of some words.</p></article>",
+                        [*SAID, "After the figure there is another paragraph, of some words."]),
+    "unsegmented": ("<html><body><div class=menu><ul><li><a href=/>首页</a></li><li><a href=/n>新闻</a></li><li><a href=/t>体育</a></li></ul></div>"
+                    "<article><h1>标题在这里</h1><p>这是文章的第一段，内容很长，讲述了一个故事，关于一个人和他的城市。</p>"
+                    "<p>第二段继续讲述这个故事，有更多的细节，也有更多的人物。</p></article><footer>版权所有</footer></body></html>",
+                    ["标题在这里", "这是文章的第一段，内容很长，讲述了一个故事，关于一个人和他的城市。", "第二段继续讲述这个故事，有更多的细节，也有更多的人物。"]),
+    "foreign comments": (f"<html><body>{NAV}<article><h1>Titel</h1>{TWO}<div id=\"kommentare\"><ol><li><p>Sehr guter Artikel, danke!</p></li>"
+                         "<li><p>Das sehe ich ganz anders, aber gut geschrieben.</p></li></ol></div></article></body></html>", ["Titel", *SAID]),
+    "open comment": (f"<html><body>{NAV}<article><h1>Title</h1>{TWO}<!-- unclosed <p>x</p></article></body></html>", ["Title", *SAID]),
+    "inline": (f"<html><body>{NAV}<article><h1>Title</h1><p>One line <svg><path d='x'/></svg>with an icon, <script>a()</script>a script and "
+               f"<my-tag>an unknown</my-tag> element in it, all one block.</p>{TWO}</article></body></html>",
+               ["Title", "One line with an icon, a script and an unknown element in it, all one block.", *SAID]),
+    "one paragraph": ("<p>Only paragraph.</p>", ["Only paragraph."]),
+    "menu alone": (f"<html><body>{NAV}<div class=ad><p>Buy now</p></div><footer><p>&copy; x</p></footer></body></html>", []),
+    "script with a mark": (f"<html><body><article><h1>Title</h1>{TWO}</article><script>x = '<!--'</script></body></html>", ["Title", *SAID]),
+}
+
+
+def extracted(html, model=None):
+    page = html_gbt.Page(html)
+    x, own, total = html_gbt.features(page)
+    verdict = html_gbt.decode(page, (model or html_gbt.trained()).probability(x), own, total)
+    return page, own, verdict, html_gbt.text_of(page, verdict)
+
+
+@pytest.mark.parametrize("name", list(PAGES))
+def test_html_beyond_the_fixture(name):
+    html, want = PAGES[name]
+    assert extracted(html)[3].split("\n") == (want or [""])
+
+
+@pytest.mark.parametrize("style,least", [("linked", 0.85), ("figures", 0.95), ("unsegmented", 0.95), ("bare", 0.9)])
+def test_html_held_out_styles(style, least):
+    """Accuracy on pages of a style that the model has not seen."""
+    model, good, all_text = html_gbt.trained(150, tuple(s for s in html_gbt.STYLES if s != style)), 0, 0
+    for seed in range(60_000, 60_030):
+        page, own, verdict, _ = extracted(html_gbt._Writer(seed, (style,)).page(), model)
+        truth = np.array([m == "1" for m in page.marks])
+        good, all_text = good + own[verdict == truth].sum(), all_text + own.sum()
+    assert good / all_text > least, good / all_text
+
+
+def test_html_no_page_with_a_paragraph_is_empty():
+    for style in ("short", "bare", "linked"):
+        for seed in range(70_000, 70_060):
+            assert extracted(html_gbt._Writer(seed, (style,)).page())[3]
+
+
 def test_html_unclosed_silent_elements_lose_no_text():
     def said(html):
         return " ".join(" ".join(t for *_, t, _ in html_gbt.Page(html).texts).split())
