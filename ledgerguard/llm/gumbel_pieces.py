@@ -44,7 +44,7 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: -log of the least exponential that a uniform of 53 bits gives, rounded up.
 RARE = 38.0
 #: Bytes of text that are searched together: a word that comes again costs nothing.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 #: Texts whose ids are put together at a time.
 TEXTS = 256
 #: Places of paths whose other children are scored at a time.
@@ -306,13 +306,13 @@ class Chains:
         while len(live):
             e = self.choose(node, x)
             count[live] += 1
-            made.append((live, node, e))
+            made.append((live.astype(np.int32), node.astype(np.int32), e.astype(np.int32)))
             node = self.to[e].astype(np.int64)
             on = np.flatnonzero(node)
             live, node, seed = live[on], node[on], seed[on]
             x = mix(seed + step(len(made)))
         place = np.cumsum(count) - count
-        nodes, edges = np.empty(int(count.sum()), np.int64), np.empty(int(count.sum()), np.int64)
+        nodes, edges = np.empty(int(count.sum()), np.int32), np.empty(int(count.sum()), np.int32)
         for i, (live, node, e) in enumerate(made):
             nodes[place[live] + i], edges[place[live] + i] = node, e
         return nodes, edges, count
