@@ -88,11 +88,12 @@ def document_measures(docs: DataFrame, host: str, path: str) -> DataFrame:
 def fit(rows: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Classifier | None:
     """The classifier of at most ``limit`` labelled rows, those of least id hash; None without both labels.
 
-    A doc_id with several labels counts with each.
+    A doc_id with different labels counts with each; of documents that share a
+    doc_id the one with the least measures counts.
     """
     some = (labels.select(labels["doc_id"].cast("long").alias("k"), labels["quality"].cast("double").alias("y"))
-            .where("k is not null and y is not null").orderBy(F.xxhash64("k"), "k", "y").limit(limit))
-    sample = rows.select("k", "x").join(some, "k").limit(2 * limit).toPandas()
+            .where("k is not null and y is not null").distinct().orderBy(F.xxhash64("k"), "k", "y").limit(limit))
+    sample = rows.select("k", "x").join(some, "k").groupBy("k", "y").agg(F.min("x").alias("x")).orderBy("k", "y").toPandas()
     if sample["y"].nunique() < 2:
         return None
     return Classifier(np.stack(sample["x"]), (sample["y"].to_numpy() > 0.5).astype(float))

@@ -354,8 +354,18 @@ def test_edited_texts(spark):
         edited = t[:len(t) - half] + n[:half]
         r = got[3 * i]
         assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        assert r.fingerprint == sketches.encode(sketches.sketch(t.encode()))
-        assert r.near_next == sketches.resemblance(sketches.sketch(t.encode()), sketches.sketch(n.encode()))
+        own, new, after = brute_shingles(t), brute_shingles(edited), brute_shingles(n)
+        assert sketches.decode(r.fingerprint).tolist() == sorted(own)[:128]
+        assert sketches.decode(r.edited_fingerprint).tolist() == sorted(new)[:128]
+        for got_, a, b in ((r.near_edited, own, new), (r.near_next, own, after)):
+            least = sorted(a | b)[:128]
+            assert abs(got_ - (sum(h in a and h in b for h in least) / len(least) if least else 1.0)) < 1e-12
+
+
+def brute_shingles(text):
+    """All hashes of five-word shingles."""
+    w = [x.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for x in WORD.findall(text)]
+    return {xxhash.xxh64_intdigest(" ".join(w[i:i + 5]).encode()) for i in range(max(1, len(w) - 4))} if w else set()
 
 
 def test_html_held_out_accuracy_and_consistent_verdicts():
@@ -606,3 +616,47 @@ def test_sparse_sites_shrink_to_the_prior(spark):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     got = {r.host: r for r in quality_bayes.judge_sites(docs, labels).select("host", "path_share", "probability").distinct().collect()}
     assert got["new"].path_share == pytest.approx(0.5) and got["big"].probability == pytest.approx(0.5)
+
+
+def test_site_shares_and_odds_against_plain_python(spark):
+    """Sparse and hot sites, null hosts and paths, repeated ids and labels: everything after the evidence, recomputed."""
+    rnd = random.Random(9)
+    say = lambda n: " ".join(rnd.choice(["good", "words", "are", "here", "#$%", "AAAA", "1"]) for _ in range(n))
+    rows = [(i, say(rnd.randint(0, 60)), rnd.choice(["a", "a", "a", "b", None, f"sparse{i}"]), rnd.choice(["x", "y", None])) for i in range(150)]
+    rows += [rows[3], (3, "another text of the same id", "b", "x"), (None, say(9), "a", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, host string, path string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2, "k") for i in range(0, 150, 2)] + [(4, 1, "k"), (4, 1, "k"), (3, 1, "k"), (5, 0, "k"), (7, 0, "k"),
+                                                                                  (None, 1, "k"), (9, None, "k")], "doc_id long, quality int, y string")
+    x = {i: np.array(quality_bayes.measures((t or "").encode())) for i, (_, t, _, _) in enumerate(rows)}
+    sample = []
+    for k, y in sorted({(k, y) for k, y, _ in labels.collect() if k is not None and y is not None}):
+        same = [tuple(x[i]) for i, r in enumerate(rows) if r[0] == k]
+        if same:
+            sample.append((min(same), float(y)))
+    model = quality_bayes.Classifier(np.array([s for s, _ in sample]), np.array([y for _, y in sample]))
+    odds = model.log_odds(np.stack([x[i] for i in range(len(rows))]))
+    p = 1 / (1 + np.exp(-odds))
+    mean = float(np.clip(p.mean(), 1e-3, 1 - 1e-3))
+
+    def strength(groups):
+        n, share = np.array([len(g) for g in groups], float), np.array([np.mean(g) for g in groups])
+        within, spread = mean * (1 - mean), n.sum() - (n ** 2).sum() / n.sum()
+        tau2 = ((n * (share - mean) ** 2).sum() - (len(n) - 1) * within) / spread
+        return float(np.clip(within / tau2 if tau2 > 0 else np.inf, *quality_bayes.PRIOR_ROWS))
+    hosts, paths = collections.defaultdict(list), collections.defaultdict(list)
+    for (_, _, h, q), v in zip(rows, p):
+        hosts[h].append(v)
+        paths[h, q].append(v)
+    above, below = strength(list(hosts.values())), strength(list(paths.values()))
+    logit = lambda v: math.log(v / (1 - v))
+    want = []
+    for (k, _, h, q), o, v in zip(rows, odds, p):
+        host_share = (sum(hosts[h]) + above * mean) / (len(hosts[h]) + above)
+        share = (sum(paths[h, q]) - v + below * host_share) / (len(paths[h, q]) - 1 + below)
+        share = min(max(share, 1e-3), 1 - 1e-3)
+        want.append((k, h, q, o, host_share, share, 1 / (1 + math.exp(-(o + logit(share) - logit(mean))))))
+    got = [tuple(r)[:7] for r in quality_bayes.judge_sites(docs, labels).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, str(r[1]), str(r[2]), r[3])
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert a[:3] == b[:3] and np.allclose(a[3:], b[3:], atol=1e-6), (a, b)
+    assert len({r[4] for r in got}) > 20
