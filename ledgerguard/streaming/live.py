@@ -1,7 +1,7 @@
 """Trailing-window travel without waiting for the watermark: alerts in the batch of the second row.
 
-``transformWithState`` keeps, for each (user, W-wide bucket of event time), what
-decides the rule and nothing else:
+``transformWithState`` keeps, for each user and bucket of event time (``BUCKET``
+windows wide), what decides the rule and nothing else:
 
 - map state ``context``: first and last time of each (slice, country);
 - map state ``waiting``: the bucket's rows that nothing has flagged yet, as a
@@ -9,9 +9,10 @@ decides the rule and nothing else:
 - one event-time timer at the end of the bucket. No row of it can arrive once
   the watermark has passed that, so the timer empties both.
 
-A row is sent to its own bucket, where it is judged, and to the next one, where
-it is context only. A busy user's rows are thus dealt over the buckets, and a
-row is compared with the slices and countries of two buckets, not with rows.
+A row is sent to its own bucket, where it is judged; one of the bucket's last
+window is also sent to the next, where it is context only. A busy user's rows are
+thus dealt over the buckets, and a row is compared with the slices and countries
+of its bucket, not with rows.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from ledgerguard.session import ship_code
 from ledgerguard.streaming.stateful import with_event_watermark
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Windows in a bucket: wider ones send fewer rows twice, narrower ones deal a busy user out more finely.
+BUCKET = 6
 COUNTRY = TRANSACTION_COLUMNS.index("country")
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -43,7 +46,7 @@ class TrailingTravelProcessor(StatefulProcessor):
     """State of one (user, bucket); see the module."""
 
     def __init__(self, window: int, slice_: int):
-        self.window, self.slice = window, slice_
+        self.window, self.slice, self.span = window, slice_, BUCKET * window
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -58,7 +61,7 @@ class TrailingTravelProcessor(StatefulProcessor):
         context = {tuple(k): tuple(v) for k, v in self.context.iterator()}
         fresh = not context
         if fresh:
-            self.handle.registerTimer((bucket + 1) * self.window // 1000)
+            self.handle.registerTimer((bucket + 1) * self.span // 1000)
         changed = {}
         for r in rows:
             k = (r["_t"] // self.slice, r["country"])
@@ -103,10 +106,13 @@ def live_travel(stream: DataFrame, cfg: ScreeningConfig = DEFAULT_CONFIG) -> Dat
     rows = with_event_watermark(stream, cfg).where(
         F.col("user_id").isNotNull() & F.col("country").isNotNull() & F.col(EVENT_TIME).isNotNull())
     t = F.unix_micros(F.col(EVENT_TIME))
-    bucket = F.floor(t / F.lit(w))
+    span = BUCKET * w
+    bucket = F.floor(t / F.lit(span))
+    own = F.struct(bucket.alias("bucket"), F.lit(True).alias("own"))
+    after = F.struct((bucket + 1).alias("bucket"), F.lit(False).alias("own"))
+    near_end = t >= (bucket + 1) * F.lit(span) - F.lit(w)
     rows = (rows.withColumn("_t", t)
-            .withColumn("_to", F.explode(F.array(F.struct(bucket.alias("bucket"), F.lit(True).alias("own")),
-                                                 F.struct((bucket + 1).alias("bucket"), F.lit(False).alias("own")))))
+            .withColumn("_to", F.explode(F.when(near_end, F.array(own, after)).otherwise(F.array(own))))
             .select(*TRANSACTION_COLUMNS, EVENT_TIME, "_t", F.col("_to.bucket").alias("_bucket"), F.col("_to.own").alias("_own")))
     return rows.groupBy("user_id", "_bucket").transformWithState(
         TrailingTravelProcessor(w, g), TRANSACTION_SCHEMA, "Append", "EventTime")
