@@ -19,13 +19,15 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerguard.config import DEFAULT_CONFIG, ScreeningConfig
 from ledgerguard.plans import reports
 from ledgerguard.session import path_exists
-from ledgerguard.sinks.commits import (FILE_BYTES, NO_DATE, commit_day, commit_root, compact_days, day_markers, new_attempt,
-                                       read_days, vacuum, visible_days)
+from ledgerguard.sinks.alerts import MESSAGE
+from ledgerguard.sinks.commits import (FILE_BYTES, NO_DATE, WHOLE, commit_day, commit_root, compact_days, compact_table,
+                                       day_markers, fold_markers, new_attempt, read_days, vacuum, visible_days)
 from ledgerguard.sinks.lakes import write_report, write_report_text
 from ledgerguard.sources.json_ingest import parse_transactions
 from ledgerguard.sources.lakes import (FRAUD_LAKE_SCHEMA, VALID_LAKE_SCHEMA, read_fraud_lake, read_lake,
                                        read_valid_lake)
-from ledgerguard.streaming.router import BatchRouter, start_screening
+from ledgerguard.streaming.router import (LATE_SCHEMA, METRICS_SCHEMA, QUARANTINE_SCHEMA, BatchRouter,
+                                          start_screening)
 from ledgerguard.streaming.sources import kafka_source
 
 
@@ -68,10 +70,17 @@ def screen_table(spark: SparkSession, rows: DataFrame, lake_root: str,
     return run_id
 
 
+#: Tables of a lake folder beside the lakes: schema and format.
+SIDE_TABLES = {"alerts": (MESSAGE, "json"), "quarantine": (QUARANTINE_SCHEMA, "parquet"), "late": (LATE_SCHEMA, "parquet"),
+               "metrics": (METRICS_SCHEMA, "parquet")}
+
+
 def compact_lakes(spark: SparkSession, lake_root: str, days: list[str], file_bytes: int = FILE_BYTES,
                   keep_s: float = 24 * 3600.0) -> dict[str, dict[str, int]]:
-    """Compact closed days of both lakes, then delete what compaction replaced ``keep_s`` seconds ago or more.
+    """Compact closed days of both lakes, and the tables beside them.
 
+    Then what compaction replaced ``keep_s`` seconds ago or more is deleted, and
+    so are the markers of batches that have no rows of their own any more.
     Returns, by lake, the files of each rewritten day.
     """
     out = {}
@@ -79,6 +88,10 @@ def compact_lakes(spark: SparkSession, lake_root: str, days: list[str], file_byt
         out[name] = compact_days(spark, f"{lake_root}/{name}", days, file_bytes)
         for day in days:
             vacuum(spark, f"{lake_root}/{name}", day, keep_s)
+    for name, (schema, fmt) in SIDE_TABLES.items():
+        compact_table(spark, f"{lake_root}/{name}", schema, fmt, file_bytes)
+        vacuum(spark, f"{lake_root}/{name}", WHOLE, keep_s)
+    fold_markers(spark, f"{lake_root}/commits", [f"{lake_root}/{t}" for t in (*out, *SIDE_TABLES)])
     return out
 
 

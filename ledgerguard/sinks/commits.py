@@ -30,6 +30,9 @@ LISTED = 1000
 #: The folder name of rows without a date.
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
+#: In place of a day, for tables without dates: all of it.
+WHOLE = "whole"
+
 #: Size of the files of a compacted day.
 FILE_BYTES = 256 << 20
 
@@ -85,7 +88,10 @@ class Visible:
         else:
             rows = rows.join(spark.createDataFrame([(a,) for a in names], "attempt string"), "attempt", "left_semi")
         gone = [(d, a) for d, found in self.replaced.items() for a in sorted(found)]
-        if gone:
+        if gone and "date" not in rows.columns:
+            gone = spark.createDataFrame(gone, "_date string, attempt string")
+            rows = rows.join(gone.select("attempt"), "attempt", "left_anti")
+        elif gone:
             gone = spark.createDataFrame(gone, "_date string, _attempt string")
             rows = rows.join(gone, (F.coalesce(F.col("date").cast("string"), F.lit(NO_DATE)) == F.col("_date"))
                              & (F.col("attempt") == F.col("_attempt")), "left_anti")
@@ -206,14 +212,32 @@ def compact_days(spark: SparkSession, path: str, days: list[str], file_bytes: in
     return files
 
 
+def compact_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
+                  file_bytes: int = FILE_BYTES) -> int:
+    """Rewrite a table without dates (alerts, quarantine, late rows, metrics) into few files, as ``compact_days`` does a day.
+
+    Returns the number of files, 0 where there is nothing to do.
+    """
+    seen = visible(spark, path)
+    taken = [] if seen is None else [a for a in _attempts_of(spark, path) if seen.on(WHOLE, a)]
+    if not taken or taken == [seen.compacted.get(WHOLE)]:
+        return 0
+    files = max(1, -(-sum(_folder_bytes(spark, f"{path}/attempt={a}") for a in taken) // file_bytes))
+    attempt = new_attempt()
+    rows = spark.read.schema(schema).format(fmt).load([f"{path}/attempt={a}" for a in taken])
+    rows.repartition(files).write.format(fmt).save(f"{path}/attempt={attempt}")
+    commit_day(spark, path, WHOLE, attempt, replaces=sorted(set(taken) | seen.replaced.get(WHOLE, frozenset())))
+    return files
+
+
 def vacuum(spark: SparkSession, path: str, day: str, older_than_s: float = 24 * 3600.0) -> list[str]:
-    """Delete folders of ``day`` that no marker shows and that have not changed for ``older_than_s`` seconds.
+    """Delete folders of ``day`` (``WHOLE``: of a table without dates) that no marker shows and that have not changed for ``older_than_s`` seconds.
 
     That is long enough for readers that began before and writers that have not
     committed yet. Returns the attempts deleted.
     """
     seen = visible(spark, path, day)
-    folder, gone = f"{path}/date={day}", []
+    folder, gone = path if day == WHOLE else f"{path}/date={day}", []
     if seen is None:
         return gone
     _, fs = _fs(spark, folder)
@@ -226,16 +250,17 @@ def vacuum(spark: SparkSession, path: str, day: str, older_than_s: float = 24 *
     return gone
 
 
-def fold_markers(spark: SparkSession, root: str, lakes: list[str]) -> int:
-    """Delete the markers of batches all of whose rows have moved into compacted days of ``lakes``; their number.
+def fold_markers(spark: SparkSession, root: str, tables: list[str]) -> int:
+    """Delete the markers of batches all of whose rows have moved into compacted files; their number.
 
-    Such a batch has no folder left in any lake (``vacuum`` has been there), so
-    its marker shows nothing.
+    Such a batch has no folder left in any of ``tables``, which must be all that
+    commit under ``root`` (``vacuum`` has been there), so its marker shows nothing.
     """
     left = set()
-    for path in lakes:
-        jpath, fs = _fs(spark, f"{path}/date=*/attempt=*")
-        left |= {s.getPath().getName().split("=", 1)[1] for s in fs.globStatus(jpath) or []}
+    for path in tables:
+        for pattern in (f"{path}/date=*/attempt=*", f"{path}/attempt=*"):
+            jpath, fs = _fs(spark, pattern)
+            left |= {s.getPath().getName().split("=", 1)[1] for s in fs.globStatus(jpath) or []}
     done = 0
     for m in _markers(spark, f"{root}/batches"):
         if m["attempt"] not in left:
@@ -245,4 +270,4 @@ def fold_markers(spark: SparkSession, root: str, lakes: list[str]) -> int:
 
 
 __all__ = ["commit", "commit_root", "new_attempt", "visible", "Visible", "visible_days", "read_days", "commit_day",
-           "day_markers", "compact_days", "vacuum", "fold_markers"]
+           "day_markers", "compact_days", "compact_table", "vacuum", "fold_markers"]

@@ -3,6 +3,8 @@
 import json
 
 from ledgerguard.__main__ import main
+from ledgerguard.sources.lakes import read_committed
+from ledgerguard.streaming.router import METRICS_SCHEMA, QUARANTINE_SCHEMA
 
 
 def test_screen_once_then_report(spark, workdir, capsys):
@@ -30,9 +32,12 @@ def test_backfill_matches_stream(spark, workdir, capsys):
     main(again)
     rec = build_reports(spark, f"{workdir}/lake").reconciliation.first()
     assert (rec.validated_count, rec.fraud_count) == (0, 1)
-    m = spark.read.parquet(f"{workdir}/lake/metrics").first()
+    m = read_committed(spark, f"{workdir}/lake/metrics", METRICS_SCHEMA).first()
     assert (m.batch_id, m.raw, m.malformed) == (3, 2, 1)
-    bad = spark.read.parquet(f"{workdir}/lake/quarantine").collect()
+    bad = read_committed(spark, f"{workdir}/lake/quarantine", QUARANTINE_SCHEMA).collect()
     assert [(r.value, r.reason is not None) for r in bad] == [("not json", True)]
     main(again[:-2])  # a run of its own adds its rows, whatever its batch id
     assert build_reports(spark, f"{workdir}/lake").reconciliation.first().fraud_count == 2
+    main(["compact", "--lake", f"{workdir}/lake", "--day", "2024-01-01"])
+    assert build_reports(spark, f"{workdir}/lake").reconciliation.first().fraud_count == 2
+    assert read_committed(spark, f"{workdir}/lake/quarantine", QUARANTINE_SCHEMA).count() == 2

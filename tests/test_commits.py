@@ -83,7 +83,7 @@ def test_compaction_shows_the_same_rows_in_few_files(spark, workdir, monkeypatch
     monkeypatch.setattr(commits, "_put", lambda *a: (seen.append(rows()), put(*a), seen.append(rows())))
     got = compact_lakes(spark, workdir, [*days, commits.NO_DATE, "2030-01-01"])
     monkeypatch.undo()
-    assert all(x == before for x in seen) and len(seen) == 14  # day by day and lake by lake
+    assert all(x == before for x in seen) and len(seen) == 16  # day by day, lake by lake, and the counts
     assert got["transactions"] == {d: 1 for d in [*days, commits.NO_DATE]} and got["fraud"] == {d: 1 for d in days}
     assert rows() == before and early.count() == 126
     one = read_valid_lake(spark, lake, days[0])
@@ -98,11 +98,15 @@ def test_compaction_shows_the_same_rows_in_few_files(spark, workdir, monkeypatch
     assert _files(spark, f"{lake}/date={days[0]}") == 1 and _files(spark, f"{lake}/date={days[1]}") == 1
     after = rows()
     assert [r for r in after[0] if r[2] != 9] == before[0] and after[1] == before[1]
-    # markers of batches with nothing left but compacted rows go; what is without a date is still theirs
-    assert commits.fold_markers(spark, f"{workdir}/commits", [lake, fraud]) == 1
-    commits.vacuum(spark, lake, commits.NO_DATE, 0.0)
-    assert commits.fold_markers(spark, f"{workdir}/commits", [lake, fraud]) == 6
-    assert rows() == after
+    # markers of batches with nothing left but compacted rows go; rows without a date were still theirs
+    def markers():
+        return len(commits._markers(spark, f"{workdir}/commits/batches"))
+    counts = sorted(map(tuple, read_committed(spark, f"{workdir}/metrics", METRICS_SCHEMA).collect()))
+    assert markers() == 6 and len(counts) == 7
+    compact_lakes(spark, workdir, [commits.NO_DATE], keep_s=0.0)
+    assert markers() == 0 and rows() == after
+    assert sorted(map(tuple, read_committed(spark, f"{workdir}/metrics", METRICS_SCHEMA).collect())) == counts
+    assert _files(spark, f"{workdir}/metrics") == 1
     screen_table(spark, _rows(spark, 2, days[1], start=990), workdir, batch_id=0, run_id="r2")
     assert len(rows()[0]) == len(after[0]) + 2
 
