@@ -172,6 +172,86 @@ def test_live_and_joined_travel_on_random_arrivals(spark, workdir):
     assert sorted(i for ids in live.values() for i in ids) == want
 
 
+def test_live_travel_calls_its_store_a_few_times_a_group(monkeypatch):
+    """However many users and rows a micro-batch has in a shard and bucket; chunks of waiting rows are bounded."""
+    import json
+    import random
+    from pyspark.sql import Row
+    from ledgerguard.streaming import live
+    calls = []
+
+    class State:
+        def __init__(self):
+            self.held = {}
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+        def get(self):
+            calls.append("get")
+            return self.held.get(0)
+
+        def update(self, value):
+            calls.append("update")
+            self.held[0] = value
+
+        def updateValue(self, key, value):
+            calls.append("updateValue")
+            assert len(value[0]) <= 300
+            self.held[key] = value
+
+        def removeKey(self, key):
+            calls.append("removeKey")
+            del self.held[key]
+
+        def iterator(self):
+            calls.append("iterator")
+            return iter(list(self.held.items()))
+
+        def getValueState(self, *a):
+            return State()
+        getMapState = getValueState
+
+    monkeypatch.setattr(live, "CHUNK", 300)
+    w, shards, rnd = 600_000_000, 4, random.Random(1)
+    processor = live.TrailingTravelProcessor(w, w // 10, shards)
+    processor.init(State())
+    rows = [(str(i), f"u{rnd.randrange(500)}", rnd.randrange(6 * w), rnd.choice(["USA", "UAE"])) for i in range(1000)]
+    got = []
+    for part in (rows[:500], rows[500:]):
+        calls.clear()
+        messages = [Row(message=json.dumps({"transaction_id": i, "user_id": u, "country": c, "_t": t})) for i, u, t, c in part]
+        got += [json.loads(r.message)["transaction_id"] for r in processor.handleInputRows((3,), iter(messages), None)]
+        assert len(calls) <= 8, calls
+    want = [i for i, u, t, c in rows if any(v == u and t - w <= x <= t and d != c for _, v, x, d in rows)]
+    assert sorted(got) == sorted(want) and len(want) > 50
+
+
+def test_live_travel_gives_back_whole_transactions(spark, workdir):
+    """Rows as they came: nulls, amounts that are no number or beyond a float's text, quotes, control and wide characters."""
+    from ledgerguard.config import DEFAULT_CONFIG
+    from ledgerguard.schema import TRANSACTION_SCHEMA
+    from ledgerguard.sources.json_ingest import screened_form
+    from ledgerguard.streaming.live import live_travel, rocksdb
+    rows = [("a", "u \"1\"", "2024-01-01 00:00:00", 0.1 + 0.2, None, "x\n\u2028\t", "USA"),
+            (None, "u \"1\"", "2024-01-01 00:01:00", float("nan"), "", "\\{", "C\u00f4te d'Ivoire"),
+            ("c", "u \"1\"", "2024-01-01 00:02:00", float("-inf"), "USD", "\U0001f600", "USA"),
+            ("d", "u \"1\"", "2024-01-01 00:03:00", None, "USD", None, "UAE"),
+            ("e", "u \"1\"", "2024-01-01 00:04:00", -1.7976931348623157e308, "USD", "Food", "USA")]
+    landed = spark.createDataFrame(rows, TRANSACTION_SCHEMA)
+    landed.coalesce(1).write.parquet(f"{workdir}/in")
+    stream = screened_form(spark.readStream.schema(TRANSACTION_SCHEMA).parquet(f"{workdir}/in"))
+    seen = []
+    with rocksdb(spark):
+        alerts = live_travel(stream, DEFAULT_CONFIG)
+        q = (alerts.writeStream.outputMode("append").foreachBatch(lambda df, b: seen.extend(tuple(r) for r in df.collect()))
+             .option("checkpointLocation", f"{workdir}/c").trigger(availableNow=True).start())
+        q.awaitTermination()
+    assert q.exception() is None
+    assert sorted(map(repr, seen)) == sorted(map(repr, rows[1:]))
+    assert [f.name for f in alerts.schema] == [f.name for f in TRANSACTION_SCHEMA]
+
+
 def test_sinks_that_emit_nothing_read_back_empty(spark, workdir):
     import json
     from ledgerguard.config import DEFAULT_CONFIG
