@@ -282,10 +282,17 @@ class Chains:
             total = np.add.reduceat(part, starts)
             rest[low:high] = top + np.log(total)
             self.log[a:b] = w - np.repeat(rest[low:high], each)
-            part /= np.repeat(total, each)
-            run = np.cumsum(part)
-            self.cum[a:b] = run - np.repeat(run[starts] - part[starts], each)
+            self.cum[a:b] = part / np.repeat(total, each)
             low = high
+        # sums of a place's own edges alone, so that no rounding comes from its neighbours
+        for low in range(0, n + 1, 1 << 16):
+            a, b, many = first[low:low + (1 << 16)], first[low + 1:low + 1 + (1 << 16)], degree[low:low + (1 << 16)] > 1
+            at, stop = a[:len(many)][many], b[many]
+            while len(at):
+                at = at + 1
+                self.cum[at] += self.cum[at - 1]
+                more = at + 1 < stop
+                at, stop = at[more], stop[more]
         self.cum[first[2:] - 1] = 2.0  # the last edge takes what rounding leaves
         self.first, self.start = first, node[end - size]
 
@@ -413,9 +420,13 @@ class Search:
         size = np.bincount(of, count, len(t)).astype(np.int64)
         of, place = spread(size)
         step_ = chains.log[edges]
-        run = np.concatenate([[0.0], np.cumsum(step_)])
         start = np.cumsum(size) - size
-        before = phi[of] + (run[:-1] - run[start[of]])  # log-probability of the prefix at each place
+        run = np.empty(len(step_) + 1)
+        for a, b in zip(start.tolist(), (start + size).tolist()):  # each text alone: no rounding from its neighbours
+            np.cumsum(step_[a:b], out=run[a + 1:b + 1])
+        total = np.where(size > 0, run[start + size], 0.0)
+        run[start] = 0.0
+        before = phi[of] + run[:-1]  # log-probability of the prefix at each place
         self._others(t, g, seed, number, of, place, nodes, edges, before, length,
                      lambda x: words[np.searchsorted(ends, x, "right")])
         ids = chains.ids[edges]
@@ -423,7 +434,7 @@ class Search:
                                     self.of[at].tolist()):
             head = [self.paths[i][r][:m - 1], chains.ids[e:e + 1]] if e >= 0 else []
             self.paths[i].append(np.concatenate([*head, ids[a:b]]))
-        phi = phi + (run[start + size] - run[start])
+        phi = phi + total
         return list(zip(t.tolist(), phi.tolist(), g.tolist()))
 
     def _others(self, t, g, seed, number, of, place, nodes, edges, before, length, word_of) -> None:

@@ -575,6 +575,18 @@ def test_long_texts_are_searched_like_others():
             assert all(abs(every[tuple(x[0].tolist())] - x[1]) < 1e-9 for x in m)
 
 
+def test_samples_have_no_rounding_from_the_texts_beside_them():
+    """Of one slice or alone, long and short, empty in between: equal to the last bit."""
+    import random
+    rnd = random.Random(7)
+    words = ["then", "it", "was", "onthe", "\u6f22\u5b57", "x1y2", "reading", "un\u00efted", "aaaaaaaaaaaa"]
+    texts = [" ".join(rnd.choices(words, k=rnd.choice([0, 1, 3, 40, 700]))) for _ in range(60)]
+    lattice, seeds = gumbel_pieces.lattice(None, 1.0), list(range(60))
+    for text, seed, made in zip(texts, seeds, gumbel_pieces.sample_many(lattice, texts, 4, seeds)):
+        alone = gumbel_pieces.sample_many(lattice, [text], 4, [seed])[0]
+        assert [(x[0].tolist(), *x[1:3]) for x in made] == [(x[0].tolist(), *x[1:3]) for x in alone]
+
+
 def test_segmentations_are_of_every_document_and_of_its_text_alone(spark, docs, sf_dir):
     got = collections.defaultdict(list)
     for r in LLM_QUERIES["op3_sentencepiece_sampling"](spark, sf_dir).collect():
