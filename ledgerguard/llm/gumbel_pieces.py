@@ -45,8 +45,10 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 RARE = 38.0
 #: Bytes of text that are searched together: a word that comes again costs nothing.
 SLICE_BYTES = 3 << 20
-#: Texts whose ids are put together at a time.
-TEXTS = 256
+#: Words of the texts that are searched at a time.
+GROUP_WORDS = 1 << 17
+#: Characters at a word's end that it shares with the words that end alike.
+SHARED = 32
 #: Places of paths whose other children are scored at a time.
 CHILDREN = 1 << 17
 
@@ -227,45 +229,46 @@ def sample(lattice: Lattice, text: str, k: int, seed: int) -> list[tuple[list[in
 
 
 class Chains:
-    """The lattices of many words at once: nodes numbered by their distance from the word's end (0), edges by node."""
+    """The lattices of many words at once: nodes numbered by their distance from the word's end (0), edges by node.
 
-    def __init__(self, model: Lattice, words: list[str]):
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
-        n, size = len(codes), np.fromiter(map(len, words), np.int64, len(words))
-        end = np.cumsum(size)
-        left = np.repeat(end, size) - np.arange(n)
-        levels = np.bincount(left)[1:]
-        node = np.zeros(n + 1, np.int64)
-        node[np.argsort(left.astype(np.uint16) if len(levels) < 1 << 16 else left, kind="stable")] = np.arange(1, n + 1)
-        found, at, length, bare = [], np.arange(n), 1, np.ones(n, bool)
-        state = model.root[codes]
+    What follows a place depends on the rest of its word alone, so words share
+    the nodes of their last ``SHARED`` characters with those that end alike.
+    """
+
+    def __init__(self, model: Lattice, words: list[str] | tuple[np.ndarray, np.ndarray]):
+        """``words``: strings, or the code points of all and how many each has."""
+        if isinstance(words, list):
+            codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+            words = codes, np.fromiter(map(len, words), np.int64, len(words))
+        code, after, levels = self._nodes(*words)
+        n = len(code) - 1
+        found, at, to, first, bare = [], np.arange(1, n + 1), after[1:], True, np.ones(n + 1, bool)
+        state = model.root[code[1:]]
         while True:
-            at, state = at[state >= 0], state[state >= 0]
+            some = np.flatnonzero(state >= 0)
+            at, to, state = at[some], to[some], state[some]
             piece = model.piece_at[state]
-            hit = piece >= 0
-            if length == 1:  # a character without a piece: its bytes, as one id above all pieces
-                bare[at[hit]] = False
+            hit = np.flatnonzero(piece >= 0)
+            if first:  # a character without a piece: its bytes, as one id above all pieces
+                bare[at[hit]] = bare[0] = first = False
                 none = np.flatnonzero(bare)
-                found.append((none, len(model.pieces) + codes[none], 1))
-            found.append((at[hit], piece[hit], length))
-            more = left[at] > length
-            at, state = at[more], state[more]
+                found.append((none, len(model.pieces) + code[none], after[none]))
+            found.append((at[hit], piece[hit], to[hit]))
+            more = np.flatnonzero(to)
+            at, to, state = at[more], to[more], state[more]
             if not len(at):
                 break
-            state = model.follow(state, codes[at + length])
-            length += 1
+            state, to = model.follow(state, code[to]), after[to]
         degree = np.zeros(n + 1, np.int64)
         for at, _, _ in found:
-            degree[node[at]] += 1
+            degree[at] += 1
         first = np.concatenate([[0], np.cumsum(degree)])
         self.ids, self.to = np.empty(first[-1], np.int32), np.empty(first[-1], np.int32)
         free = first[:-1].copy()
-        for at, piece, length in reversed(found):  # the longest, mostly the likeliest, comes first
-            of = node[at]
-            slot = free[of]
-            free[of] += 1
-            self.ids[slot] = piece
-            self.to[slot] = np.where(left[at] == length, 0, node[at + length])
+        for at, piece, to in reversed(found):  # the longest, mostly the likeliest, comes first
+            slot = free[at]
+            free[at] += 1
+            self.ids[slot], self.to[slot] = piece, to
         known = len(model.pieces)
         score = model.scores[np.minimum(self.ids, known - 1)]
         odd = np.flatnonzero(self.ids >= known)
@@ -273,7 +276,7 @@ class Chains:
         rest, low = np.zeros(n + 1), 1
         self.log, self.cum = np.empty(first[-1]), np.empty(first[-1])
         for m in levels:
-            high = low + int(m)
+            high = low + m
             a, b, each = first[low], first[high], degree[low:high]
             starts, to = first[low:high] - a, self.to[a:b]
             w = score[a:b] + rest[to]
@@ -294,35 +297,73 @@ class Chains:
                 more = at + 1 < stop
                 at, stop = at[more], stop[more]
         self.cum[first[2:] - 1] = 2.0  # the last edge takes what rounding leaves
-        self.first, self.start = first, node[end - size]
+        self.first, self.node = first, np.repeat(np.arange(n + 1, dtype=np.int32), degree)
+        # for draws: the first edge of the place after each edge, -1 at the end; bounds of 53 random bits
+        self.next = np.where(self.to, first[self.to], -1).astype(np.int32)
+        self.bound = np.ceil(self.cum * 2.0 ** 53).astype(np.int64)
 
-    def choose(self, node: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """An edge of each place by its conditional probability, from 64 random bits."""
-        u = (x >> np.uint64(11)) * 2.0 ** -53
-        e = self.first[node]
-        more = np.flatnonzero(u >= self.cum[e])
+    def _nodes(self, codes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Each node's character and the node after it, and how many nodes each distance from the end has."""
+        end = np.cumsum(size)
+        self.start, live, low = np.zeros(len(size), np.int64), np.arange(len(size)), 1
+        code, after, levels = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], []
+        for m in range(1, SHARED + 1):
+            if not len(live):
+                break
+            kinds, which = np.unique(self.start[live] << 21 | codes[end[live] - m], return_inverse=True)
+            self.start[live] = low + which
+            code.append(kinds & (1 << 21) - 1)
+            after.append(kinds >> 21)
+            levels.append(len(kinds))
+            low += len(kinds)
+            live = live[size[live] > m]
+        if len(live):  # the places before the last characters of long words, each for itself
+            long = size[live] - SHARED
+            begin = np.cumsum(long + 1) - long - 1  # each word's places and the node after them
+            node = np.empty(int(long.sum()) + len(live), np.int64)
+            node[begin + long] = self.start[live]
+            of, nth = spread(long)
+            left = long[of] - nth
+            order = np.argsort(left, kind="stable")
+            at = begin[of[order]] + nth[order]
+            node[at] = low + np.arange(len(at))
+            code.append(codes[(end - size)[live][of[order]] + nth[order]])
+            after.append(node[at + 1])
+            levels += np.bincount(left)[1:].tolist()
+            self.start[live] = node[begin]
+        return np.concatenate(code), np.concatenate(after), levels
+
+    def choose(self, e: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """An edge of each place, given by its first, by its conditional probability, from 64 random bits."""
+        x = (x >> np.uint64(11)).view(np.int64)
+        more = np.flatnonzero(x >= self.bound.take(e))
+        if not len(more):
+            return e
+        e, x, at = e.copy(), x[more], e[more]
         while len(more):
-            e[more] += 1
-            more = more[u[more] >= self.cum[e[more]]]
+            at += 1
+            e[more] = at
+            still = np.flatnonzero(x >= self.bound.take(at))
+            more, x, at = more[still], x[still], at[still]
         return e
 
-    def draw(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A random way from each place to its word's end: (places and edges of all, in order; how many each)."""
-        live, count = np.arange(len(node)), np.zeros(len(node), np.int64)
+    def draw(self, place: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A random way from each place, given by its first edge, to its word's end: (edges of all, in order; how many each)."""
+        live, count = None, np.ones(len(place), np.int64)
         made, x = [], seed
-        while len(live):
-            e = self.choose(node, x)
-            count[live] += 1
-            made.append((live.astype(np.int32), node.astype(np.int32), e.astype(np.int32)))
-            node = self.to[e].astype(np.int64)
-            on = np.flatnonzero(node)
-            live, node, seed = live[on], node[on], seed[on]
+        while len(place):
+            e = self.choose(place, x)
+            made.append((live, e))
+            place = self.next.take(e)
+            on = np.flatnonzero(place >= 0)
+            live, place, seed = on if live is None else live[on], place[on].astype(np.int64), seed[on]
+            count[live] = len(made) + 1
             x = mix(seed + step(len(made)))
-        place = np.cumsum(count) - count
-        nodes, edges = np.empty(int(count.sum()), np.int32), np.empty(int(count.sum()), np.int32)
-        for i, (live, node, e) in enumerate(made):
-            nodes[place[live] + i], edges[place[live] + i] = node, e
-        return nodes, edges, count
+        begin = np.cumsum(count) - count
+        edges = np.empty(int(count.sum()), np.int64)
+        for i, (live, e) in enumerate(made):
+            edges[begin if live is None else begin[live] + i] = e
+        return edges, count
 
 
 def step(n: int) -> np.uint64:
@@ -371,7 +412,7 @@ class Search:
         self.chains, self.seeds = chains, seeds
         size = np.array([len(w) for w in words], np.int64)
         self.end = np.cumsum(size)
-        self.starts = chains.start[np.concatenate(words)]  # of every word
+        self.starts = chains.first[chains.start[np.concatenate(words)]]  # the first edge of every word
         shape = (len(words), k + 1)
         self.score, self.done = np.full(shape, -np.inf), np.zeros(shape, bool)
         self.phi, self.word, self.edge = np.zeros(shape), np.zeros(shape, np.int64), np.full(shape, -1, np.int64)
@@ -409,25 +450,30 @@ class Search:
         phi, edge, seed = self.phi[at], self.edge[at], mix(self.seeds[t] + step(number + 1))
         length = np.where(edge >= 0, self.cut[at] + 1, 0)  # of the prefix, its own edge included
         # the rest of the word begun, if any, and the words after it
-        node = np.where(edge >= 0, chains.to[edge], 0)
-        first = self.word[at] + (node == 0)
-        of, nth = spread(self.end[t] - first)
-        nodes = self.starts[first[of] + nth]
-        begun = (nth == 0) & (node[of] > 0)
-        nodes[begun] = node[of[begun]]
-        nodes, edges, count = chains.draw(nodes, mix(seed[of] + (nth + length[of] + 1).astype(np.uint64) * GOLDEN))
-        words, ends = first[of] + nth, np.cumsum(count)
-        size = np.bincount(of, count, len(t)).astype(np.int64)
-        of, place = spread(size)
-        step_ = chains.log[edges]
+        node = np.where(edge >= 0, chains.next[edge], -1)
+        first = self.word[at] + (node < 0)
+        size = self.end[t] - first
+        stop = np.cumsum(size)
+        start = stop - size
+        nth = np.arange(int(size.sum()))  # of all texts, one after another
+        words = np.repeat(first - start, size) + nth
+        places = self.starts.take(words)
+        begun = np.flatnonzero((node >= 0) & (size > 0))
+        places[start[begun]] = node[begun]
+        bits = np.repeat(seed + (length + 1 - start).astype(np.uint64) * GOLDEN, size) + nth.astype(np.uint64) * GOLDEN
+        edges, count = chains.draw(places, mix(bits))
+        ends = np.cumsum(count)
+        many = np.concatenate([[0], ends])
+        size = many[stop] - many[start]
         start = np.cumsum(size) - size
+        step_ = chains.log.take(edges)
         run = np.empty(len(step_) + 1)
         for a, b in zip(start.tolist(), (start + size).tolist()):  # each text alone: no rounding from its neighbours
-            np.cumsum(step_[a:b], out=run[a + 1:b + 1])
+            np.add.accumulate(step_[a:b], out=run[a + 1:b + 1])
         total = np.where(size > 0, run[start + size], 0.0)
         run[start] = 0.0
-        before = phi[of] + run[:-1]  # log-probability of the prefix at each place
-        self._others(t, g, seed, number, of, place, nodes, edges, before, length,
+        before = np.repeat(phi, size) + run[:-1]  # log-probability of the prefix at each place
+        self._others(t, g, seed, number, start, size, edges, before, length,
                      lambda x: words[np.searchsorted(ends, x, "right")])
         ids = chains.ids[edges]
         for i, e, a, b, m, r in zip(t.tolist(), edge.tolist(), start.tolist(), (start + size).tolist(), length.tolist(),
@@ -437,24 +483,32 @@ class Search:
         phi = phi + total
         return list(zip(t.tolist(), phi.tolist(), g.tolist()))
 
-    def _others(self, t, g, seed, number, of, place, nodes, edges, before, length, word_of) -> None:
+    def _others(self, t, g, seed, number, start, size, edges, before, length, word_of) -> None:
         """Score the children that the paths pass by, nearest to the start first, and keep the best."""
         low, high = 0, 8
-        some = np.flatnonzero(place < high)
+        of, place = spread(np.minimum(size, high))
+        some = start[of] + place
         while True:
             for a in range(0, len(some), CHILDREN):
-                self._score(some[a:a + CHILDREN], t, g, seed, number, of, place, nodes, edges, before, length, word_of)
+                part = slice(a, a + CHILDREN)
+                self._score(some[part], of[part], place[part], t, g, seed, number, edges, before, length, word_of)
             floor = self.score[t].min(axis=1)  # has risen with what was kept
             if low == 0:
-                left = np.flatnonzero((before >= (floor - RARE)[of]) & (place >= high))
+                left = np.flatnonzero(before >= np.repeat(floor - RARE, size))
+                left_of = np.searchsorted(start + size, left, "right")
             else:
-                left = left[(before[left] >= floor[of[left]] - RARE) & (place[left] >= high)]
+                some = np.flatnonzero(before[left] >= floor[left_of] - RARE)
+                left, left_of = left[some], left_of[some]
+            some = np.flatnonzero(left - start[left_of] >= high)
+            left, left_of = left[some], left_of[some]
             if not len(left):
                 break
             low, high = high, 8 * high
-            some = left[place[left] < high]
+            place = left - start[left_of]
+            some = np.flatnonzero(place < high)
+            of, place, some = left_of[some], place[some], left[some]
 
-    def _score(self, x, t, g, seed, number, of, place, nodes, edges, before, length, word_of) -> None:
+    def _score(self, x, i, place, t, g, seed, number, edges, before, length, word_of) -> None:
         """Scores as arrival times: that of a child is -log(exp(-g) + time), its time exponential with its mass as rate.
 
         So the earliest of all others of a place needs one number, and only where
@@ -463,17 +517,21 @@ class Search:
         exponential.
         """
         chains, floor = self.chains, self.score[t].min(axis=1)
-        i = of[x]
-        bits = mix(~seed[i] + (place[x] + length[i] + 1).astype(np.uint64) * GOLDEN)
+        place = place + length[i]
+        bits = mix(~seed[i] + (place + 1).astype(np.uint64) * GOLDEN)
+        # an exponential -log(u) is 1 - u at least; most show by that alone that they come too late
+        with np.errstate(over="ignore"):
+            soon = np.flatnonzero(1.0 - uniform(bits) <= np.exp(before[x] - floor[i]) * (1 + 1e-6))
+        x, i, place, bits = x[soon], i[soon], place[soon], bits[soon]
         chosen = chains.log[edges[x]]
         with np.errstate(divide="ignore"):
             time = np.log(exponential(bits)) - before[x] - np.log(-np.expm1(chosen))  # logarithms of times
-        early = np.flatnonzero((-np.logaddexp(-g[i], time) > floor[i]) & (chains.first[nodes[x] + 1] - chains.first[nodes[x]] > 1))
+        node = chains.node[edges[x]]
+        first, many = chains.first[node], chains.first[node + 1] - chains.first[node]
+        early = np.flatnonzero((-np.logaddexp(-g[i], time) > floor[i]) & (many > 1))
         if not len(early):
             return
-        x, time, bits = x[early], time[early], bits[early]
-        first = chains.first[nodes[x]]
-        many = chains.first[nodes[x] + 1] - first
+        x, i, place, time, bits, first, many = (v[early] for v in (x, i, place, time, bits, first, many))
         y, nth = spread(many)
         other = first[y] + nth
         bits = mix(bits[y] + (nth + 1).astype(np.uint64) * GOLDEN)
@@ -483,15 +541,15 @@ class Search:
         is_first = own == least[y]
         after = np.log(exponential(mix(bits))) - before[x][y] - chains.log[other]
         time = np.where(is_first, time[y], np.logaddexp(time[y], after))
-        i = of[x][y]
+        i = i[y]
         found = -np.logaddexp(-g[i], time)
         new = np.flatnonzero((found > floor[i]) & (other != edges[x][y]))
-        x, i = x[y][new], i[new]
-        self.keep(t[i], found[new], (before[x] + chains.log[other[new]]), word_of(x), other[new], place[x] + length[i], number)
+        x, i, place = x[y][new], i[new], place[y][new]
+        self.keep(t[i], found[new], (before[x] + chains.log[other[new]]), word_of(x), other[new], place, number)
 
 
-def chunked(texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
-    """The words of each escaped text as numbers, and the different words: they begin where spaces begin."""
+def chunked(texts: list[str]) -> tuple[list[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """The words of each escaped text as numbers, and the different words as ``Chains`` takes them: they begin where spaces begin."""
     raw = [(" " + t.replace(SPACE, " ")).encode() if t else b"" for t in texts]
     blob, size = b"".join(raw), np.fromiter(map(len, raw), np.int64, len(raw))
     space = np.frombuffer(blob, np.uint8) == 32
@@ -504,12 +562,29 @@ def chunked(texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
     coded = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(blob)).dictionary_encode()
     number = np.asarray(coded.indices).astype(np.int64)
     cuts = np.searchsorted(at, np.append(begin, len(blob))).tolist()
-    return [number[a:b] for a, b in zip(cuts, cuts[1:])], [w.replace(" ", SPACE) for w in coded.dictionary.to_pylist()]
+    return [number[a:b] for a, b in zip(cuts, cuts[1:])], code_points(coded.dictionary)
+
+
+def code_points(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The escaped code points of all ``words``, and how many each has."""
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1)
+    raw = np.frombuffer(words.buffers()[2], np.uint8, ends[-1])
+    many = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # characters before each byte
+    codes = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+    codes[codes == 32] = ord(SPACE)
+    return codes, np.diff(many[ends])
+
+
+def uniform(bits: np.ndarray) -> np.ndarray:
+    """Numbers between 0 and 1 of 64 random bits each."""
+    return ((bits >> np.uint64(11)) + 0.5) * 2.0 ** -53
 
 
 def exponential(bits: np.ndarray) -> np.ndarray:
     """Exponential numbers of 64 random bits each."""
-    return -np.log(((bits >> np.uint64(11)) + 0.5) * 2.0 ** -53)
+    return -np.log(uniform(bits))
 
 
 def sample_many(model: Lattice, texts: list[str], k: int,
@@ -520,30 +595,43 @@ def sample_many(model: Lattice, texts: list[str], k: int,
     out: list = [[(np.zeros(0, np.int32), 0.0, 0.0, 1.0, True)][:k] for _ in texts]
     if not some:
         return out
-    search = Search(Chains(model, kinds), [words[i] for i in some], k, np.array([seeds[i] for i in some], np.uint64))
-    found = [[] for _ in some]
+    chains, part, n = Chains(model, kinds), [], 0
+    for i in some:
+        part.append(i)
+        n += len(words[i])
+        if n >= GROUP_WORDS or i == some[-1]:
+            made = _sample_group(model, chains, [words[j] for j in part], [texts[j] for j in part], k, [seeds[j] for j in part])
+            for j, x in zip(part, made):
+                out[j] = x
+            part, n = [], 0
+    return out
+
+
+def _sample_group(model: Lattice, chains: Chains, words: list[np.ndarray], texts: list[str], k: int, seeds: list[int]):
+    """``sample_many`` of texts that have words, by the chains of their words."""
+    search = Search(chains, words, k, np.array(seeds, np.uint64))
+    found = [[] for _ in texts]
     for r in range(k):
         for i, phi, g in search.round(r):
             found[i].append((phi, g))
     missed = search.best()[1].tolist()
-    for at in range(0, len(some), TEXTS):
-        part = slice(at, at + TEXTS)
-        flat = [ids for paths in search.paths[part] for ids in paths]
-        ids, count = spell(model, np.concatenate(flat))
-        ends = np.cumsum(count)[np.cumsum(list(map(len, flat))) - 1].tolist()
-        raw = model.binary.take(pa.array(ids))
-        place = np.frombuffer(raw.buffers()[1], np.int32, len(ids) + 1)
-        raw, a, ends = raw.buffers()[2], 0, iter(ends)
-        for i, made, miss in zip(some[part], found[part], missed[part]):
-            out[i], wanted = [], None if SPACE in texts[i] else escape(texts[i]).encode()
-            for phi, g in made:
-                b = next(ends)
-                ok = (decode(ids[a:b].tolist(), model.pieces) == texts[i] if wanted is None
-                      else raw[int(place[a]):int(place[b])].to_pybytes() == wanted)
-                chance = 1.0 if miss == -math.inf else -math.expm1(-math.exp(min(700.0, phi - miss)))
-                out[i].append((ids[a:b].astype(np.int32), phi, g, chance, ok))
-                a = b
-    return out
+    flat = [ids for paths in search.paths for ids in paths]
+    ids, count = spell(model, np.concatenate(flat))
+    ids = ids.astype(np.int32, copy=False)
+    ends = np.cumsum(count)[np.cumsum(list(map(len, flat))) - 1].tolist()
+    raw = model.binary.take(pa.array(ids))
+    place = np.frombuffer(raw.buffers()[1], np.int32, len(ids) + 1)
+    raw, a, ends = raw.buffers()[2], 0, iter(ends)
+    for text, made, miss in zip(texts, found, missed):
+        out, wanted = [], None if SPACE in text else escape(text).encode()
+        for phi, g in made:
+            b = next(ends)
+            ok = (decode(ids[a:b].tolist(), model.pieces) == text if wanted is None
+                  else raw[int(place[a]):int(place[b])].to_pybytes() == wanted)
+            chance = 1.0 if miss == -math.inf else -math.expm1(-math.exp(min(700.0, phi - miss)))
+            out.append((ids[a:b], phi, g, chance, ok))
+            a = b
+        yield out
 
 
 _LATTICES: dict = {}

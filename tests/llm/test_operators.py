@@ -587,6 +587,29 @@ def test_samples_have_no_rounding_from_the_texts_beside_them():
         assert [(x[0].tolist(), *x[1:3]) for x in made] == [(x[0].tolist(), *x[1:3]) for x in alone]
 
 
+def test_words_that_end_alike_share_their_places():
+    """A place for each different ending, long words' beginnings apart; every place's pieces as of its word alone."""
+    shared = gumbel_pieces.SHARED
+    words = ["\u2581reading", "\u2581leading", "\u2581x\u6f22ing", "ing", "\u2581" + "a" * (shared - 1), "b" + "a" * (shared + 5),
+             "\u2581\U0001f600" + "a" * (shared + 5), "\u2581reading" * 9]
+    lattice = gumbel_pieces.lattice(None, 1.0)
+    chains = gumbel_pieces.Chains(lattice, words)
+    endings = {w[-m:] for w in words for m in range(1, min(len(w), shared) + 1)}
+    assert len(chains.first) - 2 == len(endings) + sum(max(0, len(w) - shared) for w in words)
+    for word, node in zip(words, chains.start.tolist()):
+        node_at = {0: node}
+        for a, edges in enumerate(lattice.word(word)):
+            if a not in node_at:
+                continue
+            e0, e1 = chains.first[node_at[a]:node_at[a] + 2].tolist()
+            assert e1 - e0 == len(edges)
+            for (ids, b, log), e in zip(edges[::-1], range(e0, e1)):
+                assert gumbel_pieces.spell(lattice, chains.ids[e:e + 1])[0].tolist() == list(ids)
+                assert abs(chains.log[e] - log) < 1e-9
+                assert node_at.setdefault(b, int(chains.to[e])) == chains.to[e]
+        assert node_at[len(word)] == 0
+
+
 def test_segmentations_are_of_every_document_and_of_its_text_alone(spark, docs, sf_dir):
     got = collections.defaultdict(list)
     for r in LLM_QUERIES["op3_sentencepiece_sampling"](spark, sf_dir).collect():
