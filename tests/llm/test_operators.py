@@ -11,10 +11,11 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 
 from ledgerguard.llm import gumbel_pieces, html_gbt, packing, pfp_dedup, quality_bayes, quality_rules, sharding
 from ledgerguard.llm import simhash_gray, sketches
-from ledgerguard.llm.common import components, numbered
+from ledgerguard.llm.common import STEP_BYTES, components, numbered, steps
 from ledgerguard.llm.line_dedup import dedup_lines
 from ledgerguard.llm.queries import LLM_ORACLE, LLM_QUERIES
 
@@ -248,6 +249,37 @@ def test_suffix_array_dedup(spark, docs, length, width, bucket_rows):
         (i, *w) for i, w in zip(ids, want))
 
 
+@pytest.mark.parametrize("bucket_rows", [50_000, 2])
+def test_long_runs(spark, bucket_rows):
+    texts = [say + fill * (n // len(fill)) + end for say, end in (("", ""), ("some words ", " and more"), ("x" * 30, "yz"))
+             for fill in (" ", "-+", "lorem ipsum ", "a phrase of words, " * 9 + "once ") for n in (300, 3000, 5000)]
+    texts += ["é" * 1500 + t for t in texts[::5]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = pfp_dedup.drop_repeats(rows, length=100, width=16, bucket_rows=bucket_rows, digest=True).collect()
+    assert sorted((r.k, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == [
+        (i, *w) for i, w in enumerate(brute_repeats([t.encode() for t in texts], 100))]
+
+
+def test_a_run_is_few_rows(spark):
+    texts = [b"head " + fill * ((3 << 20) // len(fill)) + b" tail" for fill in (b" ", b"-+", b"lorem ipsum ")]
+    rows = spark.createDataFrame([(bytes([i]) * 16, t) for i, t in enumerate(texts)], "r binary, text binary")
+    got = collections.defaultdict(list)
+    for x in pfp_dedup.phrase_rows(rows, 400, 64).collect():
+        got[x.r[0]].append((x.start, x.times * x.n))
+    for i, text in enumerate(texts):  # every window is in one row, and the rows are few
+        assert len(got[i]) < 1500 and sum(n for _, n in got[i]) == len(text) - 399
+        assert all(a + n == b for (a, n), (b, _) in zip(sorted(got[i]), sorted(got[i])[1:]))
+
+
+def test_steps_hold_few_texts_that_pack_well(spark):
+    rows = spark.range(64).selectExpr("unhex(lpad(hex(id), 32, '0')) r", "cast(repeat('some words ', 100000) as binary) text")
+    batches = pfp_dedup._packed(rows).coalesce(1).toArrow().combine_chunks().to_batches()
+    unpack = zstandard.ZstdDecompressor()
+    held = [sum(len(unpack.decompress(x)) for x in step.column("packed").to_pylist())
+            for step in steps(batches, "n_bytes")]
+    assert sum(held) == 64 * 1_100_000 and max(held) <= STEP_BYTES + 1_100_000
+
+
 def test_parse_is_the_same_in_every_context():
     rnd = random.Random(5)
     common = bytes(rnd.choice(b"abcd ") for _ in range(900))
